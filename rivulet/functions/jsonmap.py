@@ -20,7 +20,7 @@ from pyspark.sql import Column, functions as F
 _OBJ = "map<string,variant>"
 
 
-def _last_wins(m: Column) -> Column:
+def last_wins(m: Column) -> Column:
     """Keep the last value of a duplicated key; the common no-duplicate case
     is detected first so the quadratic rebuild runs only on odd lines."""
     e = F.map_entries(m)
@@ -31,17 +31,36 @@ def _last_wins(m: Column) -> Column:
 
 
 def parse_object(text: Column | str) -> Column:
-    """JSON text -> MAP<STRING,VARIANT>; NULL when the text is not an object."""
-    m = F.from_json(text if isinstance(text, Column) else F.col(text), _OBJ)
-    m = _last_wins(m)
-    return F.map_filter(m, lambda k, v: ~F.is_variant_null(v))
+    """JSON text -> MAP<STRING,VARIANT>; NULL when the text is not an object.
+
+    Use as ``df.select(parse_object(...).alias('raw'))`` followed by
+    ``normalize_object('raw')`` in a *separate* projection: the normalization
+    references the parsed map several times and must not inline the parse.
+    """
+    return F.from_json(text if isinstance(text, Column) else F.col(text), _OBJ)
+
+
+def normalize_object(m: Column) -> Column:
+    """Last duplicate wins; members holding JSON null are dropped."""
+    return F.map_filter(last_wins(m), lambda k, v: ~F.is_variant_null(v))
 
 
 def parse_string_map(text: Column | str) -> Column:
     """JSON object text -> MAP<STRING,STRING> (nested values kept as JSON text,
-    numbers as their text, JSON null as SQL NULL); last duplicate wins."""
-    m = F.from_json(text if isinstance(text, Column) else F.col(text), "map<string,string>")
-    return _last_wins(m)
+    numbers as their text, JSON null as SQL NULL). Apply ``last_wins`` in a
+    separate projection."""
+    return F.from_json(text if isinstance(text, Column) else F.col(text), "map<string,string>")
+
+
+def seal(df):
+    """Pass every column through a one-row ``inline``.
+
+    Catalyst pushes filters through projections by substituting the projected
+    expressions, which would re-run an expensive parse inside the Filter.
+    Columns produced by a generator cannot be substituted, so filters on them
+    stay above it and the parse runs once. The generator is code-generated
+    and emits exactly one row per input row."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def member(m: Column, key: str) -> Column:

@@ -20,6 +20,16 @@ def _local(ts_ms: Column, tz: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), base)
 
 
+def ts_to_day(ts_ms: Column, tz: str = DEFAULT_TZ) -> Column:
+    """ms -> DATE in ``tz`` (fixed width: cheap to compare, group and aggregate)."""
+    return F.to_date(_local(ts_ms, tz))
+
+
+def day_text(day: Column) -> Column:
+    """DATE -> 'yyyy-MM-dd'."""
+    return F.date_format(day, "yyyy-MM-dd")
+
+
 def ts_to_date(ts_ms: Column, tz: str = DEFAULT_TZ) -> Column:
     """ms -> 'yyyy-MM-dd' in ``tz``."""
     return F.date_format(_local(ts_ms, tz), "yyyy-MM-dd")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rivulet import constants as K
-from rivulet.functions.jsonmap import parse_string_map
+from rivulet.functions.jsonmap import last_wins, parse_string_map, seal
 
 
 def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> DataFrame:
@@ -19,17 +19,16 @@ def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> D
     JSON text, JSON null as NULL. ``malformed`` marks lines that are not a
     JSON object; the reproduced job would fail on them, we quarantine them.
     """
-    env = parse_string_map(F.col(value))
-    p = lines.select(F.col(seq).alias("seq"), env.alias("env"))
-    data_text = F.col("env").getItem("data")
-    return p.select(
-        "seq",
-        F.col("env").getItem("database").alias("database"),
-        F.col("env").getItem("table").alias("table"),
-        F.col("env").getItem("type").alias("type"),
-        data_text.alias("data_text"),
-        parse_string_map(data_text).alias("data"),
-        F.col("env").isNull().alias("malformed"))
+    p = lines.select(F.col(seq).alias("seq"), parse_string_map(F.col(value)).alias("raw"))
+    p = p.select("seq", last_wins(F.col("raw")).alias("env"))
+    env = F.col("env")
+    p = p.select("seq", env.getItem("database").alias("database"),
+                 env.getItem("table").alias("table"), env.getItem("type").alias("type"),
+                 env.getItem("data").alias("data_text"), env.isNull().alias("malformed"))
+    p = p.select("*", parse_string_map(F.col("data_text")).alias("raw"))
+    p = p.select("seq", "database", "table", "type", "data_text",
+                 last_wins(F.col("raw")).alias("data"), "malformed")
+    return seal(p)
 
 
 def filter_changes(changes: DataFrame, database: str = K.DEFAULT_DATABASE,

@@ -20,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet import constants as K
-from rivulet.functions.jsonmap import (member_array, member_long, member_str, parse_object,
-                                       to_json_object, with_member, without_members)
-from rivulet.functions.times import previous_day, ts_to_date
+from rivulet.functions.jsonmap import (member_array, member_long, member_str, normalize_object,
+                                       parse_object, seal, to_json_object, with_member,
+                                       without_members)
+from rivulet.functions.times import ts_to_day
 
 # A device with at least this many rows is "hot": its first visit comes from a
 # broadcast and its rows are salted across partitions.
@@ -37,31 +38,33 @@ ROUTE_TYPE = "array<struct<topic:string,pos:int,value:string>>"
 
 def tag_lines(lines: DataFrame, seq: str = "seq", value: str = "value",
               tz: str = K.DEFAULT_TZ) -> DataFrame:
-    """(seq, value) -> seq, value, m, mid, is_new, ts, visit_date, seed_date, dirty_reason.
+    """(seq, value) -> seq, value, m, mid, is_new, ts, visit_day, seed_day, dirty_reason.
 
     ``dirty_reason`` is NULL for good lines. A line is dirty when it is not a
     JSON object (``not_json``), has no ``common`` object (``no_common``), no
-    device id (``no_mid``) or no ``ts`` (``no_ts``).
+    device id (``no_mid``) or no ``ts`` (``no_ts``). Days are DATEs in ``tz``;
+    ``seed_day`` is the state a device's first line would set.
     """
-    parsed = lines.select(F.col(seq).alias("seq"), F.col(value).alias("value"),
-                          parse_object(F.col(value)).alias("m"))
+    raw = lines.select(F.col(seq).alias("seq"), F.col(value).alias("value"),
+                       parse_object(F.col(value)).alias("raw"))
+    norm = raw.select("seq", "value", normalize_object(F.col("raw")).alias("m"))
     m = F.col("m")
-    common = m.getItem("common")
-    common_obj = F.when(F.schema_of_variant(common).startswith("OBJECT"), common)
-    mid = member_str(common_obj, "$.mid")
-    ts = member_long(m.getItem("ts"))
-    reason = (F.when(m.isNull(), F.lit("not_json"))
-               .when(common_obj.isNull(), F.lit("no_common"))
-               .when(mid.isNull(), F.lit("no_mid"))
-               .when(ts.isNull(), F.lit("no_ts")))
-    out = parsed.select("seq", "value", "m",
-                        mid.alias("mid"),
-                        member_str(common_obj, "$.is_new").alias("is_new"),
-                        ts.alias("ts"),
-                        reason.alias("dirty_reason"))
-    visit = ts_to_date(F.col("ts"), tz)
-    seed = F.when(F.col("is_new") == "1", visit).otherwise(previous_day(F.col("ts"), tz))
-    return out.select("*", visit.alias("visit_date"), seed.alias("seed_date"))
+    part = norm.select("seq", "value", "m", m.getItem("common").alias("common"),
+                       member_long(m.getItem("ts")).alias("ts"))
+    common = F.when(F.schema_of_variant(F.col("common")).startswith("OBJECT"), F.col("common"))
+    part = part.select("seq", "value", "m", "ts", common.alias("common"))
+    part = part.select("seq", "value", "m", "ts", F.col("common").isNull().alias("no_common"),
+                       member_str(F.col("common"), "$.mid").alias("mid"),
+                       member_str(F.col("common"), "$.is_new").alias("is_new"))
+    reason = (F.when(F.col("m").isNull(), F.lit("not_json"))
+               .when(F.col("no_common"), F.lit("no_common"))
+               .when(F.col("mid").isNull(), F.lit("no_mid"))
+               .when(F.col("ts").isNull(), F.lit("no_ts")))
+    visit = ts_to_day(F.col("ts"), tz)
+    seed = F.when(F.col("is_new") == "1", visit).otherwise(ts_to_day(F.col("ts") - F.lit(K.DAY_MS), tz))
+    out = part.select("seq", "value", "m", "mid", "is_new", "ts", reason.alias("dirty_reason"),
+                      visit.alias("visit_day"), seed.alias("seed_day"))
+    return seal(out)
 
 
 def dirty_lines(tagged: DataFrame) -> DataFrame:
@@ -77,7 +80,7 @@ def first_visits(tagged: DataFrame) -> DataFrame:
     """
     return (tagged.where(F.col("dirty_reason").isNull())
             .groupBy("mid")
-            .agg(F.min_by("seed_date", "seq").alias("first_visit"),
+            .agg(F.min_by("seed_day", "seq").alias("first_visit"),
                  F.count(F.lit(1)).alias("rows")))
 
 
@@ -101,7 +104,7 @@ def repair_flags(tagged: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS,
     cold = stats.select("mid", "first_visit", F.lit(0).cast("long").alias("_salt"))
     j = t.join(cold, ["mid", "_salt"], "left")
     fv = F.coalesce(F.col("hot_first_visit"), F.col("first_visit"))
-    fixed = (F.when((F.col("is_new") == "1") & (F.col("visit_date") != F.col("first_visit")),
+    fixed = (F.when((F.col("is_new") == "1") & (F.col("visit_day") != F.col("first_visit")),
                     F.lit("0"))
               .otherwise(F.col("is_new")))
     return (j.withColumn("first_visit", fv)

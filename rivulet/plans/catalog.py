@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet import constants as K
 from rivulet.functions.jsonmap import member_array, member_long, member_str
-from rivulet.functions.times import (date_to_ts, datetime_to_ts, ms_of, previous_day,
+from rivulet.functions.times import (day_text, date_to_ts, datetime_to_ts, ms_of, previous_day,
                                      ts_to_date, ts_to_datetime, ts_to_partition_day)
 from rivulet.operators import changes as CH, configs as CF, dims as D, logs as L
 from rivulet.plans import fixtures as FX
@@ -51,13 +51,16 @@ def log_dirty(spark: SparkSession, d: str) -> DataFrame:
 
 
 def visitor_first_visit(spark: SparkSession, d: str) -> DataFrame:
-    return L.first_visits(_tagged(spark, d)).select("mid", "first_visit")
+    return L.first_visits(_tagged(spark, d)).select(
+        "mid", day_text(F.col("first_visit")).alias("first_visit"))
 
 
 def visitor_fix(spark: SparkSession, d: str, hot_rows: int = L.DEFAULT_HOT_ROWS) -> DataFrame:
     f = L.repair_flags(_tagged(spark, d), hot_rows=hot_rows)
     return f.where(F.col("dirty_reason").isNull()).select(
-        "seq", "mid", F.col("is_new").alias("is_new_in"), "visit_date", "first_visit",
+        "seq", "mid", F.col("is_new").alias("is_new_in"),
+        day_text(F.col("visit_day")).alias("visit_date"),
+        day_text(F.col("first_visit")).alias("first_visit"),
         F.col("is_new_fixed").alias("is_new"))
 
 

@@ -23,6 +23,7 @@ def build_session(master: str = "local[8]", app: str = "rivulet",
     """Session for tests, bench and local runs. Clusters bring their own."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
