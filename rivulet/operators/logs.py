@@ -37,23 +37,25 @@ ROUTE_TYPE = "array<struct<topic:string,pos:int,value:string>>"
 
 
 def tag_lines(lines: DataFrame, seq: str = "seq", value: str = "value",
-              tz: str = K.DEFAULT_TZ) -> DataFrame:
+              tz: str = K.DEFAULT_TZ, keep: tuple[str, ...] = ()) -> DataFrame:
     """(seq, value) -> seq, value, m, mid, is_new, ts, visit_day, seed_day, dirty_reason.
 
     ``dirty_reason`` is NULL for good lines. A line is dirty when it is not a
     JSON object (``not_json``), has no ``common`` object (``no_common``), no
     device id (``no_mid``) or no ``ts`` (``no_ts``). Days are DATEs in ``tz``;
-    ``seed_day`` is the state a device's first line would set.
+    ``seed_day`` is the state a device's first line would set. Columns named
+    in ``keep`` are carried through unchanged.
     """
-    raw = lines.select(F.col(seq).alias("seq"), F.col(value).alias("value"),
+    kp = list(keep)
+    raw = lines.select(F.col(seq).alias("seq"), F.col(value).alias("value"), *kp,
                        parse_object(F.col(value)).alias("raw"))
-    norm = raw.select("seq", "value", normalize_object(F.col("raw")).alias("m"))
+    norm = raw.select("seq", "value", *kp, normalize_object(F.col("raw")).alias("m"))
     m = F.col("m")
-    part = norm.select("seq", "value", "m", m.getItem("common").alias("common"),
+    part = norm.select("seq", "value", *kp, "m", m.getItem("common").alias("common"),
                        member_long(m.getItem("ts")).alias("ts"))
     common = F.when(F.schema_of_variant(F.col("common")).startswith("OBJECT"), F.col("common"))
-    part = part.select("seq", "value", "m", "ts", common.alias("common"))
-    part = part.select("seq", "value", "m", "ts", F.col("common").isNull().alias("no_common"),
+    part = part.select("seq", "value", *kp, "m", "ts", common.alias("common"))
+    part = part.select("seq", "value", *kp, "m", "ts", F.col("common").isNull().alias("no_common"),
                        member_str(F.col("common"), "$.mid").alias("mid"),
                        member_str(F.col("common"), "$.is_new").alias("is_new"))
     reason = (F.when(F.col("m").isNull(), F.lit("not_json"))
@@ -62,7 +64,7 @@ def tag_lines(lines: DataFrame, seq: str = "seq", value: str = "value",
                .when(F.col("ts").isNull(), F.lit("no_ts")))
     visit = ts_to_day(F.col("ts"), tz)
     seed = F.when(F.col("is_new") == "1", visit).otherwise(ts_to_day(F.col("ts") - F.lit(K.DAY_MS), tz))
-    out = part.select("seq", "value", "m", "mid", "is_new", "ts", reason.alias("dirty_reason"),
+    out = part.select("seq", "value", *kp, "m", "mid", "is_new", "ts", reason.alias("dirty_reason"),
                       visit.alias("visit_day"), seed.alias("seed_day"))
     return seal(out)
 
