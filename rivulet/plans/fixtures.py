@@ -137,7 +137,40 @@ def _positions(n: Column, keep_empty: Column) -> Column:
     return F.when(n > 0, items).when(keep_empty, empty)
 
 
+_LANDED: dict[tuple, str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Land a rendered topic once per application as a multi-file table under
+    the shared checkpoint folder, then read it like a topic with partitions.
+    (The driver tables are single small files; read directly they would put
+    the whole parse into one task.)"""
+    from rivulet.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        path = scratch_path(spark, f"landed-{name}")
+        parts = max(1, spark.sparkContext.defaultParallelism)
+        build(spark, sf_dir).repartition(parts).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log topic: (seq, value) JSON lines, some deliberately broken."""
+    return landed(spark, sf_dir, "log_lines", render_log_lines)
+
+
+def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change topic: (seq, value) change envelopes."""
+    return landed(spark, sf_dir, "change_lines", render_change_lines)
+
+
+def config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The config change stream: (seq, value) ``{op, before, after}`` envelopes."""
+    return landed(spark, sf_dir, "config_lines", render_config_lines)
+
+
+def render_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered log topic: (seq, value) JSON lines, some deliberately broken."""
     t = log_typed(spark, sf_dir)
     even = (F.col("seq") % 2) == 0
@@ -160,7 +193,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("seq", value.alias("value"))
 
 
-def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def render_change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered change topic: (seq, value) change envelopes."""
     t = change_typed(spark, sf_dir)
     data = (F.when(F.col("data_kind") == "row",
@@ -171,7 +204,7 @@ def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("seq", F.to_json(rec).alias("value"))
 
 
-def config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def render_config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered config change stream: (seq, value) ``{op, before, after}``
     envelopes with snake_case images; ``d`` carries only ``before``, ``u`` both."""
     t = config_changes(spark, sf_dir)

@@ -34,16 +34,22 @@ def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "parque
     return df.select("seq", "value")
 
 
-def land_lines(lines: DataFrame, path: str, pieces: int = 3) -> None:
-    """Write (seq, value) lines as ``pieces`` appends in seq order, so a file
-    source replays them as several micro-batches in arrival order."""
+def land_lines(lines: DataFrame, path: str, pieces: int = 3, files_per_piece: int | None = None) -> int:
+    """Write (seq, value) lines as ``pieces`` appends in seq order, each as
+    ``files_per_piece`` files, so a file source read with
+    ``maxFilesPerTrigger=files_per_piece`` replays them as ``pieces``
+    micro-batches in arrival order, each processed by that many tasks.
+    Returns ``files_per_piece``."""
+    spark = lines.sparkSession
+    files = files_per_piece or max(1, spark.sparkContext.defaultParallelism)
     bounds = lines.select(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // pieces + 1
     for k in range(pieces):
         a, b = lo + k * step, lo + (k + 1) * step
-        (lines.where((F.col("seq") >= a) & (F.col("seq") < b)).coalesce(1)
+        (lines.where((F.col("seq") >= a) & (F.col("seq") < b)).repartition(files)
               .write.mode("append").parquet(path))
+    return files
 
 
 def write_topics_batch(routed: DataFrame, path: str, batch_id: int | None = None,

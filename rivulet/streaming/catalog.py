@@ -28,14 +28,19 @@ def _drain(q) -> None:
         raise q.exception()
 
 
+def _files_per_piece(spark: SparkSession) -> int:
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _landed_log(spark: SparkSession, d: str) -> str:
     src = scratch_path(spark, "topic_log")
-    land_lines(FX.log_lines(spark, d), src, PIECES)
+    land_lines(FX.log_lines(spark, d), src, PIECES, _files_per_piece(spark))
     return src
 
 
 def _stream_lines(spark: SparkSession, src: str) -> DataFrame:
-    return read_topic(spark, fmt="parquet", path=src, max_files_per_trigger=1)
+    return read_topic(spark, fmt="parquet", path=src,
+                      max_files_per_trigger=_files_per_piece(spark))
 
 
 def source_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -49,7 +54,7 @@ def source_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def config_stream(spark: SparkSession, d: str) -> DataFrame:
     src = scratch_path(spark, "topic_config")
-    land_lines(FX.config_lines(spark, d), src, PIECES)
+    land_lines(FX.config_lines(spark, d), src, PIECES, _files_per_piece(spark))
     out, ck = scratch_path(spark, "config_out"), scratch_path(spark, "ck")
     s = CF.config_images(_stream_lines(spark, src))
     _drain(J.run_stream(s, ck, fmt="parquet", path=out, available_now=True))
@@ -92,10 +97,10 @@ def dim_stream(spark: SparkSession, d: str) -> DataFrame:
     src = scratch_path(spark, "topic_db")
     merged = (FX.config_lines(spark, d).withColumn("kind", F.lit("config"))
               .unionByName(FX.change_lines(spark, d).withColumn("kind", F.lit("change"))))
-    land_lines(merged, src, PIECES)
+    land_lines(merged, src, PIECES, _files_per_piece(spark))
     state, ck = scratch_path(spark, "dim_state"), scratch_path(spark, "ck")
     s = (spark.readStream.schema("seq long, value string, kind string")
-         .option("maxFilesPerTrigger", "1").parquet(src))
+         .option("maxFilesPerTrigger", str(_files_per_piece(spark))).parquet(src))
     _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state), available_now=True))
     return J.dim_current_from_logs(spark, state)
 

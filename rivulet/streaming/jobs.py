@@ -47,16 +47,12 @@ def log_stream(lines: DataFrame, ttl_ms: int | None = None, **route_opts) -> Dat
     The parse and the fan-out are the batch expressions; only the flag repair
     differs (keyed state instead of aggregate + join). The stateful step
     carries the raw line as an opaque string and the line is parsed again
-    after it, so no variant crosses into Python.
+    after it, so no variant crosses into Python. Dirty lines ride along under
+    their own keys, so each micro-batch reads its source once.
     """
-    tagged = L.tag_lines(lines)
-    fixed = repair_flags_stream(tagged, ttl_ms)
-    good = L.tag_lines(fixed.select("seq", "value", "is_new_fixed", "first_visit"),
+    fixed = repair_flags_stream(L.tag_lines(lines), ttl_ms, with_dirty=True)
+    both = L.tag_lines(fixed.select("seq", "value", "is_new_fixed", "first_visit"),
                        keep=("is_new_fixed", "first_visit"))
-    dirty = (tagged.where(F.col("dirty_reason").isNotNull())
-             .withColumn("is_new_fixed", F.lit(None).cast("string"))
-             .withColumn("first_visit", F.lit(None).cast("date")))
-    both = good.unionByName(dirty.select(*good.columns))
     return L.route(both, **route_opts)
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -24,15 +25,18 @@ STATE_SCHEMA = StructType([StructField("first_visit", DateType(), True)])
 OUT_SCHEMA = ("seq long, mid string, is_new string, is_new_fixed string, "
               "visit_day date, first_visit date, value string")
 IN_COLS = ["seq", "mid", "is_new", "visit_day", "seed_day", "value"]
+OUT_COLS = ["seq", "mid", "is_new", "is_new_fixed", "visit_day", "first_visit", "value"]
+# Dirty lines may ride through the same keyed step (so a micro-batch reads its
+# source once); they are keyed by (True, seq bucket), never touch state, and
+# come out unchanged.
+DIRTY_BUCKETS = 64
 
 
 def _apply(pdf: pd.DataFrame, first_visit) -> pd.DataFrame:
-    flag = pdf["is_new"]
-    reset = (flag == "1") & (pdf["visit_day"] != first_visit)
-    return pd.DataFrame({
-        "seq": pdf["seq"], "mid": pdf["mid"], "is_new": flag,
-        "is_new_fixed": flag.where(~reset, "0"),
-        "visit_day": pdf["visit_day"], "first_visit": first_visit, "value": pdf["value"]})
+    flag = pdf["is_new"].to_numpy(dtype=object)
+    reset = (flag == "1") & (pdf["visit_day"].to_numpy(dtype=object) != first_visit)
+    pdf = pdf.assign(is_new_fixed=np.where(reset, "0", flag), first_visit=first_visit)
+    return pdf[OUT_COLS]
 
 
 class FirstVisitProcessor(StatefulProcessor):
@@ -43,6 +47,10 @@ class FirstVisitProcessor(StatefulProcessor):
         self.state = handle.getValueState("first_visit", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if key[0]:                                   # dirty lines: pass through
+            for pdf in rows:
+                yield pdf.assign(is_new_fixed=None, first_visit=None)[OUT_COLS]
+            return
         if self.state.exists():
             fv = self.state.get()[0]
             for pdf in rows:
@@ -57,10 +65,43 @@ class FirstVisitProcessor(StatefulProcessor):
         pass
 
 
-def repair_flags_stream(tagged: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Good tagged lines (streaming) -> OUT_SCHEMA rows with the repaired flag."""
+def _grouped_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """The same rule for ``applyInPandasWithState`` (state travels in-band
+    with the Arrow batches instead of one call per state access)."""
+    if key[0]:
+        for pdf in pdfs:
+            yield pdf.assign(is_new_fixed=None, first_visit=None)[OUT_COLS]
+        return
+    if state.exists:
+        fv = state.get[0]
+        for pdf in pdfs:
+            yield _apply(pdf, fv)
+        return
+    batch = pd.concat(list(pdfs), ignore_index=True)
+    fv = batch["seed_day"].iloc[int(batch["seq"].values.argmin())]
+    state.update((fv,))
+    yield _apply(batch, fv)
+
+
+def repair_flags_stream(tagged: DataFrame, ttl_ms: int | None = None,
+                        with_dirty: bool = False, api: str = "grouped") -> DataFrame:
+    """Tagged lines (streaming) -> OUT_SCHEMA rows with the repaired flag.
+
+    Keyed by (dirty, device): good lines by their device id; with
+    ``with_dirty`` the dirty lines come along keyed by a seq bucket, with
+    NULL flag columns; otherwise they are left out."""
     ensure_state_store(tagged.sparkSession)
-    good = tagged.where(F.col("dirty_reason").isNull()).select(*IN_COLS)
-    return good.groupBy("mid").transformWithStateInPandas(
+    dirty = F.col("dirty_reason").isNotNull()
+    rows = tagged if with_dirty else tagged.where(~dirty)
+    keyed = rows.select(
+        dirty.alias("dirty"),
+        F.when(dirty, F.pmod(F.col("seq"), F.lit(DIRTY_BUCKETS)).cast("string"))
+         .otherwise(F.col("mid")).alias("device"),
+        *IN_COLS)
+    g = keyed.groupBy("dirty", "device")
+    if api == "grouped" and ttl_ms is None:
+        return g.applyInPandasWithState(_grouped_state_fn, OUT_SCHEMA, "first_visit date",
+                                        "append", "NoTimeout")
+    return g.transformWithStateInPandas(
         statefulProcessor=FirstVisitProcessor(ttl_ms), outputStructType=OUT_SCHEMA,
         outputMode="Append", timeMode="None")
