@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 _OBJ = "map<string,variant>"
+# A lenient parser: single quotes and unquoted member names are accepted.
+JSON_OPTIONS = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
 
 
 def last_wins(m: Column) -> Column:
@@ -37,7 +39,15 @@ def parse_object(text: Column | str) -> Column:
     ``normalize_object('raw')`` in a *separate* projection: the normalization
     references the parsed map several times and must not inline the parse.
     """
-    return F.from_json(text if isinstance(text, Column) else F.col(text), _OBJ)
+    return F.from_json(text if isinstance(text, Column) else F.col(text), _OBJ, JSON_OPTIONS)
+
+
+def closes_cleanly(text: Column) -> Column:
+    """True when nothing but whitespace follows the object's closing brace.
+    The parser stops after the first object; the reproduced parser rejects
+    trailing text, so such lines count as malformed. (Known gap: a second
+    complete object after the first still passes this check.)"""
+    return F.rtrim(text, F.lit(" \t\r\n")).endswith("}")
 
 
 def normalize_object(m: Column) -> Column:
@@ -49,7 +59,8 @@ def parse_string_map(text: Column | str) -> Column:
     """JSON object text -> MAP<STRING,STRING> (nested values kept as JSON text,
     numbers as their text, JSON null as SQL NULL). Apply ``last_wins`` in a
     separate projection."""
-    return F.from_json(text if isinstance(text, Column) else F.col(text), "map<string,string>")
+    return F.from_json(text if isinstance(text, Column) else F.col(text), "map<string,string>",
+                       JSON_OPTIONS)
 
 
 def seal(df):

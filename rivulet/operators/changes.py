@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rivulet import constants as K
-from rivulet.functions.jsonmap import last_wins, parse_string_map, seal
+from rivulet.functions.jsonmap import closes_cleanly, last_wins, parse_string_map, seal
 
 
 def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> DataFrame:
@@ -19,8 +19,9 @@ def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> D
     JSON text, JSON null as NULL. ``malformed`` marks lines that are not a
     JSON object; the reproduced job would fail on them, we quarantine them.
     """
-    p = lines.select(F.col(seq).alias("seq"), parse_string_map(F.col(value)).alias("raw"))
-    p = p.select("seq", last_wins(F.col("raw")).alias("env"))
+    p = lines.select(F.col(seq).alias("seq"), F.col(value).alias("value"),
+                     parse_string_map(F.col(value)).alias("raw"))
+    p = p.select("seq", F.when(closes_cleanly(F.col("value")), last_wins(F.col("raw"))).alias("env"))
     env = F.col("env")
     p = p.select("seq", env.getItem("database").alias("database"),
                  env.getItem("table").alias("table"), env.getItem("type").alias("type"),

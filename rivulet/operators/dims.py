@@ -22,28 +22,46 @@ DEFAULT_MAX_BROADCAST_TABLES = 100_000
 
 
 def change_log(routed: DataFrame) -> DataFrame:
-    """seq, sink_table, row_key, type, cells (non-empty, retained) per change."""
+    """seq, sink_table, sink_family, type, row_key, cells, quarantine per change.
+
+    ``cells`` are the retained, non-empty values (``type`` never among them).
+    ``quarantine`` names why a change cannot be applied; the reproduced job
+    fails on each of these, we keep the change aside instead:
+    ``no_data`` (routed change without a data object), ``no_row_key`` (the
+    key column is absent after retention), ``multi_family`` (the put would
+    target a family named by the whole comma list).
+    """
     kept = retain_columns(F.col("data"), F.col("sink_columns"))
     row_key = F.try_element_at(kept, F.col("sink_row_key"))
+    quarantine = (F.when(F.col("data").isNull(), F.lit("no_data"))
+                   .when(row_key.isNull(), F.lit("no_row_key"))
+                   .when((F.col("type") != "delete") & F.col("sink_family").contains(","),
+                         F.lit("multi_family")))
     return routed.select(
         "seq", "sink_table", "sink_family", "type",
         row_key.alias("row_key"),
-        non_empty_cells(kept).alias("cells"))
+        non_empty_cells(kept).alias("cells"),
+        quarantine.alias("quarantine"))
 
 
 def cells(log: DataFrame) -> DataFrame:
     """Puts exploded to (seq, sink_table, row_key, col, value)."""
-    puts = log.where((F.col("type") != "delete") & F.col("row_key").isNotNull())
+    puts = log.where((F.col("type") != "delete") & F.col("quarantine").isNull())
     return puts.select("seq", "sink_table", "row_key",
                        F.explode(F.col("cells")).alias("col", "value"))
 
 
 def row_deletes(log: DataFrame) -> DataFrame:
     """Row deletes: (seq, sink_table, row_key)."""
-    return log.where((F.col("type") == "delete") & F.col("row_key").isNotNull()) \
+    return log.where((F.col("type") == "delete") & F.col("quarantine").isNull()) \
               .select("seq", "sink_table", "row_key")
 
 
+def quarantined(log: DataFrame) -> DataFrame:
+    """Changes that could not be applied, with the reason."""
+    return log.where(F.col("quarantine").isNotNull())
+
+
 def table_events(history: DataFrame) -> DataFrame:
     """Config ops as DDL on the sink table: (cseq, sink_table, op, sink_family, drops, creates)."""
     op = F.col("op")

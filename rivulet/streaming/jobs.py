@@ -66,7 +66,7 @@ def topic_sink(path: str, fmt: str = "parquet", options: dict | None = None):
 HISTORY_SCHEMA = ("cseq long, op string, source_table string, sink_table string, "
                   "sink_columns string, sink_family string, sink_row_key string")
 LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, "
-              "row_key string, cells map<string,string>")
+              "row_key string, cells map<string,string>, quarantine string")
 
 
 def dim_batch_writer(state_dir: str, database: str = "gmall"):
