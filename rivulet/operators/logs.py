@@ -82,7 +82,9 @@ def first_visits(tagged: DataFrame) -> DataFrame:
     A partial aggregation: each map task folds its own rows per device before
     the shuffle, so a hot device costs one row per map task on the wire.
     """
-    return (tagged.where(F.col("dirty_reason").isNull())
+    # (good lines always have a mid; stating it keeps the joins' inferred
+    # not-null filters identical on every branch, so the shuffle is reused)
+    return (tagged.where(F.col("dirty_reason").isNull() & F.col("mid").isNotNull())
             .groupBy("mid")
             .agg(F.min_by("seed_day", "seq").alias("first_visit"),
                  F.count(F.lit(1)).alias("rows")))
@@ -101,12 +103,18 @@ def repair_flags(tagged: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS,
     hot = (stats.where(F.col("rows") >= F.lit(hot_rows))
            .orderBy(F.col("rows").desc(), F.col("mid"))
            .limit(max_hot_keys)                       # the broadcast's size bound
-           .select("mid", F.col("first_visit").alias("hot_first_visit")))
-    t = tagged.join(F.broadcast(hot), "mid", "left")
-    spread = F.col("hot_first_visit").isNotNull() | F.col("dirty_reason").isNotNull()
+           .select(F.col("mid").alias("_key"), F.col("first_visit").alias("hot_first_visit")))
+    # Dirty lines join on a NULL key: they never meet a device's state.
+    t = tagged.withColumn("_key", F.when(F.col("dirty_reason").isNull(), F.col("mid")))
+    t = t.join(F.broadcast(hot), "_key", "left")
+    spread = F.col("hot_first_visit").isNotNull() | F.col("_key").isNull()
     t = t.withColumn("_salt", F.when(spread, F.xxhash64("seq")).otherwise(F.lit(0).cast("long")))
-    cold = stats.select("mid", "first_visit", F.lit(0).cast("long").alias("_salt"))
-    j = t.join(cold, ["mid", "_salt"], "left")
+    # ``rows > 0`` always holds; it keeps count(1) alive so this branch's
+    # aggregation is identical to the hot branch's and its shuffle is reused
+    # (otherwise pruning makes them differ and the topic is parsed again).
+    cold = stats.where(F.col("rows") > 0).select(F.col("mid").alias("_key"), "first_visit",
+                                                 F.lit(0).cast("long").alias("_salt"))
+    j = t.join(cold, ["_key", "_salt"], "left").drop("_key")
     fv = F.coalesce(F.col("hot_first_visit"), F.col("first_visit"))
     fixed = (F.when((F.col("is_new") == "1") & (F.col("visit_day") != F.col("first_visit")),
                     F.lit("0"))
