@@ -48,7 +48,8 @@ def source_stream(spark: SparkSession, d: str) -> DataFrame:
     out, ck = scratch_path(spark, "source_out"), scratch_path(spark, "ck")
     s = _stream_lines(spark, src).select(
         "seq", F.get_json_object("value", "$.common.mid").alias("mid"))
-    _drain(J.run_stream(s, ck, fmt="parquet", path=out, available_now=True))
+    _drain(J.run_stream(s, ck, fmt="parquet", path=out, available_now=True,
+                        state_partitions=_files_per_piece(spark)))
     return spark.read.schema("seq long, mid string").parquet(out)
 
 
@@ -57,7 +58,8 @@ def config_stream(spark: SparkSession, d: str) -> DataFrame:
     land_lines(FX.config_lines(spark, d), src, PIECES, _files_per_piece(spark))
     out, ck = scratch_path(spark, "config_out"), scratch_path(spark, "ck")
     s = CF.config_images(_stream_lines(spark, src))
-    _drain(J.run_stream(s, ck, fmt="parquet", path=out, available_now=True))
+    _drain(J.run_stream(s, ck, fmt="parquet", path=out, available_now=True,
+                        state_partitions=_files_per_piece(spark)))
     return spark.read.schema(J.HISTORY_SCHEMA).parquet(out)
 
 
@@ -66,7 +68,8 @@ def visitor_fix_stream(spark: SparkSession, d: str) -> DataFrame:
     out, ck = scratch_path(spark, "visitor_out"), scratch_path(spark, "ck")
     from rivulet.streaming.visitor import OUT_SCHEMA, repair_flags_stream
     fixed = repair_flags_stream(L.tag_lines(_stream_lines(spark, src)))
-    _drain(J.run_stream(fixed.drop("value"), ck, fmt="parquet", path=out, available_now=True))
+    _drain(J.run_stream(fixed.drop("value"), ck, fmt="parquet", path=out, available_now=True,
+                        state_partitions=_files_per_piece(spark)))
     r = spark.read.schema(OUT_SCHEMA.replace(", value string", "")).parquet(out)
     return r.select("seq", "mid", F.col("is_new").alias("is_new_in"),
                     day_text(F.col("visit_day")).alias("visit_date"),
@@ -78,7 +81,8 @@ def _routed_stream(spark: SparkSession, d: str) -> str:
     src = _landed_log(spark, d)
     out, ck = scratch_path(spark, "topics_out"), scratch_path(spark, "ck")
     routed = J.log_stream(_stream_lines(spark, src))
-    _drain(J.run_stream(routed, ck, foreach_batch=J.topic_sink(out), available_now=True))
+    _drain(J.run_stream(routed, ck, foreach_batch=J.topic_sink(out), available_now=True,
+                        state_partitions=_files_per_piece(spark)))
     return out
 
 
@@ -101,7 +105,8 @@ def dim_stream(spark: SparkSession, d: str) -> DataFrame:
     state, ck = scratch_path(spark, "dim_state"), scratch_path(spark, "ck")
     s = (spark.readStream.schema("seq long, value string, kind string")
          .option("maxFilesPerTrigger", str(_files_per_piece(spark))).parquet(src))
-    _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state), available_now=True))
+    _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state), available_now=True,
+                        state_partitions=_files_per_piece(spark)))
     return J.dim_current_from_logs(spark, state)
 
 

@@ -23,9 +23,14 @@ def run_stream(df: DataFrame, checkpoint: str, *, fmt: str | None = None, path:
                foreach_batch: Callable[[DataFrame, int], None] | None = None,
                available_now: bool = False, processing_time: str = DEFAULT_TRIGGER,
                options: dict | None = None, partition_by: list[str] | None = None,
-               name: str | None = None) -> StreamingQuery:
+               name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start ``df`` into a sink. ``available_now`` drains what is there (as
-    several micro-batches when the source is rate-limited) and stops."""
+    several micro-batches when the source is rate-limited) and stops.
+
+    ``state_partitions`` fixes the number of partitions of the query's
+    stateful and shuffle steps. It is recorded in the checkpoint on the first
+    start and adaptive execution does not coalesce it, so size it to the
+    cores that will run the query (more only when state is large)."""
     w = df.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if name:
         w = w.queryName(name)
@@ -38,7 +43,16 @@ def run_stream(df: DataFrame, checkpoint: str, *, fmt: str | None = None, path:
             w = w.partitionBy(*partition_by)
         if path is not None:
             w = w.option("path", path)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()            # the query runs on a clone of the session taken here
+    finally:
+        spark.conf.set(key, old)
 
 
 def log_stream(lines: DataFrame, ttl_ms: int | None = None, **route_opts) -> DataFrame:
