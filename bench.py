@@ -52,6 +52,7 @@ def main() -> None:
         if os.path.isdir(d):
             for land in (FX.log_lines, FX.change_lines, FX.config_lines):
                 land(spark, d).count()
+            S.prepare(spark, d)
     setup = round(time.time() - t0, 3)
     times = {}
     for name, fn in HEADLINE.items():

@@ -32,10 +32,34 @@ def _files_per_piece(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+_SOURCES: dict[tuple, str] = {}
+
+
+def _landed(spark: SparkSession, d: str, name: str, build) -> str:
+    """Land a topic once per application as seq-ordered pieces of files; each
+    streaming run uses a fresh checkpoint, so it replays all of them."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _SOURCES:
+        src = scratch_path(spark, f"stream-{name}")
+        land_lines(build(spark, d), src, PIECES, _files_per_piece(spark))
+        _SOURCES[key] = src
+    return _SOURCES[key]
+
+
 def _landed_log(spark: SparkSession, d: str) -> str:
-    src = scratch_path(spark, "topic_log")
-    land_lines(FX.log_lines(spark, d), src, PIECES, _files_per_piece(spark))
-    return src
+    return _landed(spark, d, "topic_log", FX.log_lines)
+
+
+def _merged_db(spark: SparkSession, d: str) -> DataFrame:
+    return (FX.config_lines(spark, d).withColumn("kind", F.lit("config"))
+            .unionByName(FX.change_lines(spark, d).withColumn("kind", F.lit("change"))))
+
+
+def prepare(spark: SparkSession, d: str) -> None:
+    """Land every streaming source for ``d`` (bench setup)."""
+    _landed_log(spark, d)
+    _landed(spark, d, "topic_config", FX.config_lines)
+    _landed(spark, d, "topic_db", _merged_db)
 
 
 def _stream_lines(spark: SparkSession, src: str) -> DataFrame:
@@ -54,8 +78,7 @@ def source_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def config_stream(spark: SparkSession, d: str) -> DataFrame:
-    src = scratch_path(spark, "topic_config")
-    land_lines(FX.config_lines(spark, d), src, PIECES, _files_per_piece(spark))
+    src = _landed(spark, d, "topic_config", FX.config_lines)
     out, ck = scratch_path(spark, "config_out"), scratch_path(spark, "ck")
     s = CF.config_images(_stream_lines(spark, src))
     _drain(J.run_stream(s, ck, fmt="parquet", path=out, available_now=True,
@@ -98,10 +121,7 @@ def topic_sink_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_stream(spark: SparkSession, d: str) -> DataFrame:
-    src = scratch_path(spark, "topic_db")
-    merged = (FX.config_lines(spark, d).withColumn("kind", F.lit("config"))
-              .unionByName(FX.change_lines(spark, d).withColumn("kind", F.lit("change"))))
-    land_lines(merged, src, PIECES, _files_per_piece(spark))
+    src = _landed(spark, d, "topic_db", _merged_db)
     state, ck = scratch_path(spark, "dim_state"), scratch_path(spark, "ck")
     s = (spark.readStream.schema("seq long, value string, kind string")
          .option("maxFilesPerTrigger", str(_files_per_piece(spark))).parquet(src))
