@@ -97,11 +97,24 @@ def table_drops(history: DataFrame) -> DataFrame:
             .agg(F.max("cseq").alias("drop_seq")))
 
 
-def fold_current(cell_log: DataFrame, deletes: DataFrame, drops: DataFrame,
-                 max_broadcast_tables: int = DEFAULT_MAX_BROADCAST_TABLES) -> DataFrame:
-    """Current cells: (sink_table, row_key, col, value)."""
-    last = (cell_log.groupBy("sink_table", "row_key", "col")
+def last_cells(cell_log: DataFrame) -> DataFrame:
+    """Last non-empty value per cell: (sink_table, row_key, col, value, seq).
+
+    ``max_by`` over a string runs as a sort-based aggregate; it still combines
+    map-side before the shuffle, so a hot cell costs one row per map task."""
+    return (cell_log.groupBy("sink_table", "row_key", "col")
             .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq")))
+
+
+def fold_current(cell_log: DataFrame, deletes: DataFrame, drops: DataFrame,
+                 max_broadcast_tables: int = DEFAULT_MAX_BROADCAST_TABLES,
+                 keep_seq: bool = False) -> DataFrame:
+    """Current cells: (sink_table, row_key, col, value [, seq]).
+
+    ``cell_log`` may mix raw cells with a compacted snapshot of earlier
+    current cells (which keep their seq): a later delete or drop still
+    removes them, a later put still replaces them."""
+    last = last_cells(cell_log)
     dels = deletes.groupBy("sink_table", "row_key").agg(F.max("seq").alias("del_seq"))
     if drops.limit(max_broadcast_tables + 1).count() <= max_broadcast_tables:
         drops = F.broadcast(drops)
@@ -109,7 +122,8 @@ def fold_current(cell_log: DataFrame, deletes: DataFrame, drops: DataFrame,
              .join(drops, "sink_table", "left"))
     live = ((F.col("seq") > F.coalesce(F.col("del_seq"), F.lit(-(2 ** 62))))
             & (F.col("seq") >= F.coalesce(F.col("drop_seq"), F.lit(-(2 ** 62)))))
-    return j.where(live).select("sink_table", "row_key", "col", "value")
+    cols = ["sink_table", "row_key", "col", "value"] + (["seq"] if keep_seq else [])
+    return j.where(live).select(*cols)
 
 
 def table_summary(current: DataFrame, tables: DataFrame) -> DataFrame:

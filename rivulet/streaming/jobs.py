@@ -115,19 +115,55 @@ def read_config_log(spark: SparkSession, state_dir: str) -> DataFrame:
         f"{state_dir}/config_log").drop("batch")
 
 
-def read_change_log(spark: SparkSession, state_dir: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA + ", batch long").parquet(
-        f"{state_dir}/change_log").drop("batch")
+def read_change_log(spark: SparkSession, state_dir: str, with_batch: bool = False) -> DataFrame:
+    df = spark.read.schema(LOG_SCHEMA + ", batch long").parquet(f"{state_dir}/change_log")
+    return df if with_batch else df.drop("batch")
 
 
-def dim_current_from_logs(spark: SparkSession, state_dir: str) -> DataFrame:
-    """Fold the logs written by the stream into current cells."""
-    log = read_change_log(spark, state_dir)
-    history = read_config_log(spark, state_dir)
-    return D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(history))
+SNAPSHOT_SCHEMA = "sink_table string, row_key string, col string, value string, seq long, upto long"
 
 
-def compact_dims(spark: SparkSession, state_dir: str, out: str) -> None:
-    """Write the folded state as a table (cut lineage; serve lookups from it)."""
-    dim_current_from_logs(spark, state_dir).write.mode("overwrite") \
-        .partitionBy("sink_table").parquet(out)
+def _latest_snapshot(spark: SparkSession, state_dir: str):
+    """(cells of the newest snapshot, its last batch id) or (None, -1)."""
+    from pyspark.errors import AnalysisException
+    try:
+        snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{state_dir}/snapshot")
+        upto = snap.agg(F.max("upto")).first()[0]
+    except AnalysisException:
+        return None, -1
+    if upto is None:
+        return None, -1
+    return snap.where(F.col("upto") == F.lit(upto)).drop("upto"), int(upto)
+
+
+def dim_current_from_logs(spark: SparkSession, state_dir: str, keep_seq: bool = False,
+                          through: int | None = None) -> DataFrame:
+    """Fold the logs written by the stream into current cells: the newest
+    compacted snapshot plus only the log batches written after it (up to
+    batch ``through`` when given)."""
+    snap, upto = _latest_snapshot(spark, state_dir)
+    log = read_change_log(spark, state_dir, with_batch=True).where(F.col("batch") > F.lit(upto))
+    if through is not None:
+        log = log.where(F.col("batch") <= F.lit(through))
+    history = read_config_log(spark, state_dir)
+    cell_log = D.cells(log)
+    if snap is not None:
+        cell_log = cell_log.unionByName(snap.select(*cell_log.columns))
+    return D.fold_current(cell_log, D.row_deletes(log), D.table_drops(history), keep_seq=keep_seq)
+
+
+def compact_dims(spark: SparkSession, state_dir: str) -> int:
+    """Write the folded state (with each cell's seq) as ``snapshot/upto=<batch>``
+    and return that batch id; later folds read it plus newer batches only.
+    Run between micro-batches (e.g. every N batches from the writer's
+    thread) or as a separate job; a snapshot is written once and never
+    modified, so readers always see a complete one."""
+    last = read_change_log(spark, state_dir, with_batch=True).agg(F.max("batch")).first()[0]
+    if last is None:
+        return -1
+    log_upto = int(last)
+    # pinned to the batches seen now: a batch the stream commits meanwhile
+    # stays outside this snapshot and is folded in by later reads
+    cur = dim_current_from_logs(spark, state_dir, keep_seq=True, through=log_upto)
+    cur.write.mode("overwrite").parquet(f"{state_dir}/snapshot/upto={log_upto}")
+    return log_upto

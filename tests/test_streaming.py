@@ -62,9 +62,14 @@ def test_dim_stream_restart(spark):
 
     land_lines(merged.where(F.col("seq") < 5000), src, 2, 2)
     run()
+    upto = J.compact_dims(spark, state)        # snapshot of the first batches
+    assert upto >= 0
     land_lines(merged.where(F.col("seq") >= 5000), src, 3, 2)
     run()
-    assert _rows(J.dim_current_from_logs(spark, state)) == _rows(C.dim_current(spark, SF))
+    want = _rows(C.dim_current(spark, SF))
+    assert _rows(J.dim_current_from_logs(spark, state)) == want   # snapshot + newer batches
+    assert J.compact_dims(spark, state) > upto
+    assert _rows(J.dim_current_from_logs(spark, state)) == want   # from the new snapshot alone
 
 
 @settings(max_examples=3, deadline=None)
