@@ -145,11 +145,11 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     the shared checkpoint folder, then read it like a topic with partitions.
     (The driver tables are single small files; read directly they would put
     the whole parse into one task.)"""
-    from rivulet.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    from rivulet.session import app_id, parallelism, scratch_path
+    key = (app_id(spark), sf_dir, name)
     if key not in _LANDED:
         path = scratch_path(spark, f"landed-{name}")
-        parts = max(1, spark.sparkContext.defaultParallelism)
+        parts = parallelism(spark)
         build(spark, sf_dir).repartition(parts).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])

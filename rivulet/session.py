@@ -37,9 +37,30 @@ def build_session(master: str = "local[8]", app: str = "rivulet",
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return spark.conf.get("spark.app.id", "app")
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the application (task slots)."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, written tables and stream checkpoints."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the setting
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server")
+        return conf.rstrip("/")
     root = sc.getCheckpointDir()
     if root:
         # getCheckpointDir() names an application sub-folder; use its parent
@@ -75,5 +96,5 @@ def ensure_state_store(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "local_path",
+__all__ = ["build_session", "app_id", "parallelism", "checkpoint_root", "scratch_path", "local_path",
            "ensure_state_store"]

@@ -41,7 +41,8 @@ def land_lines(lines: DataFrame, path: str, pieces: int = 3, files_per_piece: in
     micro-batches in arrival order, each processed by that many tasks.
     Returns ``files_per_piece``."""
     spark = lines.sparkSession
-    files = files_per_piece or max(1, spark.sparkContext.defaultParallelism)
+    from rivulet.session import parallelism
+    files = files_per_piece or parallelism(spark)
     bounds = lines.select(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // pieces + 1

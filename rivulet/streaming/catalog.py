@@ -15,7 +15,7 @@ from rivulet.operators import configs as CF, logs as L
 from rivulet.plans import fixtures as FX
 from rivulet.plans.extract import extract_routed
 from rivulet.plans.oracle import LOG_CTES, ORACLE, _w
-from rivulet.session import scratch_path
+from rivulet.session import app_id, parallelism, scratch_path
 from rivulet.sources.topics import land_lines, read_topic, read_topics
 from rivulet.streaming import jobs as J
 
@@ -29,7 +29,7 @@ def _drain(q) -> None:
 
 
 def _files_per_piece(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
+    return parallelism(spark)
 
 
 _SOURCES: dict[tuple, str] = {}
@@ -38,7 +38,7 @@ _SOURCES: dict[tuple, str] = {}
 def _landed(spark: SparkSession, d: str, name: str, build) -> str:
     """Land a topic once per application as seq-ordered pieces of files; each
     streaming run uses a fresh checkpoint, so it replays all of them."""
-    key = (spark.sparkContext.applicationId, d, name)
+    key = (app_id(spark), d, name)
     if key not in _SOURCES:
         src = scratch_path(spark, f"stream-{name}")
         land_lines(build(spark, d), src, PIECES, _files_per_piece(spark))
@@ -125,7 +125,8 @@ def dim_stream(spark: SparkSession, d: str) -> DataFrame:
     state, ck = scratch_path(spark, "dim_state"), scratch_path(spark, "ck")
     s = (spark.readStream.schema("seq long, value string, kind string")
          .option("maxFilesPerTrigger", str(_files_per_piece(spark))).parquet(src))
-    _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state), available_now=True,
+    _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state, compact_every=2),
+                        available_now=True,
                         state_partitions=_files_per_piece(spark)))
     return J.dim_current_from_logs(spark, state)
 

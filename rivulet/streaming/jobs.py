@@ -83,7 +83,7 @@ LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, "
               "row_key string, cells map<string,string>, quarantine string")
 
 
-def dim_batch_writer(state_dir: str, database: str = "gmall"):
+def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None):
     """foreachBatch body of the dimension job.
 
     Input rows: (seq, kind, value) with kind 'config' or 'change'. In order:
@@ -92,6 +92,8 @@ def dim_batch_writer(state_dir: str, database: str = "gmall"):
     route each to the config version in force at its seq, (4) append the
     routed puts/deletes to the change log. Both logs are addressed by batch
     id and overwritten on replay, so a re-run batch never duplicates rows.
+    With ``compact_every`` the folded state is snapshotted every that many
+    batches, so reads fold a snapshot plus a bounded tail of the log.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -107,6 +109,8 @@ def dim_batch_writer(state_dir: str, database: str = "gmall"):
              .parquet(f"{state_dir}/change_log/batch={batch_id}"))
         finally:
             batch.unpersist()
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_dims(spark, state_dir)
     return write
 
 
