@@ -16,6 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from rivulet.operators import logs as L  # noqa: E402
 from rivulet.plans import catalog as C, fixtures as FX  # noqa: E402
 from rivulet.session import build_session  # noqa: E402
 from rivulet.streaming import catalog as S  # noqa: E402
@@ -24,8 +25,13 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 WARM_DIR = "/root/testdata/sf0.001"
 
+def log_job(spark, d):
+    """The production log job: topic lines in, (seq, topic, pos, value) out."""
+    return L.run_log_job(FX.log_lines(spark, d))
+
+
 HEADLINE = {
-    "log_job_all_topics": C.route_all,
+    "log_job": log_job,
     "visitor_fix": C.visitor_fix,
     "route_counts": C.route_counts,
     "log_dirty": C.log_dirty,
