@@ -38,8 +38,14 @@ def main() -> None:
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
         text = buf.getvalue()
-        text = text.split("== Initial Plan ==")[0] if "== Initial Plan ==" in text else text
-        out += [f"## {title}", "", "```", text.strip()[:40000], "```", ""]
+        tree, _, details = text.partition("\n\n\n")
+        tree = tree.split("+- == Initial Plan ==")[0]
+        keep = []
+        for block in details.split("\n\n"):
+            head = block.strip().split("\n", 1)[0]
+            if any(k in head for k in ("Scan", "Exchange", "Join", "Aggregate", "Generate")):
+                keep.append(block.strip()[:1500])
+        out += [f"## {title}", "", "```", tree.strip(), "", "\n\n".join(keep), "```", ""]
     with open("PLANS.md", "w") as f:
         f.write("\n".join(out))
 
