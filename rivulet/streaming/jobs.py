@@ -83,7 +83,8 @@ LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, "
               "row_key string, cells map<string,string>, quarantine string")
 
 
-def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None):
+def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None,
+                     order: str = "seq"):
     """foreachBatch body of the dimension job.
 
     Input rows: (seq, kind, value) with kind 'config' or 'change'. In order:
@@ -94,6 +95,13 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
     id and overwritten on replay, so a re-run batch never duplicates rows.
     With ``compact_every`` the folded state is snapshotted every that many
     batches, so reads fold a snapshot plus a bounded tail of the log.
+
+    ``order='seq'``: config and changes carry comparable seqs (one merged
+    topic); each change uses the config version in force at its seq.
+    ``order='arrival'``: separate topics whose offsets are not comparable;
+    every change of a batch uses the config as it stands after the batch's
+    config changes (what a broadcast-state job sees when config arrives
+    first).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -104,7 +112,10 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
             history = read_config_log(spark, state_dir)
             ch = CH.filter_changes(CH.parse_changes(batch.where(F.col("kind") == "change")),
                                    database=database)
-            routed = CF.route_asof(ch, CF.config_versions(history))
+            if order == "arrival":
+                routed = CF.route_static(ch, CF.config_current(history))
+            else:
+                routed = CF.route_asof(ch, CF.config_versions(history))
             (D.change_log(routed).write.mode("overwrite")
              .parquet(f"{state_dir}/change_log/batch={batch_id}"))
         finally:
