@@ -48,3 +48,27 @@ def test_date_columns_ignore_session_zone(spark, tz):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == sorted(tuple(r) for r in C.visitor_fix(spark, SF).collect())
+
+
+def test_fallback_paths_without_broadcast_agree(spark):
+    """Above the checked sizes the joins run as shuffle joins; same answers."""
+    from rivulet.operators import changes as CH, configs as CF, dims as D
+    ch = CH.filter_changes(CH.parse_changes(FX.change_lines(spark, SF)))
+    hist = CF.config_images(FX.config_lines(spark, SF))
+    versions = CF.config_versions(hist)
+    small = CF.route_asof(ch, versions)
+    big = CF.route_asof(ch, versions, max_broadcast=0)
+    cols = ["seq", "cseq", "sink_table"]
+    assert sorted(tuple(r) for r in big.select(*cols).collect()) == \
+        sorted(tuple(r) for r in small.select(*cols).collect())
+    big.select(*cols).collect()
+    plan = _plan(big)
+    assert "BroadcastNestedLoopJoin" not in plan
+    log = D.change_log(small)
+    a = D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(hist))
+    b = D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(hist), max_broadcast_tables=0)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+    snap = FX.config_snapshot(spark, SF)
+    s1 = CF.route_static(ch, snap).select("seq", "sink_table")
+    s2 = CF.route_static(ch, snap, max_broadcast=0).select("seq", "sink_table")
+    assert sorted(tuple(r) for r in s1.collect()) == sorted(tuple(r) for r in s2.collect())
