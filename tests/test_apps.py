@@ -1,6 +1,5 @@
 """The runnable jobs, driven over file topics to completion."""
 
-from pyspark.sql import functions as F
 
 from rivulet.plans import catalog as C, fixtures as FX
 from rivulet.plans.extract import extract_routed
