@@ -139,16 +139,21 @@ SNAPSHOT_SCHEMA = "sink_table string, row_key string, col string, value string,
 
 
 def _latest_snapshot(spark: SparkSession, state_dir: str):
-    """(cells of the newest snapshot, its last batch id) or (None, -1)."""
+    """(cells of the newest *complete* snapshot, its last batch id) or (None, -1).
+    A snapshot counts once its marker exists; the marker is written only after
+    the snapshot's write job committed, so a compaction that died half way is
+    never read."""
     from pyspark.errors import AnalysisException
     try:
-        snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{state_dir}/snapshot")
-        upto = snap.agg(F.max("upto")).first()[0]
+        done = spark.read.schema("upto long").parquet(f"{state_dir}/snapshot_done")
+        upto = done.agg(F.max("upto")).first()[0]
     except AnalysisException:
         return None, -1
     if upto is None:
         return None, -1
-    return snap.where(F.col("upto") == F.lit(upto)).drop("upto"), int(upto)
+    snap = spark.read.schema(SNAPSHOT_SCHEMA.replace(", upto long", "")).parquet(
+        f"{state_dir}/snapshot/upto={int(upto)}")
+    return snap, int(upto)
 
 
 def dim_current_from_logs(spark: SparkSession, state_dir: str, keep_seq: bool = False,
@@ -181,4 +186,6 @@ def compact_dims(spark: SparkSession, state_dir: str) -> int:
     # stays outside this snapshot and is folded in by later reads
     cur = dim_current_from_logs(spark, state_dir, keep_seq=True, through=log_upto)
     cur.write.mode("overwrite").parquet(f"{state_dir}/snapshot/upto={log_upto}")
+    (spark.range(1).select(F.lit(log_upto).cast("long").alias("upto"))
+     .write.mode("overwrite").parquet(f"{state_dir}/snapshot_done/upto_{log_upto}"))
     return log_upto

@@ -55,3 +55,25 @@ def test_dim_writer_arrival_order(spark):
         got[order] = _rows(J.dim_current_from_logs(spark, state))
     assert got["seq"] == []
     assert got["arrival"] == [("dim_t", "1", "id", "1"), ("dim_t", "1", "name", "a")]
+
+
+def test_unfinished_snapshot_is_ignored(spark):
+    import json
+    cfg = json.dumps({"op": "r", "after": {"source_table": "t", "sink_table": "dim_t",
+                                           "sink_columns": "id,name", "sink_family": "info",
+                                           "sink_row_key": "id"}})
+    rows = [(1, cfg, "config")] + [
+        (10 + i, json.dumps({"database": "gmall", "table": "t", "type": "insert",
+                             "data": {"id": i, "name": f"n{i}"}}), "change") for i in range(3)]
+    state = scratch_path(spark, "state")
+    write = J.dim_batch_writer(state)
+    write(spark.createDataFrame(rows[:2], "seq long, value string, kind string"), 0)
+    assert J.compact_dims(spark, state) == 0
+    write(spark.createDataFrame(rows[2:], "seq long, value string, kind string"), 1)
+    want = _rows(J.dim_current_from_logs(spark, state))
+    assert len(want) == 6
+    # a compaction that died before its marker: a stray, wrong snapshot folder
+    spark.createDataFrame([("dim_t", "9", "id", "bogus", 99)],
+                          "sink_table string, row_key string, col string, value string, seq long") \
+        .write.parquet(f"{state}/snapshot/upto=1")
+    assert _rows(J.dim_current_from_logs(spark, state)) == want
