@@ -149,35 +149,50 @@ def route(fixed: DataFrame, displays_key: str = "displays", page_excludes_start:
     changed = F.coalesce(F.col("is_new_fixed") != F.col("is_new"), F.lit(False))
     common_fixed = F.when(changed, with_member(common, "is_new", F.col("is_new_fixed").cast("variant"))
                           ).otherwise(common)
-    m_fixed = F.transform_values(m, lambda k, v: F.when(k == "common", common_fixed).otherwise(v))
+    # the map is rebuilt only for lines whose flag was repaired
+    m_fixed = F.when(changed, F.transform_values(
+        m, lambda k, v: F.when(k == "common", common_fixed).otherwise(v))).otherwise(m)
     has_err = m.getItem("err").isNotNull()
     has_start = m.getItem("start").isNotNull()
     disp = member_array(m.getItem("display"))
     acts = member_array(m.getItem("actions"))
     disp_on = (~has_start) & F.coalesce(F.size(disp) > 0, F.lit(False))
     acts_on = (~has_start) & F.coalesce(F.size(acts) > 0, F.lit(False))
-    no_err = without_members(m_fixed, {"err": F.lit(True)})
-    page_map = without_members(no_err, {"actions": acts_on, displays_key: disp_on})
-    page = m.getItem("page")
+    # One projection computes the repaired object and the page record once;
+    # for a start line the start record *is* the page record (nothing but
+    # ``err`` is removed from either), so it reuses the same text.
+    staged = fixed.select(
+        "seq", "value", "dirty_reason", "m", "ts",
+        m_fixed.alias("_m_fixed"), common_fixed.alias("_common"),
+        has_err.alias("_has_err"), has_start.alias("_has_start"),
+        disp.alias("_disp"), acts.alias("_acts"),
+        disp_on.alias("_disp_on"), acts_on.alias("_acts_on"))
+    mf = F.col("_m_fixed")
+    page_map = without_members(mf, {"err": F.lit(True), "actions": F.col("_acts_on"),
+                                    displays_key: F.col("_disp_on")})
+    staged = staged.select("*", F.to_json(page_map).alias("_page_json"))
+
+    page = F.col("m").getItem("page")
     ts_v = F.col("ts").cast("variant")
-
+    common_c = F.col("_common")
     singles = F.array(
-        F.when(has_err, _out(K.TOPIC_ERR, None, F.to_json(m_fixed))),
-        F.when(has_start, _out(K.TOPIC_START, None, F.to_json(no_err))),
-        F.when(~(has_start & F.lit(page_excludes_start)), _out(K.TOPIC_PAGE, None, F.to_json(page_map))),
+        F.when(F.col("_has_err"), _out(K.TOPIC_ERR, None, F.to_json(mf))),
+        F.when(F.col("_has_start"), _out(K.TOPIC_START, None, F.col("_page_json"))),
+        F.when(~(F.col("_has_start") & F.lit(page_excludes_start)),
+               _out(K.TOPIC_PAGE, None, F.col("_page_json"))),
     )
     empty = F.from_json(F.lit("[]"), ROUTE_TYPE)
-    displays = F.when(disp_on, F.transform(disp, lambda x, i: _out(
-        K.TOPIC_DISPLAY, i, to_json_object([("common", common_fixed), ("page", page),
+    displays = F.when(F.col("_disp_on"), F.transform(F.col("_disp"), lambda x, i: _out(
+        K.TOPIC_DISPLAY, i, to_json_object([("common", common_c), ("page", page),
                                             ("display", x), ("ts", ts_v)])))).otherwise(empty)
-    action_fields = lambda x: [("common", common_fixed), ("page", page), ("action", x)] + (
+    action_fields = lambda x: [("common", common_c), ("page", page), ("action", x)] + (
         [("ts", ts_v)] if action_ts else [])
-    actions = F.when(acts_on, F.transform(acts, lambda x, i: _out(
+    actions = F.when(F.col("_acts_on"), F.transform(F.col("_acts"), lambda x, i: _out(
         K.TOPIC_ACTION, i, to_json_object(action_fields(x))))).otherwise(empty)
     good = F.filter(F.concat(singles, displays, actions), lambda x: x.isNotNull())
     dirty = F.array(_out(K.TOPIC_DIRTY, None, F.col("value")))
     outs = F.when(F.col("dirty_reason").isNotNull(), dirty).otherwise(good)
-    return fixed.select("seq", F.inline(outs))
+    return staged.select("seq", F.inline(outs))
 
 
 def run_log_job(lines: DataFrame, tz: str = K.DEFAULT_TZ, hot_rows: int = DEFAULT_HOT_ROWS,
