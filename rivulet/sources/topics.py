@@ -44,6 +44,8 @@ def land_lines(lines: DataFrame, path: str, pieces: int = 3, files_per_piece: in
     from rivulet.session import parallelism
     files = files_per_piece or parallelism(spark)
     bounds = lines.select(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
+    if bounds["lo"] is None:          # nothing to land
+        return files
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // pieces + 1
     for k in range(pieces):

@@ -87,3 +87,22 @@ def test_visitor_stream_independent_of_batch_borders(spark, cuts):
     got = spark.read.schema(OUT_SCHEMA.replace(", value string", "")).parquet(out)
     got = got.select("seq", "is_new_fixed").withColumnRenamed("is_new_fixed", "is_new")
     assert _rows(got) == _rows(C.visitor_fix(spark, SF).select("seq", "is_new"))
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.integers(min_value=1, max_value=60000), min_size=1, max_size=3, unique=True),
+       st.integers(min_value=1, max_value=3))
+def test_dim_stream_independent_of_batch_borders(spark, cuts, compact_every):
+    merged = (FX.config_lines(spark, SF).withColumn("kind", F.lit("config"))
+              .unionByName(FX.change_lines(spark, SF).withColumn("kind", F.lit("change"))))
+    src, state, ck = (scratch_path(spark, n) for n in ("src", "state", "ck"))
+    bounds = [-1] + sorted(cuts) + [10 ** 12]
+    for a, b in zip(bounds, bounds[1:]):
+        land_lines(merged.where((F.col("seq") > a) & (F.col("seq") <= b)), src, 1, 1)
+    s = (spark.readStream.schema("seq long, value string, kind string")
+         .option("maxFilesPerTrigger", "1").parquet(src))
+    q = J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state, compact_every=compact_every),
+                     available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert _rows(J.dim_current_from_logs(spark, state)) == _rows(C.dim_current(spark, SF))
