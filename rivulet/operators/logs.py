@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet import constants as K
-from rivulet.functions.jsonmap import (closes_cleanly, member_array, member_long, member_str, normalize_object,
-                                       parse_object, seal, to_json_object, with_member,
-                                       without_members)
+from rivulet.functions.jsonmap import (closes_cleanly, member_array, member_long, member_str,
+                                       normalize_object, parse_object, seal, to_json_object,
+                                       with_member, without_members)
 from rivulet.functions.times import ts_to_day
 
 # A device with at least this many rows is "hot": its first visit comes from a
@@ -116,12 +116,11 @@ def repair_flags(tagged: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS,
                                                  F.lit(0).cast("long").alias("_salt"))
     j = t.join(cold, ["_key", "_salt"], "left").drop("_key")
     fv = F.coalesce(F.col("hot_first_visit"), F.col("first_visit"))
-    fixed = (F.when((F.col("is_new") == "1") & (F.col("visit_day") != F.col("first_visit")),
-                    F.lit("0"))
+    fixed = (F.when((F.col("is_new") == "1") & (F.col("visit_day") != fv), F.lit("0"))
               .otherwise(F.col("is_new")))
-    return (j.withColumn("first_visit", fv)
-             .drop("hot_first_visit", "_salt")
-             .withColumn("is_new_fixed", fixed))
+    return (j.select("*", fixed.alias("is_new_fixed"), fv.alias("_fv"))
+             .drop("hot_first_visit", "_salt", "first_visit")
+             .withColumnRenamed("_fv", "first_visit"))
 
 
 def _out(topic: str, pos: Column | None, value: Column) -> Column:
