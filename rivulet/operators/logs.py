@@ -97,7 +97,8 @@ def repair_flags(tagged: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS,
     Rule (per device, state set once by its first line, never changed):
     first line flagged '1' -> its own date, otherwise the date 24 h earlier;
     a line flagged '1' whose date differs from that state becomes '0'.
-    Dirty lines pass through with NULLs.
+    Dirty lines pass through with NULLs. On the way, ``m`` is kept only for
+    good lines and ``value`` (the raw text) only for dirty ones.
     """
     stats = first_visits(tagged)
     hot = (stats.where(F.col("rows") >= F.lit(hot_rows))
@@ -109,6 +110,12 @@ def repair_flags(tagged: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS,
     t = t.join(F.broadcast(hot), "_key", "left")
     spread = F.col("hot_first_visit").isNotNull() | F.col("_key").isNull()
     t = t.withColumn("_salt", F.when(spread, F.xxhash64("seq")).otherwise(F.lit(0).cast("long")))
+    # What crosses the shuffle: the parsed object only for good lines, the raw
+    # text only for dirty ones (the only place it is emitted), no seed day.
+    dirty = F.col("dirty_reason").isNotNull()
+    t = (t.withColumn("m", F.when(~dirty, F.col("m")))
+          .withColumn("value", F.when(dirty, F.col("value")))
+          .drop("seed_day"))
     # ``rows > 0`` always holds; it keeps count(1) alive so this branch's
     # aggregation is identical to the hot branch's and its shuffle is reused
     # (otherwise pruning makes them differ and the topic is parsed again).

@@ -72,3 +72,25 @@ def test_fallback_paths_without_broadcast_agree(spark):
     s1 = CF.route_static(ch, snap).select("seq", "sink_table")
     s2 = CF.route_static(ch, snap, max_broadcast=0).select("seq", "sink_table")
     assert sorted(tuple(r) for r in s1.collect()) == sorted(tuple(r) for r in s2.collect())
+
+
+def test_flag_repair_shuffle_join_path(spark):
+    """With automatic broadcasts off (as for a very large device table) the
+    cold join runs as a sort-merge join on (device, salt); same answers."""
+    tagged = L.tag_lines(FX.log_lines(spark, SF))
+    cols = ["seq", "first_visit", "is_new_fixed"]
+    base = sorted(tuple(r) for r in L.repair_flags(tagged).select(*cols).collect())
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        f = L.repair_flags(tagged, hot_rows=3, max_hot_keys=5).select(*cols)
+        assert sorted(tuple(r) for r in f.collect()) == base
+        assert "SortMergeJoin" in _plan(f)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
