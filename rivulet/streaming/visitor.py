@@ -11,16 +11,23 @@ straight through. A device's rows per batch are bounded by the trigger size
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DateType, StructField, StructType
 
 from rivulet.session import ensure_state_store
 
+# The state function and processor below run in executor Python workers.
+# Pickle this module's code by value so workers need no installed copy of
+# the package (on a cluster it may still be shipped with --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE_SCHEMA = StructType([StructField("first_visit", DateType(), True)])
 OUT_SCHEMA = ("seq long, mid string, is_new string, is_new_fixed string, "
               "visit_day date, first_visit date, value string")
