@@ -43,16 +43,27 @@ def run_stream(df: DataFrame, checkpoint: str, *, fmt: str | None = None, path:
             w = w.partitionBy(*partition_by)
         if path is not None:
             w = w.option("path", path)
-    if state_partitions is None:
+    confs = {}
+    if state_partitions is not None:
+        confs["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if available_now:
+        # a drain must end: no empty batches for state cleanup (a state TTL
+        # otherwise keeps a processing-time query busy evicting forever)
+        confs["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    if not confs:
         return w.start()
     spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         return w.start()            # the query runs on a clone of the session taken here
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def log_stream(lines: DataFrame, ttl_ms: int | None = None, **route_opts) -> DataFrame:

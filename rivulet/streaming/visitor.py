@@ -111,4 +111,4 @@ def repair_flags_stream(tagged: DataFrame, ttl_ms: int | None = None,
                                         "append", "NoTimeout")
     return g.transformWithStateInPandas(
         statefulProcessor=FirstVisitProcessor(ttl_ms), outputStructType=OUT_SCHEMA,
-        outputMode="Append", timeMode="None")
+        outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")

@@ -106,3 +106,19 @@ def test_dim_stream_independent_of_batch_borders(spark, cuts, compact_every):
     q.awaitTermination()
     assert q.exception() is None
     assert _rows(J.dim_current_from_logs(spark, state)) == _rows(C.dim_current(spark, SF))
+
+
+def test_visitor_stream_with_state_ttl_processor(spark):
+    """The transformWithState processor (used when a state TTL is asked for)
+    gives the batch answer when the TTL outlives the run."""
+    lines = FX.log_lines(spark, SF)
+    src, out, ck = (scratch_path(spark, n) for n in ("src", "out", "ck"))
+    land_lines(lines, src, 2, 2)
+    s = read_topic(spark, fmt="parquet", path=src, max_files_per_trigger=2)
+    fixed = repair_flags_stream(L.tag_lines(s), ttl_ms=7 * 24 * 3600 * 1000).drop("value")
+    q = J.run_stream(fixed, ck, fmt="parquet", path=out, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = spark.read.schema(OUT_SCHEMA.replace(", value string", "")).parquet(out)
+    got = got.select("seq", "is_new_fixed").withColumnRenamed("is_new_fixed", "is_new")
+    assert _rows(got) == _rows(C.visitor_fix(spark, SF).select("seq", "is_new"))
