@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -12,7 +14,7 @@ from rivulet.session import scratch_path
 
 #: Raw text handled at once in a Python worker (a single longer text is still
 #: handled whole); bounds worker memory whatever the Arrow batch holds.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,3 +51,12 @@ def slices(batch: pa.RecordBatch, col: str, limit: int = CHUNK_BYTES) -> Iterato
 def groups_for(total: int, per_group: int, least: int = 1) -> int:
     """How many groups hold ``total`` units at ``per_group`` units each."""
     return max(least, -(-int(total or 0) // per_group))
+
+
+def once_per_process(key: str, make: Callable):
+    """A Python worker's own copy of something costly to build. Workers serve
+    many tasks; functions shipped by value would build it anew in each."""
+    state = sys.modules.setdefault("_rivulet_worker_state", types.ModuleType("_rivulet_worker_state"))
+    if key not in state.__dict__:
+        state.__dict__[key] = make()
+    return state.__dict__[key]

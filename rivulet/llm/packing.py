@@ -25,6 +25,7 @@ the text are not read.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -34,12 +35,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from rivulet.llm.common import groups_for, materialize, read_table, slices, text_or_empty
+from rivulet.llm.common import (groups_for, materialize, once_per_process, read_table, slices,
+                                text_or_empty)
 
 WINDOW = 4096
 END_ID = 2
-#: Distinct words remembered by a task before it starts afresh.
-CACHE_ENTRIES = 300_000
+#: Distinct words in each of the two generations a worker remembers.
+CACHE_ENTRIES = 200_000
+#: Cut pieces that may be broadcast to find their ids; beyond, a shuffle join.
+BROADCAST_ROWS = 100_000
 #: Pieces per block in which ranks are counted.
 BLOCK_ROWS = 50_000
 #: Letters of which a run is one pre-token that lower case and NFC keep whole,
@@ -55,7 +59,8 @@ class WordTokens:
     The tokenizer drops white space and never joins across it, so the ids of
     a text are those of its white-space separated words one after the other
     (split at ASCII white space only; any other is left to the tokenizer).
-    Words repeat, so a task remembers them.
+    Words repeat, so a worker remembers them: those of the current generation
+    and, once that is full, those of the one before.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -69,7 +74,8 @@ class WordTokens:
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.simple = re.compile(SIMPLE).fullmatch
-        self.cache: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,32 +95,41 @@ class WordTokens:
                 out.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(part, self._batch(part)))
         return out
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        known, cores, tails, rest = {}, {}, {}, []
+    def _learn(self, words: list[bytes]) -> None:
+        young, old = self.young, self.old
+        tails: dict[bytes, tuple[bytes, str]] = {}
+        cores, marks, rest = set(), set(), []
         for w in words:
-            text = w.decode("utf-8", "replace")
-            if m := self.simple(text):
-                cores[w], tails[w] = m[1], m[2]
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            elif m := self.simple(w.decode("utf-8", "replace")):
+                core = m[1].encode()
+                tails[w] = core, m[2]
+                if core not in young:
+                    if (ids := old.get(core)) is not None:
+                        young[core] = ids
+                    else:
+                        cores.add(m[1])
+                marks.add(m[2])
             else:
-                rest.append((w, text))
-        for (w, _), ids in zip(rest, self._batch([t for _, t in rest]) if rest else []):
-            known[w] = np.array(ids, "<u4").tobytes()
-        letters = self._letters(sorted(set(cores.values())))
-        marks = sorted({t for t in tails.values() if t})
-        mark_ids = {t: np.array(i, "<u4").tobytes() for t, i in zip(marks, self._batch(marks) if marks else [])}
-        for w, core in cores.items():
-            known[w] = letters[core] + mark_ids.get(tails[w], b"")
-        return known
+                rest.append(w)
+        for w, ids in zip(rest, self._batch([w.decode("utf-8", "replace") for w in rest]) if rest else []):
+            young[w] = np.array(ids, "<u4").tobytes()
+        young.update((w.encode(), ids) for w, ids in self._letters(list(cores)).items())
+        marks = sorted(marks - {""})
+        mark_ids = {"": b""} | {t: np.array(i, "<u4").tobytes() for t, i in zip(marks, self._batch(marks) if marks else [])}
+        for w, (core, tail) in tails.items():
+            young[w] = young[core] + mark_ids[tail]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of UTF-8 texts."""
         # lower case may come first only where no mark can combine with a letter
         split = [(t.lower() if t.isascii() else t).split() for t in texts]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        cache = self.cache
-        cache.update(self.learn([w for w in set().union(*split) if w not in cache]))
-        return [b"".join([cache[w] for w in words]) for words in split]
+        if len(self.young) > CACHE_ENTRIES:
+            self.old, self.young = self.young, {}
+        young = self.young
+        self._learn([w for w in set().union(*split) if w not in young])
+        return [b"".join([young[w] for w in words]) for words in split]
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -123,14 +138,15 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     import os
 
     with open(tokenizer_path, encoding="utf-8") as f:
-        shared = df.sparkSession.sparkContext.broadcast(f.read())
+        definition = f.read()
+    digest = hashlib.sha256(definition.encode()).hexdigest()
+    shared = df.sparkSession.sparkContext.broadcast(definition)
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = None
+        words = once_per_process(f"words {digest}", lambda: WordTokens(shared.value))
         for batch in batches:
-            words = words or WordTokens(shared.value)
             for part in slices(batch, "__text"):
                 row, start, length, total, crc, ids = [], [], [], [], [], []
                 for i, data in enumerate(words.encode(part.column(1).to_pylist())):
@@ -333,8 +349,9 @@ def pack(pieces: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_sl
                                                 "doc_tokens long, sequence_id long, offset long, piece_row long, "
                                                 "cut_from long"), "placed")
     # a cut piece has another checksum than the piece it was cut from
-    with_ids = (placed.filter("ids_crc32 is null")
-                .join(stored.select("piece_row", "ids"), "piece_row")
+    cut = placed.filter("ids_crc32 is null")
+    cut = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
+    with_ids = (stored.select("piece_row", "ids").join(cut, "piece_row")
                 .withColumn("ids_crc32", F.crc32(F.expr("substring(ids, cast(4 * cut_from + 1 as int), cast(4 * length as int))"))))
     return placed.filter("ids_crc32 is not null").unionByName(with_ids.select(*placed.columns))
 

@@ -16,6 +16,7 @@ its length does not matter for the ids.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm.common import read_table, slices, text_or_empty
+from rivulet.llm.common import once_per_process, read_table, slices, text_or_empty
 
 #: First of the 256 characters that stand for bytes.
 BYTE_BASE = 0x100
@@ -149,13 +150,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     the driver (its size is the vocabulary's, not the data's) and shipped."""
     with open(ranks_path, "rb") as f:
         data = f.read()
+    digest = hashlib.sha256(data + pattern.encode()).hexdigest()
     shared = df.sparkSession.sparkContext.broadcast((serialize_model(read_ranks(data)), data))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, rank_lines = shared.value
-        bpe = None
+        bpe = once_per_process(f"bpe {digest}", lambda: ByteBpe(shared.value[0], read_ranks(shared.value[1]), pattern))
         for batch in batches:
-            bpe = bpe or ByteBpe(model, read_ranks(rank_lines), pattern)
             for part in slices(batch, "__text"):
                 rows = [np.array(bpe.encode(t), np.int32) for t in part.column(1).to_pylist()]
                 ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
@@ -173,14 +173,13 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids",
     """Adds the bytes that ``ids_col`` stands for (null ids: null)."""
     with open(ranks_path, "rb") as f:
         data = f.read()
+    digest = hashlib.sha256(data + pattern.encode()).hexdigest()
     shared = df.sparkSession.sparkContext.broadcast((serialize_model(read_ranks(data)), data))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, rank_lines = shared.value
-        bpe = None
+        bpe = once_per_process(f"bpe {digest}", lambda: ByteBpe(shared.value[0], read_ranks(shared.value[1]), pattern))
         for batch in batches:
-            bpe = bpe or ByteBpe(model, read_ranks(rank_lines), pattern)
             names = [n for n in batch.schema.names if n != out_col]
             step = 256
             for at in range(0, batch.num_rows, step):
