@@ -25,6 +25,7 @@ the text are not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import zlib
 from bisect import bisect_right
@@ -42,13 +43,16 @@ WINDOW = 4096
 END_ID = 2
 #: Distinct words in each of the two generations a worker remembers.
 CACHE_ENTRIES = 200_000
+#: Text whose words are told apart at once.
+SLICE_BYTES = 8 << 20
 #: Cut pieces that may be broadcast to find their ids; beyond, a shuffle join.
 BROADCAST_ROWS = 100_000
 #: Pieces per block in which ranks are counted.
 BLOCK_ROWS = 50_000
 #: Letters of which a run is one pre-token that lower case and NFC keep whole,
 #: then marks (no apostrophe, which may begin a contraction), also one pre-token.
-SIMPLE = r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)"
+#: Matched over words a line each: letters, marks, or any other word.
+SIMPLE = r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\n|([^\n]*)\n"
 
 
 # ---------------------------------------------------------------- tokenizing
@@ -73,9 +77,11 @@ class WordTokens:
         vocab = self.tk.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.simple = re.compile(SIMPLE).fullmatch
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.shapes = re.compile(SIMPLE).findall
+        self.marks: dict[str, bytes] = {"": b""}
+        self.young: dict[str, bytes] = {}        # words
+        self.old: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}        # their letters
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
@@ -90,46 +96,49 @@ class WordTokens:
             cuts = np.flatnonzero(self.ends_word[ids]) + 1
             if len(cuts) == len(part):
                 data, ends = ids.tobytes(), (cuts * 4).tolist()
-                out.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
+                out.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends))))
             else:
                 out.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(part, self._batch(part)))
         return out
 
-    def _learn(self, words: list[bytes]) -> None:
-        young, old = self.young, self.old
-        tails: dict[bytes, tuple[bytes, str]] = {}
-        cores, marks, rest = set(), set(), []
-        for w in words:
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            elif m := self.simple(w.decode("utf-8", "replace")):
-                core = m[1].encode()
-                tails[w] = core, m[2]
-                if core not in young:
-                    if (ids := old.get(core)) is not None:
-                        young[core] = ids
-                    else:
-                        cores.add(m[1])
-                marks.add(m[2])
-            else:
-                rest.append(w)
-        for w, ids in zip(rest, self._batch([w.decode("utf-8", "replace") for w in rest]) if rest else []):
-            young[w] = np.array(ids, "<u4").tobytes()
-        young.update((w.encode(), ids) for w, ids in self._letters(list(cores)).items())
-        marks = sorted(marks - {""})
-        mark_ids = {"": b""} | {t: np.array(i, "<u4").tobytes() for t, i in zip(marks, self._batch(marks) if marks else [])}
-        for w, (core, tail) in tails.items():
-            young[w] = young[core] + mark_ids[tail]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of UTF-8 texts."""
+    def _learn(self, words: list[str]) -> None:
+        old, cores, marks = self.old, self.cores, self.marks
+        again = {w: old[w] for w in words if w in old}
+        self.young.update(again)
+        words = [w for w in words if w not in again]
+        shapes = self.shapes("\n".join(words) + "\n") if words else []
+        cores.update(self._letters([c for c in {c for c, _, _ in shapes} if c and c not in cores]))
+        new = [t for t in {t for _, t, _ in shapes} if t not in marks]
+        marks.update((t, np.array(i, "<u4").tobytes()) for t, i in zip(new, self._batch(new) if new else []))
+        odd = [w for w, (c, _, _) in zip(words, shapes) if not c]
+        self.young.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(odd, self._batch(odd) if odd else []))
+        self.young.update({w: cores[c] + marks[t] for w, (c, t, _) in zip(words, shapes) if c})
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and where each text ends."""
         # lower case may come first only where no mark can combine with a letter
-        split = [(t.lower() if t.isascii() else t).split() for t in texts]
+        lower = pa.compute.if_else(pa.compute.string_is_ascii(texts), pa.compute.ascii_lower(texts), texts)
+        split = pa.compute.ascii_split_whitespace(lower)
+        coded = split.flatten().dictionary_encode()
         if len(self.young) > CACHE_ENTRIES:
             self.old, self.young = self.young, {}
-        young = self.young
-        self._learn([w for w in set().union(*split) if w not in young])
-        return [b"".join([young[w] for w in words]) for words in split]
+        for known in (self.cores, self.marks):
+            if len(known) > CACHE_ENTRIES:
+                known.clear()
+                self.marks[""] = b""
+        young, here = self.young, coded.dictionary.to_pylist()
+        self._learn([w for w in here if w not in young])
+        ids = [young[w] for w in here]
+        known, size = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, word = np.cumsum(size) - size, coded.indices.to_numpy()
+        flat = []
+        for i in range(0, len(word), 1 << 19):
+            part = word[i:i + (1 << 19)]
+            count = size[part]
+            until = np.cumsum(count)
+            flat.append(known[np.repeat(first[part] - until + count, count) + np.arange(until[-1])])
+        ends = np.concatenate([[0], np.cumsum(size[word])])
+        return (np.concatenate(flat) if flat else known[:0]), ends[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -146,11 +155,13 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words = once_per_process(f"words {digest}", lambda: WordTokens(shared.value))
+        gc.disable()      # millions of small strings and no cycles; a worker ends with its executor
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SLICE_BYTES):
                 row, start, length, total, crc, ids = [], [], [], [], [], []
-                for i, data in enumerate(words.encode(part.column(1).to_pylist())):
-                    data += last
+                flat, ends = words.encode(part.column(1))
+                for i, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
+                    data = flat[a:b].tobytes() + last
                     n = len(data) // 4
                     for a in range(0, n, window):
                         piece = data[4 * a:4 * (a + window)]
@@ -162,7 +173,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                      pa.array(crc, pa.int64()), pa.array(ids, pa.binary())],
                     [id_col, "start", "length", "doc_tokens", "crc", "ids"])
 
-    src = df.select(F.col(id_col), F.encode(text_or_empty(text_col), "UTF-8").alias("__text"))
+    src = df.select(F.col(id_col), text_or_empty(text_col).alias("__text"))
     kind = src.schema[id_col].dataType.simpleString()
     return src.mapInArrow(run, f"`{id_col}` {kind}, start long, length int, doc_tokens long, crc long, ids binary")
 
