@@ -173,26 +173,33 @@ def document_probs(p, texts: list[bytes]) -> np.ndarray:
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(n_chunks) - n_chunks, n_chunks)
     start, end = begin[doc] + nth * CHUNK, (begin + size)[doc]
     sums = np.zeros((len(texts), n_langs))
-    # chunks of like length together, so that short ones take few steps
-    order = np.argsort(-np.minimum(end - start, CHUNK), kind="stable")
+    # longest first: at any step the chunks that reach so far are the first ones,
+    # and what a chunk reads does not depend on its neighbours
+    reach = np.minimum(end - start, CHUNK + WARM)
+    order = np.argsort(-reach, kind="stable")
     for a in range(0, len(order), AT_ONCE):
         rows = order[a:a + AT_ONCE]
-        s, e, b = start[rows], end[rows], begin[doc[rows]]
-        span = int(np.minimum(e - s, CHUNK).max())
+        s, b = start[rows], begin[doc[rows]]
+        span = int(min(reach[rows[0]], CHUNK))
+        active = np.searchsorted(-reach[rows], WARM - np.arange(span + 2 * WARM), "left").tolist()
         pos = s[None, :] + np.arange(-WARM, span + WARM)[:, None]
         codes = flat[np.minimum(pos, len(flat) - 1)].astype(np.int64)
-        codes[(pos >= e) | (pos < b)] = PAD
-        logits = np.empty((span, len(rows), n_langs), np.float32)
+        codes[(pos >= end[rows]) | (pos < b)] = PAD
+        logits = np.zeros((span, len(rows), n_langs), np.float32)
         h = np.zeros((len(rows), k), np.float32)
         for t in range(WARM + span):
-            h = gru_step(p, "f", codes[t], h)[0]
+            n = active[t]
+            h = gru_step(p, "f", codes[t, :n], h[:n])[0]
             if t >= WARM:
-                logits[t - WARM] = h @ p["W"][:k]
-        h = np.zeros((len(rows), k), np.float32)
+                logits[t - WARM, :n] = h @ p["W"][:k]
+        h = np.zeros((0, k), np.float32)
         for t in range(span + 2 * WARM - 1, WARM - 1, -1):
-            h = gru_step(p, "b", codes[t], h)[0]
+            n = active[t]
+            if n > len(h):
+                h = np.concatenate([h, np.zeros((n - len(h), k), np.float32)])
+            h = gru_step(p, "b", codes[t, :n], h)[0]
             if t < WARM + span:
-                logits[t - WARM] += h @ p["W"][k:]
+                logits[t - WARM, :n] += h @ p["W"][k:]
         logits += p["b"]
         np.exp(np.clip(logits, -30, 30, out=logits), out=logits)
         logits /= logits.sum(axis=2, keepdims=True)

@@ -314,12 +314,16 @@ class Placer:
 
 # ----------------------------------------------------------------- operator
 
-def pack(pieces: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_slack: int = 0) -> DataFrame:
-    """Places ``token_pieces`` rows. Returns one row per final piece: id,
+def store(pieces: DataFrame) -> DataFrame:
+    """``token_pieces`` written down, each row with its number ``piece_row``."""
+    return materialize(pieces.withColumn("piece_row", F.monotonically_increasing_id()), "pieces")
+
+
+def pack(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_slack: int = 0) -> DataFrame:
+    """Places the rows of ``store``. Returns one row per final piece: id,
     start, length, ids_crc32, doc_tokens, sequence_id, offset, piece_row (the
-    row of ``pieces`` that holds its ids) and cut_from (its start there)."""
-    spark = pieces.sparkSession
-    stored = materialize(pieces.withColumn("piece_row", F.monotonically_increasing_id()), "pieces")
+    stored row that holds its ids) and cut_from (its start there)."""
+    spark = stored.sparkSession
     slim = stored.drop("ids")
     hist = {r["length"]: r["n"] for r in slim.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(plan_windows(hist, window, max_slack))
@@ -367,18 +371,18 @@ def pack(pieces: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_sl
     return placed.filter("ids_crc32 is not null").unionByName(with_ids.select(*placed.columns))
 
 
-def sequences(placed: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The packed windows: (sequence_id, ids binary). ``pieces`` must carry
-    ``piece_row`` and ``ids``; a window holds at most ``window`` ids."""
+def sequences(placed: DataFrame, stored: DataFrame) -> DataFrame:
+    """The packed windows: (sequence_id, ids binary), from placed pieces and
+    the stored ones; a window holds at most ``window`` ids."""
     part = F.expr("substring(ids, cast(4 * cut_from + 1 as int), cast(4 * length as int))")
-    return (placed.join(pieces.select("piece_row", "ids"), "piece_row")
+    return (placed.join(stored.select("piece_row", "ids"), "piece_row")
             .groupBy("sequence_id")
             .agg(F.sort_array(F.collect_list(F.struct("offset", part.alias("part")))).alias("parts"))
             .select("sequence_id", F.expr("aggregate(parts, cast('' as binary), (a, p) -> concat(a, p.part))").alias("ids")))
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str) -> DataFrame:
-    return pack(token_pieces(df, tokenizer_path)).drop("piece_row", "cut_from")
+    return pack(store(token_pieces(df, tokenizer_path))).drop("piece_row", "cut_from")
 
 
 def default_tokenizer() -> str:
