@@ -241,26 +241,27 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
 def predict(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text",
             lang_out: str = "lang_pred", score_out: str = "score", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *keep, lang_out, score_out) of every row."""
-    text = F.col(text_col).cast("string")
-    src = df.select(F.col(id_col), *[F.col(c) for c in keep],
-                    F.when(text.rlike(r"\p{L}"), F.encode(text, "UTF-8")).alias("__bytes"))
+    """(id, *keep, lang_out, score_out) of every row; ``keep`` may name the
+    text."""
+    names = [id_col, *keep]
+    src = df.select(*[F.col(c) for c in dict.fromkeys([*names, text_col])],
+                    F.col(text_col).cast("string").rlike(r"\p{L}").alias("__letters"))
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    kinds = ", ".join(f"`{n}` {src.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch, "__bytes"):
-                texts = part.column("__bytes").to_pylist()
+            for part in slices(batch, text_col):
+                texts, letters = part.column(text_col), part.column("__letters").to_pylist()
                 lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                rows = [i for i, t in enumerate(texts) if t] if model else []
+                rows = [i for i, x in enumerate(letters) if x] if model else []
                 if rows:
-                    probs = document_probs(model["params"], [texts[i] for i in rows])
+                    probs = document_probs(model["params"], texts.cast(pa.binary()).take(pa.array(rows)).to_pylist())
                     for i, best, s in zip(rows, probs.argmax(1), probs.max(1)):
                         lang[i], score[i] = model["langs"][best], float(min(1.0, s))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lang), pa.array(score, pa.float64())],
-                                                 [*part.schema.names[:-1], lang_out, score_out])
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(lang, pa.string()),
+                                                  pa.array(score, pa.float64())], [*names, lang_out, score_out])
 
     return src.mapInArrow(run, f"{kinds}, `{lang_out}` string, `{score_out}` double")
 

@@ -42,9 +42,9 @@ from rivulet.llm.common import (groups_for, materialize, once_per_process, read_
 WINDOW = 4096
 END_ID = 2
 #: Distinct words in each of the two generations a worker remembers.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 #: Text whose words are told apart at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Cut pieces that may be broadcast to find their ids; beyond, a shuffle join.
 BROADCAST_ROWS = 100_000
 #: Pieces per block in which ranks are counted.

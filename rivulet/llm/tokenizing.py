@@ -16,8 +16,10 @@ its length does not matter for the ids.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +30,12 @@ from rivulet.llm.common import once_per_process, read_table, slices, text_or_emp
 
 #: First of the 256 characters that stand for bytes.
 BYTE_BASE = 0x100
-#: Distinct pre-tokens remembered by a task before it starts afresh.
-CACHE_ENTRIES = 150_000
-#: Longer pre-tokens are encoded each time instead of being remembered.
-CACHE_CHARS = 48
+#: Text whose pre-tokens are told apart at once.
+SLICE_BYTES = 3 << 20
+#: Rows decoded at once.
+DECODE_ROWS = 500
+#: Distinct pre-tokens in each of the two generations a worker remembers.
+CACHE_ENTRIES = 100_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -97,45 +101,46 @@ class ByteBpe:
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.bytes_of = [self._inverse(self.sp.id_to_piece(i)) for i in range(len(ranks))]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        pieces = [self._inverse(self.sp.id_to_piece(i)) for i in range(len(ranks))]
+        self.piece_size = np.array([len(p) for p in pieces], np.int64)
+        self.piece_first = np.cumsum(self.piece_size) - self.piece_size
+        self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
 
     @staticmethod
     def _inverse(piece: str) -> bytes:
         return bytes(ord(c) - BYTE_BASE for c in piece)
 
-    def _learn(self, pretokens: list[str]) -> dict[str, tuple[int, ...]]:
+    def _learn(self, pretokens: list[str]) -> dict[str, bytes]:
         """Ids of distinct pre-tokens. A pre-token that is itself a token is
         that token even where no chain of merges reaches it."""
         raw = [t.encode("utf-8", "surrogatepass") for t in pretokens]
-        known = {t: (self.ranks[b],) for t, b in zip(pretokens, raw) if b in self.ranks}
+        known = {t: array("i", (self.ranks[b],)).tobytes() for t, b in zip(pretokens, raw) if b in self.ranks}
         rest = [(t, map_bytes(b)) for t, b in zip(pretokens, raw) if b not in self.ranks]
         ids = self.sp.encode([m for _, m in rest], out_type=int, num_threads=1) if rest else []
-        return known | {t: tuple(x) for (t, _), x in zip(rest, ids)}
-
-    def encode(self, text: str) -> list[int]:
-        found = self.find(text)
-        cache, extra = self.cache, {}
-        new = [t for t in set(found) if t not in cache]
-        if new:
-            learnt = self._learn(new)
-            if len(cache) + len(learnt) > CACHE_ENTRIES:
-                extra = {t: cache[t] for t in set(found) if t in cache}
-                cache.clear()
-            for t, ids in learnt.items():
-                (cache if len(t) <= CACHE_CHARS and len(cache) < CACHE_ENTRIES else extra)[t] = ids
-        out: list[int] = []
-        if extra:
-            for t in found:
-                out += cache[t] if t in cache else extra[t]
-        else:
-            for t in found:
-                out += cache[t]
-        return out
-
-    def decode(self, ids) -> bytes:
-        of = self.bytes_of
-        return b"".join([of[i] for i in ids])
+        known.update((t, array("i", x).tobytes()) for (t, _), x in zip(rest, ids))
+        return known
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        found = [self.find(t) for t in texts]
+        if len(self.young) > CACHE_ENTRIES:
+            self.old, self.young = self.young, {}
+        young, old, all_of = self.young, self.old, set().union(*found)
+        young.update({t: old[t] for t in all_of if t not in young and t in old})
+        young.update(self._learn([t for t in all_of if t not in young]))
+        ids_of = {t: young[t] for t in all_of}.__getitem__
+        return [np.frombuffer(b"".join(map(ids_of, f)), np.int32) for f in found]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids, by the inverse mapping."""
+        size = self.piece_size[ids]
+        until = np.cumsum(size)
+        if not len(until):
+            return b""
+        at = np.repeat(self.piece_first[ids] - until + size, size) + np.arange(until[-1])
+        return self.piece_bytes[at].tobytes()
 
 
 def _default_file() -> tuple[str, str]:
@@ -155,9 +160,10 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = once_per_process(f"bpe {digest}", lambda: ByteBpe(shared.value[0], read_ranks(shared.value[1]), pattern))
+        gc.disable()      # millions of small strings and no cycles; a worker ends with its executor
         for batch in batches:
-            for part in slices(batch, "__text"):
-                rows = [np.array(bpe.encode(t), np.int32) for t in part.column(1).to_pylist()]
+            for part in slices(batch, "__text", SLICE_BYTES):
+                rows = bpe.encode(part.column(1).to_pylist())
                 ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
                 flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -181,13 +187,13 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids",
         bpe = once_per_process(f"bpe {digest}", lambda: ByteBpe(shared.value[0], read_ranks(shared.value[1]), pattern))
         for batch in batches:
             names = [n for n in batch.schema.names if n != out_col]
-            step = 256
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                ids = part.column(ids_col)
-                flat, ends = ids.flatten().to_pylist(), np.cumsum([0, *(n or 0 for n in pa.compute.list_value_length(ids).to_pylist())])
-                texts = [None if not ok else bpe.decode(flat[a:b])
-                         for ok, a, b in zip(ids.is_valid().to_pylist(), ends[:-1], ends[1:])]
+            ids = batch.column(ids_col)
+            ends = np.cumsum([0, *(n or 0 for n in pa.compute.list_value_length(ids).to_pylist())])
+            flat = ids.flatten().to_numpy()
+            for at in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(at, DECODE_ROWS)
+                texts = [bpe.decode(flat[ends[i]:ends[i + 1]]) if part.column(ids_col)[i - at].is_valid else None
+                         for i in range(at, at + part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(n) for n in names), pa.array(texts, pa.binary())], [*names, out_col])
 
