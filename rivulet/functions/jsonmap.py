@@ -39,14 +39,17 @@ def parse_object(text: Column | str) -> Column:
     ``normalize_object('raw')`` in a *separate* projection: the normalization
     references the parsed map several times and must not inline the parse.
     """
-    return F.from_json(text if isinstance(text, Column) else F.col(text), _OBJ, JSON_OPTIONS)
+    c = text if isinstance(text, Column) else F.col(text)
+    # in brackets, a second value after the first one is seen as such
+    found = F.from_json(F.concat(F.lit("["), c, F.lit("]")), f"array<{_OBJ}>", JSON_OPTIONS)
+    return F.try_element_at(F.get(F.filter(F.array(found), lambda a: F.size(a) == 1), F.lit(0)), F.lit(1))
 
 
 def closes_cleanly(text: Column) -> Column:
     """True when nothing but whitespace follows the object's closing brace.
     The parser stops after the first object; the reproduced parser rejects
-    trailing text, so such lines count as malformed. (Known gap: a second
-    complete object after the first still passes this check.)"""
+    trailing text, so such lines count as malformed. A second complete
+    object is caught by ``parse_object``."""
     return F.rtrim(text, F.lit(" \t\r\n")).endswith("}")
 
 

@@ -49,6 +49,15 @@ def config_current(history: DataFrame) -> DataFrame:
             .select("source_table", *[F.col(f"v.{c}").alias(c) for c in ("cseq",) + CONFIG_FIELDS[1:]]))
 
 
+def with_preload(history: DataFrame, preload: DataFrame | None) -> DataFrame:
+    """Config history with the rows of a snapshot before all of it."""
+    h = history.select("cseq", "op", *CONFIG_FIELDS)
+    if preload is None:
+        return h
+    return preload.select(F.lit(PRELOAD_SEQ).cast("long").alias("cseq"), F.lit("r").alias("op"),
+                          *CONFIG_FIELDS).unionByName(h)
+
+
 def config_versions(history: DataFrame, preload: DataFrame | None = None) -> DataFrame:
     """Validity intervals: (source_table, from_seq, to_seq, cseq, op, fields).
 
@@ -57,11 +66,7 @@ def config_versions(history: DataFrame, preload: DataFrame | None = None) -> Dat
     the stream starts) are versions from the start of time; the stream's own
     ops override them in order, a ``d`` included.
     """
-    h = history.select("cseq", "op", *CONFIG_FIELDS)
-    if preload is not None:
-        pre = preload.select(F.lit(PRELOAD_SEQ).cast("long").alias("cseq"), F.lit("r").alias("op"),
-                             *CONFIG_FIELDS)
-        h = pre.unionByName(h)
+    h = with_preload(history, preload)
     w = Window.partitionBy("source_table").orderBy("cseq")
     return h.select("*", F.col("cseq").alias("from_seq"),
                     F.lead("cseq").over(w).alias("to_seq"))
@@ -86,8 +91,10 @@ def route_asof(changes: DataFrame, versions: DataFrame, table: str = "table", se
 
 def route_static(changes: DataFrame, config: DataFrame, table: str = "table",
                  max_broadcast: int = DEFAULT_MAX_BROADCAST_VERSIONS) -> DataFrame:
-    """Inner equi-join to a fixed config (one row per source table)."""
-    c = config.select(*CONFIG_FIELDS)
+    """Inner equi-join to a fixed config. A source table listed twice counts
+    once (the greater row), so no change is ever duplicated."""
+    c = (config.groupBy("source_table").agg(F.max(F.struct(*CONFIG_FIELDS[1:])).alias("v"))
+         .select("source_table", "v.*"))
     if _small(c, max_broadcast):
         c = F.broadcast(c)
     return changes.join(c, changes[table] == c["source_table"], "inner").drop("source_table")

@@ -87,7 +87,8 @@ def sink_tables(history: DataFrame) -> DataFrame:
              .groupBy("sink_table")
              .agg(F.min_by("sink_family", "cseq").alias("created_family")))
     t = last.join(after, "sink_table", "full")
-    fam = F.when(F.col("l.op") == "u", F.col("l.sink_family")).otherwise(F.col("created_family"))
+    # every op but r, c and d recreates the table
+    fam = F.when(F.col("l.op") != "d", F.col("l.sink_family")).otherwise(F.col("created_family"))
     return t.select("sink_table", fam.alias("sink_family")).where(F.col("sink_family").isNotNull())
 
 
@@ -113,15 +114,16 @@ def fold_current(cell_log: DataFrame, deletes: DataFrame, drops: DataFrame,
 
     ``cell_log`` may mix raw cells with a compacted snapshot of earlier
     current cells (which keep their seq): a later delete or drop still
-    removes them, a later put still replaces them."""
+    removes them, a later put still replaces them. ``seq`` may be any ordered
+    type (a number, or a struct of ordering fields), the same on all sides."""
     last = last_cells(cell_log)
     dels = deletes.groupBy("sink_table", "row_key").agg(F.max("seq").alias("del_seq"))
     if drops.limit(max_broadcast_tables + 1).count() <= max_broadcast_tables:
         drops = F.broadcast(drops)
     j = (last.join(dels, ["sink_table", "row_key"], "left")
              .join(drops, "sink_table", "left"))
-    live = ((F.col("seq") > F.coalesce(F.col("del_seq"), F.lit(-(2 ** 62))))
-            & (F.col("seq") >= F.coalesce(F.col("drop_seq"), F.lit(-(2 ** 62)))))
+    live = ((F.col("del_seq").isNull() | (F.col("seq") > F.col("del_seq")))
+            & (F.col("drop_seq").isNull() | (F.col("seq") >= F.col("drop_seq"))))
     cols = ["sink_table", "row_key", "col", "value"] + (["seq"] if keep_seq else [])
     return j.where(live).select(*cols)
 

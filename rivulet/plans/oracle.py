@@ -54,7 +54,7 @@ lastop as (select ev.sink_table, ev.op, ev.sink_family from ev join lastdrop l
 creat as (select ev.sink_table, arg_min(ev.sink_family, ev.cseq) as fam from ev
           left join lastdrop l on ev.sink_table = l.sink_table
           where ev.op in ('r', 'c') and (l.lseq is null or ev.cseq > l.lseq) group by ev.sink_table),
-tabs as (select t.sink_table, case when lo.op = 'u' then lo.sink_family else cr.fam end as sink_family
+tabs as (select t.sink_table, case when lo.op <> 'd' then lo.sink_family else cr.fam end as sink_family
          from (select sink_table from lastdrop union select sink_table from creat) t
          left join lastop lo on lo.sink_table = t.sink_table left join creat cr on cr.sink_table = t.sink_table),
 live as (select c.*, row_number() over (partition by c.sink_table, c.row_key, c.col order by c.seq desc) as rn

@@ -9,11 +9,16 @@ which orders records within a partition, the only order Kafka defines).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 LINE_SCHEMA = "seq long, value string"
 
 
+def topic_seq(partition: Column, offset: Column) -> Column:
+    """One 64-bit order key of a topic record; partitions do not interleave."""
+    return F.shiftleft(partition.cast("long"), 48).bitwiseOR(offset.cast("long"))
+
+
 def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "parquet",
                path: str | None = None, stream: bool = True,
                options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -26,7 +31,9 @@ def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "parque
         if stream:
             opts.setdefault("startingOffsets", "latest")
         df = reader.format("kafka").options(**opts).load()
-        return df.select((F.col("offset") * 4096 + F.col("partition")).alias("seq"),
+        # no two records share a seq: 48 bits of offset below the partition
+        wide = F.assert_true((F.col("offset") < 1 << 48) & (F.col("partition") < 1 << 15), "topic too wide for seq")
+        return df.where(wide.isNull()).select(topic_seq(F.col("partition"), F.col("offset")).alias("seq"),
                          F.col("value").cast("string").alias("value"))
     if stream and max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet import constants as K
@@ -54,7 +54,8 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
                   config_path: str | None = None, config_options: dict | None = None,
                   checkpoint: str | None = None, trigger: str = J.DEFAULT_TRIGGER,
                   compact_every: int | None = 100, database: str = K.DEFAULT_DATABASE,
-                  order: str = "arrival", available_now: bool = False,
+                  order: str = "arrival", on_malformed: str = "quarantine",
+                  preload: DataFrame | None = None, available_now: bool = False,
                   name: str = "dim_app") -> StreamingQuery:
     """Change topic + config change stream -> routed cell log (+ snapshots).
 
@@ -63,14 +64,18 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
     the config change source, which uses ``source_format`` as well.
     ``order='arrival'`` (default for two topics) routes each batch's changes
     with the config after that batch's config changes; ``order='seq'`` when
-    both carry comparable seqs (see ``dim_batch_writer``)."""
+    both carry comparable seqs (see ``dim_batch_writer``). Config is read from
+    its earliest offset unless ``config_options`` say otherwise; ``preload``
+    (``tables.read_config_table``) is in force before it."""
     changes = read_topic(spark, K.TOPIC_DB, fmt=source_format, path=source_path,
                          options=source_options).withColumn("kind", F.lit("change"))
+    start = {"startingOffsets": "earliest"} if source_format == "kafka" else {}
     config = read_topic(spark, "config", fmt=source_format, path=config_path,
-                        options=config_options).withColumn("kind", F.lit("config"))
+                        options={**start, **(config_options or {})}).withColumn("kind", F.lit("config"))
     both = changes.unionByName(config)
     return J.run_stream(both, _ck(spark, name, checkpoint),
-                        foreach_batch=J.dim_batch_writer(state_dir, database, compact_every, order),
+                        foreach_batch=J.dim_batch_writer(state_dir, database, compact_every, order,
+                                                         on_malformed, preload),
                         available_now=available_now, processing_time=trigger, name=name)
 
 

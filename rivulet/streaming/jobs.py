@@ -90,12 +90,14 @@ def topic_sink(path: str, fmt: str = "parquet", options: dict | None = None):
 
 HISTORY_SCHEMA = ("cseq long, op string, source_table string, sink_table string, "
                   "sink_columns string, sink_family string, sink_row_key string")
+CONFIG_LOG_SCHEMA = HISTORY_SCHEMA + ", epoch long"
 LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, "
-              "row_key string, cells map<string,string>, quarantine string")
+              "row_key string, cells map<string,string>, quarantine string, epoch long, phase int")
 
 
 def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None,
-                     order: str = "seq"):
+                     order: str = "seq", on_malformed: str = "quarantine",
+                     preload: DataFrame | None = None):
     """foreachBatch body of the dimension job.
 
     Input rows: (seq, kind, value) with kind 'config' or 'change'. In order:
@@ -112,32 +114,49 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
     ``order='arrival'``: separate topics whose offsets are not comparable;
     every change of a batch uses the config as it stands after the batch's
     config changes (what a broadcast-state job sees when config arrives
-    first).
+    first). The logs then carry (batch, config before change) as ``epoch``
+    and ``phase``, and folds order by these before the topic's own seq.
+
+    Lines that are no change or no config envelope go to ``quarantine_log``
+    as they came; ``preload`` is a config snapshot (one row a source table)
+    in force before the stream's own config changes; ``on_malformed='fail'`` stops the job at the first instead.
     """
+    if on_malformed not in ("quarantine", "fail"):
+        raise ValueError(f"on_malformed: {on_malformed}")
+    arrival = order == "arrival"
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            cfg = CF.config_images(batch.where(F.col("kind") == "config"))
+            epoch = F.lit(batch_id if arrival else 0).cast("long")
+            parsed = CH.parse_changes(batch.where(F.col("kind") == "change"))
+            cfg = CF.config_images(batch.where(F.col("kind") == "config")).withColumn("epoch", epoch)
+            bad = (parsed.where("malformed").select(F.lit("change").alias("kind"), "seq")
+                   .unionByName(batch.where(F.col("kind") == "config").select("kind", "seq")
+                                .join(cfg.select(F.col("cseq").alias("seq")), "seq", "left_anti")))
+            lost = batch.join(bad, ["kind", "seq"], "left_semi").select("seq", "kind", "value")
+            if on_malformed == "fail" and not lost.isEmpty():
+                raise ValueError(f"malformed line in batch {batch_id}: {lost.first().asDict()}")
+            lost.write.mode("overwrite").parquet(f"{state_dir}/quarantine_log/batch={batch_id}")
             cfg.write.mode("overwrite").parquet(f"{state_dir}/config_log/batch={batch_id}")
             history = read_config_log(spark, state_dir)
-            ch = CH.filter_changes(CH.parse_changes(batch.where(F.col("kind") == "change")),
-                                   database=database)
-            if order == "arrival":
-                routed = CF.route_static(ch, CF.config_current(history))
+            ch = CH.filter_changes(parsed, database=database)
+            if arrival:
+                routed = CF.route_static(ch, CF.config_current(CF.with_preload(history, preload)))
             else:
-                routed = CF.route_asof(ch, CF.config_versions(history))
-            (D.change_log(routed).write.mode("overwrite")
+                routed = CF.route_asof(ch, CF.config_versions(history, preload))
+            (D.change_log(routed).withColumns({"epoch": epoch, "phase": F.lit(int(arrival))}).write.mode("overwrite")
              .parquet(f"{state_dir}/change_log/batch={batch_id}"))
         finally:
             batch.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_dims(spark, state_dir)
+            compact_dims(spark, state_dir, batch_id)
     return write
 
 
 def read_config_log(spark: SparkSession, state_dir: str) -> DataFrame:
-    return spark.read.schema(HISTORY_SCHEMA + ", batch long").parquet(
+    return spark.read.schema(CONFIG_LOG_SCHEMA + ", batch long").parquet(
         f"{state_dir}/config_log").drop("batch")
 
 
@@ -146,57 +165,81 @@ def read_change_log(spark: SparkSession, state_dir: str, with_batch: bool = Fals
     return df if with_batch else df.drop("batch")
 
 
-SNAPSHOT_SCHEMA = "sink_table string, row_key string, col string, value string, seq long, upto long"
+ORDER_TYPE = "struct<epoch:bigint,phase:int,seq:bigint>"
+SNAPSHOT_SCHEMA = f"sink_table string, row_key string, col string, value string, seq {ORDER_TYPE}"
+TOMBSTONE_SCHEMA = f"sink_table string, row_key string, seq {ORDER_TYPE}"
+
+
+def _order(seq: str, phase) -> F.Column:
+    return F.struct(F.coalesce("epoch", F.lit(0).cast("long")).alias("epoch"),
+                    F.coalesce(phase, F.lit(0)).cast("int").alias("phase"), F.col(seq).alias("seq"))
+
+
+def read_quarantine_log(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Lines set aside by the stream: (seq, kind, value)."""
+    return spark.read.schema("seq long, kind string, value string, batch long").parquet(
+        f"{state_dir}/quarantine_log").drop("batch")
 
 
 def _latest_snapshot(spark: SparkSession, state_dir: str):
-    """(cells of the newest *complete* snapshot, its last batch id) or (None, -1).
-    A snapshot counts once its marker exists; the marker is written only after
-    the snapshot's write job committed, so a compaction that died half way is
-    never read."""
+    """(cells, row deletes, last batch id) of the newest *complete* snapshot,
+    or (None, None, -1). A snapshot counts once its marker exists; the marker
+    is written only after both tables committed, so a compaction that died
+    half way is never read."""
     from pyspark.errors import AnalysisException
     try:
-        done = spark.read.schema("upto long").parquet(f"{state_dir}/snapshot_done")
+        done = spark.read.schema("done int, upto long").parquet(f"{state_dir}/snapshot_done")
         upto = done.agg(F.max("upto")).first()[0]
     except AnalysisException:
-        return None, -1
+        return None, None, -1
     if upto is None:
-        return None, -1
-    snap = spark.read.schema(SNAPSHOT_SCHEMA.replace(", upto long", "")).parquet(
-        f"{state_dir}/snapshot/upto={int(upto)}")
-    return snap, int(upto)
+        return None, None, -1
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{state_dir}/{name}/upto={int(upto)}")
+    return read("snapshot", SNAPSHOT_SCHEMA), read("snapshot_deletes", TOMBSTONE_SCHEMA), int(upto)
 
 
-def dim_current_from_logs(spark: SparkSession, state_dir: str, keep_seq: bool = False,
-                          through: int | None = None) -> DataFrame:
-    """Fold the logs written by the stream into current cells: the newest
-    compacted snapshot plus only the log batches written after it (up to
-    batch ``through`` when given)."""
-    snap, upto = _latest_snapshot(spark, state_dir)
+def _fold_inputs(spark: SparkSession, state_dir: str, through: int | None):
+    """(cell log, row deletes, table drops): the newest snapshot plus only
+    the log batches written after it (up to ``through`` when given)."""
+    snap, gone, upto = _latest_snapshot(spark, state_dir)
     log = read_change_log(spark, state_dir, with_batch=True).where(F.col("batch") > F.lit(upto))
     if through is not None:
         log = log.where(F.col("batch") <= F.lit(through))
-    history = read_config_log(spark, state_dir)
-    cell_log = D.cells(log)
+    log = log.withColumn("seq", _order("seq", F.col("phase")))
+    history = read_config_log(spark, state_dir).withColumn("cseq", _order("cseq", F.lit(0)))
+    cell_log, deletes = D.cells(log), D.row_deletes(log)
     if snap is not None:
         cell_log = cell_log.unionByName(snap.select(*cell_log.columns))
-    return D.fold_current(cell_log, D.row_deletes(log), D.table_drops(history), keep_seq=keep_seq)
-
-
-def compact_dims(spark: SparkSession, state_dir: str) -> int:
-    """Write the folded state (with each cell's seq) as ``snapshot/upto=<batch>``
-    and return that batch id; later folds read it plus newer batches only.
-    Run between micro-batches (e.g. every N batches from the writer's
-    thread) or as a separate job; a snapshot is written once and never
-    modified, so readers always see a complete one."""
-    last = read_change_log(spark, state_dir, with_batch=True).agg(F.max("batch")).first()[0]
-    if last is None:
-        return -1
-    log_upto = int(last)
+        deletes = deletes.unionByName(gone.select(*deletes.columns))
+    return cell_log, deletes, D.table_drops(history)
+
+
+def dim_current_from_logs(spark: SparkSession, state_dir: str, keep_seq: bool = False,
+                          through: int | None = None) -> DataFrame:
+    """Fold the logs written by the stream into current cells."""
+    return D.fold_current(*_fold_inputs(spark, state_dir, through), keep_seq=keep_seq)
+
+
+def compact_dims(spark: SparkSession, state_dir: str, through: int | None = None) -> int:
+    """Write the folded state (each cell with its order key) as
+    ``snapshot/upto=<batch>`` and the last delete of every row beside it, and
+    return that batch id; later folds read them plus newer batches only. The
+    deletes stay, so a put that arrives late finds the row deleted all the
+    same; table drops are read from the config log. Run between micro-batches
+    or as a separate job; a snapshot is written once and never modified."""
+    if through is None:
+        last = read_change_log(spark, state_dir, with_batch=True).agg(F.max("batch")).first()[0]
+        if last is None:
+            return -1
+        through = int(last)
+    if _latest_snapshot(spark, state_dir)[2] >= through:
+        return through
     # pinned to the batches seen now: a batch the stream commits meanwhile
     # stays outside this snapshot and is folded in by later reads
-    cur = dim_current_from_logs(spark, state_dir, keep_seq=True, through=log_upto)
-    cur.write.mode("overwrite").parquet(f"{state_dir}/snapshot/upto={log_upto}")
-    (spark.range(1).select(F.lit(log_upto).cast("long").alias("upto"))
-     .write.mode("overwrite").parquet(f"{state_dir}/snapshot_done/upto_{log_upto}"))
-    return log_upto
+    cell_log, deletes, drops = _fold_inputs(spark, state_dir, through)
+    D.fold_current(cell_log, deletes, drops, keep_seq=True).write.mode("overwrite").parquet(
+        f"{state_dir}/snapshot/upto={through}")
+    deletes.groupBy("sink_table", "row_key").agg(F.max("seq").alias("seq")).write.mode("overwrite").parquet(
+        f"{state_dir}/snapshot_deletes/upto={through}")
+    spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(f"{state_dir}/snapshot_done/upto={through}")
+    return through
