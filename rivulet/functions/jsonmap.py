@@ -32,6 +32,14 @@ def last_wins(m: Column) -> Column:
              .otherwise(F.map_from_entries(kept)))
 
 
+def parse_one(text: Column, as_type: str) -> Column:
+    """The one JSON object on a line, read as ``as_type``; NULL when the line
+    holds anything else, text or a second value after the object included:
+    the line is read in brackets, where what follows is seen as such."""
+    found = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{as_type}>", JSON_OPTIONS)
+    return F.try_element_at(F.get(F.filter(F.array(found), lambda a: F.size(a) == 1), F.lit(0)), F.lit(1))
+
+
 def parse_object(text: Column | str) -> Column:
     """JSON text -> MAP<STRING,VARIANT>; NULL when the text is not an object.
 
@@ -39,18 +47,7 @@ def parse_object(text: Column | str) -> Column:
     ``normalize_object('raw')`` in a *separate* projection: the normalization
     references the parsed map several times and must not inline the parse.
     """
-    c = text if isinstance(text, Column) else F.col(text)
-    # in brackets, a second value after the first one is seen as such
-    found = F.from_json(F.concat(F.lit("["), c, F.lit("]")), f"array<{_OBJ}>", JSON_OPTIONS)
-    return F.try_element_at(F.get(F.filter(F.array(found), lambda a: F.size(a) == 1), F.lit(0)), F.lit(1))
-
-
-def closes_cleanly(text: Column) -> Column:
-    """True when nothing but whitespace follows the object's closing brace.
-    The parser stops after the first object; the reproduced parser rejects
-    trailing text, so such lines count as malformed. A second complete
-    object is caught by ``parse_object``."""
-    return F.rtrim(text, F.lit(" \t\r\n")).endswith("}")
+    return parse_one(text if isinstance(text, Column) else F.col(text), _OBJ)
 
 
 def normalize_object(m: Column) -> Column:

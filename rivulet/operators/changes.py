@@ -9,16 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rivulet import constants as K
-from rivulet.functions.jsonmap import (JSON_OPTIONS, closes_cleanly, last_wins,
-                                       parse_string_map, seal)
+from rivulet.functions.jsonmap import last_wins, parse_one, parse_string_map, seal
 
 
 # The envelope is read as a typed struct: a duplicated member keeps its last
-# value, ``data`` keeps the object's JSON text, and the corrupt-record column
-# marks lines that are not a JSON object.
-ENVELOPE_TYPE = ("struct<database:string,table:string,type:string,data:string,"
-                 "_malformed:string>")
-_ENVELOPE_OPTIONS = {**JSON_OPTIONS, "columnNameOfCorruptRecord": "_malformed"}
+# value and ``data`` keeps the object's JSON text.
+ENVELOPE_TYPE = "struct<database:string,table:string,type:string,data:string>"
 
 
 def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> DataFrame:
@@ -26,16 +22,12 @@ def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> D
 
     ``data`` is MAP<STRING,STRING>: numbers as their text, nested objects as
     JSON text, JSON null as NULL, last duplicate wins. ``malformed`` marks
-    lines that are not a JSON object (or carry text after it); the
+    lines that are not one JSON object and nothing else; the
     reproduced job would fail on them, we quarantine them.
     """
-    e = F.from_json(F.col(value), ENVELOPE_TYPE, _ENVELOPE_OPTIONS)
-    p = lines.select(F.col(seq).alias("seq"), F.col(value).alias("value"), e.alias("e"))
-    bad = (F.col("e").isNull() | F.col("e._malformed").isNotNull()
-           | ~closes_cleanly(F.col("value")))
-    p = p.select("seq", bad.alias("malformed"),
-                 *[F.when(~bad, F.col(f"e.{c}")).alias(c) for c in ("database", "table", "type")],
-                 F.when(~bad, F.col("e.data")).alias("data_text"))
+    p = lines.select(F.col(seq).alias("seq"), parse_one(F.col(value), ENVELOPE_TYPE).alias("e"))
+    p = p.select("seq", F.col("e").isNull().alias("malformed"), "e.database", "e.table", "e.type",
+                 F.col("e.data").alias("data_text"))
     p = p.select("*", parse_string_map(F.col("data_text")).alias("raw"))
     p = p.select("seq", "database", "table", "type", "data_text",
                  last_wins(F.col("raw")).alias("data"), "malformed")

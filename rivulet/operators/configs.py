@@ -2,21 +2,28 @@
 join of change records to the configuration in force at their ``seq``.
 
 The configuration is a control table (one row per routed source table plus
-its history). It is joined by broadcast only after its row count is checked;
-above the bound the same join runs as a shuffle equi-join on the table name
-with a range filter, where adaptive execution splits a hot table's partition.
+its history). While it is small and no table has many versions (both checked)
+it is joined by broadcast; beyond that changes and versions are merged in seq
+order within (table, seq bucket), which costs a sort however many versions a
+table has, and splits a hot table over its buckets.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rivulet.functions.jsonmap import parse_one
+
 CONFIG_FIELDS = ("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
 IMAGE_TYPE = "struct<" + ",".join(f"{c}:string" for c in CONFIG_FIELDS) + ">"
 ENVELOPE_TYPE = f"struct<op:string,before:{IMAGE_TYPE},after:{IMAGE_TYPE}>"
 
-# Broadcast the version table only below this many rows (~200 bytes a row).
-DEFAULT_MAX_BROADCAST_VERSIONS = 200_000
+# Broadcast config rows only up to this many bytes of text.
+DEFAULT_MAX_BROADCAST_BYTES = 32 << 20
+# A broadcast lookup tests every version of a change's table: up to this many.
+DEFAULT_MAX_LOOKUP_VERSIONS = 64
+# Seqs per bucket of the merge; a seq names one record, so this bounds a bucket.
+BUCKET_BITS = 20
 
 PRELOAD_SEQ = -(2 ** 62)
 
@@ -24,8 +31,7 @@ PRELOAD_SEQ = -(2 ** 62)
 def config_images(cdc: DataFrame, seq: str = "seq", value: str = "value") -> DataFrame:
     """``{op, before, after}`` envelopes -> (cseq, op, <config fields>):
     ``d`` takes the ``before`` image, every other op the ``after`` image."""
-    env = F.from_json(F.col(value), ENVELOPE_TYPE)
-    e = cdc.select(F.col(seq).alias("cseq"), env.alias("e"))
+    e = cdc.select(F.col(seq).alias("cseq"), parse_one(F.col(value), ENVELOPE_TYPE).alias("e"))
     img = F.when(F.col("e.op") == "d", F.col("e.before")).otherwise(F.col("e.after"))
     return e.select("cseq", F.col("e.op").alias("op"), img.alias("img")) \
             .where(F.col("img").isNotNull()) \
@@ -72,29 +78,61 @@ def config_versions(history: DataFrame, preload: DataFrame | None = None) -> Dat
                     F.lead("cseq").over(w).alias("to_seq"))
 
 
-def _small(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
+def _bytes() -> F.Column:
+    return F.sum(F.octet_length(F.concat_ws("", "source_table", *CONFIG_FIELDS[1:])) + F.lit(64))
 
 
 def route_asof(changes: DataFrame, versions: DataFrame, table: str = "table", seq: str = "seq",
-               max_broadcast: int = DEFAULT_MAX_BROADCAST_VERSIONS) -> DataFrame:
+               max_broadcast: int = DEFAULT_MAX_BROADCAST_BYTES,
+               max_versions: int = DEFAULT_MAX_LOOKUP_VERSIONS) -> DataFrame:
     """Inner as-of join: each change meets the config version in force at its
     seq; changes of unrouted or deleted tables drop out."""
+    size = (versions.groupBy("source_table").agg(F.count(F.lit(1)).alias("n"), _bytes().alias("b"))
+            .agg(F.max("n").alias("n"), F.sum("b").alias("b")).first())
+    if (size["n"] or 0) > max_versions or (size["b"] or 0) > max_broadcast:
+        return _merge_asof(changes, versions, table, seq)
     v = versions.where(F.col("op") != "d").select(
         F.col("source_table"), "from_seq", "to_seq", F.col("cseq"), *CONFIG_FIELDS[1:])
-    if _small(versions, max_broadcast):
-        v = F.broadcast(v)
     cond = ((changes[table] == v["source_table"]) & (changes[seq] >= v["from_seq"])
             & (v["to_seq"].isNull() | (changes[seq] < v["to_seq"])))
-    return changes.join(v, cond, "inner").drop("source_table", "from_seq", "to_seq")
+    return changes.join(F.broadcast(v), cond, "inner").drop("source_table", "from_seq", "to_seq")
+
+
+def _merge_asof(changes: DataFrame, versions: DataFrame, table: str, seq: str) -> DataFrame:
+    """The as-of join as a merge: versions and changes sorted together within
+    (table, seq bucket), the last version seen carried forward. A bucket opens
+    with the version carried into it from the buckets before; that table holds
+    one row per (table, bucket) with changes. ``changes`` is read twice."""
+    bucket = F.shiftright(F.col("_s"), BUCKET_BITS)
+    v = (versions.where(F.col("to_seq").isNull() | (F.col("to_seq") > F.col("from_seq")))
+         .select(F.col("source_table").alias("_t"), F.col("from_seq").alias("_s"),
+                 F.struct("cseq", "op", *CONFIG_FIELDS[1:]).alias("_v"))
+         .withColumn("_b", bucket))
+    rows = (changes.where(F.col(table).isNotNull())
+            .select(F.struct("*").alias("_row"), F.col(table).alias("_t"), F.col(seq).alias("_s"))
+            .withColumn("_b", bucket))
+    before = Window.partitionBy("_t").orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)
+    carried = (rows.select("_t", "_b").distinct()
+               .unionByName(v.groupBy("_t", "_b").agg(F.max_by("_v", "_s").alias("_v")), allowMissingColumns=True)
+               .select("_t", "_b", F.last("_v", ignorenulls=True).over(before).alias("_v"),
+                       F.col("_v").isNull().alias("_wanted"))
+               .where(F.col("_wanted") & F.col("_v").isNotNull())
+               .select("_t", "_b", F.shiftleft("_b", BUCKET_BITS).alias("_s"), "_v"))
+    merged = (rows.withColumn("_k", F.lit(2))
+              .unionByName(v.withColumn("_k", F.lit(1)), allowMissingColumns=True)
+              .unionByName(carried.withColumn("_k", F.lit(0)), allowMissingColumns=True))
+    upto = Window.partitionBy("_t", "_b").orderBy("_s", "_k").rowsBetween(Window.unboundedPreceding, 0)
+    return (merged.select("_row", "_k", F.last("_v", ignorenulls=True).over(upto).alias("_v"))
+            .where((F.col("_k") == 2) & (F.col("_v.op") != "d"))
+            .select("_row.*", *[F.col(f"_v.{c}").alias(c) for c in ("cseq",) + CONFIG_FIELDS[1:]]))
 
 
 def route_static(changes: DataFrame, config: DataFrame, table: str = "table",
-                 max_broadcast: int = DEFAULT_MAX_BROADCAST_VERSIONS) -> DataFrame:
+                 max_broadcast: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Inner equi-join to a fixed config. A source table listed twice counts
     once (the greater row), so no change is ever duplicated."""
     c = (config.groupBy("source_table").agg(F.max(F.struct(*CONFIG_FIELDS[1:])).alias("v"))
          .select("source_table", "v.*"))
-    if _small(c, max_broadcast):
+    if (c.agg(_bytes()).first()[0] or 0) <= max_broadcast:
         c = F.broadcast(c)
     return changes.join(c, changes[table] == c["source_table"], "inner").drop("source_table")

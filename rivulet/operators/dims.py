@@ -6,15 +6,15 @@ exists), ``d`` drops, any other op drops and re-creates (emptying the table).
 
 The current state of a cell (table, row key, column) is its last non-empty
 value, provided that value was written after the row's last delete and not
-before the table's last drop. Both "last" values are grouped aggregations
-with map-side partial combine, and the fold joins only aggregated rows
-(at most one per cell / per row / per table), so a hot table or hot row key
-never lands whole in one task.
+before the table's last drop. Puts and deletes are one log (a delete is an
+entry without a column), aggregated to its last entry per cell with map-side
+partial combine; only these aggregated rows meet per row key, so a hot table
+or hot row key never lands whole in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rivulet.operators.changes import non_empty_cells, retain_columns
 
@@ -57,31 +57,43 @@ def row_deletes(log: DataFrame) -> DataFrame:
               .select("seq", "sink_table", "row_key")
 
 
+def row_log(log: DataFrame) -> DataFrame:
+    """Cells put and row deletes in one pass over the log: (seq, sink_table,
+    row_key, col, value), a delete with NULL ``col``."""
+    gone = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+    entries = F.when(F.col("type") == "delete", gone).otherwise(F.map_entries("cells"))
+    return (log.where(F.col("quarantine").isNull())
+            .select("seq", "sink_table", "row_key", F.inline(entries).alias("col", "value")))
+
+
 def quarantined(log: DataFrame) -> DataFrame:
     """Changes that could not be applied, with the reason."""
     return log.where(F.col("quarantine").isNotNull())
 
 
-def table_events(history: DataFrame) -> DataFrame:
-    """Config ops as DDL on the sink table: (cseq, sink_table, op, sink_family, drops, creates)."""
+def table_events(history: DataFrame, recreate_on_update: bool = True) -> DataFrame:
+    """Config ops as DDL on the sink table: (cseq, sink_table, op, sink_family,
+    drops, creates). Without ``recreate_on_update`` only ``d`` drops and every
+    other op creates the table where it does not exist."""
     op = F.col("op")
+    drops = ~op.isin("r", "c") if recreate_on_update else op == "d"
     return history.select(
         "cseq", "sink_table", "op", "sink_family",
-        (~op.isin("r", "c")).alias("drops"),
+        drops.alias("drops"),
         (op != "d").alias("creates"))
 
 
-def sink_tables(history: DataFrame) -> DataFrame:
+def sink_tables(history: DataFrame, recreate_on_update: bool = True) -> DataFrame:
     """Tables that exist after all config ops: (sink_table, sink_family).
 
     The last drop (a ``d``, or the drop half of an update) decides: after an
     update the table exists with the update's families; after a ``d`` it
     exists only if a later ``r``/``c`` created it again (its families).
     """
-    ev = table_events(history)
+    ev = table_events(history, recreate_on_update)
     last = (ev.where("drops").groupBy("sink_table")
             .agg(F.max_by(F.struct("cseq", "op", "sink_family"), "cseq").alias("l")))
-    creates = ev.where(F.col("op").isin("r", "c"))
+    creates = ev.where("creates and not drops")
     after = (creates.join(last, "sink_table", "left")
              .where(F.col("l").isNull() | (F.col("cseq") > F.col("l.cseq")))
              .groupBy("sink_table")
@@ -92,42 +104,50 @@ def sink_tables(history: DataFrame) -> DataFrame:
     return t.select("sink_table", fam.alias("sink_family")).where(F.col("sink_family").isNotNull())
 
 
-def table_drops(history: DataFrame) -> DataFrame:
+def sink_families(tables: DataFrame) -> DataFrame:
+    """Column families of each existing table, one row each: (sink_table, family)."""
+    return tables.select("sink_table", F.explode(F.split("sink_family", ",")).alias("family"))
+
+
+def table_drops(history: DataFrame, recreate_on_update: bool = True) -> DataFrame:
     """Last drop per sink table: (sink_table, drop_seq)."""
-    return (table_events(history).where("drops").groupBy("sink_table")
+    return (table_events(history, recreate_on_update).where("drops").groupBy("sink_table")
             .agg(F.max("cseq").alias("drop_seq")))
 
 
-def last_cells(cell_log: DataFrame) -> DataFrame:
-    """Last non-empty value per cell: (sink_table, row_key, col, value, seq).
+def fold_rows(rows: DataFrame, drops: DataFrame,
+              max_broadcast_tables: int = DEFAULT_MAX_BROADCAST_TABLES,
+              keep_seq: bool = False, keep_deletes: bool = False) -> DataFrame:
+    """A row log -> current cells: (sink_table, row_key, col, value [, seq]).
+
+    ``rows`` may mix log entries with a compacted snapshot of earlier ones
+    (which keep their seq): a later delete or drop still removes them, a later
+    put still replaces them. ``seq`` may be any ordered type (a number, or a
+    struct of ordering fields), the same on both sides. ``keep_deletes`` keeps
+    each row's last delete (NULL ``col``), as a snapshot must.
 
     ``max_by`` over a string runs as a sort-based aggregate; it still combines
-    map-side before the shuffle, so a hot cell costs one row per map task."""
-    return (cell_log.groupBy("sink_table", "row_key", "col")
+    map-side before the shuffle, so a hot cell costs one row per map task. The
+    window then holds a row's columns, each once."""
+    last = (rows.groupBy("sink_table", "row_key", "col")
             .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq")))
-
-
-def fold_current(cell_log: DataFrame, deletes: DataFrame, drops: DataFrame,
-                 max_broadcast_tables: int = DEFAULT_MAX_BROADCAST_TABLES,
-                 keep_seq: bool = False) -> DataFrame:
-    """Current cells: (sink_table, row_key, col, value [, seq]).
-
-    ``cell_log`` may mix raw cells with a compacted snapshot of earlier
-    current cells (which keep their seq): a later delete or drop still
-    removes them, a later put still replaces them. ``seq`` may be any ordered
-    type (a number, or a struct of ordering fields), the same on all sides."""
-    last = last_cells(cell_log)
-    dels = deletes.groupBy("sink_table", "row_key").agg(F.max("seq").alias("del_seq"))
+    row = Window.partitionBy("sink_table", "row_key")
+    last = last.withColumn("del_seq", F.max(F.when(F.col("col").isNull(), F.col("seq"))).over(row))
     if drops.limit(max_broadcast_tables + 1).count() <= max_broadcast_tables:
         drops = F.broadcast(drops)
-    j = (last.join(dels, ["sink_table", "row_key"], "left")
-             .join(drops, "sink_table", "left"))
-    live = ((F.col("del_seq").isNull() | (F.col("seq") > F.col("del_seq")))
-            & (F.col("drop_seq").isNull() | (F.col("seq") >= F.col("drop_seq"))))
+    j = last.join(drops, "sink_table", "left")
+    live = F.col("del_seq").isNull() | (F.col("seq") > F.col("del_seq"))
+    live = F.col("col").isNull() | live if keep_deletes else F.col("col").isNotNull() & live
+    live = live & (F.col("drop_seq").isNull() | (F.col("seq") >= F.col("drop_seq")))
     cols = ["sink_table", "row_key", "col", "value"] + (["seq"] if keep_seq else [])
     return j.where(live).select(*cols)
 
 
+def fold_current(cell_log: DataFrame, deletes: DataFrame, drops: DataFrame, **options) -> DataFrame:
+    """``fold_rows`` of cells and row deletes kept apart."""
+    return fold_rows(cell_log.unionByName(deletes, allowMissingColumns=True), drops, **options)
+
+
 def table_summary(current: DataFrame, tables: DataFrame) -> DataFrame:
     """Per existing table: rows and cells now held (0 for emptied tables)."""
     per = current.groupBy("sink_table").agg(

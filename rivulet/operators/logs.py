@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet import constants as K
-from rivulet.functions.jsonmap import (closes_cleanly, member_array, member_long, member_str,
-                                       normalize_object, parse_object, seal, to_json_object,
-                                       with_member, without_members)
+from rivulet.functions.jsonmap import (member_array, member_long, member_str, normalize_object,
+                                       parse_object, seal, to_json_object, with_member,
+                                       without_members)
 from rivulet.functions.times import ts_to_day
 
 # A device with at least this many rows is "hot": its first visit comes from a
@@ -49,9 +49,7 @@ def tag_lines(lines: DataFrame, seq: str = "seq", value: str = "value",
     kp = list(keep)
     raw = lines.select(F.col(seq).alias("seq"), F.col(value).alias("value"), *kp,
                        parse_object(F.col(value)).alias("raw"))
-    ok = closes_cleanly(F.col("value"))
-    norm = raw.select("seq", "value", *kp,
-                      F.when(ok, normalize_object(F.col("raw"))).alias("m"))
+    norm = raw.select("seq", "value", *kp, normalize_object(F.col("raw")).alias("m"))
     m = F.col("m")
     part = norm.select("seq", "value", *kp, "m", m.getItem("common").alias("common"),
                        member_long(m.getItem("ts")).alias("ts"))

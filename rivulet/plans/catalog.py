@@ -210,9 +210,12 @@ def sink_tables(spark: SparkSession, d: str) -> DataFrame:
     return D.sink_tables(_history(spark, d))
 
 
+def sink_families(spark: SparkSession, d: str) -> DataFrame:
+    return D.sink_families(sink_tables(spark, d))
+
+
 def _current(spark, d):
-    log = _log(spark, d)
-    return D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(_history(spark, d)))
+    return D.fold_rows(D.row_log(_log(spark, d)), D.table_drops(_history(spark, d)))
 
 
 def dim_current(spark: SparkSession, d: str) -> DataFrame:
@@ -235,6 +238,6 @@ BATCH_QUERIES = {
     "config_current": config_current, "column_retain": column_retain,
     "config_join": config_join, "config_lookup": config_lookup,
     "config_asof_join": config_asof_join, "dim_cells": dim_cells,
-    "dim_deletes": dim_deletes, "sink_tables": sink_tables,
+    "dim_deletes": dim_deletes, "sink_tables": sink_tables, "sink_families": sink_families,
     "dim_current": dim_current, "dim_current_after_config": dim_current_after_config,
 }

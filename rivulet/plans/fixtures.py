@@ -66,7 +66,9 @@ select * from (values
  (500, 'u', 'supplier', 'dim_supplier', 'id,name,extra', 'info', 'id'),
  (5000, 'd', 'part', 'dim_part', 'id,name', 'info', 'id'),
  (7000, 'u', 'customer', 'dim_customer_v2', 'id,name,extra', 'info', 'id'),
- (8000, 'c', 'part', 'dim_part_v2', 'id,name,extra', 'info', 'id')
+ (8000, 'c', 'part', 'dim_part_v2', 'id,name,extra', 'info', 'id'),
+ (40, 'r', 'unused', 'dim_unused', 'id,name', 'info', 'id'),
+ (41, 't', 'unused', 'dim_unused', 'id,name', 'info,more', 'id')
 ) as t(cseq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key)
 union all
 select cast(3 + n_nationkey as bigint), 'r', concat('sup_', n_nationkey), concat('dim_sup_', n_nationkey, '_0'),

@@ -156,6 +156,8 @@ select cf.seq, cf.tbl, cf.type, cs.sink_table, cs.sink_columns from cf join cs o
     "dim_cells": _w(DIM_CTES, "select seq, sink_table, row_key, col, value from putc"),
     "dim_deletes": _w(DIM_CTES, "select seq, sink_table, row_key from rowdel"),
     "sink_tables": _w(DIM_CTES, "select sink_table, sink_family from tabs where sink_family is not null"),
+    "sink_families": _w(DIM_CTES, """
+select sink_table, unnest(string_split(sink_family, ',')) as family from tabs where sink_family is not null"""),
     "dim_current": _w(DIM_CTES, "select * from cur"),
     "dim_current_after_config": _w(DIM_CTES, """
 select t.sink_table, coalesce(a.n_rows, 0) as n_rows, coalesce(a.n_cells, 0) as n_cells

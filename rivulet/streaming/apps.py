@@ -55,8 +55,8 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
                   checkpoint: str | None = None, trigger: str = J.DEFAULT_TRIGGER,
                   compact_every: int | None = 100, database: str = K.DEFAULT_DATABASE,
                   order: str = "arrival", on_malformed: str = "quarantine",
-                  preload: DataFrame | None = None, available_now: bool = False,
-                  name: str = "dim_app") -> StreamingQuery:
+                  preload: DataFrame | None = None, recreate_on_update: bool = True,
+                  available_now: bool = False, name: str = "dim_app") -> StreamingQuery:
     """Change topic + config change stream -> routed cell log (+ snapshots).
 
     Both inputs are read as one stream (tagged by kind) so one query owns the
@@ -75,7 +75,7 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
     both = changes.unionByName(config)
     return J.run_stream(both, _ck(spark, name, checkpoint),
                         foreach_batch=J.dim_batch_writer(state_dir, database, compact_every, order,
-                                                         on_malformed, preload),
+                                                         on_malformed, preload, recreate_on_update),
                         available_now=available_now, processing_time=trigger, name=name)
 
 

@@ -97,7 +97,7 @@ LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, "
 
 def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None,
                      order: str = "seq", on_malformed: str = "quarantine",
-                     preload: DataFrame | None = None):
+                     preload: DataFrame | None = None, recreate_on_update: bool = True):
     """foreachBatch body of the dimension job.
 
     Input rows: (seq, kind, value) with kind 'config' or 'change'. In order:
@@ -151,7 +151,7 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
         finally:
             batch.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_dims(spark, state_dir, batch_id)
+            compact_dims(spark, state_dir, batch_id, recreate_on_update)
     return write
 
 
@@ -167,7 +167,6 @@ def read_change_log(spark: SparkSession, state_dir: str, with_batch: bool = Fals
 
 ORDER_TYPE = "struct<epoch:bigint,phase:int,seq:bigint>"
 SNAPSHOT_SCHEMA = f"sink_table string, row_key string, col string, value string, seq {ORDER_TYPE}"
-TOMBSTONE_SCHEMA = f"sink_table string, row_key string, seq {ORDER_TYPE}"
 
 
 def _order(seq: str, phase) -> F.Column:
@@ -182,64 +181,72 @@ def read_quarantine_log(spark: SparkSession, state_dir: str) -> DataFrame:
 
 
 def _latest_snapshot(spark: SparkSession, state_dir: str):
-    """(cells, row deletes, last batch id) of the newest *complete* snapshot,
-    or (None, None, -1). A snapshot counts once its marker exists; the marker
-    is written only after both tables committed, so a compaction that died
-    half way is never read."""
+    """(row log, last batch id) of the newest *complete* snapshot, or
+    (None, -1). A snapshot counts once its marker exists; the marker is
+    written only after the table committed, so a compaction that died half
+    way is never read."""
     from pyspark.errors import AnalysisException
     try:
         done = spark.read.schema("done int, upto long").parquet(f"{state_dir}/snapshot_done")
         upto = done.agg(F.max("upto")).first()[0]
     except AnalysisException:
-        return None, None, -1
+        return None, -1
     if upto is None:
-        return None, None, -1
-    read = lambda name, schema: spark.read.schema(schema).parquet(f"{state_dir}/{name}/upto={int(upto)}")
-    return read("snapshot", SNAPSHOT_SCHEMA), read("snapshot_deletes", TOMBSTONE_SCHEMA), int(upto)
+        return None, -1
+    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{state_dir}/snapshot/upto={int(upto)}"), int(upto)
 
 
-def _fold_inputs(spark: SparkSession, state_dir: str, through: int | None):
-    """(cell log, row deletes, table drops): the newest snapshot plus only
-    the log batches written after it (up to ``through`` when given)."""
-    snap, gone, upto = _latest_snapshot(spark, state_dir)
+def _fold_inputs(spark: SparkSession, state_dir: str, through: int | None, recreate_on_update: bool):
+    """(row log, table drops): the newest snapshot plus only the log batches
+    written after it (up to ``through`` when given)."""
+    snap, upto = _latest_snapshot(spark, state_dir)
     log = read_change_log(spark, state_dir, with_batch=True).where(F.col("batch") > F.lit(upto))
     if through is not None:
         log = log.where(F.col("batch") <= F.lit(through))
-    log = log.withColumn("seq", _order("seq", F.col("phase")))
+    rows = D.row_log(log.withColumn("seq", _order("seq", F.col("phase"))))
     history = read_config_log(spark, state_dir).withColumn("cseq", _order("cseq", F.lit(0)))
-    cell_log, deletes = D.cells(log), D.row_deletes(log)
     if snap is not None:
-        cell_log = cell_log.unionByName(snap.select(*cell_log.columns))
-        deletes = deletes.unionByName(gone.select(*deletes.columns))
-    return cell_log, deletes, D.table_drops(history)
+        rows = rows.unionByName(snap)
+    return rows, D.table_drops(history, recreate_on_update)
 
 
 def dim_current_from_logs(spark: SparkSession, state_dir: str, keep_seq: bool = False,
-                          through: int | None = None) -> DataFrame:
+                          through: int | None = None, recreate_on_update: bool = True) -> DataFrame:
     """Fold the logs written by the stream into current cells."""
-    return D.fold_current(*_fold_inputs(spark, state_dir, through), keep_seq=keep_seq)
+    return D.fold_rows(*_fold_inputs(spark, state_dir, through, recreate_on_update), keep_seq=keep_seq)
 
 
-def compact_dims(spark: SparkSession, state_dir: str, through: int | None = None) -> int:
-    """Write the folded state (each cell with its order key) as
-    ``snapshot/upto=<batch>`` and the last delete of every row beside it, and
-    return that batch id; later folds read them plus newer batches only. The
-    deletes stay, so a put that arrives late finds the row deleted all the
-    same; table drops are read from the config log. Run between micro-batches
-    or as a separate job; a snapshot is written once and never modified."""
+def sink_tables_from_logs(spark: SparkSession, state_dir: str, preload: DataFrame | None = None,
+                          recreate_on_update: bool = True) -> DataFrame:
+    """The table registry of the stream: tables that exist after its config log."""
+    history = read_config_log(spark, state_dir).withColumn("cseq", _order("cseq", F.lit(0)))
+    if preload is not None:
+        first = F.struct(F.lit(-1).cast("long").alias("epoch"), F.lit(0).alias("phase"),
+                         F.lit(CF.PRELOAD_SEQ).cast("long").alias("seq"))
+        history = history.unionByName(preload.select(first.alias("cseq"), F.lit("r").alias("op"), *CF.CONFIG_FIELDS),
+                                      allowMissingColumns=True)
+    return D.sink_tables(history, recreate_on_update)
+
+
+def compact_dims(spark: SparkSession, state_dir: str, through: int | None = None,
+                 recreate_on_update: bool = True) -> int:
+    """Write the folded state (each cell and each row's last delete with its
+    order key) as ``snapshot/upto=<batch>`` and return that batch id; later
+    folds read it plus newer batches only. The deletes stay, so a put that
+    arrives late finds the row deleted all the same; table drops are read from
+    the config log. Run between micro-batches or as a separate job; a snapshot
+    is written once and never modified."""
     if through is None:
         last = read_change_log(spark, state_dir, with_batch=True).agg(F.max("batch")).first()[0]
         if last is None:
             return -1
         through = int(last)
-    if _latest_snapshot(spark, state_dir)[2] >= through:
+    if _latest_snapshot(spark, state_dir)[1] >= through:
         return through
     # pinned to the batches seen now: a batch the stream commits meanwhile
     # stays outside this snapshot and is folded in by later reads
-    cell_log, deletes, drops = _fold_inputs(spark, state_dir, through)
-    D.fold_current(cell_log, deletes, drops, keep_seq=True).write.mode("overwrite").parquet(
+    rows, drops = _fold_inputs(spark, state_dir, through, recreate_on_update)
+    D.fold_rows(rows, drops, keep_seq=True, keep_deletes=True).write.mode("overwrite").parquet(
         f"{state_dir}/snapshot/upto={through}")
-    deletes.groupBy("sink_table", "row_key").agg(F.max("seq").alias("seq")).write.mode("overwrite").parquet(
-        f"{state_dir}/snapshot_deletes/upto={through}")
     spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(f"{state_dir}/snapshot_done/upto={through}")
     return through

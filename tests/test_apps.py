@@ -122,16 +122,19 @@ def test_compaction_is_read_and_keeps_deletes(spark):
     assert any("/snapshot/upto=0/" in f for f in files)
     plan = J.dim_current_from_logs(spark, compacted)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch" in plan
-    assert J._latest_snapshot(spark, compacted)[2] == 0
+    assert J._latest_snapshot(spark, compacted)[1] == 0
 
 
 def test_malformed_lines_are_set_aside(spark):
     import pytest
-    rows = [(1, _config("r"), "config"), (2, '{"op":"d"', "config"), (3, "{} trailing", "change"),
-            (4, _change(id=1, name="a"), "change")]
+    good, gone = _change(id=1, name="a"), _config("d")
+    bad = [(2, "config", '{"op":"d"'), (3, "change", "{} trailing"), (5, "config", gone + "junk"),
+           (6, "config", gone + gone), (7, "change", good + good), (8, "change", good + "," + good),
+           (9, "change", good + " junk}"), (10, "change", ""), (11, "change", "[1]")]
+    rows = [(1, _config("r"), "config"), (4, good, "change")] + [(seq, line, kind) for seq, kind, line in bad]
     state = scratch_path(spark, "state")
     assert len(_write(spark, state, [rows])) == 2
-    assert _rows(J.read_quarantine_log(spark, state)) == [(2, "config", '{"op":"d"'), (3, "change", "{} trailing")]
+    assert _rows(J.read_quarantine_log(spark, state)) == bad
     with pytest.raises(ValueError):
         _write(spark, scratch_path(spark, "state"), [rows], on_malformed="fail")
 
@@ -156,6 +159,24 @@ def test_other_ops_recreate_a_table(spark):
     from rivulet.operators.dims import sink_tables
     lines = spark.createDataFrame([(1, _config("r")), (2, _config("t", sink_family="f2"))], "seq long, value string")
     assert _rows(sink_tables(config_images(lines))) == [("dim_t", "f2")]
+    assert _rows(sink_tables(config_images(lines), recreate_on_update=False)) == [("dim_t", "info")]
+
+
+def test_table_registry_of_the_stream(spark):
+    """Tables come from the config log; an update empties one unless told not to."""
+    from rivulet.operators.configs import config_images
+    from rivulet.operators.dims import sink_families
+    from pyspark.sql import functions as F
+    batches = [[(0, _config("r"), "config"), (5, _change(id=1), "change")],
+               [(1, _config("u", sink_family="info,more"), "config")]]
+    state = scratch_path(spark, "state")
+    assert _write(spark, state, batches, order="arrival") == []
+    assert J.dim_current_from_logs(spark, state, recreate_on_update=False).count() == 1
+    preload = (config_images(spark.createDataFrame([(0, _config("r"))], "seq long, value string"))
+               .drop("cseq", "op").withColumn("sink_table", F.lit("dim_first")))
+    tables = J.sink_tables_from_logs(spark, state, preload)
+    assert _rows(tables) == [("dim_first", "info"), ("dim_t", "info,more")]
+    assert _rows(sink_families(tables)) == [("dim_first", "info"), ("dim_t", "info"), ("dim_t", "more")]
 
 
 def test_two_objects_on_a_line_are_dirty(spark):

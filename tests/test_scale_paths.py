@@ -58,12 +58,13 @@ def test_fallback_paths_without_broadcast_agree(spark):
     versions = CF.config_versions(hist)
     small = CF.route_asof(ch, versions)
     big = CF.route_asof(ch, versions, max_broadcast=0)
-    cols = ["seq", "cseq", "sink_table"]
+    cols = ["seq", "table", "type", "data_text", "cseq", *CF.CONFIG_FIELDS[1:]]
+    assert small.columns == big.columns
     assert sorted(tuple(r) for r in big.select(*cols).collect()) == \
         sorted(tuple(r) for r in small.select(*cols).collect())
     big.select(*cols).collect()
     plan = _plan(big)
-    assert "BroadcastNestedLoopJoin" not in plan
+    assert "Join" not in plan                                # a merge, no versions x changes
     log = D.change_log(small)
     a = D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(hist))
     b = D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(hist), max_broadcast_tables=0)
@@ -94,3 +95,33 @@ def test_flag_repair_shuffle_join_path(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_asof_merge_across_buckets(spark, monkeypatch):
+    """The merge carries versions over bucket borders, preloads and deletes
+    included, and equals the lookup, which tests every version."""
+    from rivulet.operators import configs as CF
+    monkeypatch.setattr(CF, "BUCKET_BITS", 4)
+    history = spark.range(60).select(
+        (F.col("id") * 13).alias("cseq"), F.when(F.col("id") % 5 == 3, "d").otherwise("u").alias("op"),
+        F.concat(F.lit("t"), F.col("id") % 3).alias("source_table"), F.concat(F.lit("s"), "id").alias("sink_table"),
+        F.lit("id").alias("sink_columns"), F.lit("f").alias("sink_family"), F.lit("id").alias("sink_row_key"))
+    preload = spark.range(4).select(F.concat(F.lit("t"), "id").alias("source_table"), F.lit("first").alias("sink_table"),
+                                    *[F.lit("id").alias(c) for c in CF.CONFIG_FIELDS[2:]])
+    changes = spark.range(0, 3000, 3).select(
+        (F.col("id") - 100).alias("seq"), F.when(F.col("id") % 11 != 0, F.concat(F.lit("t"), F.col("id") % 5)).alias("table"))
+    for first in (None, preload):
+        v = CF.config_versions(history, first)
+        want = CF.route_asof(changes, v)
+        got = CF.route_asof(changes, v, max_versions=0)
+        assert "Join" in _plan(want) and "Join" not in _plan(got)
+        rows = sorted(tuple(r) for r in got.collect())
+        assert rows == sorted(tuple(r) for r in want.collect()) and len(rows) > 300
+
+
+def test_dimension_fold_reads_changes_once(spark):
+    cur = C.dim_current(spark, SF)
+    changes = FX.change_lines(spark, SF).inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    plan = _plan(cur)
+    assert sum("FileScan" in line and changes.rsplit("/", 1)[1] in line for line in plan.splitlines()) <= 1
+    assert plan.count("data_text") and "SortMergeJoin" not in plan
