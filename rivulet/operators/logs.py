@@ -89,16 +89,18 @@ def first_visits(tagged: DataFrame) -> DataFrame:
 
 
 def repair_flags(tagged: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS,
-                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, visits: DataFrame | None = None) -> DataFrame:
     """Adds ``first_visit`` and the repaired ``is_new_fixed`` to every good line.
 
     Rule (per device, state set once by its first line, never changed):
     first line flagged '1' -> its own date, otherwise the date 24 h earlier;
     a line flagged '1' whose date differs from that state becomes '0'.
     Dirty lines pass through with NULLs. On the way, ``m`` is kept only for
-    good lines and ``value`` (the raw text) only for dirty ones.
+    good lines and ``value`` (the raw text) only for dirty ones. ``visits``
+    (mid, first_visit, rows) replaces the lines' own ``first_visits`` where
+    earlier lines have set a device's state.
     """
-    stats = first_visits(tagged)
+    stats = first_visits(tagged) if visits is None else visits
     hot = (stats.where(F.col("rows") >= F.lit(hot_rows))
            .orderBy(F.col("rows").desc(), F.col("mid"))
            .limit(max_hot_keys)                       # the broadcast's size bound

@@ -3,14 +3,18 @@
 Production reads and writes Kafka (``format='kafka'``); offline and in tests
 the same records live in files of ``(seq, value)``. Every reader returns
 ``(seq BIGINT, value STRING)``: ``seq`` is the arrival order used to break
-ties and to order a device's lines (for Kafka: ``offset * 4096 + partition``,
-which orders records within a partition, the only order Kafka defines).
+ties and to order a device's lines (for Kafka: ``topic_seq``, which orders
+records within a partition, the only order Kafka defines).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# What one micro-batch takes at most, unless the caller says otherwise.
+DEFAULT_OFFSETS_PER_TRIGGER = 10_000_000
+DEFAULT_FILES_PER_TRIGGER = 1_000
+
 LINE_SCHEMA = "seq long, value string"
 
 
@@ -30,13 +34,14 @@ def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "parque
         opts.setdefault("subscribe", topic)
         if stream:
             opts.setdefault("startingOffsets", "latest")
+            opts.setdefault("maxOffsetsPerTrigger", str(DEFAULT_OFFSETS_PER_TRIGGER))
         df = reader.format("kafka").options(**opts).load()
         # no two records share a seq: 48 bits of offset below the partition
         wide = F.assert_true((F.col("offset") < 1 << 48) & (F.col("partition") < 1 << 15), "topic too wide for seq")
         return df.where(wide.isNull()).select(topic_seq(F.col("partition"), F.col("offset")).alias("seq"),
                          F.col("value").cast("string").alias("value"))
-    if stream and max_files_per_trigger:
-        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if stream:
+        opts.setdefault("maxFilesPerTrigger", str(max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER))
     df = reader.schema(LINE_SCHEMA).format(fmt).options(**opts).load(path)
     return df.select("seq", "value")
 

@@ -32,20 +32,15 @@ def start_log_app(spark: SparkSession, *, source_format: str = "kafka", source_p
                   sink_path: str | None = None, sink_options: dict | None = None,
                   checkpoint: str | None = None, trigger: str = J.DEFAULT_TRIGGER,
                   parallelism_: int | None = None, available_now: bool = False,
-                  name: str = "dwd_base_log") -> StreamingQuery:
-    """Log topic -> dirty split, flag repair, fan-out -> one topic sink."""
+                  state_dir: str | None = None, name: str = "dwd_base_log") -> StreamingQuery:
+    """Log topic -> dirty split, flag repair, fan-out -> one topic sink.
+    Devices' first visits are kept in ``state_dir`` (beside the checkpoint)."""
     lines = read_topic(spark, K.TOPIC_LOG, fmt=source_format, path=source_path,
                        options=source_options)
-    routed = J.log_stream(lines)
-    if sink_format == "kafka":
-        q = J.run_stream(routed.select("topic", "value"), _ck(spark, name, checkpoint),
-                         fmt="kafka", options=sink_options, available_now=available_now,
-                         processing_time=trigger, name=name,
-                         state_partitions=parallelism_ or parallelism(spark))
-        return q
-    return J.run_stream(routed, _ck(spark, name, checkpoint),
-                        foreach_batch=J.topic_sink(sink_path, sink_format, sink_options),
-                        available_now=available_now, processing_time=trigger, name=name,
+    ck = _ck(spark, name, checkpoint)
+    write = J.log_batch_writer(sink_path, state_dir or f"{ck}-state", sink_format, sink_options)
+    return J.run_stream(lines, ck, foreach_batch=write, available_now=available_now,
+                        processing_time=trigger, name=name,
                         state_partitions=parallelism_ or parallelism(spark))
 
 
@@ -105,7 +100,7 @@ def main(argv: list[str] | None = None) -> None:
         q = start_log_app(spark, source_format=a.source_format, source_path=a.source_path,
                           source_options=_opts(a.option), sink_format=a.sink_format,
                           sink_path=a.sink_path, sink_options=_opts(a.sink_option),
-                          checkpoint=a.checkpoint, trigger=a.trigger,
+                          checkpoint=a.checkpoint, state_dir=a.state_dir, trigger=a.trigger,
                           parallelism_=a.parallelism, available_now=a.available_now)
     else:
         q = start_dim_app(spark, state_dir=a.state_dir or f"{checkpoint_root(spark)}/rivulet/dim_state",

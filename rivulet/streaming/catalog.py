@@ -102,9 +102,9 @@ def visitor_fix_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def _routed_stream(spark: SparkSession, d: str) -> str:
     src = _landed_log(spark, d)
-    out, ck = scratch_path(spark, "topics_out"), scratch_path(spark, "ck")
-    routed = J.log_stream(_stream_lines(spark, src))
-    _drain(J.run_stream(routed, ck, foreach_batch=J.topic_sink(out), available_now=True,
+    out, state, ck = (scratch_path(spark, n) for n in ("topics_out", "visits", "ck"))
+    _drain(J.run_stream(_stream_lines(spark, src), ck, available_now=True,
+                        foreach_batch=J.log_batch_writer(out, state, compact_every=2),
                         state_partitions=_files_per_piece(spark)))
     return out
 

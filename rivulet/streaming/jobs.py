@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators import changes as CH, configs as CF, dims as D, logs as L
 from rivulet.sources.topics import write_topics_batch
-from rivulet.streaming.visitor import repair_flags_stream
 
 DEFAULT_TRIGGER = "5 seconds"
 
@@ -66,19 +66,98 @@ def run_stream(df: DataFrame, checkpoint: str, *, fmt: str | None = None, path:
                 spark.conf.set(k, v)
 
 
-def log_stream(lines: DataFrame, ttl_ms: int | None = None, **route_opts) -> DataFrame:
-    """Streaming log job: (seq, value) -> (seq, topic, pos, value).
+VISIT_SCHEMA = "mid string, first_visit date"
 
-    The parse and the fan-out are the batch expressions; only the flag repair
-    differs (keyed state instead of aggregate + join). The stateful step
-    carries the raw line as an opaque string and the line is parsed again
-    after it, so no variant crosses into Python. Dirty lines ride along under
-    their own keys, so each micro-batch reads its source once.
+
+def _read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of all ``batch=<id>`` folders under ``path``; none before the first."""
+    schema += ", batch long"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _snapshot_upto(spark: SparkSession, marks: str, below: int | None = None) -> int:
+    """Last batch of the newest *complete* snapshot (of batches before
+    ``below``), -1 without one. A snapshot counts once its marker exists; the
+    marker is written only after the table committed, so a compaction that
+    died half way is never read."""
+    try:
+        done = spark.read.schema("done int, upto long").parquet(marks)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    if below is not None:
+        done = done.where(F.col("upto") < F.lit(below))
+    upto = done.agg(F.max("upto")).first()[0]
+    return -1 if upto is None else int(upto)
+
+
+def _mark_snapshot(spark: SparkSession, marks: str, upto: int) -> None:
+    spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(f"{marks}/upto={upto}")
+
+
+def known_visits(spark: SparkSession, state_dir: str, before: int) -> DataFrame:
+    """Devices' first visits set by batches before ``before``, one row each."""
+    upto = _snapshot_upto(spark, f"{state_dir}/visit_snapshot_done", before)
+    tail = (_read_batches(spark, f"{state_dir}/visits", VISIT_SCHEMA)
+            .where((F.col("batch") > F.lit(upto)) & (F.col("batch") < F.lit(before))).drop("batch"))
+    if upto < 0:
+        return tail
+    return spark.read.schema(VISIT_SCHEMA).parquet(f"{state_dir}/visit_snapshot/upto={upto}").unionByName(tail)
+
+
+def batch_visits(tagged: DataFrame, known: DataFrame) -> DataFrame:
+    """State of the devices of a batch: (mid, first_visit, rows, fresh); what
+    was set before stays, ``fresh`` devices are set by this batch. Of the known
+    devices only the batch's cross a shuffle."""
+    seen = L.first_visits(tagged)
+    met = (known.join(seen.select("mid"), "mid", "left_semi")
+           .select("mid", F.col("first_visit").alias("set_before")))
+    return seen.join(met, "mid", "left").select(
+        "mid", F.coalesce("set_before", "first_visit").alias("first_visit"), "rows",
+        F.col("set_before").isNull().alias("fresh"))
+
+
+def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet", options: dict | None = None,
+                     compact_every: int | None = 50, **route_opts):
+    """foreachBatch body of the log job: (seq, value) lines -> topics.
+
+    The batch is parsed once and kept; its devices' first visits are a
+    partial aggregation, met by the state that earlier batches set, and the
+    lines are repaired and fanned out as in the batch job, hot devices salted
+    and dirty lines spread. Devices new in a batch go to
+    ``visits/batch=<id>`` before the topics are written. Both are addressed by
+    batch id and a batch reads only the state of batches before it, so a
+    replayed batch gives what it gave before. Every ``compact_every`` batches
+    the state is rewritten as one table.
     """
-    fixed = repair_flags_stream(L.tag_lines(lines), ttl_ms, with_dirty=True)
-    both = L.tag_lines(fixed.select("seq", "value", "is_new_fixed", "first_visit"),
-                       keep=("is_new_fixed", "first_visit"))
-    return L.route(both, **route_opts)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tagged = L.tag_lines(batch).persist()
+        visits = batch_visits(tagged, known_visits(spark, state_dir, batch_id)).persist()
+        try:
+            (visits.where("fresh").select("mid", "first_visit").write.mode("overwrite")
+             .parquet(f"{state_dir}/visits/batch={batch_id}"))
+            routed = L.route(L.repair_flags(tagged, visits=visits.drop("fresh")), **route_opts)
+            write_topics_batch(routed, sink_path, batch_id, fmt, options)
+        finally:
+            visits.unpersist()
+            tagged.unpersist()
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_visits(spark, state_dir, batch_id)
+    return write
+
+
+def compact_visits(spark: SparkSession, state_dir: str, through: int) -> None:
+    """Write the state set by batches up to ``through`` as one snapshot."""
+    known_visits(spark, state_dir, through + 1).write.mode("overwrite").parquet(
+        f"{state_dir}/visit_snapshot/upto={through}")
+    _mark_snapshot(spark, f"{state_dir}/visit_snapshot_done", through)
 
 
 def topic_sink(path: str, fmt: str = "parquet", options: dict | None = None):
@@ -181,19 +260,11 @@ def read_quarantine_log(spark: SparkSession, state_dir: str) -> DataFrame:
 
 
 def _latest_snapshot(spark: SparkSession, state_dir: str):
-    """(row log, last batch id) of the newest *complete* snapshot, or
-    (None, -1). A snapshot counts once its marker exists; the marker is
-    written only after the table committed, so a compaction that died half
-    way is never read."""
-    from pyspark.errors import AnalysisException
-    try:
-        done = spark.read.schema("done int, upto long").parquet(f"{state_dir}/snapshot_done")
-        upto = done.agg(F.max("upto")).first()[0]
-    except AnalysisException:
-        return None, -1
-    if upto is None:
+    """(row log, last batch id) of the newest complete snapshot, or (None, -1)."""
+    upto = _snapshot_upto(spark, f"{state_dir}/snapshot_done")
+    if upto < 0:
         return None, -1
-    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{state_dir}/snapshot/upto={int(upto)}"), int(upto)
+    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{state_dir}/snapshot/upto={upto}"), upto
 
 
 def _fold_inputs(spark: SparkSession, state_dir: str, through: int | None, recreate_on_update: bool):
@@ -248,5 +319,5 @@ def compact_dims(spark: SparkSession, state_dir: str, through: int | None = None
     rows, drops = _fold_inputs(spark, state_dir, through, recreate_on_update)
     D.fold_rows(rows, drops, keep_seq=True, keep_deletes=True).write.mode("overwrite").parquet(
         f"{state_dir}/snapshot/upto={through}")
-    spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(f"{state_dir}/snapshot_done/upto={through}")
+    _mark_snapshot(spark, f"{state_dir}/snapshot_done", through)
     return through

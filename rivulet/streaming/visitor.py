@@ -6,7 +6,9 @@ micro-batch a device's lines are not ordered, so for a device without state
 the earliest line (by seq) of the batch decides. Only then are the device's
 rows of that batch held together; once the state exists, Arrow chunks stream
 straight through. A device's rows per batch are bounded by the trigger size
-(``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+(``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``). The log job does without
+(``jobs.log_batch_writer``); this form is for a state TTL, or for repaired
+lines as a stream of their own.
 """
 
 from __future__ import annotations
@@ -33,10 +35,6 @@ OUT_SCHEMA = ("seq long, mid string, is_new string, is_new_fixed string, "
               "visit_day date, first_visit date, value string")
 IN_COLS = ["seq", "mid", "is_new", "visit_day", "seed_day", "value"]
 OUT_COLS = ["seq", "mid", "is_new", "is_new_fixed", "visit_day", "first_visit", "value"]
-# Dirty lines may ride through the same keyed step (so a micro-batch reads its
-# source once); they are keyed by (True, seq bucket), never touch state, and
-# come out unchanged.
-DIRTY_BUCKETS = 64
 
 
 def _apply(pdf: pd.DataFrame, first_visit) -> pd.DataFrame:
@@ -54,10 +52,6 @@ class FirstVisitProcessor(StatefulProcessor):
         self.state = handle.getValueState("first_visit", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if key[0]:                                   # dirty lines: pass through
-            for pdf in rows:
-                yield pdf.assign(is_new_fixed=None, first_visit=None)[OUT_COLS]
-            return
         if self.state.exists():
             fv = self.state.get()[0]
             for pdf in rows:
@@ -75,10 +69,6 @@ class FirstVisitProcessor(StatefulProcessor):
 def _grouped_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     """The same rule for ``applyInPandasWithState`` (state travels in-band
     with the Arrow batches instead of one call per state access)."""
-    if key[0]:
-        for pdf in pdfs:
-            yield pdf.assign(is_new_fixed=None, first_visit=None)[OUT_COLS]
-        return
     if state.exists:
         fv = state.get[0]
         for pdf in pdfs:
@@ -90,22 +80,12 @@ def _grouped_state_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.D
     yield _apply(batch, fv)
 
 
-def repair_flags_stream(tagged: DataFrame, ttl_ms: int | None = None,
-                        with_dirty: bool = False, api: str = "grouped") -> DataFrame:
-    """Tagged lines (streaming) -> OUT_SCHEMA rows with the repaired flag.
-
-    Keyed by (dirty, device): good lines by their device id; with
-    ``with_dirty`` the dirty lines come along keyed by a seq bucket, with
-    NULL flag columns; otherwise they are left out."""
+def repair_flags_stream(tagged: DataFrame, ttl_ms: int | None = None, api: str = "grouped") -> DataFrame:
+    """Tagged lines (streaming) -> OUT_SCHEMA rows with the repaired flag, for
+    good lines, keyed by device."""
     ensure_state_store(tagged.sparkSession)
-    dirty = F.col("dirty_reason").isNotNull()
-    rows = tagged if with_dirty else tagged.where(~dirty)
-    keyed = rows.select(
-        dirty.alias("dirty"),
-        F.when(dirty, F.pmod(F.col("seq"), F.lit(DIRTY_BUCKETS)).cast("string"))
-         .otherwise(F.col("mid")).alias("device"),
-        *IN_COLS)
-    g = keyed.groupBy("dirty", "device")
+    g = (tagged.where(F.col("dirty_reason").isNull())
+         .select(F.col("mid").alias("device"), *IN_COLS).groupBy("device"))
     if api == "grouped" and ttl_ms is None:
         return g.applyInPandasWithState(_grouped_state_fn, OUT_SCHEMA, "first_visit date",
                                         "append", "NoTimeout")

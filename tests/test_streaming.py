@@ -19,9 +19,9 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def _run_routes(spark, src, out, ck):
-    lines = read_topic(spark, fmt="parquet", path=src, max_files_per_trigger=2)
-    q = J.run_stream(J.log_stream(lines), ck, foreach_batch=J.topic_sink(out), available_now=True)
+def _run_routes(spark, src, out, ck, files=2, **options):
+    lines = read_topic(spark, fmt="parquet", path=src, max_files_per_trigger=files)
+    q = J.run_stream(lines, ck, foreach_batch=J.log_batch_writer(out, f"{ck}-state", **options), available_now=True)
     q.awaitTermination()
     assert q.exception() is None
 
@@ -48,6 +48,46 @@ def test_replayed_batch_overwrites_its_output(spark):
     assert read_topics(spark, out).count() == routed.count()
 
 
+def test_log_batches_replay_with_the_same_state(spark):
+    """A batch sees the state of earlier batches only, compacted or not, also
+    when it runs again after later ones."""
+    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+    lines = FX.log_lines(spark, SF)
+    cuts = [lines.where(F.col("seq") < 300), lines.where(F.col("seq").between(300, 600)), lines.where(F.col("seq") > 600)]
+    write = J.log_batch_writer(out, state, compact_every=2)
+    for i in (0, 1, 1, 2, 0, 1, 2):
+        write(cuts[i], i)
+    got = extract_routed(read_topics(spark, out)).select(*COLS)
+    assert _rows(got) == _rows(C.route_all(spark, SF))
+    visits = J.known_visits(spark, state, 3)
+    assert _rows(visits) == _rows(L.first_visits(L.tag_lines(lines)).select("mid", "first_visit"))
+    assert any("/visit_snapshot/upto=1/" in f for f in visits.inputFiles())
+
+
+def test_log_batch_plan_is_native(spark):
+    tagged = L.tag_lines(FX.log_lines(spark, SF)).persist()
+    visits = J.batch_visits(tagged, spark.createDataFrame([], J.VISIT_SCHEMA)).persist()
+    routed = L.route(L.repair_flags(tagged, visits=visits.drop("fresh")))
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    above = [p for p in plan.splitlines() if "InMemoryTableScan" in p or "Python" in p or "Pandas" in p]
+    assert above and not any("Python" in p or "Pandas" in p for p in above)
+    assert routed.count() == L.run_log_job(FX.log_lines(spark, SF)).count()
+    visits.unpersist(), tagged.unpersist()
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.integers(min_value=1, max_value=998), min_size=1, max_size=3, unique=True))
+def test_log_stream_independent_of_batch_borders(spark, cuts):
+    lines = FX.log_lines(spark, SF)
+    src, out, ck = (scratch_path(spark, n) for n in ("src", "out", "ck"))
+    bounds = [0] + sorted(cuts) + [10 ** 9]
+    for a, b in zip(bounds, bounds[1:]):
+        land_lines(lines.where((F.col("seq") >= a) & (F.col("seq") < b)), src, 1, 1)
+    _run_routes(spark, src, out, ck, files=1, compact_every=2)
+    got = extract_routed(read_topics(spark, out)).select(*COLS)
+    assert _rows(got) == _rows(C.route_all(spark, SF))
+
+
 def test_dim_stream_restart(spark):
     src, state, ck = (scratch_path(spark, n) for n in ("src", "state", "ck"))
     merged = (FX.config_lines(spark, SF).withColumn("kind", F.lit("config"))
