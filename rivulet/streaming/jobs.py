@@ -154,7 +154,10 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
 
 
 def compact_visits(spark: SparkSession, state_dir: str, through: int) -> None:
-    """Write the state set by batches up to ``through`` as one snapshot."""
+    """Write the state set by batches up to ``through`` as one snapshot; one
+    that is complete (a batch running again) is never written over."""
+    if _snapshot_upto(spark, f"{state_dir}/visit_snapshot_done") >= through:
+        return
     known_visits(spark, state_dir, through + 1).write.mode("overwrite").parquet(
         f"{state_dir}/visit_snapshot/upto={through}")
     _mark_snapshot(spark, f"{state_dir}/visit_snapshot_done", through)
