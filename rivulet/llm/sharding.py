@@ -12,6 +12,7 @@ that borders never cut far from where the flow put them.
 
 The law held is ``bytes``: shard sizes are equal but for half a row at each
 border. Equal texts are not kept together; each row is its own group.
+Last, the rows of every shard that gains or loses any are written anew.
 
 Defined results: a null text has no bytes (size is the fixed overhead);
 null ids, repeated rows and rows that differ in nothing are placed each; an
@@ -26,6 +27,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from rivulet.llm.common import groups_for, materialize, read_table
+from rivulet.session import scratch_path
 
 N_SHARDS = 40
 ROW_OVERHEAD = 16
@@ -113,14 +115,21 @@ def place_large(rows: list[tuple], shards: int, share: int) -> tuple[dict, dict[
     return where, load
 
 
+def text_size(text: Column) -> Column:
+    return (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_OVERHEAD).cast("long")
+
+
+def text_crc(text: Column) -> Column:
+    return F.coalesce(F.crc32(text), F.lit(0)).cast("long")
+
+
 def reshard(df: DataFrame, old_shard: Column, shards: int = N_SHARDS, id_col: str = "doc_id",
             text_col: str = "text", cost=None) -> DataFrame:
     """(id, size, text_crc32, old_shard, shard, slot) of every row."""
     spark = df.sparkSession
     text = F.col(text_col).cast("string")
     rows = materialize(df.select(
-        F.col(id_col), (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
-        F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
+        F.col(id_col), text_size(text).alias("size"), text_crc(text).alias("text_crc32"),
         F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old_shard")), "rows")
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     share = max(1, total // shards)
@@ -170,23 +179,62 @@ def affected_shards(placed: DataFrame) -> DataFrame:
     return moved.select("shard").union(moved.select(F.col("old_shard").alias("shard"))).distinct()
 
 
-def rewrite_affected(df: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """Writes the rows of every affected shard to ``path`` (a folder a shard)
-    and returns the list of rewritten shards. Shards that neither gain nor
-    lose rows keep their files. ``id_col`` must be unique for this step."""
+def with_places(df: DataFrame, placed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``df`` that ``placed`` names, with new_shard and new_slot. Rows
+    equal in id, size and checksum share out their places, each taken once.
+    The text crosses one shuffle."""
+    def keyed(id_: Column, size: Column, crc: Column) -> dict[str, Column]:
+        return {"__id": F.coalesce(id_.cast("string"), F.lit("")), "__no_id": id_.isNull(), "__size": size, "__crc": crc}
+
+    keys = ["__id", "__no_id", "__size", "__crc"]
+    places = (placed.select(*[c.alias(k) for k, c in keyed(F.col(id_col), F.col("size"), F.col("text_crc32")).items()],
+                            F.struct("shard", "slot").alias("__place"))
+              .groupBy(*keys).agg(F.sort_array(F.collect_list("__place")).alias("__places")))
+    text = F.col(text_col).cast("string")
+    rows = (df.withColumns(keyed(F.col(id_col), text_size(text), text_crc(text)))
+            .withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(text)))))
+    at = F.expr("get(__places, __nth - 1)")
+    return (rows.join(places, keys).withColumn("__at", at).filter("__at is not null")
+            .withColumns({"new_shard": F.col("__at.shard"), "new_slot": F.col("__at.slot")})
+            .drop(*keys, "__nth", "__places", "__at"))
+
+
+def rewrite_affected(df: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """Writes the rows of every affected shard to ``path`` (a folder a shard,
+    its files ordered by slot) and returns the list of rewritten shards.
+    Shards that neither gain nor lose rows keep their files."""
     touched = affected_shards(placed)
-    rows = placed.join(F.broadcast(touched), "shard", "left_semi").select(
-        F.col(id_col).alias("__id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
-    (df.join(rows, df[id_col].eqNullSafe(F.col("__id"))).drop("__id")
-     .withColumnsRenamed({"__shard": "new_shard", "__slot": "new_slot"})
-     .write.partitionBy("new_shard").parquet(path))
+    rows = with_places(df, placed, id_col, text_col).join(
+        F.broadcast(touched.withColumnRenamed("shard", "new_shard")), "new_shard", "left_semi")
+    rows.sortWithinPartitions("new_shard", "new_slot").write.partitionBy("new_shard").parquet(path)
     return touched
 
 
+def read_back(df: DataFrame, placed: DataFrame, touched: DataFrame, path: str, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """All rows as they lie after ``rewrite_affected``: the written shards from
+    ``path``, the others from ``df``."""
+    shards = {r[0] for r in touched.collect()}
+    fields = [f for f in df.schema.fields if f.name not in ("new_shard", "new_slot")]
+    schema = T.StructType([*fields, T.StructField("new_slot", T.LongType()), T.StructField("new_shard", T.IntegerType())])
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    if {r[0] for r in placed.select("shard").distinct().collect()} <= shards:
+        return out
+    still = with_places(df, placed, id_col, text_col).filter(~F.col("new_shard").isin(list(shards)))
+    return out.unionByName(still.select(*out.columns))
+
+
 def op6_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that landed by source, moved into 40 shards of equal bytes."""
+    """Documents that landed by source, moved into 40 shards of equal bytes:
+    the affected shards are written, and the result is read from them."""
     docs = read_table(spark, sf_dir, "documents")
     landed = F.pmod(F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("string")), F.lit(N_SHARDS))
-    return reshard(docs, landed).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    placed = materialize(reshard(docs, landed), "resharded")
+    path = scratch_path(spark, "shards")
+    touched = rewrite_affected(docs, placed, path)
+    text = F.col("text").cast("string")
+    return read_back(docs, placed, touched, path).select(
+        "doc_id", text_size(text).alias("size"), text_crc(text).alias("text_crc32"), F.lit("bytes").alias("law"),
+        F.col("new_shard").alias("shard"), F.col("new_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), F.coalesce(landed.cast("int"), F.lit(0)).alias("old_shard"))
