@@ -6,12 +6,12 @@ of their documents, Spark adds them up over the whole corpus, and every order
 is a grouped table: counts of the highest order, continuation counts below,
 discounts from counts of counts, context totals, and the interpolated
 probability of each n-gram by joins with its context and its suffix. An n-gram
-is packed into a 64-bit number of 12 bits a character, so context and suffix
-are shifts and masks.
+is packed into a 64-bit number of 16 bits a UTF-16 unit, so context and suffix
+are shifts and masks, and no two n-grams or languages share a key.
 
-For scoring, the probabilities stand in two arrays sorted by hash. The hash
-has ``SLOT_BITS`` bits whatever the corpus, which bounds what is broadcast;
-n-grams that share a hash share their count-weighted mean log-probability.
+For scoring, a model of up to ``BROADCAST_GRAMS`` n-grams is broadcast as
+arrays sorted by n-gram; a larger one stays a table, which the n-grams counted
+in each document meet in a shuffled join. Both give the same values.
 A document's perplexity is the mean over all its characters; per language the
 quartiles of all documents give a lower and an upper band, and documents
 outside are rejected.
@@ -37,14 +37,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rivulet.llm.common import materialize, read_table, slices, text_or_empty
 
 ORDER = 4
-CHAR_BITS = 12
-#: Character codes from here on fold into the range below.
+#: N-grams are of UTF-16 units, so a key of 64 bits holds any four of them.
+CHAR_BITS = 16
 FOLD = (1 << CHAR_BITS) - 1
-#: Stands before a text's first character.
-EDGE = 1
-#: Bounds of what is broadcast: languages, and slots of the hashed model.
-LANG_BUCKETS = 1021
-SLOT_BITS = 22
+#: Stands before a text's first character. No text has this half of a surrogate
+#: pair without the other one after it, so no n-gram of a text has it there.
+EDGE = 0xD800
+#: N-grams a task holds before it passes on their counts.
+HELD_GRAMS = 6_000_000
+#: A model of more n-grams is not broadcast but joined.
+BROADCAST_GRAMS = 4_000_000
 #: Bands lie this many interquartile widths (of at least LEAST_WIDTH nats)
 #: outside the quartiles of log-perplexity.
 BAND, LEAST_WIDTH = 5.0, 0.1
@@ -56,69 +58,60 @@ SPACE = " \t\n\v\f\r"
 # ------------------------------------------------------------ n-grams of text
 
 def char_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Folded codes of all texts, ORDER - 1 edge marks before each, and where
+    """UTF-16 units of all texts, ORDER - 1 edge marks before each, and where
     each begins."""
-    lead = chr(EDGE) * (ORDER - 1)
-    clean = [lead + re.sub(r"\d", "0", " ".join(t.lower().split())) for t in texts]
-    codes = np.frombuffer("".join(clean).encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
-    codes = np.where(codes >= FOLD, 2 + codes % (FOLD - 2), codes)
-    size = np.array([len(c) for c in clean], np.int64)
-    return codes, np.cumsum(size) - size
+    lead = np.array([EDGE] * (ORDER - 1), "<u2").tobytes()
+    clean = [lead + re.sub(r"\d", "0", " ".join(t.lower().split())).encode("utf-16-le", "replace") for t in texts]
+    size = np.array([len(c) // 2 for c in clean], np.int64)
+    return np.frombuffer(b"".join(clean), "<u2").astype(np.uint64), np.cumsum(size) - size
 
 
 def packed_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams that end at each character of the texts, in order, and
-    how many each text has."""
+    """Packed n-grams that end at each unit of the texts, in order, and how
+    many each text has."""
     codes, begin = char_codes(texts)
     grams = np.zeros(max(0, len(codes) - ORDER + 1), np.uint64)
     for i in range(ORDER):
         grams = grams << np.uint64(CHAR_BITS) | codes[i:i + len(grams)]
-    # an n-gram across two texts would end in a leading mark
-    inside = codes[ORDER - 1:] != EDGE
+    # an n-gram across two texts would end in a leading mark, known by its place
+    inside = np.ones(len(codes), bool)
+    for i in range(ORDER - 1):
+        inside[begin + i] = False
     until = np.append(begin[1:], len(codes))
-    return grams[inside], until - begin - (ORDER - 1)
+    return grams[inside[ORDER - 1:]].view(np.int64), until - begin - (ORDER - 1)
 
 
-def slot(lang: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Hash of (language bucket, packed n-gram) to SLOT_BITS bits."""
-    x = grams ^ (lang.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    x ^= x >> np.uint64(31)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(29)
-    return (x >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
-
-
-def lang_bucket(lang: Column) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(lang.cast("string"), F.lit("und"))), F.lit(LANG_BUCKETS)).cast("int")
+def lang_name(lang: Column) -> Column:
+    return F.coalesce(lang.cast("string"), F.lit("und"))
 
 
 def count_grams(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, g, c): counts of the highest order over all of ``df``."""
-    src = df.select(lang_bucket(F.col(lang_col)).alias("lang"), text_or_empty(text_col).alias("__text"))
+    src = df.select(lang_name(F.col(lang_col)).alias("lang"), text_or_empty(text_col).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: dict[str, list] = {}
 
-        def flush(lang: int) -> pa.RecordBatch:
+        def flush(lang: str) -> pa.RecordBatch:
             grams, counts = (np.concatenate(x) for x in zip(*held.pop(lang)))
             found, at = np.unique(grams, return_inverse=True)
             total = np.bincount(at, counts, len(found)).astype(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(found), lang, np.int32)), pa.array(found.view(np.int64)), pa.array(total)],
+                [pa.array([lang]).take(pa.array(np.zeros(len(found), np.int64))), pa.array(found), pa.array(total)],
                 ["lang", "g", "c"])
 
         for batch in batches:
             for part in slices(batch, "__text"):
-                langs = part.column(0).to_numpy()
-                for lang in np.unique(langs).tolist():
-                    texts = part.column(1).filter(pa.array(langs == lang)).to_pylist()
+                for lang in part.column(0).unique().to_pylist():
+                    texts = part.column(1).filter(pa.compute.equal(part.column(0), lang)).to_pylist()
                     held.setdefault(lang, []).append(np.unique(packed_grams(texts)[0], return_counts=True))
-                    if sum(len(g) for g, _ in held[lang]) > 2_000_000:
+                if sum(len(g) for x in held.values() for g, _ in x) > HELD_GRAMS:
+                    for lang in list(held):
                         yield flush(lang)
         for lang in list(held):
             yield flush(lang)
 
-    return (src.mapInArrow(run, "lang int, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")))
+    return (src.mapInArrow(run, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")))
 
 
 # ------------------------------------------------------- modified Kneser-Ney
@@ -136,7 +129,7 @@ def discounts(grams: DataFrame) -> DataFrame:
 
 def probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, g, c, p): interpolated probability of every n-gram of the
-    highest order. Discounts have a row a language bucket, which bounds their
+    highest order. Discounts have a row a language, which bounds their
     broadcast."""
     tables = {order: grams}
     for k in range(order - 1, 0, -1):
@@ -162,21 +155,20 @@ def probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
     return out
 
 
-def hash_arrays(probs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The model as (sorted slots, log-probabilities): at most 2**SLOT_BITS
-    entries come to the driver, however many n-grams there are."""
+def log_probabilities(probs: DataFrame) -> DataFrame:
+    return probs.select("lang", "g", F.log("p").cast("float").alias("lp"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = slot(b.column("lang").to_numpy(), b.column("g").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), b.column("c"),
-                                              pa.array(np.log(b.column("p").to_numpy()))], ["slot", "c", "lp"])
 
-    table = (probs.select("lang", "g", "c", "p").mapInArrow(run, "slot int, c long, lp double").groupBy("slot")
-             .agg((F.sum(F.col("lp") * F.col("c")) / F.sum("c")).cast("float").alias("lp")).toArrow())
-    slots, lp = table.column("slot").to_numpy().astype(np.uint32), table.column("lp").to_numpy()
-    order = np.argsort(slots)
-    return slots[order], lp[order]
+def sorted_arrays(probs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """A small model as {language: (sorted n-grams, log-probabilities)}."""
+    table = log_probabilities(probs).toArrow().combine_chunks()
+    out = {}
+    for lang in table.column("lang").unique().to_pylist():
+        own = table.filter(pa.compute.equal(table.column("lang"), lang))
+        g, lp = own.column("g").to_numpy(), own.column("lp").to_numpy()
+        order = np.argsort(g)
+        out[lang] = g[order], lp[order]
+    return out
 
 
 # ------------------------------------------------------------------- scoring
@@ -213,32 +205,72 @@ def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
-def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def score(df: DataFrame, probs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> DataFrame:
-    """(id, lang bucket, the base counts, log_perplexity) of every row."""
-    src = df.select(F.col(id_col), lang_bucket(F.col(lang_col)).alias("lang"), text_or_empty(text_col).alias("__text"))
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    """(id, lang, the base counts, log_perplexity) of every row. Both ways
+    look up every n-gram by its full key and give the same values."""
+    if probs.count() > BROADCAST_GRAMS:
+        return score_by_join(df, probs, id_col, text_col, lang_col)
+    src = df.select(F.col(id_col), lang_name(F.col(lang_col)).alias("lang"), text_or_empty(text_col).alias("__text"))
+    shared = df.sparkSession.sparkContext.broadcast(sorted_arrays(probs))
     kind = src.schema[id_col].dataType.simpleString()
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, logs = shared.value
+        model = shared.value
         for batch in batches:
             for part in slices(batch, "__text"):
-                texts, langs = part.column(2).to_pylist(), part.column(1).to_numpy()
-                grams, size = packed_grams(texts)
-                total = np.zeros(len(texts))
-                if len(grams):
-                    where = np.searchsorted(slots, slot(np.repeat(langs, size), grams))
-                    upto = np.concatenate([[0.0], np.cumsum(logs[where].astype(np.float64))])
-                    ends = np.cumsum(size)
-                    total = upto[ends] - upto[ends - size]
-                ppl = pa.array(-total / np.maximum(size, 1), mask=size == 0)
-                base = list(zip(*map(base_counts, texts))) or [()] * len(counts)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, pa.int64()) for c in base), ppl],
-                                                 [id_col, "lang", *counts, "log_perplexity"])
+                texts = part.column(2).to_pylist()
+                ppl, has = np.zeros(len(texts)), np.zeros(len(texts), bool)
+                for lang in part.column(1).unique().to_pylist():
+                    rows = np.flatnonzero(pa.compute.equal(part.column(1), lang).to_numpy(zero_copy_only=False))
+                    grams, size = packed_grams([texts[i] for i in rows])
+                    if len(grams):
+                        keys, logs = model[lang]
+                        upto = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(keys, grams)].astype(np.float64))])
+                        ends = np.cumsum(size)
+                        ppl[rows], has[rows] = (upto[ends - size] - upto[ends]) / np.maximum(size, 1), size > 0
+                base = list(zip(*map(base_counts, texts))) or [()] * len(COUNTS)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *(pa.array(c, pa.int64()) for c in base), pa.array(ppl, mask=~has)],
+                    [id_col, "lang", *COUNTS, "log_perplexity"])
+
+    return src.mapInArrow(run, f"`{id_col}` {kind}, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", log_perplexity double")
+
+
+def score_by_join(df: DataFrame, probs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  lang_col: str = "lang") -> DataFrame:
+    """``score`` for a model of any size: each document's n-grams are counted
+    and meet the model in a shuffled join, then add up by document."""
+    src = df.select(F.col(id_col), lang_name(F.col(lang_col)).alias("lang"), text_or_empty(text_col).alias("__text"))
+    kind = src.schema[id_col].dataType.simpleString()
 
-    return src.mapInArrow(run, f"`{id_col}` {kind}, lang int, " + ", ".join(f"{c} long" for c in counts) + ", log_perplexity double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "__text"):
+                texts = part.column(2).to_pylist()
+                base = list(zip(*map(base_counts, texts))) or [()] * len(COUNTS)
+                grams, size = packed_grams(texts)
+                own = [np.unique(x, return_counts=True) for x in np.split(grams, np.cumsum(size)[:-1])]
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(g) for g, _ in own])]), pa.int32())
+                values = [np.concatenate(x) for x in zip(*own)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *(pa.array(c, pa.int64()) for c in base), pa.array(size),
+                     *(pa.ListArray.from_arrays(offsets, pa.array(v, pa.int64())) for v in values)],
+                    [id_col, "lang", *COUNTS, "size", "g", "n"])
+
+    counted = materialize(
+        src.mapInArrow(run, f"`{id_col}` {kind}, lang string, " + ", ".join(f"{c} long" for c in COUNTS)
+                       + ", size long, g array<long>, n array<long>")
+        .withColumn("__row", F.monotonically_increasing_id()), "counted")
+    model = log_probabilities(probs)
+    sums = (counted.select("__row", "lang", F.inline(F.arrays_zip("g", "n")))
+            .join(model.hint("shuffle_hash"), ["lang", "g"]).groupBy("__row")
+            .agg(F.sum(F.col("n") * F.col("lp").cast("double")).alias("__sum")))
+    return (counted.drop("g", "n").join(sums, "__row", "left")
+            .select(id_col, "lang", *COUNTS, (-F.col("__sum") / F.col("size")).alias("log_perplexity")))
 
 
 def bands(scored: DataFrame) -> DataFrame:
@@ -250,8 +282,8 @@ def bands(scored: DataFrame) -> DataFrame:
 
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Base counts, perplexity, bands and verdict of every row."""
-    model = hash_arrays(probabilities(materialize(count_grams(df, text_col, lang_col), "grams")))
-    scored = materialize(score(df, model, id_col, text_col, lang_col), "scored")
+    probs = probabilities(materialize(count_grams(df, text_col, lang_col), "grams"))
+    scored = materialize(score(df, probs, id_col, text_col, lang_col), "scored")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     return (scored.join(F.broadcast(bands(scored)), "lang").withColumn("base_failed", failed)

@@ -5,7 +5,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.llm import catalog, sharding
+from rivulet.llm import catalog, quality, sharding
 
 SF = "/root/testdata/sf0.01"
 
@@ -41,3 +41,33 @@ def test_rewrite_repeated_rows_and_untouched_shards(spark, tmp_path):
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=key) == sorted(rows, key=key)
     assert (sorted((r["new_shard"], r["new_slot"]) for r in got)
             == sorted((r["shard"], r["slot"]) for r in placed.collect()))
+
+
+# ------------------------------------------------------------------ op 8
+
+def words_of(rng, alphabet, n=40):
+    return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+
+def test_full_keys_in_both_ways(spark, monkeypatch):
+    """Every n-gram keeps its own probability, broadcast or joined; characters
+    beyond 12 bits and languages are not merged."""
+    import random
+
+    rng = random.Random(1)
+    cjk = "".join(chr(0x4E00 + i) for i in range(6000))
+    rows = [(i, words_of(rng, cjk if i % 2 else "abcdefgh \U0001f600"), f"l{i % 3}" if i else None) for i in range(60)] + [(60, None, "l0"), (None, "", "l1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    probs = quality.probabilities(quality.materialize(quality.count_grams(df), "g")).persist()
+    assert {r[0] for r in probs.select("lang").distinct().collect()} == {"l0", "l1", "l2", "und"}
+    small = {r["doc_id"]: r for r in quality.score(df, probs).collect()}
+    monkeypatch.setattr(quality, "BROADCAST_GRAMS", 0)
+    large = {r["doc_id"]: r for r in quality.score(df, probs).collect()}
+    assert set(small) == set(large) == {r[0] for r in rows}
+    import math
+    table = {(r["lang"], r["g"]): math.log(r["p"]) for r in probs.collect()}
+    for i, text, lang in rows:
+        grams = quality.packed_grams([text or ""])[0].tolist()
+        want = pytest.approx(-sum(table[lang or "und", g] for g in grams) / len(grams), rel=1e-5) if grams else None
+        assert small[i]["log_perplexity"] == want and large[i]["log_perplexity"] == want
+        assert small[i]["n_words"] == large[i]["n_words"]
