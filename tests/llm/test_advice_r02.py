@@ -49,6 +49,14 @@ def words_of(rng, alphabet, n=40):
     return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(2, 6))) for _ in range(n))
 
 
+def test_control_characters(spark):
+    """U+0001 is a character like others and no mark of a text's start."""
+    rows = [(1, "\x01", "en"), (2, "one \x01\x01\x01 two \x00", "en"), (3, "plain words", "en"), (4, "\ud7ff\ue000\U00010000x\uffff", "en")]
+    out = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert len(out) == 4 and all(r["log_perplexity"] > 0 for r in out.values())
+    assert [len(x) for x in quality.packed_grams([r[1] for r in rows])] == [sum(n for n in (1, 13, 11, 6)), 4]
+
+
 def test_full_keys_in_both_ways(spark, monkeypatch):
     """Every n-gram keeps its own probability, broadcast or joined; characters
     beyond 12 bits and languages are not merged."""
