@@ -55,7 +55,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into windows of 4096 ids."""
+    """What is left, packed into windows of 4096 ids; each piece with its ids."""
     return pack_documents(docs, default_tokenizer())
 
 

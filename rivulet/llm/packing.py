@@ -16,7 +16,8 @@ is cut into powers of two, which need no padding.
 
 Documents find their place by their rank among the pieces of their length:
 ranks come from counts per (block, length) summed up before them plus a
-number within the block, so no task sees a whole length.
+number within the block, so no task sees a whole length. The ids then move to
+their windows, which are written; what is returned is read from them.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no pieces; columns other than the id and
@@ -344,10 +345,8 @@ def store(pieces: DataFrame) -> DataFrame:
     return materialize(pieces.withColumn("piece_row", F.monotonically_increasing_id()), "pieces")
 
 
-def pack(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_slack: int = 0) -> DataFrame:
-    """Places the rows of ``store``. Returns one row per final piece: id,
-    start, length, ids_crc32, doc_tokens, sequence_id, offset, piece_row (the
-    stored row that holds its ids) and cut_from (its start there)."""
+def place(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_slack: int = 0) -> DataFrame:
+    """``pack`` with ids_crc32 null for pieces cut from a stored one."""
     spark = stored.sparkSession
     slim = stored.drop("ids")
     hist = {r["length"]: r["n"] for r in slim.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -385,9 +384,16 @@ def pack(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_sl
                 [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
                  "piece_row", "cut_from"])
 
-    placed = materialize(ranked.mapInArrow(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, "
+    return materialize(ranked.mapInArrow(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, "
                                                 "doc_tokens long, sequence_id long, offset long, piece_row long, "
                                                 "cut_from long"), "placed")
+
+
+def pack(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_slack: int = 0) -> DataFrame:
+    """Places the rows of ``store``. Returns one row per final piece: id,
+    start, length, ids_crc32, doc_tokens, sequence_id, offset, piece_row (the
+    stored row that holds its ids) and cut_from (its start there)."""
+    placed = place(stored, id_col, window, max_slack)
     # a cut piece has another checksum than the piece it was cut from
     cut = placed.filter("ids_crc32 is null")
     cut = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
@@ -396,18 +402,27 @@ def pack(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_sl
     return placed.filter("ids_crc32 is not null").unionByName(with_ids.select(*placed.columns))
 
 
-def sequences(placed: DataFrame, stored: DataFrame) -> DataFrame:
-    """The packed windows: (sequence_id, ids binary), from placed pieces and
-    the stored ones; a window holds at most ``window`` ids."""
+def sequences(placed: DataFrame, stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The packed windows: (sequence_id, ids binary, pieces), from placed
+    pieces and the stored ones; a window holds at most ``window`` ids."""
     part = F.expr("substring(ids, cast(4 * cut_from + 1 as int), cast(4 * length as int))")
+    piece = F.struct("offset", F.col(id_col).alias("id"), "start", "length", "doc_tokens", part.alias("part"))
     return (placed.join(stored.select("piece_row", "ids"), "piece_row")
-            .groupBy("sequence_id")
-            .agg(F.sort_array(F.collect_list(F.struct("offset", part.alias("part")))).alias("parts"))
-            .select("sequence_id", F.expr("aggregate(parts, cast('' as binary), (a, p) -> concat(a, p.part))").alias("ids")))
+            .groupBy("sequence_id").agg(F.sort_array(F.collect_list(piece)).alias("parts"))
+            .select("sequence_id", F.expr("aggregate(parts, cast('' as binary), (a, p) -> concat(a, p.part))").alias("ids"),
+                    F.transform("parts", lambda p: p.dropFields("part")).alias("pieces")))
 
 
-def pack_documents(df: DataFrame, tokenizer_path: str) -> DataFrame:
-    return pack(store(token_pieces(df, tokenizer_path))).drop("piece_row", "cut_from")
+def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece of the packed windows, which are written; its ids
+    and their checksum are read from there."""
+    stored = store(token_pieces(df, tokenizer_path, id_col, text_col))
+    windows = materialize(sequences(place(stored, id_col), stored, id_col), "windows")
+    own = F.expr("substring(window, cast(4 * offset + 1 as int), cast(4 * length as int))")
+    return (windows.select("sequence_id", F.col("ids").alias("window"), F.inline("pieces"))
+            .withColumn("ids", own)
+            .select(F.col("id").alias(id_col), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                    "sequence_id", "offset", "ids"))
 
 
 def default_tokenizer() -> str:
@@ -418,4 +433,4 @@ def default_tokenizer() -> str:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 4096 ids."""
-    return pack_documents(read_table(spark, sf_dir, "documents"), default_tokenizer())
+    return pack_documents(read_table(spark, sf_dir, "documents"), default_tokenizer()).drop("ids")

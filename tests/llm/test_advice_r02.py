@@ -1,11 +1,14 @@
 """Cases of the second review."""
 
+import math
+import random
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.llm import catalog, quality, sharding
+import corpus_pipeline
+from rivulet.llm import catalog, packing, quality, sharding
 
 SF = "/root/testdata/sf0.01"
 
@@ -60,8 +63,6 @@ def test_control_characters(spark):
 def test_full_keys_in_both_ways(spark, monkeypatch):
     """Every n-gram keeps its own probability, broadcast or joined; characters
     beyond 12 bits and languages are not merged."""
-    import random
-
     rng = random.Random(1)
     cjk = "".join(chr(0x4E00 + i) for i in range(6000))
     rows = [(i, words_of(rng, cjk if i % 2 else "abcdefgh \U0001f600"), f"l{i % 3}" if i else None) for i in range(60)] + [(60, None, "l0"), (None, "", "l1")]
@@ -72,10 +73,34 @@ def test_full_keys_in_both_ways(spark, monkeypatch):
     monkeypatch.setattr(quality, "BROADCAST_GRAMS", 0)
     large = {r["doc_id"]: r for r in quality.score(df, probs).collect()}
     assert set(small) == set(large) == {r[0] for r in rows}
-    import math
     table = {(r["lang"], r["g"]): math.log(r["p"]) for r in probs.collect()}
     for i, text, lang in rows:
         grams = quality.packed_grams([text or ""])[0].tolist()
         want = pytest.approx(-sum(table[lang or "und", g] for g in grams) / len(grams), rel=1e-5) if grams else None
         assert small[i]["log_perplexity"] == want and large[i]["log_perplexity"] == want
         assert small[i]["n_words"] == large[i]["n_words"]
+
+
+# ------------------------------------------------------------------ op 3
+
+def test_pieces_are_read_from_written_windows(spark, monkeypatch):
+    """The result carries the ids that stand in the written windows, and the
+    pipeline's last stage keeps them."""
+    from tokenizers import Tokenizer
+
+    written, real = {}, packing.materialize
+    monkeypatch.setattr(packing, "materialize", lambda df, name: written.setdefault(name, real(df, name)))
+    rows = [(1, "one two three " * 2000), (2, "four"), (3, None), (None, "five six")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.packing(spark, df, "").collect()
+    windows = {r["sequence_id"]: bytes(r["ids"]) for r in written["windows"].collect()}
+    assert sum(map(len, windows.values())) == 4 * sum(r["length"] for r in out)
+    tk, whole = Tokenizer.from_file(packing.default_tokenizer()), {}
+    for r in sorted(out, key=lambda r: r["start"]):
+        ids = bytes(r["ids"])
+        assert windows[r["sequence_id"]][4 * r["offset"]:4 * (r["offset"] + r["length"])] == ids
+        assert zlib.crc32(ids) == r["ids_crc32"]
+        whole[r["doc_id"]] = whole.get(r["doc_id"], b"") + ids
+    for i, text in rows:
+        want = tk.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+        assert whole[i] == b"".join(n.to_bytes(4, "little") for n in want)
