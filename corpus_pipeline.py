@@ -37,8 +37,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of three-line windows that occurred before go."""
-    return _as_documents(dedup_lines(docs), docs)
+    """Lines of three-line windows that occurred before go; the edge of a text
+    counts as a line."""
+    return _as_documents(dedup_lines(docs, edges=True), docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ minimum (combined before the shuffle), and the way back to the later ones is
 an equi-join of which adaptive execution splits skewed partitions.
 
 Defined results: a null text stays null; texts of fewer than three lines stay
-as they are; rows that repeat both id and text count as one document and get
+as they are unless ``edges`` is set, as in the pipeline; rows that repeat both id and text count as one document and get
 the same result; a document of which every line is removed keeps an empty
 text; an empty table gives an empty one. Other columns pass through.
 """
@@ -23,17 +23,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivulet.llm.common import read_table
 
 SPAN = 3
+#: Stands before and after a text with ``edges``; no line holds a line feed.
+EDGE = "\n"
 
 
-def windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, pos, k1, k2): every window of every row."""
-    lines = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
-                      F.split(F.col(text_col).cast("string"), "\n", -1).alias("lines"))
+def windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edges: bool = False) -> DataFrame:
+    """(id, text_hash, pos, k1, k2): every window of every row. With ``edges``
+    a virtual line stands before (pos -1) and after each text."""
+    split = F.split(F.col(text_col).cast("string"), "\n", -1)
+    split = F.concat(F.array(F.lit(EDGE)), split, F.array(F.lit(EDGE))) if edges else split
+    lines = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), split.alias("lines"))
     long_enough = lines.filter(F.size("lines") >= SPAN)
     runs = F.expr(f"transform(sequence(0, size(lines) - {SPAN}), i -> slice(lines, i + 1, {SPAN}))")
     return (long_enough.select("id", "text_hash", F.posexplode(runs).alias("pos", "run"))
-            .filter(F.expr("exists(run, l -> l <> '')"))
-            .select("id", "text_hash", "pos", F.xxhash64("run").alias("k1"),
+            .filter(F.exists("run", lambda line: ~line.isin("", EDGE)))
+            .select("id", "text_hash", (F.col("pos") - int(edges)).alias("pos"), F.xxhash64("run").alias("k1"),
                     F.xxhash64(F.lit("second"), "run").alias("k2")))
 
 
@@ -47,10 +51,11 @@ def later_occurrences(win: DataFrame) -> DataFrame:
             .select("id", "text_hash", "pos"))
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edges: bool = False) -> DataFrame:
     """``df`` with its text cleaned, plus ``__lines`` and ``__removed`` (line
-    counts before and of what went)."""
-    starts = (later_occurrences(windows(df, id_col, text_col))
+    counts before and of what went). ``edges``: see ``windows``; texts of one
+    or two lines and passages at a text's edge are then compared, too."""
+    starts = (later_occurrences(windows(df, id_col, text_col, edges))
               .groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
               .agg(F.collect_set("pos").alias("__starts")))
     covered = f"array_distinct(flatten(transform(__starts, s -> sequence(s, s + {SPAN - 1}))))"
