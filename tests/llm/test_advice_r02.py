@@ -81,6 +81,18 @@ def test_full_keys_in_both_ways(spark, monkeypatch):
         assert small[i]["n_words"] == large[i]["n_words"]
 
 
+def test_planted_foreign_texts_leave_the_band(spark):
+    """Texts in another language than labelled go; few of the corpus's own do."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    french = [r["text"] for r in docs.filter("lang = 'fr' and length(text) > 2000").orderBy("doc_id").limit(5).collect()]
+    planted = spark.createDataFrame([(-1 - i, t, "en") for i, t in enumerate(french)], docs.schema)
+    out = {r["doc_id"]: r for r in quality.judge(docs.unionByName(planted)).collect()}
+    assert len(french) == 5
+    assert not [out[i] for i in range(-5, 0) if out[i]["kept"]]
+    base_ok = [r for i, r in out.items() if i > 0 and not r["base_failed"]]
+    assert sum(not r["kept"] for r in base_ok) < 0.06 * len(base_ok)
+
+
 # ------------------------------------------------------------------ op 3
 
 def test_pieces_are_read_from_written_windows(spark, monkeypatch):
