@@ -6,8 +6,8 @@ run of key characters) belongs to the narrowest character class that holds it;
 a window slides over it, keeping the count of each character and the sum of
 c*log2(c), both updated for the one character that enters and the one that
 leaves; windows whose Shannon entropy reaches the class's threshold are
-flagged, from the first to the last. Allowed shapes (words, numbers, paths,
-UUIDs, samples) suppress entropy spans, as does a pattern span around them;
+flagged, from the first to the last. Words of samples cut candidates. Allowed shapes (words, numbers, paths,
+UUIDs) suppress entropy spans, as does a pattern span around them;
 pattern spans always stay.
 
 Defined results: a null text is empty and has no spans; spans are counted in
@@ -33,7 +33,10 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}()" % WINDOW
+#: Words of samples. A candidate ends before one and goes on after its first
+#: letter, so that they allow nothing that stands beside them.
+SAMPLE = r"(?i:example|sample|dummy|placeholder|xxxx)"
+CANDIDATE = r"(?:(?!%s)[A-Za-z0-9+/_=-]){%d,}+()" % (SAMPLE, WINDOW)
 #: Character classes, narrowest first, and their entropy thresholds in bits.
 CLASSES = (
     (r"^[0-9a-fA-F]+$", 3.0),
@@ -48,7 +51,6 @@ ALLOWED = (
     r"^[0-9]+$",                                       # a number
     r"^[+/_=-]*([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*$",   # words and numbers, joined
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",               # a UUID
-    r"(?i)example|sample|dummy|placeholder|xxxx",
 )
 CHUNK = 256
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rivulet.llm import catalog, linededup, packing, quality, sharding
+from rivulet.llm import catalog, linededup, packing, quality, secrets, sharding
 
 SF = "/root/testdata/sf0.01"
 
@@ -132,3 +132,17 @@ def test_short_texts_and_edges_are_deduplicated(spark):
     assert {r["doc_id"]: r["__removed"] for r in linededup.dedup_lines(df).collect()}[2] == 0
     docs = spark.createDataFrame([(1, "one line", 8), (2, "one line", 8)], "doc_id long, text string, n_chars long")
     assert {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == {1: "one line", 2: ""}
+
+
+# ------------------------------------------------------------------ op 10
+
+def test_sample_words_allow_only_themselves(spark):
+    """A key beside a sample's word is found; the word's own text is not."""
+    rng = random.Random(2)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwyz0123456789") for _ in range(40))
+    long = "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(100)) + "XxXx" + key
+    texts = [f"sample_key={key}", f"v1/samples/{key}", long, "this-is-an-example-of-a-long-slug", "dummy-dummy-placeholder-x1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert all(key not in got[i] and "[SECRET]" in got[i] for i in (0, 1, 2))
+    assert got[3] == texts[3] and got[4] == texts[4]
