@@ -8,6 +8,8 @@ the text where a stage changes it).
 
 Rows with null text are rejected by the first stage; rows with a null id pass
 near-dedup (no id could stand for their group); an empty table stays empty.
+Rows that share an id but no near text count as documents of their own; where
+no row names a language, all that have letters pass the first stage.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from rivulet.llm.langid import LEAST_SCORE, UNKNOWN, held_out, predict, train
 from rivulet.llm.linededup import dedup_lines
 from rivulet.llm.packing import default_tokenizer, pack_documents
 from rivulet.llm.secrets import redact
-from rivulet.llm.simhash import near_duplicates
+from rivulet.llm.simhash import fingerprint, labelled
 
 
 def _as_documents(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -29,8 +31,13 @@ def _as_documents(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go."""
+    """Documents without a recognisable language go; where no row names a
+    language there is nothing to recognise, and those without letters go."""
     model = train(docs.filter(~held_out()))
+    if model is None:      # the held-out rows may be all that have a language
+        model = train(docs)
+    if model is None:
+        return docs.filter(F.col("text").cast("string").rlike(r"\p{L}"))
     others = tuple(c for c in docs.columns if c != "doc_id")
     named = predict(docs, model, lang_out="__lang", score_out="__score", keep=others)
     return named.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
@@ -43,11 +50,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the smallest id."""
-    stays = (near_duplicates(docs).filter("doc_id = component_id")
-             .select(F.col("doc_id").alias("__id")).distinct())
-    named = docs.join(stays, docs["doc_id"] == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    """One document of each near-duplicate group stays: the smallest id. Where
+    that id repeats, the least fingerprint of the group under it stands for the
+    group, so texts that share an id alone count each."""
+    found = materialize(labelled(docs), "labelled")
+    stays = materialize(found.filter("doc_id = component_id").groupBy("label")
+                        .agg(F.min(F.struct("doc_id", "fp")).alias("s"))
+                        .select(F.col("s.doc_id").alias("__id"), F.col("s.fp").alias("__fp")), "stays")
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("__id"))
+    unique = stays.join(repeated, "__id", "left_anti")
+    named = docs.join(unique, docs["doc_id"] == F.col("__id"), "left_semi")
+    # only rows whose id repeats need their fingerprint again
+    several = docs.join(repeated, docs["doc_id"] == F.col("__id"), "left_semi").withColumn("__hash", F.xxhash64("text"))
+    by_text = fingerprint(several.select(F.struct("doc_id", "__hash").alias("__key"), "text"), "__key").select(
+        F.col("__key.doc_id").alias("__id"), F.col("__key.__hash").alias("__hash0"), F.col("fp").alias("__fp"))
+    texts = by_text.join(stays, ["__id", "__fp"]).groupBy("__id", "__fp").agg(F.min("__hash0").alias("__hash0"))
+    again = (several.join(texts, (F.col("doc_id") == F.col("__id")) & F.col("__hash").eqNullSafe(F.col("__hash0")), "left_semi")
+             .dropDuplicates(["doc_id", "__hash"]).drop("__hash"))
+    return named.unionByName(again).unionByName(docs.filter("doc_id is null"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

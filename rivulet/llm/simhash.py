@@ -187,14 +187,21 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(id, fp, component_id) of every row."""
+    return labelled(df, id_col, text_col, words, max_bits).drop("label")
+
+
+def labelled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``near_duplicates`` with the component's own label, which ids that
+    repeat do not blur."""
     marked = materialize(fingerprint(df, id_col, text_col, words), "fingerprints")
     by_fp = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "by_fp")
     labels = component_labels(near_links(by_fp.select("fp"), max_bits))
     named = by_fp.join(labels, by_fp["fp"] == labels["vertex"], "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_fp = named.join(least, "label").select("fp", "component_id")
-    return marked.join(of_fp, "fp").select(id_col, "fp", "component_id")
+    of_fp = named.join(least, "label").select("fp", "component_id", "label")
+    return marked.join(of_fp, "fp").select(id_col, "fp", "component_id", "label")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,3 +146,20 @@ def test_sample_words_allow_only_themselves(spark):
     got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
     assert all(key not in got[i] and "[SECRET]" in got[i] for i in (0, 1, 2))
     assert got[3] == texts[3] and got[4] == texts[4]
+
+
+# ------------------------------------------------------------------ pipeline
+
+def test_repeated_ids_with_other_texts_survive(spark):
+    rng = random.Random(4)
+    text = lambda: words_of(rng, "abcdefghijklmnop", 60)
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (1, b), (1, b), (2, b), (3, c), (4, c), (None, a)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.simhash_dedup(spark, df, "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted([(1, a), (1, b), (3, c), (None, a)], key=str)
+
+
+def test_documents_without_any_language_survive(spark):
+    df = spark.createDataFrame([(1, "some text", None), (2, "123", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in corpus_pipeline.language_id(spark, df, "").collect()] == [1]
