@@ -1,23 +1,22 @@
 """Operator 3: packing token streams into fixed windows by minimum bin slack.
 
 A document is tokenized whole, closed with an end id, and cut into full
-windows plus one tail. What is left to decide is how tails share windows, and
-that depends on nothing but how many tails of each length there are: at most
-``window`` numbers, whatever the corpus size. The plan works on this
-histogram. The longest remaining length opens a window; a bitset subset-sum
-over the remaining lengths, each with its count, finds the multiset that fills
-the window closest to capacity; backtracking through the bitsets gives the
-counts, and the window is repeated as often as all its lengths last. So each
-step uses up a length and the plan has at most ``window`` patterns.
+windows plus one tail. A full window stays where it was written. Tails are
+dealt out into cells of a bounded number of ids, by one exchange, and a cell is
+packed in one task: what is to be decided depends on nothing but how many tails
+of each length there are, at most ``window`` numbers. The longest remaining
+length opens a window; a bitset subset-sum over the remaining lengths, each
+with its count, finds the multiset that fills the window closest to capacity;
+backtracking through the bitsets gives the counts, and the window is repeated
+as often as all its lengths last. So each step uses up a length and a cell's
+plan has at most ``window`` patterns.
 
 Where no multiset fills a window to the brim, the lengths concerned go to a
-remainder stream which is cut every ``window`` ids; its last, partial window
-is cut into powers of two, which need no padding.
+remainder stream which is cut every ``window`` ids; a cell's last, partial
+window is cut into powers of two, which need no padding.
 
-Documents find their place by their rank among the pieces of their length:
-ranks come from counts per (block, length) summed up before them plus a
-number within the block, so no task sees a whole length. The ids then move to
-their windows, which are written; what is returned is read from them.
+Ids are kept in 16 bits where the vocabulary fits. The windows are written;
+pieces, ids and checksums are read from there.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no pieces; columns other than the id and
@@ -38,8 +37,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from rivulet.llm.common import (groups_for, materialize, once_per_process, read_table, slices,
-                                text_or_empty)
+from rivulet.llm.common import groups_for, materialize, once_per_process, read_table, slices, text_or_empty
+from rivulet.session import scratch_path
 
 WINDOW = 4096
 END_ID = 2
@@ -47,10 +46,10 @@ END_ID = 2
 CACHE_ENTRIES = 100_000
 #: Text whose words are told apart at once.
 SLICE_BYTES = 4 << 20
-#: Cut pieces that may be broadcast to find their ids; beyond, a shuffle join.
-BROADCAST_ROWS = 100_000
-#: Pieces per block in which ranks are counted.
-BLOCK_ROWS = 50_000
+#: Ids of the tails that one task packs.
+CELL_IDS = 16 << 20
+#: Windows whose pieces are cut out at once.
+READ_ROWS = 512
 #: Letters of which a run is one pre-token that lower case and NFC keep whole,
 #: then marks (no apostrophe, which may begin a contraction), also one pre-token.
 #: Matched over words a line each: letters, marks, or any other word.
@@ -167,16 +166,25 @@ class WordTokens:
         return (np.concatenate(flat) if flat else known[:0]), ends[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
 
 
+def id_width(tokenizer_json: str, end_id: int = END_ID) -> str:
+    """Numpy type that holds every id."""
+    model = json.loads(tokenizer_json)
+    top = max([end_id, *model["model"]["vocab"].values(), *(t["id"] for t in model.get("added_tokens") or [])])
+    return "<u2" if top < 1 << 16 else "<u4"
+
+
 def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                  window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """(id, start, length, doc_tokens, crc, ids): full windows and tails."""
+    """(id, start, length, doc_tokens, ids): full windows and tails. ``ids``
+    is of ``id_width``."""
     import os
 
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
     digest = hashlib.sha256(definition.encode()).hexdigest()
+    width = np.dtype(id_width(definition, end_id))
     shared = df.sparkSession.sparkContext.broadcast(definition)
-    last = np.array([end_id], "<u4").tobytes()
+    last, step = np.array([end_id], width).tobytes(), width.itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -184,24 +192,22 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         gc.disable()      # millions of small strings and no cycles; a worker ends with its executor
         for batch in batches:
             for part in slices(batch, "__text", SLICE_BYTES):
-                row, start, length, total, crc, ids = [], [], [], [], [], []
+                row, start, length, total, ids = [], [], [], [], []
                 flat, ends = words.encode(part.column(1))
+                flat = flat.astype(width).tobytes()
                 for i, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
-                    data = flat[a:b].tobytes() + last
-                    n = len(data) // 4
+                    data = flat[step * a:step * b] + last
+                    n = len(data) // step
                     for a in range(0, n, window):
-                        piece = data[4 * a:4 * (a + window)]
-                        row.append(i), start.append(a), length.append(len(piece) // 4)
-                        total.append(n), crc.append(zlib.crc32(piece)), ids.append(piece)
+                        row.append(i), start.append(a), length.append(min(window, n - a)), total.append(n)
+                        ids.append(data[step * a:step * (a + window)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int32()), pa.array(total, pa.int64()),
-                     pa.array(crc, pa.int64()), pa.array(ids, pa.binary())],
-                    [id_col, "start", "length", "doc_tokens", "crc", "ids"])
+                     pa.array(length, pa.int32()), pa.array(total, pa.int64()), pa.array(ids, pa.binary())],
+                    ["id", "start", "length", "doc_tokens", "ids"])
 
-    src = df.select(F.col(id_col), text_or_empty(text_col).alias("__text"))
-    kind = src.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(run, f"`{id_col}` {kind}, start long, length int, doc_tokens long, crc long, ids binary")
+    src = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("__text"))
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, start long, length int, doc_tokens long, ids binary")
 
 
 # ------------------------------------------------------------------ planning
@@ -340,89 +346,97 @@ class Placer:
 
 # ----------------------------------------------------------------- operator
 
-def store(pieces: DataFrame) -> DataFrame:
-    """``token_pieces`` written down, each row with its number ``piece_row``."""
-    return materialize(pieces.withColumn("piece_row", F.monotonically_increasing_id()), "pieces")
-
-
-def place(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_slack: int = 0) -> DataFrame:
-    """``pack`` with ids_crc32 null for pieces cut from a stored one."""
-    spark = stored.sparkSession
-    slim = stored.drop("ids")
-    hist = {r["length"]: r["n"] for r in slim.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = spark.sparkContext.broadcast(plan_windows(hist, window, max_slack))
-
-    n_blocks = groups_for(sum(hist.values()), BLOCK_ROWS, 512)
-    block = F.pmod(F.xxhash64("piece_row"), F.lit(n_blocks))
-    blocked = slim.withColumn("block", block)
-    before = (blocked.groupBy("length", "block").agg(F.count("*").alias("n"))
-              .withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("block")) - F.col("n"))
-              .drop("n"))
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    numbered = (blocked.repartition(parts, "block")
-                .withColumn("nth", F.row_number().over(Window.partitionBy("block", "length").orderBy("piece_row"))))
-    ranked = (numbered.join(before, ["length", "block"])
-              .withColumn("rank", F.col("before") + F.col("nth") - 1).drop("before", "nth", "block"))
-    kind = slim.schema[id_col].dataType.simpleString()
+def store(pieces: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """``token_pieces`` written down: the full windows, each with its number
+    ``sequence_id`` (even), and the tails, each with its number ``row``."""
+    path = scratch_path(pieces.sparkSession, "pieces")
+    numbered = (pieces.withColumn("row", F.monotonically_increasing_id())
+                .withColumn("whole", (F.col("length") == window).cast("int")))
+    numbered.write.partitionBy("whole").parquet(path)
+    written = pieces.sparkSession.read.schema(numbered.schema).parquet(path)
+    return (written.filter("whole = 1").select((2 * F.col("row")).alias("sequence_id"), "id", "start", "length", "doc_tokens", "ids"),
+            written.filter("whole = 0").drop("whole"))
+
+
+def ranks(values: np.ndarray) -> np.ndarray:
+    """Number of each value among its equals, in order."""
+    order = np.argsort(values, kind="stable")
+    held = values[order]
+    out = np.empty(len(values), np.int64)
+    out[order] = np.arange(len(values)) - np.searchsorted(held, held, "left")
+    return out
+
+
+def pack_tails(tails: DataFrame, width: str, window: int = WINDOW, max_slack: int = 0) -> DataFrame:
+    """The packed windows of the tails: (sequence_id, ids binary, pieces), odd
+    numbers."""
+    n_cells = groups_for(tails.agg(F.sum("length")).first()[0], CELL_IDS)
+    step = np.dtype(width).itemsize
+    kind = tails.schema["id"].dataType.simpleString()
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        length = table.column("length").to_numpy().astype(np.int64)
+        found, count = np.unique(length, return_counts=True)
+        placer = Placer(plan_windows(dict(zip(found.tolist(), count.tolist())), window, max_slack))
+        parts = np.array(list(placer.place(length, ranks(length))), np.int64).reshape(-1, 5)
+        row, cut, size, seq, at = parts[np.lexsort((parts[:, 4], parts[:, 3]))].T
+        first = np.flatnonzero(at == 0)                       # of every window
+        ids = table.column("ids").combine_chunks()
+        begin = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids)].astype(np.int64)[row] + cut * step
+        data = memoryview(ids.buffers()[2]) if len(ids) else memoryview(b"")
+        joined = b"".join([data[a:b] for a, b in zip(begin.tolist(), (begin + size * step).tolist())])
+        until = np.concatenate([[0], np.cumsum(size)])[[*first, len(size)]] * step
+        pieces = pa.StructArray.from_arrays(
+            [table.column("id").combine_chunks().take(pa.array(row)), pa.array(table.column("start").to_numpy()[row] + cut),
+             pa.array(size), pa.array(table.column("doc_tokens").to_numpy()[row]), pa.array(at)],
+            ["id", "start", "length", "doc_tokens", "offset"])
+        cell = table.column("cell")[0].as_py() if table.num_rows else 0
+        return pa.table({
+            "sequence_id": pa.array(2 * ((cell << 32) + seq[first]) + 1),
+            "ids": pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(until.astype(np.int32)), pa.py_buffer(joined)]),
+            "pieces": pa.ListArray.from_arrays(pa.array([*first, len(row)], pa.int32()), pieces)})
+
+    cell = F.pmod(F.xxhash64("row"), F.lit(n_cells)).cast("int")
+    return tails.withColumn("cell", cell).groupBy("cell").applyInArrow(
+        run, f"sequence_id long, ids binary, pieces array<struct<id:{kind},start:long,length:long,doc_tokens:long,offset:long>>")
+
+
+def read_pieces(windows: DataFrame, width: str, id_col: str = "doc_id") -> DataFrame:
+    """One row per piece of written windows, with its ids (unsigned 32-bit,
+    little-endian) and their checksum, cut out of the window."""
+    kind = windows.schema["pieces"].dataType.elementType["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        placer = None
-        for batch in batches:
-            placer = placer or Placer(plan.value)
-            length = batch.column("length").to_numpy(zero_copy_only=False)
-            got = list(placer.place(length, batch.column("rank").to_numpy(zero_copy_only=False)))
-            row, start, size, seq, at = map(list, zip(*got)) if got else ([], [], [], [], [])
-            take, start, size = pa.array(row, pa.int64()), np.array(start, np.int64), np.array(size, np.int64)
-            whole = size == length[np.array(row, np.int64)]
-            crc = batch.column("crc").take(take)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col).take(take),
-                 pa.array(start + batch.column("start").take(take).to_numpy(zero_copy_only=False)),
-                 pa.array(size), pa.compute.if_else(pa.array(whole), crc, pa.scalar(None, pa.int64())),
-                 batch.column("doc_tokens").take(take), pa.array(seq, pa.int64()), pa.array(at, pa.int64()),
-                 batch.column("piece_row").take(take), pa.array(start)],
-                [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
-                 "piece_row", "cut_from"])
-
-    return materialize(ranked.mapInArrow(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, "
-                                                "doc_tokens long, sequence_id long, offset long, piece_row long, "
-                                                "cut_from long"), "placed")
-
-
-def pack(stored: DataFrame, id_col: str = "doc_id", window: int = WINDOW, max_slack: int = 0) -> DataFrame:
-    """Places the rows of ``store``. Returns one row per final piece: id,
-    start, length, ids_crc32, doc_tokens, sequence_id, offset, piece_row (the
-    stored row that holds its ids) and cut_from (its start there)."""
-    placed = place(stored, id_col, window, max_slack)
-    # a cut piece has another checksum than the piece it was cut from
-    cut = placed.filter("ids_crc32 is null")
-    cut = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
-    with_ids = (stored.select("piece_row", "ids").join(cut, "piece_row")
-                .withColumn("ids_crc32", F.crc32(F.expr("substring(ids, cast(4 * cut_from + 1 as int), cast(4 * length as int))"))))
-    return placed.filter("ids_crc32 is not null").unionByName(with_ids.select(*placed.columns))
-
-
-def sequences(placed: DataFrame, stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The packed windows: (sequence_id, ids binary, pieces), from placed
-    pieces and the stored ones; a window holds at most ``window`` ids."""
-    part = F.expr("substring(ids, cast(4 * cut_from + 1 as int), cast(4 * length as int))")
-    piece = F.struct("offset", F.col(id_col).alias("id"), "start", "length", "doc_tokens", part.alias("part"))
-    return (placed.join(stored.select("piece_row", "ids"), "piece_row")
-            .groupBy("sequence_id").agg(F.sort_array(F.collect_list(piece)).alias("parts"))
-            .select("sequence_id", F.expr("aggregate(parts, cast('' as binary), (a, p) -> concat(a, p.part))").alias("ids"),
-                    F.transform("parts", lambda p: p.dropFields("part")).alias("pieces")))
-
-
-def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        for whole in batches:
+            for at in range(0, whole.num_rows, READ_ROWS):
+                batch = whole.slice(at, READ_ROWS)
+                lists = batch.column("pieces")
+                piece, of = lists.flatten(), np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy())
+                window = [np.frombuffer(w.as_buffer(), width).astype("<u4").tobytes() for w in batch.column("ids")]
+                begin = piece.field("offset").to_numpy() * 4
+                until = begin + piece.field("length").to_numpy() * 4
+                ids = [window[w][a:b] for w, a, b in zip(of.tolist(), begin.tolist(), until.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.field("id"), piece.field("start"), piece.field("length"), pa.array(map(zlib.crc32, ids), pa.int64()),
+                     piece.field("doc_tokens"), batch.column("sequence_id").take(pa.array(of)), piece.field("offset"), pa.array(ids, pa.binary())],
+                    [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+
+    return windows.mapInArrow(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+                                   "sequence_id long, offset long, ids binary")
+
+
+def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+                   window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece of the packed windows, which are written; its ids
     and their checksum are read from there."""
-    stored = store(token_pieces(df, tokenizer_path, id_col, text_col))
-    windows = materialize(sequences(place(stored, id_col), stored, id_col), "windows")
-    own = F.expr("substring(window, cast(4 * offset + 1 as int), cast(4 * length as int))")
-    return (windows.select("sequence_id", F.col("ids").alias("window"), F.inline("pieces"))
-            .withColumn("ids", own)
-            .select(F.col("id").alias(id_col), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
-                    "sequence_id", "offset", "ids"))
+    with open(tokenizer_path, encoding="utf-8") as f:
+        width = id_width(f.read(), end_id)
+    full, tails = store(token_pieces(df, tokenizer_path, id_col, text_col, window, end_id), window)
+    packed = materialize(pack_tails(tails, width, window), "windows")
+    alone = F.array(F.struct("id", "start", F.col("length").cast("long").alias("length"), "doc_tokens",
+                             F.lit(0).cast("long").alias("offset")))
+    return read_pieces(full.select("sequence_id", "ids", alone.alias("pieces")).unionByName(packed), width, id_col)
 
 
 def default_tokenizer() -> str:
