@@ -155,15 +155,26 @@ def test_op3(spark, docs):
     assert set(out.doc_id) == set(ids)
 
 
-def test_sequences_hold_the_ids(spark):
-    df = spark.createDataFrame([(1, "one two three " * 2000), (2, "four"), (3, None)], "doc_id long, text string")
-    stored = packing.store(packing.token_pieces(df, packing.default_tokenizer()))
-    placed = packing.pack(stored)
-    windows = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4") for r in packing.sequences(placed, stored).collect()}
-    for r in placed.collect():
-        part = windows[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]]
-        assert zlib.crc32(part.tobytes()) == r["ids_crc32"]
-    assert sum(map(len, windows.values())) == 6001 + 2 + 1
+def test_sequences_hold_the_ids(spark, monkeypatch):
+    """Full windows stay where they are, tails are packed in cells; pieces lie
+    in their windows without gaps."""
+    monkeypatch.setattr(packing, "CELL_IDS", 5000)
+    rows = [(1, "one two three " * 2000), (2, "four"), (3, None), (None, "x " * 4095), *((i, "word " * (i * 37 % 4000)) for i in range(4, 40))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    with open(packing.default_tokenizer()) as f:
+        width = packing.id_width(f.read())
+    full, tails = packing.store(packing.token_pieces(df, packing.default_tokenizer()))
+    windows = packing.pack_tails(tails, width).collect()
+    assert width == "<u2" and full.count() == 2 and len(windows) > 3
+    assert all(len(r["ids"]) == 2 * sum(p["length"] for p in r["pieces"]) for r in windows)
+    out = packing.pack_documents(df, packing.default_tokenizer()).collect()
+    held = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == held.get(r["sequence_id"], 0) and zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+        held[r["sequence_id"]] = r["offset"] + r["length"]
+    assert all(n == 4096 or n & (n - 1) == 0 for n in held.values())
+    assert Counter(r["doc_id"] for r in out for _ in range(r["length"])) == Counter(
+        {i: len((t or "").split()) + 1 for i, t in rows})
 
 
 # ------------------------------------------------------------------ op 4

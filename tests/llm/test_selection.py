@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 from fractions import Fraction
 
@@ -11,7 +12,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from rivulet.llm import lexical, mixing, negatives
+from rivulet.llm import lexical, mixing, negatives, secrets
 from test_edges import CLASH, DOCS, LONG_TEXT, LONG_WORD, ROWS, documents
 
 # ------------------------------------------------------------ hard negatives
@@ -196,3 +197,48 @@ def test_mix_edges(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
     none = documents(spark, [r for r in ROWS if r[0] in (1, 2, 3)]).drop(*CLASH)
     assert all(r["taken"] == 0 and r["target"] == 0 for r in mixing.mix(none).collect())
+
+
+# ------------------------------------------------------------------ secrets
+
+def plain_entropy(hit):
+    """(first, end) of the windows at or above the threshold, None without."""
+    if not any(a.isalpha() != b.isalpha() and a.isalnum() and b.isalnum() for a, b in zip(hit, hit[1:])):
+        return None
+    bits = next(b for p, b in secrets.CLASSES if re.search(p, hit))
+    entropy = lambda w: -sum(c / len(w) * math.log2(c / len(w)) for c in Counter(w).values())
+    at = [i for i in range(len(hit) - secrets.WINDOW + 1) if entropy(hit[i:i + secrets.WINDOW]) >= bits - 1e-12]
+    return (at[0], at[-1] + secrets.WINDOW) if at else None
+
+
+def test_entropy_of_random_strings(spark):
+    rng, rows = random.Random(8), []
+    for i in range(300):
+        letters = rng.choice(["0123456789ABCDEFabcdef", "ABCDEFGHIJ0123456789", "abcdefghijkl0123456789XYZ", "abc019_-", secrets.ALPHABET,
+                              "ab1", "abcdefghijklmnop", "a/1-"])
+        rows.append((i, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(15, 70))) for _ in range(3))))
+    out = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    n = 0
+    for i, text in rows:
+        base = [(s.start, s.end) for s in out[i]["base_spans"]]
+        want = []
+        for m in re.finditer(secrets.CANDIDATE, text):
+            found = plain_entropy(m[0])
+            span = found and (m.start() + found[0], m.start() + found[1])
+            if span and not any(a <= span[0] and b >= span[1] for a, b in base):
+                want.append(span)
+        assert [(s.start, s.end) for s in out[i]["all_spans"] if s.kind == "entropy"] == want, text
+        n += len(want)
+    assert n > 200
+
+
+def test_long_texts_of_any_characters(spark):
+    """No pattern recurses and no step is repeated for every match."""
+    n = 1_000_000
+    texts = ["a/1/" * (n // 4), "a1" * (n // 2), "-/" * (n // 2), "password: abc123XYZ " * (n // 100), "0123456789abcdef01234567 " * (n // 100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(5)
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert got[0] == texts[0] and got[1] == "[SECRET]" and got[2] == texts[2]
+    assert got[3] == "[SECRET] " * (n // 100) and got[4] == "[SECRET] " * (n // 100)
+    plan = secrets.scan(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 12
