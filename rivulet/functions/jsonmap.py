@@ -34,10 +34,17 @@ def last_wins(m: Column) -> Column:
 
 def parse_one(text: Column, as_type: str) -> Column:
     """The one JSON object on a line, read as ``as_type``; NULL when the line
-    holds anything else, text or a second value after the object included:
-    the line is read in brackets, where what follows is seen as such."""
+    holds anything else, text or a second value after the object included.
+
+    The line is read in brackets, where what follows is seen as such, unless
+    it closes the bracket itself. A line with an object before a closing
+    bracket is therefore read as a member, too, with one more member after it:
+    no text right after the object both closes the bracket and goes on to that
+    member."""
     found = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{as_type}>", JSON_OPTIONS)
-    return F.try_element_at(F.get(F.filter(F.array(found), lambda a: F.size(a) == 1), F.lit(0)), F.lit(1))
+    one = F.try_element_at(F.get(F.filter(F.array(found), lambda a: F.size(a) == 1), F.lit(0)), F.lit(1))
+    member = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":1}')), "struct<end:int>", JSON_OPTIONS)
+    return F.when(~text.rlike(r"\}\s*\]") | F.coalesce(member["end"] == 1, F.lit(False)), one)
 
 
 def parse_object(text: Column | str) -> Column:

@@ -18,19 +18,20 @@ ENVELOPE_TYPE = "struct<database:string,table:string,type:string,data:string>"
 
 
 def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> DataFrame:
-    """(seq, value) -> seq, database, table, type, data_text, data, malformed.
+    """(seq, value) -> seq, database, table, type, data_text, data, malformed, bad.
 
     ``data`` is MAP<STRING,STRING>: numbers as their text, nested objects as
     JSON text, JSON null as NULL, last duplicate wins. ``malformed`` marks
     lines that are not one JSON object and nothing else; the
-    reproduced job would fail on them, we quarantine them.
+    reproduced job would fail on them, we quarantine them; ``bad`` is such a
+    line, NULL for the others.
     """
-    p = lines.select(F.col(seq).alias("seq"), parse_one(F.col(value), ENVELOPE_TYPE).alias("e"))
+    p = lines.select(F.col(seq).alias("seq"), F.col(value).alias("line"), parse_one(F.col(value), ENVELOPE_TYPE).alias("e"))
     p = p.select("seq", F.col("e").isNull().alias("malformed"), "e.database", "e.table", "e.type",
-                 F.col("e.data").alias("data_text"))
+                 F.col("e.data").alias("data_text"), "line")
     p = p.select("*", parse_string_map(F.col("data_text")).alias("raw"))
     p = p.select("seq", "database", "table", "type", "data_text",
-                 last_wins(F.col("raw")).alias("data"), "malformed")
+                 last_wins(F.col("raw")).alias("data"), "malformed", F.when(F.col("malformed"), F.coalesce("line", F.lit(""))).alias("bad"))
     return seal(p)
 
 
@@ -45,7 +46,7 @@ def filter_changes(changes: DataFrame, database: str = K.DEFAULT_DATABASE,
         typ.isin(*K.CHANGE_TYPES) | ((typ == K.BOOTSTRAP_INSERT) & data_ok))
     if strict_data:
         keep = keep & data_ok
-    return changes.where(F.coalesce(keep, F.lit(False)))
+    return changes.where(F.coalesce(keep, F.lit(False))).drop("bad")
 
 
 def retain_columns(data: F.Column, sink_columns: F.Column) -> F.Column:

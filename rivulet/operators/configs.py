@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rivulet.functions.jsonmap import parse_one
+from rivulet.functions.jsonmap import parse_one, seal
 
 CONFIG_FIELDS = ("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
 IMAGE_TYPE = "struct<" + ",".join(f"{c}:string" for c in CONFIG_FIELDS) + ">"
@@ -28,14 +28,25 @@ BUCKET_BITS = 20
 PRELOAD_SEQ = -(2 ** 62)
 
 
+def is_delete(op: str = "op") -> F.Column:
+    """Only ``d`` deletes; an envelope without ``op`` is a change like any other."""
+    return F.col(op).eqNullSafe(F.lit("d"))
+
+
+def parse_configs(cdc: DataFrame, seq: str = "seq", value: str = "value") -> DataFrame:
+    """``{op, before, after}`` envelopes -> (cseq, op, <config fields>, bad):
+    ``d`` takes the ``before`` image, every other op the ``after`` image.
+    ``bad`` is the line where it is no envelope with that image, else NULL."""
+    e = cdc.select(F.col(seq).alias("cseq"), F.col(value).alias("line"), parse_one(F.col(value), ENVELOPE_TYPE).alias("e"))
+    img = F.when(is_delete("e.op"), F.col("e.before")).otherwise(F.col("e.after"))
+    e = seal(e.select("cseq", F.col("e.op").alias("op"), img.alias("img"), "line"))
+    return e.select("cseq", "op", *[F.col(f"img.{c}").alias(c) for c in CONFIG_FIELDS],
+                    F.when(F.col("img").isNull(), F.coalesce("line", F.lit(""))).alias("bad"))
+
+
 def config_images(cdc: DataFrame, seq: str = "seq", value: str = "value") -> DataFrame:
-    """``{op, before, after}`` envelopes -> (cseq, op, <config fields>):
-    ``d`` takes the ``before`` image, every other op the ``after`` image."""
-    e = cdc.select(F.col(seq).alias("cseq"), parse_one(F.col(value), ENVELOPE_TYPE).alias("e"))
-    img = F.when(F.col("e.op") == "d", F.col("e.before")).otherwise(F.col("e.after"))
-    return e.select("cseq", F.col("e.op").alias("op"), img.alias("img")) \
-            .where(F.col("img").isNotNull()) \
-            .select("cseq", "op", *[F.col(f"img.{c}").alias(c) for c in CONFIG_FIELDS])
+    """The good envelopes of ``parse_configs``: (cseq, op, <config fields>)."""
+    return parse_configs(cdc, seq, value).where(F.col("bad").isNull()).drop("bad")
 
 
 def rename_to_camel(df: DataFrame) -> DataFrame:
@@ -51,7 +62,7 @@ def config_current(history: DataFrame) -> DataFrame:
     A grouped max_by: partial aggregation, no window over a hot key."""
     latest = (history.groupBy("source_table")
               .agg(F.max_by(F.struct("cseq", "op", *CONFIG_FIELDS[1:]), "cseq").alias("v")))
-    return (latest.where(F.col("v.op") != "d")
+    return (latest.where(~is_delete("v.op"))
             .select("source_table", *[F.col(f"v.{c}").alias(c) for c in ("cseq",) + CONFIG_FIELDS[1:]]))
 
 
@@ -91,7 +102,7 @@ def route_asof(changes: DataFrame, versions: DataFrame, table: str = "table", se
             .agg(F.max("n").alias("n"), F.sum("b").alias("b")).first())
     if (size["n"] or 0) > max_versions or (size["b"] or 0) > max_broadcast:
         return _merge_asof(changes, versions, table, seq)
-    v = versions.where(F.col("op") != "d").select(
+    v = versions.where(~is_delete()).select(
         F.col("source_table"), "from_seq", "to_seq", F.col("cseq"), *CONFIG_FIELDS[1:])
     cond = ((changes[table] == v["source_table"]) & (changes[seq] >= v["from_seq"])
             & (v["to_seq"].isNull() | (changes[seq] < v["to_seq"])))
@@ -123,7 +134,7 @@ def _merge_asof(changes: DataFrame, versions: DataFrame, table: str, seq: str) -
               .unionByName(carried.withColumn("_k", F.lit(0)), allowMissingColumns=True))
     upto = Window.partitionBy("_t", "_b").orderBy("_s", "_k").rowsBetween(Window.unboundedPreceding, 0)
     return (merged.select("_row", "_k", F.last("_v", ignorenulls=True).over(upto).alias("_v"))
-            .where((F.col("_k") == 2) & (F.col("_v.op") != "d"))
+            .where((F.col("_k") == 2) & F.col("_v").isNotNull() & ~is_delete("_v.op"))
             .select("_row.*", *[F.col(f"_v.{c}").alias(c) for c in ("cseq",) + CONFIG_FIELDS[1:]]))
 
 

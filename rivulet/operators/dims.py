@@ -75,7 +75,7 @@ def table_events(history: DataFrame, recreate_on_update: bool = True) -> DataFra
     """Config ops as DDL on the sink table: (cseq, sink_table, op, sink_family,
     drops, creates). Without ``recreate_on_update`` only ``d`` drops and every
     other op creates the table where it does not exist."""
-    op = F.col("op")
+    op = F.coalesce("op", F.lit(""))          # without op: a change like any other
     drops = ~op.isin("r", "c") if recreate_on_update else op == "d"
     return history.select(
         "cseq", "sink_table", "op", "sink_family",
@@ -100,7 +100,7 @@ def sink_tables(history: DataFrame, recreate_on_update: bool = True) -> DataFram
              .agg(F.min_by("sink_family", "cseq").alias("created_family")))
     t = last.join(after, "sink_table", "full")
     # every op but r, c and d recreates the table
-    fam = F.when(F.col("l.op") != "d", F.col("l.sink_family")).otherwise(F.col("created_family"))
+    fam = F.when(F.col("l").isNotNull() & ~F.col("l.op").eqNullSafe(F.lit("d")), F.col("l.sink_family")).otherwise(F.col("created_family"))
     return t.select("sink_table", fam.alias("sink_family")).where(F.col("sink_family").isNotNull())
 
 

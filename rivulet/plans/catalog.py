@@ -156,6 +156,17 @@ def config_images(spark: SparkSession, d: str) -> DataFrame:
     return _history(spark, d)
 
 
+def change_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Change lines that are not one JSON object, as they came."""
+    return CH.parse_changes(FX.change_lines(spark, d)).where("malformed").select("seq", F.col("bad").alias("value"))
+
+
+def config_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Config lines that are no envelope with the image their op needs."""
+    return (CF.parse_configs(FX.config_lines(spark, d)).where(F.col("bad").isNotNull())
+            .select(F.col("cseq").alias("seq"), F.col("bad").alias("value")))
+
+
 def config_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """The snapshot read: a table written once, then read by the snapshot source."""
     path = scratch_path(spark, "config_snapshot")
@@ -183,7 +194,7 @@ def config_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def config_lookup(spark: SparkSession, d: str) -> DataFrame:
-    live = _history(spark, d).where(F.col("op") != "r")
+    live = _history(spark, d).where(~F.col("op").eqNullSafe(F.lit("r")))
     v = CF.config_versions(live, preload=FX.config_snapshot(spark, d))
     j = CF.route_asof(_changes(spark, d), v)
     return j.select("seq", F.col("table").alias("tbl"), "type", "sink_table", "sink_columns")
@@ -234,6 +245,7 @@ BATCH_QUERIES = {
     "route_all": route_all, "route_counts": route_counts,
     "date_columns": date_columns, "partition_by_day": partition_by_day,
     "change_filter": change_filter, "config_images": config_images,
+    "change_quarantine": change_quarantine, "config_quarantine": config_quarantine,
     "config_snapshot": config_snapshot, "rename_columns": rename_columns,
     "config_current": config_current, "column_retain": column_retain,
     "config_join": config_join, "config_lookup": config_lookup,

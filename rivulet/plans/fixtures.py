@@ -67,8 +67,11 @@ select * from (values
  (5000, 'd', 'part', 'dim_part', 'id,name', 'info', 'id'),
  (7000, 'u', 'customer', 'dim_customer_v2', 'id,name,extra', 'info', 'id'),
  (8000, 'c', 'part', 'dim_part_v2', 'id,name,extra', 'info', 'id'),
+ (43, cast(null as varchar(1)), 'nation', 'dim_nation', 'id,name', 'info', 'id'),
  (40, 'r', 'unused', 'dim_unused', 'id,name', 'info', 'id'),
- (41, 't', 'unused', 'dim_unused', 'id,name', 'info,more', 'id')
+ (41, 't', 'unused', 'dim_unused', 'id,name', 'info,more', 'id'),
+ (42, 'r', 'bare', 'dim_bare', 'id,name', 'info', 'id'),
+ (44, cast(null as varchar(1)), 'bare', 'dim_bare', 'id,name', 'info,bare', 'id')
 ) as t(cseq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key)
 union all
 select cast(3 + n_nationkey as bigint), 'r', concat('sup_', n_nationkey), concat('dim_sup_', n_nationkey, '_0'),
@@ -81,6 +84,25 @@ select s_suppkey*100+30,
 from {t:supplier}
 """
 
+# Lines that are no one JSON object: good ones with something after them, or cut
+# short. ``{line}`` is the good line.
+MALFORMED_TAILS = "case {n} % 7 when 0 then '] x' when 1 then '],[{{\"x\":2}}' when 2 then ',' when 3 then '}}' when 4 then ']' else '' end"
+MALFORMED = ("case {n} % 7 when 5 then concat({line}, {line}) when 6 then substring({line}, 1, length({line}) - 1)"
+             " else concat({line}, " + MALFORMED_TAILS + ") end")
+
+MALFORMED_CHANGES = """
+select n_nationkey*100+95 as seq, """ + MALFORMED.format(
+    n="n_nationkey", line="""concat('{"database":"gmall","table":"customer","type":"insert","data":{"id":', cast(n_nationkey as varchar(9)), ',"name":"bad"}}')""") + """ as value
+from {t:nation}
+"""
+
+MALFORMED_CONFIGS = """
+select n_nationkey*100+96 as seq, """ + MALFORMED.format(
+    n="n_nationkey", line="""concat('{"op":"d","before":{"source_table":"customer","sink_table":"dim_customer","sink_row_key":"', cast(n_nationkey as varchar(9)), '"}}')""") + """ as value
+from {t:nation}
+union all select cast(97 as bigint), '{"op":"d"}'
+"""
+
 CONFIG_SNAPSHOT = """
 select source_table, sink_table, sink_columns, sink_family, sink_row_key
 from ({config_changes}) where op = 'r'
@@ -191,8 +213,9 @@ def render_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # ``bad`` is NULL for good lines; != on NULL is NULL, so coalesce first.
     t = t.withColumn("bad", F.coalesce(F.col("bad"), F.lit("")))
-    value = F.when(F.col("bad") == "not_json", F.lit("not json")).otherwise(F.to_json(rec))
-    return t.select("seq", value.alias("value"))
+    t = t.select("seq", "bad", F.to_json(rec).alias("line"))
+    broken = F.when(F.col("seq") % 2 == 0, F.lit("not json")).otherwise(F.expr(MALFORMED.format(n="seq", line="line")))
+    return t.select("seq", F.when(F.col("bad") == "not_json", broken).otherwise(F.col("line")).alias("value"))
 
 
 def render_change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +226,7 @@ def render_change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("data_kind") == "empty", F.lit("{}")))
     rec = F.struct(F.col("db").alias("database"), F.col("tbl").alias("table"),
                    F.col("type"), F.parse_json(data).alias("data"))
-    return t.select("seq", F.to_json(rec).alias("value"))
+    return t.select("seq", F.to_json(rec).alias("value")).unionByName(_spark_sql(spark, MALFORMED_CHANGES, sf_dir))
 
 
 def render_config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +239,7 @@ def render_config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = F.struct(
         F.col("op"),
         F.when(F.col("op") == "d", image).when(F.col("op") == "u", stale).alias("before"),
-        F.when(F.col("op") != "d", image).alias("after"),
+        F.when(F.coalesce("op", F.lit("")) != "d", image).alias("after"),
     )
-    return t.select(F.col("cseq").alias("seq"), F.to_json(rec).alias("value"))
+    good = t.select(F.col("cseq").alias("seq"), F.to_json(rec).alias("value"))
+    return good.unionByName(_spark_sql(spark, MALFORMED_CONFIGS, sf_dir))

@@ -40,7 +40,7 @@ v as (select cf.seq, max(c.cseq) as cseq from cf join cc c on c.source_table = c
       group by cf.seq),
 rt as (select cf.seq, cf.tbl, cf.type, cf.id, cf.name, cf.extra, c.cseq, c.sink_table, c.sink_columns
        from cf join v on v.seq = cf.seq join cc c on c.cseq = v.cseq and c.source_table = cf.tbl
-       where c.op <> 'd'),
+       where c.op is distinct from 'd'),
 cl as (select seq, type, sink_table, sink_columns, cast(id as varchar) as row_key, 'id' as col, cast(id as varchar) as value from rt
        union all select seq, type, sink_table, sink_columns, cast(id as varchar), 'name', name from rt
        union all select seq, type, sink_table, sink_columns, cast(id as varchar), 'extra', extra from rt),
@@ -48,13 +48,13 @@ kept as (select * from cl where value is not null and list_contains(string_split
 putc as (select * from kept where type <> 'delete' and value <> ''),
 rowdel as (select sink_table, cast(id as varchar) as row_key, seq from rt where type = 'delete'),
 ev as (select cseq, sink_table, op, sink_family from cc),
-lastdrop as (select sink_table, max(cseq) as lseq from ev where op not in ('r', 'c') group by sink_table),
+lastdrop as (select sink_table, max(cseq) as lseq from ev where coalesce(op, '') not in ('r', 'c') group by sink_table),
 lastop as (select ev.sink_table, ev.op, ev.sink_family from ev join lastdrop l
            on ev.sink_table = l.sink_table and ev.cseq = l.lseq),
 creat as (select ev.sink_table, arg_min(ev.sink_family, ev.cseq) as fam from ev
           left join lastdrop l on ev.sink_table = l.sink_table
           where ev.op in ('r', 'c') and (l.lseq is null or ev.cseq > l.lseq) group by ev.sink_table),
-tabs as (select t.sink_table, case when lo.op <> 'd' then lo.sink_family else cr.fam end as sink_family
+tabs as (select t.sink_table, case when lo.sink_table is not null and lo.op is distinct from 'd' then lo.sink_family else cr.fam end as sink_family
          from (select sink_table from lastdrop union select sink_table from creat) t
          left join lastop lo on lo.sink_table = t.sink_table left join creat cr on cr.sink_table = t.sink_table),
 live as (select c.*, row_number() over (partition by c.sink_table, c.row_key, c.col order by c.seq desc) as rn
@@ -140,6 +140,8 @@ select strftime({_local('ts_ms')}, '%Y%m%d') as dt, count(*) as n from g group b
     "change_filter": _w(DIM_CTES, "select seq, tbl, type, data_kind from cf"),
     "config_images": _w(DIM_CTES, """
 select cseq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key from cc"""),
+    "change_quarantine": _fx(FX.MALFORMED_CHANGES),
+    "config_quarantine": _fx(FX.MALFORMED_CONFIGS),
     "config_snapshot": _w(DIM_CTES, "select * from cs"),
     "rename_columns": _w(DIM_CTES, """
 select source_table as "sourceTable", sink_table as "sinkTable", sink_columns as "sinkColumns",
@@ -147,7 +149,7 @@ select source_table as "sourceTable", sink_table as "sinkTable", sink_columns as
     "config_current": _w(DIM_CTES, """
 select c.source_table, c.cseq, c.sink_table, c.sink_columns, c.sink_family, c.sink_row_key
 from cc c join (select source_table, max(cseq) as cseq from cc group by 1) l using (source_table, cseq)
-where c.op <> 'd'"""),
+where c.op is distinct from 'd'"""),
     "column_retain": _w(DIM_CTES, "select seq, type, sink_table, col, value from kept"),
     "config_join": _w(DIM_CTES, """
 select cf.seq, cf.tbl, cf.type, cs.sink_table, cs.sink_columns from cf join cs on cs.source_table = cf.tbl"""),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rivulet.functions.jsonmap import parse_one
 from rivulet.functions.times import day_text
 from rivulet.operators import configs as CF, logs as L
 from rivulet.plans import fixtures as FX
@@ -71,7 +72,8 @@ def source_stream(spark: SparkSession, d: str) -> DataFrame:
     src = _landed_log(spark, d)
     out, ck = scratch_path(spark, "source_out"), scratch_path(spark, "ck")
     s = _stream_lines(spark, src).select(
-        "seq", F.get_json_object("value", "$.common.mid").alias("mid"))
+        "seq", F.when(parse_one(F.col("value"), "struct<ts:string>").isNotNull(),
+                      F.get_json_object("value", "$.common.mid")).alias("mid"))
     _drain(J.run_stream(s, ck, fmt="parquet", path=out, available_now=True,
                         state_partitions=_files_per_piece(spark)))
     return spark.read.schema("seq long, mid string").parquet(out)

@@ -58,10 +58,15 @@ def replay_dims(config_lines, change_lines, database="gmall"):
     items = [(s, 0, v) for s, v in config_lines] + [(s, 1, v) for s, v in change_lines]
     routes, tables = {}, {}
     for seq, kind, value in sorted(items, key=lambda x: (x[0], x[1])):
-        rec = json.loads(value)
+        try:
+            rec = json.loads(value)
+        except ValueError:
+            continue                       # set aside
         if kind == 0:
-            op = rec["op"]
-            img = rec["before"] if op == "d" else rec["after"]
+            op = rec.get("op")
+            img = rec.get("before") if op == "d" else rec.get("after")
+            if img is None:
+                continue
             src, sink = img["source_table"], img["sink_table"]
             if op == "d":
                 routes.pop(src, None)
@@ -82,6 +87,8 @@ def replay_dims(config_lines, change_lines, database="gmall"):
         cfg = routes.get(rec.get("table"))
         if cfg is None:
             continue
+        if data is None:
+            continue                       # set aside
         cols = cfg["sink_columns"].split(",")
         kept = {k: v for k, v in data.items() if k in cols}
         kept["type"] = typ
