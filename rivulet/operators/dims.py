@@ -83,8 +83,9 @@ def table_events(history: DataFrame, recreate_on_update: bool = True) -> DataFra
         (op != "d").alias("creates"))
 
 
-def sink_tables(history: DataFrame, recreate_on_update: bool = True) -> DataFrame:
-    """Tables that exist after all config ops: (sink_table, sink_family).
+def sink_tables(history: DataFrame, recreate_on_update: bool = True, keep_birth: bool = False) -> DataFrame:
+    """Tables that exist after all config ops: (sink_table, sink_family), and
+    with ``keep_birth`` ``born``, the ``cseq`` that created each.
 
     The last drop (a ``d``, or the drop half of an update) decides: after an
     update the table exists with the update's families; after a ``d`` it
@@ -97,11 +98,13 @@ def sink_tables(history: DataFrame, recreate_on_update: bool = True) -> DataFram
     after = (creates.join(last, "sink_table", "left")
              .where(F.col("l").isNull() | (F.col("cseq") > F.col("l.cseq")))
              .groupBy("sink_table")
-             .agg(F.min_by("sink_family", "cseq").alias("created_family")))
+             .agg(F.min_by("sink_family", "cseq").alias("created_family"), F.min("cseq").alias("created")))
     t = last.join(after, "sink_table", "full")
     # every op but r, c and d recreates the table
-    fam = F.when(F.col("l").isNotNull() & ~F.col("l.op").eqNullSafe(F.lit("d")), F.col("l.sink_family")).otherwise(F.col("created_family"))
-    return t.select("sink_table", fam.alias("sink_family")).where(F.col("sink_family").isNotNull())
+    again = F.col("l").isNotNull() & ~F.col("l.op").eqNullSafe(F.lit("d"))
+    fam = F.when(again, F.col("l.sink_family")).otherwise(F.col("created_family"))
+    born = [F.when(again, F.col("l.cseq")).otherwise(F.col("created")).alias("born")] if keep_birth else []
+    return t.select("sink_table", fam.alias("sink_family"), *born).where(F.col("sink_family").isNotNull())
 
 
 def sink_families(tables: DataFrame) -> DataFrame:

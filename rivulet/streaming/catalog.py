@@ -15,10 +15,12 @@ from rivulet.functions.times import day_text
 from rivulet.operators import configs as CF, logs as L
 from rivulet.plans import fixtures as FX
 from rivulet.plans.extract import extract_routed
-from rivulet.plans.oracle import LOG_CTES, ORACLE, _w
+from rivulet.plans.oracle import DIM_CTES, LOG_CTES, ORACLE, _w
 from rivulet.session import app_id, parallelism, scratch_path
+from rivulet.sources.hybrid import read_snapshot_then_changes
 from rivulet.sources.topics import land_lines, read_topic, read_topics
 from rivulet.streaming import jobs as J
+from rivulet.streaming.sinktables import list_tables, read_table
 
 PIECES = 3
 
@@ -133,13 +135,78 @@ def dim_stream(spark: SparkSession, d: str) -> DataFrame:
     return J.dim_current_from_logs(spark, state)
 
 
+def config_hybrid_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Config snapshot, then config changes, as one stream that is stopped in
+    mid-snapshot and started again."""
+    snap, chg, out, ck = (scratch_path(spark, n) for n in ("config_snap", "config_chg", "config_out", "ck"))
+    FX.config_snapshot(spark, d).repartition(6).write.parquet(snap)
+    parsed = CF.parse_configs(FX.config_lines(spark, d))
+    later = parsed.where(F.col("bad").isNull() & ~F.col("op").eqNullSafe(F.lit("r"))).select(F.col("cseq").alias("seq"))
+    FX.config_lines(spark, d).join(later, "seq", "left_semi").write.parquet(chg)
+    options = {"snapshotPath": snap, "changesPath": chg, "progressPath": f"{ck}-progress", "unitsPerTrigger": "2", "seqsPerTrigger": "4000"}
+
+    def start():
+        images = CF.config_images(read_snapshot_then_changes(spark, options))
+        return J.run_stream(images, ck, fmt="parquet", path=out, processing_time="0 seconds")
+
+    first = start()
+    while not any(p["numInputRows"] for p in first.recentProgress):
+        if first.exception() is not None:
+            raise first.exception()
+        first.awaitTermination(0.05)
+    first.stop()
+    again = start()
+    again.processAllAvailable()
+    again.stop()
+    images = spark.read.schema(J.HISTORY_SCHEMA).parquet(out)
+    return images.withColumn("cseq", F.when(F.col("cseq") >= 0, F.col("cseq")))
+
+
+def _tables_stream(spark: SparkSession, d: str) -> str:
+    """The dimension job with its sink tables in the catalog; their namespace."""
+    src = _landed(spark, d, "topic_db", _merged_db)
+    state, ck = scratch_path(spark, "dim_state"), scratch_path(spark, "ck")
+    namespace = "dim_" + state.rsplit("-", 1)[-1]
+    s = (spark.readStream.schema("seq long, value string, kind string")
+         .option("maxFilesPerTrigger", str(2 * _files_per_piece(spark))).parquet(src))
+    _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state, namespace=namespace, buckets=2), available_now=True,
+                        state_partitions=_files_per_piece(spark)))
+    return namespace
+
+
+def dim_tables_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Sink tables that the catalog holds after all config ops."""
+    return list_tables(spark, _tables_stream(spark, d))
+
+
+def dim_wide(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of all sink tables, one per key."""
+    namespace = _tables_stream(spark, d)
+    cols, rows = ("id", "name", "extra"), None
+    for name in sorted(t.name for t in spark.catalog.listTables(namespace)):
+        t = read_table(spark, namespace, name)
+        own = t.select(F.lit(name).alias("sink_table"), "row_key", *[
+            F.col(c) if c in t.columns else F.lit(None).cast("string").alias(c) for c in cols])
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
+
+
 STREAM_QUERIES = {
+    "config_hybrid_stream": config_hybrid_stream, "dim_tables_stream": dim_tables_stream, "dim_wide": dim_wide,
     "source_stream": source_stream, "config_stream": config_stream,
     "visitor_fix_stream": visitor_fix_stream, "route_stream": route_stream,
     "topic_sink_stream": topic_sink_stream, "dim_stream": dim_stream,
 }
 
 STREAM_ORACLE = {
+    "config_hybrid_stream": _w(DIM_CTES, """
+select case when op is distinct from 'r' then cseq end as cseq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key
+from cc"""),
+    "dim_tables_stream": ORACLE["sink_tables"],
+    "dim_wide": _w(DIM_CTES, """
+select sink_table, row_key, max(value) filter (where col = 'id') as id, max(value) filter (where col = 'name') as name,
+       max(value) filter (where col = 'extra') as extra
+from cur group by sink_table, row_key"""),
     "source_stream": _w(LOG_CTES, """
 select seq, case when bad in ('not_json', 'no_common', 'no_mid') then null else mid end as mid from lt"""),
     "config_stream": ORACLE["config_images"],

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators import changes as CH, configs as CF, dims as D, logs as L
 from rivulet.sources.topics import write_topics_batch
+from rivulet.streaming import sinktables as T
 
 DEFAULT_TRIGGER = "5 seconds"
 
@@ -179,7 +180,8 @@ LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, "
 
 def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None,
                      order: str = "seq", on_malformed: str = "quarantine",
-                     preload: DataFrame | None = None, recreate_on_update: bool = True):
+                     preload: DataFrame | None = None, recreate_on_update: bool = True,
+                     namespace: str | None = None, buckets: int = T.BUCKETS):
     """foreachBatch body of the dimension job.
 
     Input rows: (seq, kind, value) with kind 'config' or 'change'. In order:
@@ -202,6 +204,10 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
     Lines that are no change or no config envelope go to ``quarantine_log``
     as they came; ``preload`` is a config snapshot (one row a source table)
     in force before the stream's own config changes; ``on_malformed='fail'`` stops the job at the first instead.
+
+    With ``namespace`` the sink tables are kept as tables of the catalog, one
+    wide row per key (``sinktables``): the batch's config events become DDL,
+    then the buckets that its changes touch are rewritten.
     """
     if on_malformed not in ("quarantine", "fail"):
         raise ValueError(f"on_malformed: {on_malformed}")
@@ -210,18 +216,18 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
+        parsed = CH.parse_changes(batch.where(F.col("kind") == "change")).persist()
         try:
             epoch = F.lit(batch_id if arrival else 0).cast("long")
-            parsed = CH.parse_changes(batch.where(F.col("kind") == "change"))
-            cfg = CF.config_images(batch.where(F.col("kind") == "config")).withColumn("epoch", epoch)
-            bad = (parsed.where("malformed").select(F.lit("change").alias("kind"), "seq")
-                   .unionByName(batch.where(F.col("kind") == "config").select("kind", "seq")
-                                .join(cfg.select(F.col("cseq").alias("seq")), "seq", "left_anti")))
-            lost = batch.join(bad, ["kind", "seq"], "left_semi").select("seq", "kind", "value")
+            configs = CF.parse_configs(batch.where(F.col("kind") == "config"))
+            lost = (parsed.where("malformed").select("seq", F.lit("change").alias("kind"), F.col("bad").alias("value"))
+                    .unionByName(configs.where(F.col("bad").isNotNull())
+                                 .select(F.col("cseq").alias("seq"), F.lit("config").alias("kind"), F.col("bad").alias("value"))))
             if on_malformed == "fail" and not lost.isEmpty():
                 raise ValueError(f"malformed line in batch {batch_id}: {lost.first().asDict()}")
-            lost.write.mode("overwrite").parquet(f"{state_dir}/quarantine_log/batch={batch_id}")
-            cfg.write.mode("overwrite").parquet(f"{state_dir}/config_log/batch={batch_id}")
+            lost.coalesce(1).write.mode("overwrite").parquet(f"{state_dir}/quarantine_log/batch={batch_id}")
+            cfg = configs.where(F.col("bad").isNull()).drop("bad").withColumn("epoch", epoch)
+            cfg.coalesce(1).write.mode("overwrite").parquet(f"{state_dir}/config_log/batch={batch_id}")
             history = read_config_log(spark, state_dir)
             ch = CH.filter_changes(parsed, database=database)
             if arrival:
@@ -230,13 +236,27 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
                 routed = CF.route_asof(ch, CF.config_versions(history, preload))
             (D.change_log(routed).withColumns({"epoch": epoch, "phase": F.lit(int(arrival))}).write.mode("overwrite")
              .parquet(f"{state_dir}/change_log/batch={batch_id}"))
+            if namespace:
+                _write_tables(spark, state_dir, namespace, batch_id, preload, recreate_on_update, buckets)
         finally:
+            parsed.unpersist()
             batch.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact_dims(spark, state_dir, batch_id, recreate_on_update)
     return write
 
 
+def _write_tables(spark: SparkSession, state_dir: str, namespace: str, batch_id: int, preload: DataFrame | None,
+                  recreate_on_update: bool, buckets: int) -> None:
+    """DDL of the config log up to the batch, and the rows that it touches."""
+    history = _ordered_history(spark, state_dir, preload, through=batch_id)
+    tables = T.apply_tables(spark, namespace, f"{state_dir}/tables", T.wanted_tables(history, recreate_on_update))
+    touched = (read_change_log(spark, state_dir, with_batch=True)
+               .where((F.col("batch") == batch_id) & F.col("quarantine").isNull()).select("sink_table", "row_key"))
+    current = dim_current_from_logs(spark, state_dir, through=batch_id, recreate_on_update=recreate_on_update)
+    T.write_rows(spark, namespace, tables, current, touched, buckets)
+
+
 def read_config_log(spark: SparkSession, state_dir: str) -> DataFrame:
     return spark.read.schema(CONFIG_LOG_SCHEMA + ", batch long").parquet(
         f"{state_dir}/config_log").drop("batch")
@@ -293,13 +313,21 @@ def dim_current_from_logs(spark: SparkSession, state_dir: str, keep_seq: bool =
 def sink_tables_from_logs(spark: SparkSession, state_dir: str, preload: DataFrame | None = None,
                           recreate_on_update: bool = True) -> DataFrame:
     """The table registry of the stream: tables that exist after its config log."""
-    history = read_config_log(spark, state_dir).withColumn("cseq", _order("cseq", F.lit(0)))
+    return D.sink_tables(_ordered_history(spark, state_dir, preload), recreate_on_update)
+
+
+def _ordered_history(spark: SparkSession, state_dir: str, preload: DataFrame | None = None,
+                     through: int | None = None) -> DataFrame:
+    """The config log (up to a batch) with its order key, a preload first."""
+    log = spark.read.schema(CONFIG_LOG_SCHEMA + ", batch long").parquet(f"{state_dir}/config_log")
+    log = (log if through is None else log.where(F.col("batch") <= F.lit(through))).drop("batch")
+    history = log.withColumn("cseq", _order("cseq", F.lit(0)))
     if preload is not None:
         first = F.struct(F.lit(-1).cast("long").alias("epoch"), F.lit(0).alias("phase"),
                          F.lit(CF.PRELOAD_SEQ).cast("long").alias("seq"))
         history = history.unionByName(preload.select(first.alias("cseq"), F.lit("r").alias("op"), *CF.CONFIG_FIELDS),
                                       allowMissingColumns=True)
-    return D.sink_tables(history, recreate_on_update)
+    return history
 
 
 def compact_dims(spark: SparkSession, state_dir: str, through: int | None = None,
