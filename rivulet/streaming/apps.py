@@ -19,6 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rivulet import constants as K
 from rivulet.session import checkpoint_root, parallelism
+from rivulet.sources.hybrid import FORMAT as HYBRID, read_snapshot_then_changes
+from rivulet.sources.tables import read_config_table
 from rivulet.sources.topics import read_topic
 from rivulet.streaming import jobs as J
 
@@ -51,12 +53,16 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
                   compact_every: int | None = 100, database: str = K.DEFAULT_DATABASE,
                   order: str = "arrival", on_malformed: str = "quarantine",
                   preload: DataFrame | None = None, recreate_on_update: bool = True,
+                  config_format: str | None = None, namespace: str | None = None,
                   available_now: bool = False, name: str = "dim_app") -> StreamingQuery:
     """Change topic + config change stream -> routed cell log (+ snapshots).
 
     Both inputs are read as one stream (tagged by kind) so one query owns the
     order between config and data; ``config_path``/``config_options`` name
-    the config change source, which uses ``source_format`` as well.
+    the config change source, which uses ``source_format`` as well unless
+    ``config_format`` says otherwise: ``snapshot_then_changes`` reads the
+    config table first and then its changes, in one source (``sources.hybrid``).
+    ``namespace`` keeps the sink tables in the catalog.
     ``order='arrival'`` (default for two topics) routes each batch's changes
     with the config after that batch's config changes; ``order='seq'`` when
     both carry comparable seqs (see ``dim_batch_writer``). Config is read from
@@ -64,13 +70,16 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
     (``tables.read_config_table``) is in force before it."""
     changes = read_topic(spark, K.TOPIC_DB, fmt=source_format, path=source_path,
                          options=source_options).withColumn("kind", F.lit("change"))
-    start = {"startingOffsets": "earliest"} if source_format == "kafka" else {}
-    config = read_topic(spark, "config", fmt=source_format, path=config_path,
-                        options={**start, **(config_options or {})}).withColumn("kind", F.lit("config"))
-    both = changes.unionByName(config)
-    return J.run_stream(both, _ck(spark, name, checkpoint),
-                        foreach_batch=J.dim_batch_writer(state_dir, database, compact_every, order,
-                                                         on_malformed, preload, recreate_on_update),
+    ck, config_format = _ck(spark, name, checkpoint), config_format or source_format
+    if config_format == HYBRID:
+        config = read_snapshot_then_changes(spark, {"progressPath": f"{ck}-progress", **(config_options or {})})
+    else:
+        start = {"startingOffsets": "earliest"} if config_format == "kafka" else {}
+        config = read_topic(spark, "config", fmt=config_format, path=config_path, options={**start, **(config_options or {})})
+    both = changes.unionByName(config.withColumn("kind", F.lit("config")))
+    return J.run_stream(both, ck,
+                        foreach_batch=J.dim_batch_writer(state_dir, database, compact_every, order, on_malformed, preload,
+                                                         recreate_on_update, namespace),
                         available_now=available_now, processing_time=trigger, name=name)
 
 
@@ -86,6 +95,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--option", action="append", help="source option key=value")
     ap.add_argument("--config-path")
     ap.add_argument("--config-option", action="append")
+    ap.add_argument("--config-format", help="default: as the source; snapshot_then_changes reads the table first")
+    ap.add_argument("--order", choices=["arrival", "seq"], default="arrival")
+    ap.add_argument("--on-malformed", choices=["quarantine", "fail"], default="quarantine")
+    ap.add_argument("--keep-on-update", action="store_true", help="a config update keeps the table's rows")
+    ap.add_argument("--preload-format", help="config snapshot in force before the stream: parquet, jdbc, ..")
+    ap.add_argument("--preload-path")
+    ap.add_argument("--preload-option", action="append", help="e.g. url=jdbc:..., dbtable=...")
+    ap.add_argument("--database", default=K.DEFAULT_DATABASE)
+    ap.add_argument("--compact-every", type=int, default=100)
+    ap.add_argument("--namespace", help="keep the sink tables in this database of the catalog")
     ap.add_argument("--sink-format", default="parquet")
     ap.add_argument("--sink-path")
     ap.add_argument("--sink-option", action="append")
@@ -103,11 +122,16 @@ def main(argv: list[str] | None = None) -> None:
                           checkpoint=a.checkpoint, state_dir=a.state_dir, trigger=a.trigger,
                           parallelism_=a.parallelism, available_now=a.available_now)
     else:
+        preload = None
+        if a.preload_format or a.preload_path:
+            preload = read_config_table(spark, a.preload_path, a.preload_format or "parquet", _opts(a.preload_option))
         q = start_dim_app(spark, state_dir=a.state_dir or f"{checkpoint_root(spark)}/rivulet/dim_state",
                           source_format=a.source_format, source_path=a.source_path,
                           source_options=_opts(a.option), config_path=a.config_path,
                           config_options=_opts(a.config_option), checkpoint=a.checkpoint,
-                          trigger=a.trigger, available_now=a.available_now)
+                          trigger=a.trigger, available_now=a.available_now, config_format=a.config_format,
+                          order=a.order, on_malformed=a.on_malformed, recreate_on_update=not a.keep_on_update,
+                          preload=preload, database=a.database, compact_every=a.compact_every, namespace=a.namespace)
     q.awaitTermination()
 
 

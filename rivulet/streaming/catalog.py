@@ -20,6 +20,7 @@ from rivulet.session import app_id, parallelism, scratch_path
 from rivulet.sources.hybrid import read_snapshot_then_changes
 from rivulet.sources.topics import land_lines, read_topic, read_topics
 from rivulet.streaming import jobs as J
+from rivulet.streaming.apps import main
 from rivulet.streaming.sinktables import list_tables, read_table
 
 PIECES = 3
@@ -162,6 +163,31 @@ def config_hybrid_stream(spark: SparkSession, d: str) -> DataFrame:
     return images.withColumn("cseq", F.when(F.col("cseq") >= 0, F.col("cseq")))
 
 
+def dim_stream_preload(spark: SparkSession, d: str) -> DataFrame:
+    """The dimension job by its command line: the config table's snapshot is
+    preloaded, the config topic holds its changes only."""
+    snap, chg, cfg, state, ck = (scratch_path(spark, n) for n in ("config_snap", "changes", "config_chg", "dim_state", "ck"))
+    FX.config_snapshot(spark, d).write.parquet(snap)
+    FX.change_lines(spark, d).write.parquet(chg)
+    (FX.config_lines(spark, d).join(FX.config_changes(spark, d).where("op = 'r'").select(F.col("cseq").alias("seq")), "seq", "left_anti")
+     .write.parquet(cfg))
+    main(["dim", "--source-format", "parquet", "--source-path", chg, "--config-path", cfg, "--state-dir", state, "--checkpoint", ck,
+          "--order", "seq", "--preload-path", snap, "--available-now"])
+    return J.read_change_log(spark, state).where("quarantine is null").select("seq", "type", "sink_table", "row_key")
+
+
+def dim_stream_arrival(spark: SparkSession, d: str) -> DataFrame:
+    """Two topics in order of arrival: every change of a batch meets the config
+    as it stands after the batch's config changes."""
+    src = _landed(spark, d, "topic_db", _merged_db)
+    state, ck = scratch_path(spark, "dim_state"), scratch_path(spark, "ck")
+    s = (spark.readStream.schema("seq long, value string, kind string")
+         .option("maxFilesPerTrigger", "100000").parquet(src))
+    _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state, order="arrival"), available_now=True,
+                        state_partitions=_files_per_piece(spark)))
+    return J.read_change_log(spark, state).where("quarantine is null").select("seq", "type", "sink_table", "row_key")
+
+
 def _tables_stream(spark: SparkSession, d: str) -> str:
     """The dimension job with its sink tables in the catalog; their namespace."""
     src = _landed(spark, d, "topic_db", _merged_db)
@@ -192,6 +218,7 @@ def dim_wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 STREAM_QUERIES = {
+    "dim_stream_preload": dim_stream_preload, "dim_stream_arrival": dim_stream_arrival,
     "config_hybrid_stream": config_hybrid_stream, "dim_tables_stream": dim_tables_stream, "dim_wide": dim_wide,
     "source_stream": source_stream, "config_stream": config_stream,
     "visitor_fix_stream": visitor_fix_stream, "route_stream": route_stream,
@@ -203,6 +230,20 @@ STREAM_ORACLE = {
 select case when op is distinct from 'r' then cseq end as cseq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key
 from cc"""),
     "dim_tables_stream": ORACLE["sink_tables"],
+    # a snapshot row is in force from the start of time, a later config change from its seq on
+    "dim_stream_preload": _w(DIM_CTES, """
+select cf.seq, cf.type, coalesce(c.sink_table, s.sink_table) as sink_table, cast(cf.id as varchar) as row_key
+from cf
+left join (select x.seq, max(y.cseq) as cseq from cf x join cc y on y.source_table = x.tbl and y.cseq <= x.seq
+           and y.op is distinct from 'r' group by x.seq) v on v.seq = cf.seq
+left join cc c on c.cseq = v.cseq and c.source_table = cf.tbl
+left join cs s on s.source_table = cf.tbl and v.cseq is null
+where (c.source_table is not null and c.op is distinct from 'd' or s.source_table is not null) and cf.id is not null"""),
+    "dim_stream_arrival": _w(DIM_CTES, """
+select cf.seq, cf.type, c.sink_table, cast(cf.id as varchar) as row_key
+from cf join cc c on c.source_table = cf.tbl
+join (select source_table, max(cseq) as cseq from cc group by 1) l on l.source_table = c.source_table and l.cseq = c.cseq
+where c.op is distinct from 'd' and cf.id is not null"""),
     "dim_wide": _w(DIM_CTES, """
 select sink_table, row_key, max(value) filter (where col = 'id') as id, max(value) filter (where col = 'name') as name,
        max(value) filter (where col = 'extra') as extra
