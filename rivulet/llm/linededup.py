@@ -1,7 +1,9 @@
 """Operator 5: line dedup by overlapping three-line windows.
 
-Every text is cut at line feeds; each run of three consecutive lines with a
-non-empty one among them is a window, known by two 64-bit hashes of its lines.
+Every text is cut at line feeds, and a virtual line stands before and after it;
+each run of three consecutive lines with a non-empty one among them is a window,
+known by two 64-bit hashes of its lines. Texts of one or two lines and passages
+at a text's edge thus have windows, too.
 Over the whole corpus the first occurrence of a window (smallest document id,
 then position) stays; the lines that any later occurrence covers are removed,
 overlapping windows merged. What remains is joined again by line feeds.
@@ -10,9 +12,8 @@ A window may be in a third of all rows: the first occurrence is a grouped
 minimum (combined before the shuffle), and the way back to the later ones is
 an equi-join of which adaptive execution splits skewed partitions.
 
-Defined results: a null text stays null; texts of fewer than three lines stay
-as they are unless ``edges`` is set, as in the pipeline; rows that repeat both id and text count as one document and get
-the same result; a document of which every line is removed keeps an empty
+Defined results: a null text stays null; an empty text has no window; rows that
+repeat both id and text count as one document and get the same result; a document of which every line is removed keeps an empty
 text; an empty table gives an empty one. Other columns pass through.
 """
 
@@ -23,21 +24,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivulet.llm.common import read_table
 
 SPAN = 3
-#: Stands before and after a text with ``edges``; no line holds a line feed.
+#: Stands before and after a text; no line holds a line feed.
 EDGE = "\n"
 
 
-def windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edges: bool = False) -> DataFrame:
-    """(id, text_hash, pos, k1, k2): every window of every row. With ``edges``
-    a virtual line stands before (pos -1) and after each text."""
+def windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text_hash, pos, k1, k2): every window of every row; pos -1 is the
+    virtual line before the text."""
     split = F.split(F.col(text_col).cast("string"), "\n", -1)
-    split = F.concat(F.array(F.lit(EDGE)), split, F.array(F.lit(EDGE))) if edges else split
+    split = F.concat(F.array(F.lit(EDGE)), split, F.array(F.lit(EDGE)))
     lines = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), split.alias("lines"))
     long_enough = lines.filter(F.size("lines") >= SPAN)
     runs = F.expr(f"transform(sequence(0, size(lines) - {SPAN}), i -> slice(lines, i + 1, {SPAN}))")
     return (long_enough.select("id", "text_hash", F.posexplode(runs).alias("pos", "run"))
             .filter(F.exists("run", lambda line: ~line.isin("", EDGE)))
-            .select("id", "text_hash", (F.col("pos") - int(edges)).alias("pos"), F.xxhash64("run").alias("k1"),
+            .select("id", "text_hash", (F.col("pos") - 1).alias("pos"), F.xxhash64("run").alias("k1"),
                     F.xxhash64(F.lit("second"), "run").alias("k2")))
 
 
@@ -51,11 +52,10 @@ def later_occurrences(win: DataFrame) -> DataFrame:
             .select("id", "text_hash", "pos"))
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edges: bool = False) -> DataFrame:
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with its text cleaned, plus ``__lines`` and ``__removed`` (line
-    counts before and of what went). ``edges``: see ``windows``; texts of one
-    or two lines and passages at a text's edge are then compared, too."""
-    starts = (later_occurrences(windows(df, id_col, text_col, edges))
+    counts before and of what went)."""
+    starts = (later_occurrences(windows(df, id_col, text_col))
               .groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
               .agg(F.collect_set("pos").alias("__starts")))
     covered = f"array_distinct(flatten(transform(__starts, s -> sequence(s, s + {SPAN - 1}))))"
@@ -83,11 +83,12 @@ OP5_SQL = """
 with parts as (
   select doc_id, text, string_split(text, chr(10)) as ls from documents
 ), win as (
-  select doc_id, i - 1 as pos, ls[i] as a, ls[i + 1] as b, ls[i + 2] as c
-  from (select doc_id, ls, unnest(range(1, len(ls) - 1)) as i from parts where len(ls) >= 3)
+  select doc_id, i - 2 as pos, ws[i] as a, ws[i + 1] as b, ws[i + 2] as c
+  from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i
+        from (select doc_id, list_concat([chr(10)], list_concat(ls, [chr(10)])) as ws from parts where text is not null))
 ), ranked as (
   select doc_id, pos, row_number() over (partition by a, b, c order by doc_id, pos) as nth
-  from win where a <> '' or b <> '' or c <> ''
+  from win where a not in ('', chr(10)) or b not in ('', chr(10)) or c not in ('', chr(10))
 ), gone as (
   select distinct doc_id, pos + d as line from ranked, (values (0), (1), (2)) t(d) where nth > 1
 ), split_lines as (
