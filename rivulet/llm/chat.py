@@ -53,13 +53,15 @@ class Layout:
     one: tuple[str, str] | None = None
     fields: tuple[tuple[str, tuple[str, ...]], ...] = ()
     optional: tuple[str, ...] = field(default=())
+    #: Roles have other names here (``ROLES``); else they stay as they are.
+    foreign: bool = False
 
 
 LAYOUTS = (
     Layout("messages", {"messages": [{"role": 0, "content": 0}], "system": 0},
            many=("messages", "role", "content"), optional=("system",)),
     Layout("sharegpt", {"conversations": [{"from": 0, "value": 0}], "system": 0},
-           many=("conversations", "from", "value"), optional=("system",)),
+           many=("conversations", "from", "value"), optional=("system",), foreign=True),
     Layout("instruction", {"instruction": 0, "input": 0, "output": 0, "system": 0},
            fields=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",))),
            optional=("input", "system")),
@@ -104,7 +106,9 @@ def layout_of(record: Column, layouts=LAYOUTS) -> Column:
     return F.try_element_at(F.create_map(*pairs), fingerprint(record))
 
 
-def _role(c: Column) -> Column:
+def _role(c: Column, foreign: bool) -> Column:
+    if not foreign:
+        return F.coalesce(c, F.lit(""))
     known = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
     return F.coalesce(F.try_element_at(known, F.lower(c)), c, F.lit(""))
 
@@ -113,11 +117,11 @@ def _turns(record: Column, x: Layout) -> Column:
     get = lambda path, kind="string": F.try_variant_get(record, f"$.{path}", kind)
     turn = lambda role, text: F.struct(role.alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     if x.one:
-        return F.array(turn(_role(get(x.one[0])), get(x.one[1])))
+        return F.array(turn(_role(get(x.one[0]), x.foreign), get(x.one[1])))
     if x.many:
         path, role, text = x.many
         listed = F.transform(get(path, f"array<struct<`{role}`:string,`{text}`:string>>"),
-                             lambda t: turn(_role(t[role]), t[text]))
+                             lambda t: turn(_role(t[role], x.foreign), t[text]))
         system = F.filter(F.array(turn(F.lit("system"), get("system"))), lambda t: t["text"] != "")
         return F.concat(system, F.coalesce(listed, F.filter(system, lambda t: F.lit(False))))
     made = []
@@ -184,8 +188,9 @@ def read_back(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted, then read back as digests."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    tricky = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
-                                   rows.schema)
+    said = F.array(*[F.struct(F.lit(-7).alias("conv_id"), F.lit(i).alias("turn"), F.lit(role).alias("role"),
+                              F.lit("</s>[INST] ok [/INST]").alias("text")) for i, role in enumerate(("user", "assistant"))])
+    tricky = spark.range(1).select(F.inline(said)).select(*[F.col(f.name).cast(f.dataType) for f in rows.schema])
     records = rows.unionByName(tricky).select("conv_id", "turn", F.to_variant_object(
         F.struct("turn", "role", "text")).alias("record"))
     turns = canonical_turns(records, "record").select("conv_id", "turn", F.inline("turns"))
@@ -201,19 +206,15 @@ OP9_SQL = r"""
 with rows as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
-), named as (
-  select conv_id, turn, text, case lower(role) when 'human' then 'user' when 'prompter' then 'user'
-    when 'gpt' then 'assistant' when 'bot' then 'assistant' when 'model' then 'assistant'
-    when 'chatgpt' then 'assistant' else role end as role from rows
 ), sized as (
   select *, length(t) + length(t) - length(replace(t, '\', ''))
     + len(regexp_extract_all(t, '<\||</?s>|<</?SYS>>|\[/?INST\]')) as chars
-  from (select *, unnest([role, text]) as t from named)
+  from (select *, unnest([role, text]) as t from rows)
 ), totals as (select conv_id, sum(chars) as chars from sized group by conv_id)
 select n.conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
   cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   cast(any_value(t.chars) + 32 * count(*) as bigint) as formatted_chars
-from named n join totals t on n.conv_id is not distinct from t.conv_id group by n.conv_id
+from rows n join totals t on n.conv_id is not distinct from t.conv_id group by n.conv_id
 """
