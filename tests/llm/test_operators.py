@@ -369,7 +369,7 @@ def test_foreign_text_leaves_the_band(spark):
     ('{"instruction":"do","input":"this","output":null}', [("user", "do\n\nthis")], "instruction"),
     ('{"prompt":"p","completion":"c"}', [("user", "p"), ("assistant", "c")], "prompt_completion"),
     ('{"question":"q","answer":"a"}', [("user", "q"), ("assistant", "a")], "question_answer"),
-    ('{"role":"model","text":"t","turn":3}', [("assistant", "t")], "turn_row"),
+    ('{"role":"model","text":"t","turn":3}', [("model", "t")], "turn_row"),
     ('{"something":"else"}', None, None), ('[1, 2.5, {"a": null}]', None, None),
 ])
 def test_layouts(spark, record, turns, layout):

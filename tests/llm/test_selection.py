@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from rivulet.llm import lexical, mixing, negatives, secrets
+from rivulet.llm import chat, lexical, mixing, negatives, secrets
 from test_edges import CLASH, DOCS, LONG_TEXT, LONG_WORD, ROWS, documents
 
 # ------------------------------------------------------------ hard negatives
@@ -242,3 +242,13 @@ def test_long_texts_of_any_characters(spark):
     assert got[3] == "[SECRET] " * (n // 100) and got[4] == "[SECRET] " * (n // 100)
     plan = secrets.scan(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") <= 12
+
+
+def test_roles_stay_as_given(spark):
+    """Only layouts with names of their own are mapped."""
+    rows = [('{"turn":0,"role":"Human","text":"a"}', [("Human", "a")]), ('{"turn":0,"role":"gpt","text":"a"}', [("gpt", "a")]),
+            ('{"messages":[{"role":"Bot","content":"a"}]}', [("Bot", "a")]),
+            ('{"conversations":[{"from":"Human","value":"u"}]}', [("user", "u")])]
+    for text, want in rows:
+        got = chat.canonical_turns(spark.range(1).select(F.parse_json(F.lit(text)).alias("r")), "r").first()
+        assert [(t.role, t.text) for t in got["turns"]] == want
