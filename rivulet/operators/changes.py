@@ -35,9 +35,8 @@ def parse_changes(lines: DataFrame, seq: str = "seq", value: str = "value") -> D
     return seal(p)
 
 
-def filter_changes(changes: DataFrame, database: str = K.DEFAULT_DATABASE,
-                   strict_data: bool = False) -> DataFrame:
-    """Keep ``database`` rows of type insert / update / delete, and
+def wanted(database: str = K.DEFAULT_DATABASE, strict_data: bool = False) -> F.Column:
+    """``database`` rows of type insert / update / delete, and
     bootstrap-insert rows whose data is a non-empty object. As coded, the data
     test guards only bootstrap-insert; ``strict_data`` applies it to all."""
     data_ok = F.col("data_text").isNotNull() & (F.length("data_text") > 2)
@@ -46,7 +45,13 @@ def filter_changes(changes: DataFrame, database: str = K.DEFAULT_DATABASE,
         typ.isin(*K.CHANGE_TYPES) | ((typ == K.BOOTSTRAP_INSERT) & data_ok))
     if strict_data:
         keep = keep & data_ok
-    return changes.where(F.coalesce(keep, F.lit(False))).drop("bad")
+    return F.coalesce(keep, F.lit(False))
+
+
+def filter_changes(changes: DataFrame, database: str = K.DEFAULT_DATABASE,
+                   strict_data: bool = False) -> DataFrame:
+    """Keep the ``wanted`` changes."""
+    return changes.where(wanted(database, strict_data)).drop("bad")
 
 
 def retain_columns(data: F.Column, sink_columns: F.Column) -> F.Column:

@@ -95,25 +95,33 @@ def _bytes() -> F.Column:
 
 def route_asof(changes: DataFrame, versions: DataFrame, table: str = "table", seq: str = "seq",
                max_broadcast: int = DEFAULT_MAX_BROADCAST_BYTES,
-               max_versions: int = DEFAULT_MAX_LOOKUP_VERSIONS) -> DataFrame:
+               max_versions: int = DEFAULT_MAX_LOOKUP_VERSIONS, keep_unrouted: bool = False) -> DataFrame:
     """Inner as-of join: each change meets the config version in force at its
-    seq; changes of unrouted or deleted tables drop out."""
+    seq; changes of unrouted or deleted tables drop out, or with
+    ``keep_unrouted`` stay with NULL config fields; ``routed`` tells which."""
     size = (versions.groupBy("source_table").agg(F.count(F.lit(1)).alias("n"), _bytes().alias("b"))
             .agg(F.max("n").alias("n"), F.sum("b").alias("b")).first())
     if (size["n"] or 0) > max_versions or (size["b"] or 0) > max_broadcast:
-        return _merge_asof(changes, versions, table, seq)
+        return _merge_asof(changes, versions, table, seq, keep_unrouted)
     v = versions.where(~is_delete()).select(
         F.col("source_table"), "from_seq", "to_seq", F.col("cseq"), *CONFIG_FIELDS[1:])
     cond = ((changes[table] == v["source_table"]) & (changes[seq] >= v["from_seq"])
             & (v["to_seq"].isNull() | (changes[seq] < v["to_seq"])))
-    return changes.join(F.broadcast(v), cond, "inner").drop("source_table", "from_seq", "to_seq")
+    return _joined(changes, F.broadcast(v), cond, keep_unrouted).drop("from_seq", "to_seq")
 
 
-def _merge_asof(changes: DataFrame, versions: DataFrame, table: str, seq: str) -> DataFrame:
+def _joined(changes: DataFrame, config: DataFrame, cond: F.Column, keep_unrouted: bool) -> DataFrame:
+    if not keep_unrouted:
+        return changes.join(config, cond, "inner").drop("source_table")
+    return changes.join(config, cond, "left").withColumn("routed", F.col("source_table").isNotNull()).drop("source_table")
+
+
+def _merge_asof(changes: DataFrame, versions: DataFrame, table: str, seq: str, keep_unrouted: bool = False) -> DataFrame:
     """The as-of join as a merge: versions and changes sorted together within
     (table, seq bucket), the last version seen carried forward. A bucket opens
     with the version carried into it from the buckets before; that table holds
-    one row per (table, bucket) with changes. ``changes`` is read twice."""
+    one row per (table, bucket) with changes. ``changes`` is read twice, with
+    ``keep_unrouted`` three times."""
     bucket = F.shiftright(F.col("_s"), BUCKET_BITS)
     v = (versions.where(F.col("to_seq").isNull() | (F.col("to_seq") > F.col("from_seq")))
          .select(F.col("source_table").alias("_t"), F.col("from_seq").alias("_s"),
@@ -133,17 +141,22 @@ def _merge_asof(changes: DataFrame, versions: DataFrame, table: str, seq: str) -
               .unionByName(v.withColumn("_k", F.lit(1)), allowMissingColumns=True)
               .unionByName(carried.withColumn("_k", F.lit(0)), allowMissingColumns=True))
     upto = Window.partitionBy("_t", "_b").orderBy("_s", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    return (merged.select("_row", "_k", F.last("_v", ignorenulls=True).over(upto).alias("_v"))
-            .where((F.col("_k") == 2) & F.col("_v").isNotNull() & ~is_delete("_v.op"))
-            .select("_row.*", *[F.col(f"_v.{c}").alias(c) for c in ("cseq",) + CONFIG_FIELDS[1:]]))
+    met = merged.select("_row", "_k", F.last("_v", ignorenulls=True).over(upto).alias("_v")).where("_k = 2")
+    routed, fields = F.col("_v").isNotNull() & ~is_delete("_v.op"), ("cseq",) + CONFIG_FIELDS[1:]
+    if not keep_unrouted:
+        return met.where(routed).select("_row.*", *[F.col(f"_v.{c}").alias(c) for c in fields])
+    met = met.select("_row.*", *[F.when(routed, F.col(f"_v.{c}")).alias(c) for c in fields], routed.alias("routed"))
+    nameless = changes.where(F.col(table).isNull()).withColumn("routed", F.lit(False))
+    return met.unionByName(nameless, allowMissingColumns=True)
 
 
 def route_static(changes: DataFrame, config: DataFrame, table: str = "table",
-                 max_broadcast: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                 max_broadcast: int = DEFAULT_MAX_BROADCAST_BYTES, keep_unrouted: bool = False) -> DataFrame:
     """Inner equi-join to a fixed config. A source table listed twice counts
-    once (the greater row), so no change is ever duplicated."""
+    once (the greater row), so no change is ever duplicated. ``keep_unrouted``
+    as in ``route_asof``."""
     c = (config.groupBy("source_table").agg(F.max(F.struct(*CONFIG_FIELDS[1:])).alias("v"))
          .select("source_table", "v.*"))
     if (c.agg(_bytes()).first()[0] or 0) <= max_broadcast:
         c = F.broadcast(c)
-    return changes.join(c, changes[table] == c["source_table"], "inner").drop("source_table")
+    return _joined(changes, c, changes[table] == c["source_table"], keep_unrouted)

@@ -21,8 +21,9 @@ from rivulet.operators.changes import non_empty_cells, retain_columns
 DEFAULT_MAX_BROADCAST_TABLES = 100_000
 
 
-def change_log(routed: DataFrame) -> DataFrame:
-    """seq, sink_table, sink_family, type, row_key, cells, quarantine per change.
+def change_log(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """seq, sink_table, sink_family, type, row_key, cells, quarantine per change,
+    and the columns named by ``keep``.
 
     ``cells`` are the retained, non-empty values (``type`` never among them).
     ``quarantine`` names why a change cannot be applied; the reproduced job
@@ -41,7 +42,7 @@ def change_log(routed: DataFrame) -> DataFrame:
         "seq", "sink_table", "sink_family", "type",
         row_key.alias("row_key"),
         non_empty_cells(kept).alias("cells"),
-        quarantine.alias("quarantine"))
+        quarantine.alias("quarantine"), *keep)
 
 
 def cells(log: DataFrame) -> DataFrame:

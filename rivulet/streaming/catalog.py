@@ -18,7 +18,7 @@ from rivulet.plans.extract import extract_routed
 from rivulet.plans.oracle import DIM_CTES, LOG_CTES, ORACLE, _w
 from rivulet.session import app_id, parallelism, scratch_path
 from rivulet.sources.hybrid import read_snapshot_then_changes
-from rivulet.sources.topics import land_lines, read_topic, read_topics
+from rivulet.sources.topics import land_lines, read_topic
 from rivulet.streaming import jobs as J
 from rivulet.streaming.apps import main
 from rivulet.streaming.sinktables import list_tables, read_table
@@ -105,27 +105,41 @@ def visitor_fix_stream(spark: SparkSession, d: str) -> DataFrame:
                     F.col("is_new_fixed").alias("is_new"))
 
 
-def _routed_stream(spark: SparkSession, d: str) -> str:
+def _routed_stream(spark: SparkSession, d: str) -> tuple[str, str]:
+    """The log job's topic folders and state folder."""
     src = _landed_log(spark, d)
     out, state, ck = (scratch_path(spark, n) for n in ("topics_out", "visits", "ck"))
     _drain(J.run_stream(_stream_lines(spark, src), ck, available_now=True,
                         foreach_batch=J.log_batch_writer(out, state, compact_every=2),
                         state_partitions=_files_per_piece(spark)))
-    return out
+    return out, state
 
 
 def route_stream(spark: SparkSession, d: str) -> DataFrame:
-    r = read_topics(spark, _routed_stream(spark, d))
+    r = J.committed_topics(spark, *_routed_stream(spark, d))
     return extract_routed(r).select("topic", "seq", "pos", "mid", "is_new", "ts", "page_id")
 
 
 def topic_sink_stream(spark: SparkSession, d: str) -> DataFrame:
     """Counts per topic folder of the file topic sink."""
-    r = read_topics(spark, _routed_stream(spark, d))
+    r = J.committed_topics(spark, *_routed_stream(spark, d))
     return r.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-def dim_stream(spark: SparkSession, d: str) -> DataFrame:
+def route_stream_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Records per topic as the job's batches counted them while writing."""
+    _, state = _routed_stream(spark, d)
+    return _outcomes(J.read_counts(spark, state, J.TOPICS), J.TOPICS)
+
+
+def _outcomes(counts: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Counts of all batches, one row a name."""
+    total = counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    return total.select(F.inline(F.array(*[F.struct(F.lit(n).alias("outcome"), F.col(n).alias("n")) for n in names])))
+
+
+def _dim_state(spark: SparkSession, d: str) -> str:
+    """The dimension job's state folder."""
     src = _landed(spark, d, "topic_db", _merged_db)
     state, ck = scratch_path(spark, "dim_state"), scratch_path(spark, "ck")
     s = (spark.readStream.schema("seq long, value string, kind string")
@@ -133,7 +147,18 @@ def dim_stream(spark: SparkSession, d: str) -> DataFrame:
     _drain(J.run_stream(s, ck, foreach_batch=J.dim_batch_writer(state, compact_every=2),
                         available_now=True,
                         state_partitions=_files_per_piece(spark)))
-    return J.dim_current_from_logs(spark, state)
+    return state
+
+
+def dim_stream(spark: SparkSession, d: str) -> DataFrame:
+    return J.dim_current_from_logs(spark, _dim_state(spark, d))
+
+
+def dim_stream_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What became of every line of the dimension job's topic, as its batches
+    counted it while writing."""
+    names = J.COUNTS + J.CONFIG_COUNTS
+    return _outcomes(J.read_counts(spark, _dim_state(spark, d), names), names)
 
 
 def config_hybrid_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -223,6 +248,7 @@ STREAM_QUERIES = {
     "source_stream": source_stream, "config_stream": config_stream,
     "visitor_fix_stream": visitor_fix_stream, "route_stream": route_stream,
     "topic_sink_stream": topic_sink_stream, "dim_stream": dim_stream,
+    "route_stream_counts": route_stream_counts, "dim_stream_counts": dim_stream_counts,
 }
 
 STREAM_ORACLE = {
@@ -255,4 +281,33 @@ select seq, case when bad in ('not_json', 'no_common', 'no_mid') then null else
     "route_stream": ORACLE["route_all"],
     "topic_sink_stream": ORACLE["route_counts"],
     "dim_stream": ORACLE["dim_current"],
+    "route_stream_counts": f"""
+select t.outcome, count(r.topic) as n
+from (values ('dwd_traffic_page'), ('dwd_traffic_start'), ('dwd_traffic_display'), ('dwd_traffic_action'),
+             ('dwd_traffic_err'), ('dirty_data')) t(outcome)
+left join ({ORACLE["route_all"]}) r on r.topic = t.outcome
+group by t.outcome""",
+    # a line is malformed, else filtered, else unrouted, else cannot be applied (no data, no row key
+    # among the columns kept, a put of two families), else a delete or a put
+    "dim_stream_counts": _w(f"""{DIM_CTES},
+mal as ({FX.render(FX.MALFORMED_CHANGES, "duckdb")}),
+cmal as ({FX.render(FX.MALFORMED_CONFIGS, "duckdb")}),
+fate as (
+  select case when cf.seq is null then 'filtered'
+              when c.cseq is null or c.op is not distinct from 'd' then 'unrouted'
+              when ct.data_kind <> 'row' or ct.id is null or not list_contains(string_split(c.sink_columns, ','), c.sink_row_key)
+                   or (ct.type <> 'delete' and contains(c.sink_family, ',')) then 'quarantined'
+              when ct.type = 'delete' then 'deletes' else 'puts' end as outcome
+  from ct left join cf on cf.seq = ct.seq left join v on v.seq = ct.seq
+  left join cc c on c.cseq = v.cseq and c.source_table = ct.tbl),
+each as (
+  select outcome, count(*) as n from fate group by 1
+  union all select 'malformed', count(*) from mal
+  union all select 'lines', (select count(*) from ct) + (select count(*) from mal)
+  union all select 'config_malformed', count(*) from cmal
+  union all select 'config_lines', (select count(*) from cc) + (select count(*) from cmal))""", """
+select t.outcome, coalesce(each.n, 0) as n
+from (values ('lines'), ('malformed'), ('filtered'), ('unrouted'), ('quarantined'), ('puts'), ('deletes'),
+             ('config_lines'), ('config_malformed')) t(outcome)
+left join each on each.outcome = t.outcome"""),
 }

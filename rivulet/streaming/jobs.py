@@ -10,11 +10,12 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rivulet import constants as K
 from rivulet.operators import changes as CH, configs as CF, dims as D, logs as L
-from rivulet.sources.topics import write_topics_batch
+from rivulet.sources.topics import read_topics, write_topics_batch
 from rivulet.streaming import sinktables as T
 
 DEFAULT_TRIGGER = "5 seconds"
@@ -72,7 +73,11 @@ VISIT_SCHEMA = "mid string, first_visit date"
 
 def _read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of all ``batch=<id>`` folders under ``path``; none before the first."""
-    schema += ", batch long"
+    return _read_table(spark, path, f"{schema}, batch long" if schema else "batch long")
+
+
+def _read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, empty where there is none."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
@@ -102,6 +107,25 @@ def _mark_snapshot(spark: SparkSession, marks: str, upto: int) -> None:
     spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(f"{marks}/upto={upto}")
 
 
+def _mark_done(spark: SparkSession, state_dir: str, batch_id: int, values: dict[str, int]) -> None:
+    """The last thing a batch writes: what it wrote before is visible from here
+    on, in all its folders at once. ``values`` are the batch's counts."""
+    (spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in values.items()])
+     .write.mode("overwrite").parquet(f"{state_dir}/done/batch={batch_id}"))
+
+
+def read_counts(spark: SparkSession, state_dir: str, names: tuple[str, ...]) -> DataFrame:
+    """Counts of every completed batch, a row each: (batch, <names>)."""
+    return _read_batches(spark, f"{state_dir}/done", ", ".join(f"`{n}` long" for n in names)).select("batch", *names)
+
+
+def committed(spark: SparkSession, state_dir: str) -> int:
+    """The last completed batch, -1 before the first. Batches complete in the
+    order of their ids, so all before it are complete, too."""
+    last = read_counts(spark, state_dir, ()).agg(F.max("batch")).first()[0]
+    return -1 if last is None else int(last)
+
+
 def known_visits(spark: SparkSession, state_dir: str, before: int) -> DataFrame:
     """Devices' first visits set by batches before ``before``, one row each."""
     upto = _snapshot_upto(spark, f"{state_dir}/visit_snapshot_done", before)
@@ -124,6 +148,15 @@ def batch_visits(tagged: DataFrame, known: DataFrame) -> DataFrame:
         F.col("set_before").isNull().alias("fresh"))
 
 
+#: Topics whose records a batch of the log job counts.
+TOPICS = (K.TOPIC_PAGE, K.TOPIC_START, K.TOPIC_DISPLAY, K.TOPIC_ACTION, K.TOPIC_ERR, K.TOPIC_DIRTY)
+
+
+def committed_topics(spark: SparkSession, sink_path: str, state_dir: str, fmt: str = "parquet") -> DataFrame:
+    """The file topic sink as of its last completed batch."""
+    return read_topics(spark, sink_path, fmt).where(F.col("batch") <= F.lit(committed(spark, state_dir)))
+
+
 def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet", options: dict | None = None,
                      compact_every: int | None = 50, **route_opts):
     """foreachBatch body of the log job: (seq, value) lines -> topics.
@@ -135,7 +168,8 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
     ``visits/batch=<id>`` before the topics are written. Both are addressed by
     batch id and a batch reads only the state of batches before it, so a
     replayed batch gives what it gave before. Every ``compact_every`` batches
-    the state is rewritten as one table.
+    the state is rewritten as one table. Last comes the batch's mark with the
+    records written to each topic; ``committed_topics`` reads marked batches.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -145,7 +179,10 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
             (visits.where("fresh").select("mid", "first_visit").write.mode("overwrite")
              .parquet(f"{state_dir}/visits/batch={batch_id}"))
             routed = L.route(L.repair_flags(tagged, visits=visits.drop("fresh")), **route_opts)
-            write_topics_batch(routed, sink_path, batch_id, fmt, options)
+            written = Observation()
+            write_topics_batch(routed.observe(written, *[F.count_if(F.col("topic") == t).alias(t) for t in TOPICS]),
+                               sink_path, batch_id, fmt, options)
+            _mark_done(spark, state_dir, batch_id, written.get)
         finally:
             visits.unpersist()
             tagged.unpersist()
@@ -173,9 +210,25 @@ def topic_sink(path: str, fmt: str = "parquet", options: dict | None = None):
 
 HISTORY_SCHEMA = ("cseq long, op string, source_table string, sink_table string, "
                   "sink_columns string, sink_family string, sink_row_key string")
-CONFIG_LOG_SCHEMA = HISTORY_SCHEMA + ", epoch long"
-LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, "
-              "row_key string, cells map<string,string>, quarantine string, epoch long, phase int")
+CONFIG_LOG_SCHEMA = HISTORY_SCHEMA + ", bad string, epoch long"
+LOG_SCHEMA = ("seq long, sink_table string, sink_family string, type string, row_key string, "
+              "cells map<string,string>, quarantine string, bad string, epoch long, phase int")
+
+#: What becomes of the change lines of a batch; ``lines`` is the sum of the
+#: others. ``filtered``: not of the database or of no type to keep;
+#: ``unrouted``: no config for the table; ``quarantined``: cannot be applied.
+COUNTS = ("lines", "malformed", "filtered", "unrouted", "quarantined", "puts", "deletes")
+#: What becomes of its config lines.
+CONFIG_COUNTS = ("config_lines", "config_malformed")
+
+
+def _change_counts() -> list[F.Column]:
+    held, fine = F.col("quarantine").isNotNull(), F.col("routed") & F.col("quarantine").isNull()
+    gone = F.coalesce(F.col("type") == "delete", F.lit(False))
+    of = {"malformed": F.col("malformed"), "filtered": ~F.col("malformed") & ~F.col("wanted"),
+          "unrouted": F.col("wanted") & ~F.col("routed"), "quarantined": F.col("routed") & held,
+          "puts": fine & ~gone, "deletes": fine & gone}
+    return [F.count(F.lit(1)).alias("lines"), *[F.count_if(of[n]).alias(n) for n in COUNTS[1:]]]
 
 
 def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None,
@@ -185,11 +238,18 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
     """foreachBatch body of the dimension job.
 
     Input rows: (seq, kind, value) with kind 'config' or 'change'. In order:
-    (1) append the batch's config changes to the config log, (2) read the
-    whole config history (a small control table), (3) filter the changes and
-    route each to the config version in force at its seq, (4) append the
-    routed puts/deletes to the change log. Both logs are addressed by batch
-    id and overwritten on replay, so a re-run batch never duplicates rows.
+    (1) write the batch's config lines to the config log, (2) add them to the
+    config state that the batch before left, (3) in one pass over the change
+    lines parse them, route each to the config version in force at its seq,
+    write puts, deletes and lines set aside to the change log, and count what
+    became of every line, (4) write the batch's mark with these counts. All is
+    addressed by batch id and overwritten on replay, and readers take marked
+    batches only: a batch is visible whole or not at all.
+
+    The config state is what routing needs: with ``order='arrival'`` the latest
+    row of a source table, with ``order='seq'`` all its versions, as a change
+    may come late. A batch without config lines leaves it where it is. The
+    config log of earlier batches is not read (but for ``namespace``).
     With ``compact_every`` the folded state is snapshotted every that many
     batches, so reads fold a snapshot plus a bounded tail of the log.
 
@@ -201,69 +261,117 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
     first). The logs then carry (batch, config before change) as ``epoch``
     and ``phase``, and folds order by these before the topic's own seq.
 
-    Lines that are no change or no config envelope go to ``quarantine_log``
-    as they came; ``preload`` is a config snapshot (one row a source table)
-    in force before the stream's own config changes; ``on_malformed='fail'`` stops the job at the first instead.
+    Lines that are no change or no config envelope are kept in the logs as they
+    came (``read_quarantine_log``); ``on_malformed='fail'`` stops the job at
+    the first batch with one instead, before its mark. ``preload`` is a config
+    snapshot (one row a source table) in force before the stream's own config
+    changes.
 
     With ``namespace`` the sink tables are kept as tables of the catalog, one
     wide row per key (``sinktables``): the batch's config events become DDL,
-    then the buckets that its changes touch are rewritten.
+    then the buckets that its changes touch are rewritten. These tables change
+    one by one, before the mark.
     """
     if on_malformed not in ("quarantine", "fail"):
         raise ValueError(f"on_malformed: {on_malformed}")
     arrival = order == "arrival"
 
+    def refuse(counts: dict, name: str, batch_id: int) -> None:
+        if on_malformed == "fail" and counts[name]:
+            raise ValueError(f"malformed lines in batch {batch_id}: {counts[name]}, kept in the logs of {state_dir}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        parsed = CH.parse_changes(batch.where(F.col("kind") == "change")).persist()
-        try:
-            epoch = F.lit(batch_id if arrival else 0).cast("long")
-            configs = CF.parse_configs(batch.where(F.col("kind") == "config"))
-            lost = (parsed.where("malformed").select("seq", F.lit("change").alias("kind"), F.col("bad").alias("value"))
-                    .unionByName(configs.where(F.col("bad").isNotNull())
-                                 .select(F.col("cseq").alias("seq"), F.lit("config").alias("kind"), F.col("bad").alias("value"))))
-            if on_malformed == "fail" and not lost.isEmpty():
-                raise ValueError(f"malformed line in batch {batch_id}: {lost.first().asDict()}")
-            lost.write.mode("overwrite").parquet(f"{state_dir}/quarantine_log/batch={batch_id}")
-            cfg = configs.where(F.col("bad").isNull()).drop("bad").withColumn("epoch", epoch)
-            cfg.write.mode("overwrite").parquet(f"{state_dir}/config_log/batch={batch_id}")
-            history = read_config_log(spark, state_dir)
-            ch = CH.filter_changes(parsed, database=database)
-            if arrival:
-                routed = CF.route_static(ch, CF.config_current(CF.with_preload(history, preload)))
-            else:
-                routed = CF.route_asof(ch, CF.config_versions(history, preload))
-            (D.change_log(routed).withColumns({"epoch": epoch, "phase": F.lit(int(arrival))}).write.mode("overwrite")
-             .parquet(f"{state_dir}/change_log/batch={batch_id}"))
-            if namespace:
-                _write_tables(spark, state_dir, namespace, batch_id, preload, recreate_on_update, buckets)
-        finally:
-            parsed.unpersist()
-            batch.unpersist()
+        epoch = F.lit(batch_id if arrival else 0).cast("long")
+        own, seen = f"{state_dir}/config_log/batch={batch_id}", Observation()
+        (CF.parse_configs(batch.where(F.col("kind") == "config")).withColumn("epoch", epoch)
+         .observe(seen, F.count(F.lit(1)).alias("config_lines"), F.count_if(F.col("bad").isNotNull()).alias("config_malformed"))
+         .write.mode("overwrite").parquet(own))
+        lines, counts = spark.read.schema(CONFIG_LOG_SCHEMA).parquet(own), dict(seen.get)
+        refuse(counts, "config_malformed", batch_id)
+        config, at = carried_config(spark, state_dir, batch_id)
+        if at is None or counts["config_lines"] > counts["config_malformed"]:
+            config = config.unionByName(lines.where("bad is null").drop("bad", "epoch"))
+            at = _write_config(config_latest(config) if arrival else config, state_dir, batch_id)
+            config = spark.read.schema(HISTORY_SCHEMA).parquet(f"{state_dir}/config_state/batch={batch_id}")
+
+        parsed = CH.parse_changes(batch.where(F.col("kind") == "change"))
+        wanted = CH.wanted(database)
+        parsed = parsed.withColumns({"wanted": wanted, "table": F.when(wanted, F.col("table"))})
+        if arrival:
+            routed = CF.route_static(parsed, CF.config_current(CF.with_preload(config, preload)), keep_unrouted=True)
+        else:
+            routed = CF.route_asof(parsed, CF.config_versions(config, preload), keep_unrouted=True)
+        seen = Observation()
+        log = D.change_log(routed, ("bad", "malformed", "wanted", "routed")).observe(seen, *_change_counts())
+        (log.where("routed or malformed")
+         .withColumns({"quarantine": F.when(F.col("malformed"), F.lit("malformed")).otherwise(F.col("quarantine")),
+                       "epoch": epoch, "phase": F.lit(int(arrival))})
+         .drop("malformed", "wanted", "routed").write.mode("overwrite").parquet(f"{state_dir}/change_log/batch={batch_id}"))
+        counts.update(seen.get)
+        refuse(counts, "malformed", batch_id)
+        if namespace:
+            _write_tables(spark, state_dir, namespace, batch_id, preload, recreate_on_update, buckets)
+        _mark_done(spark, state_dir, batch_id, {**counts, "config_batch": at})
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact_dims(spark, state_dir, batch_id, recreate_on_update)
     return write
 
 
+def carried_config(spark: SparkSession, state_dir: str, before: int) -> tuple[DataFrame, int | None]:
+    """Config rows that the batches before ``before`` left, and the batch that
+    wrote them; that is None where the batch before left no state (the first
+    batch, or one of a job that kept the log alone, which is then read)."""
+    if before > 0:
+        # the one folder: marks of all batches are not listed
+        mark = _read_table(spark, f"{state_dir}/done/batch={before - 1}", "config_batch long").first()
+        if mark is not None and mark["config_batch"] is not None:
+            at = int(mark["config_batch"])
+            return spark.read.schema(HISTORY_SCHEMA).parquet(f"{state_dir}/config_state/batch={at}"), at
+    return read_config_log(spark, state_dir, through=before - 1).drop("epoch"), None
+
+
+def config_latest(history: DataFrame) -> DataFrame:
+    """The last row per source table, deletes among them."""
+    row = F.struct(*[c.split()[0] for c in HISTORY_SCHEMA.split(", ")])
+    return history.groupBy("source_table").agg(F.max_by(row, "cseq").alias("v")).select("v.*")
+
+
+def _write_config(config: DataFrame, state_dir: str, batch_id: int) -> int:
+    (config.select(*[c.split()[0] for c in HISTORY_SCHEMA.split(", ")]).coalesce(1).write.mode("overwrite")
+     .parquet(f"{state_dir}/config_state/batch={batch_id}"))
+    return batch_id
+
+
 def _write_tables(spark: SparkSession, state_dir: str, namespace: str, batch_id: int, preload: DataFrame | None,
                   recreate_on_update: bool, buckets: int) -> None:
     """DDL of the config log up to the batch, and the rows that it touches."""
     history = _ordered_history(spark, state_dir, preload, through=batch_id)
     tables = T.apply_tables(spark, namespace, f"{state_dir}/tables", T.wanted_tables(history, recreate_on_update))
-    touched = (read_change_log(spark, state_dir, with_batch=True)
+    touched = (read_change_log(spark, state_dir, with_batch=True, through=batch_id)
                .where((F.col("batch") == batch_id) & F.col("quarantine").isNull()).select("sink_table", "row_key"))
     current = dim_current_from_logs(spark, state_dir, through=batch_id, recreate_on_update=recreate_on_update)
     T.write_rows(spark, namespace, tables, current, touched, buckets)
 
 
-def read_config_log(spark: SparkSession, state_dir: str) -> DataFrame:
-    return spark.read.schema(CONFIG_LOG_SCHEMA + ", batch long").parquet(
-        f"{state_dir}/config_log").drop("batch")
+def _visible(spark: SparkSession, state_dir: str, through: int | None) -> int:
+    return committed(spark, state_dir) if through is None else through
+
+
+def _config_lines(spark: SparkSession, state_dir: str, through: int | None) -> DataFrame:
+    return (_read_batches(spark, f"{state_dir}/config_log", CONFIG_LOG_SCHEMA)
+            .where(F.col("batch") <= F.lit(_visible(spark, state_dir, through))).drop("batch"))
+
+
+def read_config_log(spark: SparkSession, state_dir: str, through: int | None = None) -> DataFrame:
+    """Config changes of the completed batches, or of those up to ``through``."""
+    return _config_lines(spark, state_dir, through).where("bad is null").drop("bad")
 
 
-def read_change_log(spark: SparkSession, state_dir: str, with_batch: bool = False) -> DataFrame:
-    df = spark.read.schema(LOG_SCHEMA + ", batch long").parquet(f"{state_dir}/change_log")
+def read_change_log(spark: SparkSession, state_dir: str, with_batch: bool = False, through: int | None = None) -> DataFrame:
+    """Changes of the completed batches, or of those up to ``through``."""
+    df = (_read_batches(spark, f"{state_dir}/change_log", LOG_SCHEMA)
+          .where(F.col("batch") <= F.lit(_visible(spark, state_dir, through))))
     return df if with_batch else df.drop("batch")
 
 
@@ -277,9 +385,12 @@ def _order(seq: str, phase) -> F.Column:
 
 
 def read_quarantine_log(spark: SparkSession, state_dir: str) -> DataFrame:
-    """Lines set aside by the stream: (seq, kind, value)."""
-    return spark.read.schema("seq long, kind string, value string, batch long").parquet(
-        f"{state_dir}/quarantine_log").drop("batch")
+    """Lines set aside by the stream as they came: (seq, kind, value)."""
+    through = committed(spark, state_dir)
+    changes = read_change_log(spark, state_dir, through=through).where("bad is not null")
+    configs = _config_lines(spark, state_dir, through).where("bad is not null")
+    return (changes.select("seq", F.lit("change").alias("kind"), F.col("bad").alias("value"))
+            .unionByName(configs.select(F.col("cseq").alias("seq"), F.lit("config").alias("kind"), F.col("bad").alias("value"))))
 
 
 def _latest_snapshot(spark: SparkSession, state_dir: str):
@@ -294,11 +405,10 @@ def _fold_inputs(spark: SparkSession, state_dir: str, through: int | None, recre
     """(row log, table drops): the newest snapshot plus only the log batches
     written after it (up to ``through`` when given)."""
     snap, upto = _latest_snapshot(spark, state_dir)
-    log = read_change_log(spark, state_dir, with_batch=True).where(F.col("batch") > F.lit(upto))
-    if through is not None:
-        log = log.where(F.col("batch") <= F.lit(through))
+    through = _visible(spark, state_dir, through)
+    log = read_change_log(spark, state_dir, with_batch=True, through=through).where(F.col("batch") > F.lit(upto))
     rows = D.row_log(log.withColumn("seq", _order("seq", F.col("phase"))))
-    history = read_config_log(spark, state_dir).withColumn("cseq", _order("cseq", F.lit(0)))
+    history = read_config_log(spark, state_dir, through).withColumn("cseq", _order("cseq", F.lit(0)))
     if snap is not None:
         rows = rows.unionByName(snap)
     return rows, D.table_drops(history, recreate_on_update)
@@ -319,9 +429,7 @@ def sink_tables_from_logs(spark: SparkSession, state_dir: str, preload: DataFram
 def _ordered_history(spark: SparkSession, state_dir: str, preload: DataFrame | None = None,
                      through: int | None = None) -> DataFrame:
     """The config log (up to a batch) with its order key, a preload first."""
-    log = spark.read.schema(CONFIG_LOG_SCHEMA + ", batch long").parquet(f"{state_dir}/config_log")
-    log = (log if through is None else log.where(F.col("batch") <= F.lit(through))).drop("batch")
-    history = log.withColumn("cseq", _order("cseq", F.lit(0)))
+    history = read_config_log(spark, state_dir, through).withColumn("cseq", _order("cseq", F.lit(0)))
     if preload is not None:
         first = F.struct(F.lit(-1).cast("long").alias("epoch"), F.lit(0).alias("phase"),
                          F.lit(CF.PRELOAD_SEQ).cast("long").alias("seq"))
@@ -339,10 +447,9 @@ def compact_dims(spark: SparkSession, state_dir: str, through: int | None = None
     the config log. Run between micro-batches or as a separate job; a snapshot
     is written once and never modified."""
     if through is None:
-        last = read_change_log(spark, state_dir, with_batch=True).agg(F.max("batch")).first()[0]
-        if last is None:
+        through = committed(spark, state_dir)
+        if through < 0:
             return -1
-        through = int(last)
     if _latest_snapshot(spark, state_dir)[1] >= through:
         return through
     # pinned to the batches seen now: a batch the stream commits meanwhile

@@ -1,5 +1,6 @@
 """Streaming: restart from a checkpoint, replayed batches, random batch borders."""
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -162,3 +163,88 @@ def test_visitor_stream_with_state_ttl_processor(spark):
     got = spark.read.schema(OUT_SCHEMA.replace(", value string", "")).parquet(out)
     got = got.select("seq", "is_new_fixed").withColumnRenamed("is_new_fixed", "is_new")
     assert _rows(got) == _rows(C.visitor_fix(spark, SF).select("seq", "is_new"))
+
+
+def _dim_lines(spark, rows):
+    return spark.createDataFrame(rows, "seq long, value string, kind string")
+
+
+def test_a_batch_is_visible_whole_or_not_at_all(spark, monkeypatch):
+    """A writer that dies between its folders, or before its mark, leaves
+    nothing to see; the batch run again leaves everything."""
+    from test_apps import _change, _config
+    state = scratch_path(spark, "state")
+    write = J.dim_batch_writer(state)
+    write(_dim_lines(spark, [(0, _config("r"), "config"), (5, _change(id=1), "change")]), 0)
+    before = _rows(J.dim_current_from_logs(spark, state))
+    second = _dim_lines(spark, [(6, _config("u", sink_table="dim_u"), "config"), (7, _change(id=2), "change"), (8, "bad", "change"),
+                                (9, "{}x", "config")])
+    for step in ("_change_counts", "_mark_done"):
+        with monkeypatch.context() as m, pytest.raises(RuntimeError):
+            m.setattr(J, step, lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            write(second, 1)
+        assert J.committed(spark, state) == 0
+        assert _rows(J.dim_current_from_logs(spark, state)) == before
+        assert _rows(J.sink_tables_from_logs(spark, state)) == [("dim_t", "info")]
+        assert J.read_quarantine_log(spark, state).isEmpty() and J.read_change_log(spark, state).count() == 1
+        assert J.compact_dims(spark, state) == 0
+    write(second, 1)
+    assert J.committed(spark, state) == 1
+    assert ("dim_u", "2", "id", "2") in _rows(J.dim_current_from_logs(spark, state))
+    assert _rows(J.read_quarantine_log(spark, state)) == [(8, "change", "bad"), (9, "config", "{}x")]
+
+
+def test_topics_of_an_unfinished_batch_are_not_read(spark, monkeypatch):
+    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+    lines, write = FX.log_lines(spark, SF), J.log_batch_writer(out, state)
+    write(lines.where("seq < 300"), 0)
+    first = _rows(J.committed_topics(spark, out, state).select("topic", "seq"))
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(J, "_mark_done", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        write(lines.where("seq >= 300"), 1)
+    assert read_topics(spark, out).count() > len(first) > 0
+    assert _rows(J.committed_topics(spark, out, state).select("topic", "seq")) == first
+    write(lines.where("seq >= 300"), 1)
+    routed = J.committed_topics(spark, out, state)
+    assert routed.count() == read_topics(spark, out).count()
+    counted = J.read_counts(spark, state, J.TOPICS).drop("batch").groupBy().sum().first()
+    held = {r["topic"]: r["count"] for r in routed.groupBy("topic").count().collect()}
+    assert list(counted) == [held.get(t, 0) for t in J.TOPICS]
+
+
+@pytest.mark.parametrize("order", ["seq", "arrival"])
+def test_config_is_carried_from_the_batch_before(spark, order):
+    """A batch reads the state its predecessor left, not the config log; a
+    batch without config leaves it in place, one that runs again reads it again."""
+    from test_apps import _change, _config
+    state = scratch_path(spark, "state")
+    write = J.dim_batch_writer(state, order=order)
+    write(_dim_lines(spark, [(0, _config("r"), "config"), (1, _config("u", sink_table="dim_u"), "config")]), 0)
+    for _ in range(2):
+        write(_dim_lines(spark, [(5, _change(id=1), "change"), (6, _change(id=1).replace('"t"', '"none"'), "change")]), 1)
+    config, at = J.carried_config(spark, state, 2)
+    assert at == 0 and all("/config_state/batch=0/" in f for f in config.inputFiles())
+    assert config.count() == (2 if order == "seq" else 1)
+    write(_dim_lines(spark, [(7, _config("d", sink_table="dim_u"), "config"), (8, _change(id=2), "change")]), 2)
+    write(_dim_lines(spark, [(9, _change(id=3), "change")]), 3)
+    assert J.carried_config(spark, state, 4)[1] == 2
+    counts = {r["batch"]: r for r in J.read_counts(spark, state, J.COUNTS + J.CONFIG_COUNTS).collect()}
+    assert [counts[i]["puts"] for i in range(4)] == [0, 1, 0, 0]
+    assert [counts[i]["unrouted"] for i in range(4)] == [0, 1, 1, 1]
+    assert [counts[i]["lines"] for i in range(4)] == [0, 2, 1, 1]
+    assert [counts[i]["config_lines"] for i in range(4)] == [2, 0, 1, 0]
+
+
+def test_every_line_has_one_fate(spark):
+    """Counts by the lookup and by the merge; they add up to the lines."""
+    from rivulet.operators import changes as CH, configs as CF
+    parsed = CH.parse_changes(FX.change_lines(spark, SF))
+    wanted = CH.wanted()
+    parsed = parsed.withColumns({"wanted": wanted, "table": F.when(wanted, F.col("table"))})
+    versions = CF.config_versions(CF.config_images(FX.config_lines(spark, SF)))
+    got = []
+    for options in ({}, {"max_versions": 0}):
+        routed = CF.route_asof(parsed, versions, keep_unrouted=True, **options)
+        got.append(J.D.change_log(routed, ("bad", "malformed", "wanted", "routed")).agg(*J._change_counts()).first().asDict())
+    assert got[0] == got[1]
+    assert got[0]["lines"] == sum(got[0][n] for n in J.COUNTS[1:]) and all(got[0].values())
