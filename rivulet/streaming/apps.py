@@ -34,13 +34,15 @@ def start_log_app(spark: SparkSession, *, source_format: str = "kafka", source_p
                   sink_path: str | None = None, sink_options: dict | None = None,
                   checkpoint: str | None = None, trigger: str = J.DEFAULT_TRIGGER,
                   parallelism_: int | None = None, available_now: bool = False,
-                  state_dir: str | None = None, name: str = "dwd_base_log") -> StreamingQuery:
+                  state_dir: str | None = None, keep_batches: int | None = None,
+                  name: str = "dwd_base_log") -> StreamingQuery:
     """Log topic -> dirty split, flag repair, fan-out -> one topic sink.
     Devices' first visits are kept in ``state_dir`` (beside the checkpoint)."""
     lines = read_topic(spark, K.TOPIC_LOG, fmt=source_format, path=source_path,
                        options=source_options)
     ck = _ck(spark, name, checkpoint)
-    write = J.log_batch_writer(sink_path, state_dir or f"{ck}-state", sink_format, sink_options)
+    write = J.log_batch_writer(sink_path, state_dir or f"{ck}-state", sink_format, sink_options,
+                               keep_batches=keep_batches)
     return J.run_stream(lines, ck, foreach_batch=write, available_now=available_now,
                         processing_time=trigger, name=name,
                         state_partitions=parallelism_ or parallelism(spark))
@@ -54,7 +56,7 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
                   order: str = "arrival", on_malformed: str = "quarantine",
                   preload: DataFrame | None = None, recreate_on_update: bool = True,
                   config_format: str | None = None, namespace: str | None = None,
-                  available_now: bool = False, name: str = "dim_app") -> StreamingQuery:
+                  keep_batches: int | None = None, available_now: bool = False, name: str = "dim_app") -> StreamingQuery:
     """Change topic + config change stream -> routed cell log (+ snapshots).
 
     Both inputs are read as one stream (tagged by kind) so one query owns the
@@ -79,7 +81,7 @@ def start_dim_app(spark: SparkSession, *, state_dir: str, source_format: str = "
     both = changes.unionByName(config.withColumn("kind", F.lit("config")))
     return J.run_stream(both, ck,
                         foreach_batch=J.dim_batch_writer(state_dir, database, compact_every, order, on_malformed, preload,
-                                                         recreate_on_update, namespace),
+                                                         recreate_on_update, namespace, keep_batches=keep_batches),
                         available_now=available_now, processing_time=trigger, name=name)
 
 
@@ -104,6 +106,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--preload-option", action="append", help="e.g. url=jdbc:..., dbtable=...")
     ap.add_argument("--database", default=K.DEFAULT_DATABASE)
     ap.add_argument("--compact-every", type=int, default=100)
+    ap.add_argument("--keep-batches", type=int, help="after a snapshot, delete state that the last so many batches do not need")
     ap.add_argument("--namespace", help="keep the sink tables in this database of the catalog")
     ap.add_argument("--sink-format", default="parquet")
     ap.add_argument("--sink-path")
@@ -120,7 +123,7 @@ def main(argv: list[str] | None = None) -> None:
                           source_options=_opts(a.option), sink_format=a.sink_format,
                           sink_path=a.sink_path, sink_options=_opts(a.sink_option),
                           checkpoint=a.checkpoint, state_dir=a.state_dir, trigger=a.trigger,
-                          parallelism_=a.parallelism, available_now=a.available_now)
+                          parallelism_=a.parallelism, available_now=a.available_now, keep_batches=a.keep_batches)
     else:
         preload = None
         if a.preload_format or a.preload_path:
@@ -131,7 +134,8 @@ def main(argv: list[str] | None = None) -> None:
                           config_options=_opts(a.config_option), checkpoint=a.checkpoint,
                           trigger=a.trigger, available_now=a.available_now, config_format=a.config_format,
                           order=a.order, on_malformed=a.on_malformed, recreate_on_update=not a.keep_on_update,
-                          preload=preload, database=a.database, compact_every=a.compact_every, namespace=a.namespace)
+                          preload=preload, database=a.database, compact_every=a.compact_every, namespace=a.namespace,
+                          keep_batches=a.keep_batches)
     q.awaitTermination()
 
 

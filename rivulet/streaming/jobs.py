@@ -7,6 +7,7 @@ there, so a restart resumes exactly where the last committed batch ended).
 
 from __future__ import annotations
 
+import threading
 from typing import Callable
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ from rivulet.sources.topics import read_topics, write_topics_batch
 from rivulet.streaming import sinktables as T
 
 DEFAULT_TRIGGER = "5 seconds"
+_STARTING = threading.Lock()
 
 
 def run_stream(df: DataFrame, checkpoint: str, *, fmt: str | None = None, path: str | None = None,
@@ -55,17 +57,18 @@ def run_stream(df: DataFrame, checkpoint: str, *, fmt: str | None = None, path:
     if not confs:
         return w.start()
     spark = df.sparkSession
-    old = {k: spark.conf.get(k, None) for k in confs}
-    for k, v in confs.items():
-        spark.conf.set(k, v)
-    try:
-        return w.start()            # the query runs on a clone of the session taken here
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    with _STARTING:                     # two starters do not see each other's settings
+        old = {k: spark.conf.get(k, None) for k in confs}
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        try:
+            return w.start()            # the query runs on a clone of the session taken here
+        finally:
+            for k, v in old.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
 
 
 VISIT_SCHEMA = "mid string, first_visit date"
@@ -126,6 +129,27 @@ def committed(spark: SparkSession, state_dir: str) -> int:
     return -1 if last is None else int(last)
 
 
+def _retire(spark: SparkSession, folder: str, column: str, below: int) -> None:
+    """Delete the ``<column>=<id>`` folders under ``folder`` with smaller ids."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(path):
+        return
+    for entry in fs.listStatus(path):
+        name, _, at = entry.getPath().getName().partition("=")
+        if name == column and at.isdigit() and int(at) < below:
+            fs.delete(entry.getPath(), True)
+
+
+def _base(spark: SparkSession, marks: str, batch_id: int, keep_batches: int) -> int:
+    """The snapshot from which all of the last ``keep_batches`` batches, which
+    may run again or be read, can still be answered; -1 without one. Nothing
+    before it is needed."""
+    if keep_batches < 1:
+        raise ValueError("keep_batches: at least the last batch, which may run again")
+    return _snapshot_upto(spark, marks, batch_id - keep_batches + 1)
+
+
 def known_visits(spark: SparkSession, state_dir: str, before: int) -> DataFrame:
     """Devices' first visits set by batches before ``before``, one row each."""
     upto = _snapshot_upto(spark, f"{state_dir}/visit_snapshot_done", before)
@@ -158,7 +182,7 @@ def committed_topics(spark: SparkSession, sink_path: str, state_dir: str, fmt: s
 
 
 def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet", options: dict | None = None,
-                     compact_every: int | None = 50, **route_opts):
+                     compact_every: int | None = 50, keep_batches: int | None = None, **route_opts):
     """foreachBatch body of the log job: (seq, value) lines -> topics.
 
     The batch is parsed once and kept; its devices' first visits are a
@@ -170,6 +194,8 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
     replayed batch gives what it gave before. Every ``compact_every`` batches
     the state is rewritten as one table. Last comes the batch's mark with the
     records written to each topic; ``committed_topics`` reads marked batches.
+    With ``keep_batches`` each snapshot is followed by deleting the state that
+    the last so many batches do not need; without, all of it stays.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -188,9 +214,22 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
             tagged.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact_visits(spark, state_dir, batch_id)
+            if keep_batches is not None:
+                retire_visits(spark, state_dir, batch_id, keep_batches)
     return write
 
 
+def retire_visits(spark: SparkSession, state_dir: str, batch_id: int, keep_batches: int) -> int:
+    """Delete device state that no batch after ``batch_id - keep_batches`` reads;
+    returns the snapshot that is the oldest now."""
+    base = _base(spark, f"{state_dir}/visit_snapshot_done", batch_id, keep_batches)
+    # a snapshot's mark goes before its rows
+    for folder, column, below in (("visit_snapshot_done", "upto", base), ("visit_snapshot", "upto", base),
+                                  ("visits", "batch", base + 1)):
+        _retire(spark, f"{state_dir}/{folder}", column, below)
+    return base
+
+
 def compact_visits(spark: SparkSession, state_dir: str, through: int) -> None:
     """Write the state set by batches up to ``through`` as one snapshot; one
     that is complete (a batch running again) is never written over."""
@@ -234,7 +273,7 @@ def _change_counts() -> list[F.Column]:
 def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int | None = None,
                      order: str = "seq", on_malformed: str = "quarantine",
                      preload: DataFrame | None = None, recreate_on_update: bool = True,
-                     namespace: str | None = None, buckets: int = T.BUCKETS):
+                     namespace: str | None = None, buckets: int = T.BUCKETS, keep_batches: int | None = None):
     """foreachBatch body of the dimension job.
 
     Input rows: (seq, kind, value) with kind 'config' or 'change'. In order:
@@ -251,7 +290,9 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
     may come late. A batch without config lines leaves it where it is. The
     config log of earlier batches is not read (but for ``namespace``).
     With ``compact_every`` the folded state is snapshotted every that many
-    batches, so reads fold a snapshot plus a bounded tail of the log.
+    batches, so reads fold a snapshot plus a bounded tail of the log, and with
+    ``keep_batches`` the log and the snapshots that the last so many batches
+    do not need are then deleted (``retire_dims``).
 
     ``order='seq'``: config and changes carry comparable seqs (one merged
     topic); each change uses the config version in force at its seq.
@@ -315,9 +356,46 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
         _mark_done(spark, state_dir, batch_id, {**counts, "config_batch": at})
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact_dims(spark, state_dir, batch_id, recreate_on_update)
+            if keep_batches is not None:
+                retire_dims(spark, state_dir, batch_id, keep_batches)
     return write
 
 
+def retire_dims(spark: SparkSession, state_dir: str, batch_id: int, keep_batches: int) -> int:
+    """Delete the change log, snapshots and config states that no read as of
+    the last ``keep_batches`` batches needs; returns the snapshot that is the
+    oldest now. Changes set aside are written to ``set_aside`` first and stay,
+    as do the config log and the batches' marks."""
+    base = _base(spark, f"{state_dir}/snapshot_done", batch_id, keep_batches)
+    if base < 0:
+        return base
+    if _snapshot_upto(spark, f"{state_dir}/set_aside_done") < base:
+        _set_aside(spark, state_dir, base).write.mode("overwrite").parquet(f"{state_dir}/set_aside/upto={base}")
+        _mark_snapshot(spark, f"{state_dir}/set_aside_done", base)
+    used = _read_table(spark, f"{state_dir}/done/batch={base}", "config_batch long").first()
+    for folder, column, below in (("snapshot_done", "upto", base), ("snapshot", "upto", base), ("change_log", "batch", base + 1),
+                                  ("set_aside_done", "upto", base), ("set_aside", "upto", base),
+                                  ("config_state", "batch", used["config_batch"] if used else 0)):
+        _retire(spark, f"{state_dir}/{folder}", column, below)
+    return base
+
+
+def _set_aside(spark: SparkSession, state_dir: str, through: int) -> DataFrame:
+    """Changes that were not applied, of the batches up to ``through``, from
+    the change log and from what was kept of batches whose log is deleted."""
+    upto = _snapshot_upto(spark, f"{state_dir}/set_aside_done", through + 1)
+    log = read_change_log(spark, state_dir, with_batch=True, through=through).where((F.col("batch") > F.lit(upto)) & F.col("quarantine").isNotNull())
+    if upto < 0:
+        return log
+    return spark.read.schema(LOG_SCHEMA + ", batch long").parquet(f"{state_dir}/set_aside/upto={upto}").unionByName(log)
+
+
+def read_set_aside(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Changes that were not applied, malformed lines among them, with the
+    reason (``quarantine``) and their batch."""
+    return _set_aside(spark, state_dir, committed(spark, state_dir))
+
+
 def carried_config(spark: SparkSession, state_dir: str, before: int) -> tuple[DataFrame, int | None]:
     """Config rows that the batches before ``before`` left, and the batch that
     wrote them; that is None where the batch before left no state (the first
@@ -387,15 +465,16 @@ def _order(seq: str, phase) -> F.Column:
 def read_quarantine_log(spark: SparkSession, state_dir: str) -> DataFrame:
     """Lines set aside by the stream as they came: (seq, kind, value)."""
     through = committed(spark, state_dir)
-    changes = read_change_log(spark, state_dir, through=through).where("bad is not null")
+    changes = _set_aside(spark, state_dir, through).where("bad is not null")
     configs = _config_lines(spark, state_dir, through).where("bad is not null")
     return (changes.select("seq", F.lit("change").alias("kind"), F.col("bad").alias("value"))
             .unionByName(configs.select(F.col("cseq").alias("seq"), F.lit("config").alias("kind"), F.col("bad").alias("value"))))
 
 
-def _latest_snapshot(spark: SparkSession, state_dir: str):
-    """(row log, last batch id) of the newest complete snapshot, or (None, -1)."""
-    upto = _snapshot_upto(spark, f"{state_dir}/snapshot_done")
+def _latest_snapshot(spark: SparkSession, state_dir: str, below: int | None = None):
+    """(row log, last batch id) of the newest complete snapshot (of batches
+    before ``below``), or (None, -1)."""
+    upto = _snapshot_upto(spark, f"{state_dir}/snapshot_done", below)
     if upto < 0:
         return None, -1
     return spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{state_dir}/snapshot/upto={upto}"), upto
@@ -404,8 +483,8 @@ def _latest_snapshot(spark: SparkSession, state_dir: str):
 def _fold_inputs(spark: SparkSession, state_dir: str, through: int | None, recreate_on_update: bool):
     """(row log, table drops): the newest snapshot plus only the log batches
     written after it (up to ``through`` when given)."""
-    snap, upto = _latest_snapshot(spark, state_dir)
     through = _visible(spark, state_dir, through)
+    snap, upto = _latest_snapshot(spark, state_dir, through + 1)
     log = read_change_log(spark, state_dir, with_batch=True, through=through).where(F.col("batch") > F.lit(upto))
     rows = D.row_log(log.withColumn("seq", _order("seq", F.col("phase"))))
     history = read_config_log(spark, state_dir, through).withColumn("cseq", _order("cseq", F.lit(0)))
