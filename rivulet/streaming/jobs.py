@@ -106,8 +106,9 @@ def _snapshot_upto(spark: SparkSession, marks: str, below: int | None = None) ->
     return -1 if upto is None else int(upto)
 
 
-def _mark_snapshot(spark: SparkSession, marks: str, upto: int) -> None:
-    spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(f"{marks}/upto={upto}")
+def _mark_snapshot(spark: SparkSession, marks: str, upto: int, buckets: int = 1) -> None:
+    (spark.range(1).select(F.lit(1).alias("done"), F.lit(buckets).alias("buckets"))
+     .write.mode("overwrite").parquet(f"{marks}/upto={upto}"))
 
 
 def _mark_done(spark: SparkSession, state_dir: str, batch_id: int, values: dict[str, int]) -> None:
@@ -150,21 +151,42 @@ def _base(spark: SparkSession, marks: str, batch_id: int, keep_batches: int) ->
     return _snapshot_upto(spark, marks, batch_id - keep_batches + 1)
 
 
-def known_visits(spark: SparkSession, state_dir: str, before: int) -> DataFrame:
-    """Devices' first visits set by batches before ``before``, one row each."""
-    upto = _snapshot_upto(spark, f"{state_dir}/visit_snapshot_done", before)
+#: Devices a bucket of the device state holds, about, and the most buckets,
+#: which bounds the folders a batch lists and the bucket numbers it collects.
+BUCKET_DEVICES, MAX_BUCKETS = 250_000, 4096
+
+
+def visit_bucket(buckets: int) -> F.Column:
+    """The bucket of the device in ``mid``."""
+    return F.pmod(F.xxhash64("mid"), F.lit(buckets)).cast("int")
+
+
+def known_visits(spark: SparkSession, state_dir: str, before: int, devices: DataFrame | None = None) -> DataFrame:
+    """Devices' first visits set by batches before ``before``, one row each.
+
+    With ``devices`` (a column ``mid``) only the buckets that hold one of them
+    are read from the snapshot, so that what a small batch reads depends on its
+    own devices and on the batches since the snapshot, not on all known."""
+    marks = f"{state_dir}/visit_snapshot_done"
+    upto = _snapshot_upto(spark, marks, before)
     tail = (_read_batches(spark, f"{state_dir}/visits", VISIT_SCHEMA)
             .where((F.col("batch") > F.lit(upto)) & (F.col("batch") < F.lit(before))).drop("batch"))
     if upto < 0:
         return tail
-    return spark.read.schema(VISIT_SCHEMA).parquet(f"{state_dir}/visit_snapshot/upto={upto}").unionByName(tail)
-
-
-def batch_visits(tagged: DataFrame, known: DataFrame) -> DataFrame:
-    """State of the devices of a batch: (mid, first_visit, rows, fresh); what
-    was set before stays, ``fresh`` devices are set by this batch. Of the known
-    devices only the batch's cross a shuffle."""
-    seen = L.first_visits(tagged)
+    snapshot = f"{state_dir}/visit_snapshot/upto={upto}"
+    # a snapshot of an older release has no buckets
+    buckets = spark.read.schema("buckets int").parquet(f"{marks}/upto={upto}").first()["buckets"] or 1
+    if devices is None or buckets == 1:
+        return spark.read.schema(VISIT_SCHEMA).parquet(snapshot).select("mid", "first_visit").unionByName(tail)
+    touched = [r[0] for r in devices.where("mid is not null").select(visit_bucket(buckets)).distinct().collect()]
+    return (_read_table(spark, snapshot, f"{VISIT_SCHEMA}, bucket int").where(F.col("bucket").isin(touched))
+            .drop("bucket").unionByName(tail))
+
+
+def batch_visits(seen: DataFrame, known: DataFrame) -> DataFrame:
+    """State of the devices of a batch, from its own ``first_visits``: (mid,
+    first_visit, rows, fresh); what was set before stays, ``fresh`` devices are
+    set by this batch. Of the known devices only the batch's cross a shuffle."""
     met = (known.join(seen.select("mid"), "mid", "left_semi")
            .select("mid", F.col("first_visit").alias("set_before")))
     return seen.join(met, "mid", "left").select(
@@ -182,7 +204,8 @@ def committed_topics(spark: SparkSession, sink_path: str, state_dir: str, fmt: s
 
 
 def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet", options: dict | None = None,
-                     compact_every: int | None = 50, keep_batches: int | None = None, **route_opts):
+                     compact_every: int | None = 50, keep_batches: int | None = None,
+                     bucket_devices: int = BUCKET_DEVICES, **route_opts):
     """foreachBatch body of the log job: (seq, value) lines -> topics.
 
     The batch is parsed once and kept; its devices' first visits are a
@@ -192,7 +215,8 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
     ``visits/batch=<id>`` before the topics are written. Both are addressed by
     batch id and a batch reads only the state of batches before it, so a
     replayed batch gives what it gave before. Every ``compact_every`` batches
-    the state is rewritten as one table. Last comes the batch's mark with the
+    the state is rewritten as one table in buckets of about ``bucket_devices``
+    devices, of which a batch reads those of its own devices. Last comes the batch's mark with the
     records written to each topic; ``committed_topics`` reads marked batches.
     With ``keep_batches`` each snapshot is followed by deleting the state that
     the last so many batches do not need; without, all of it stays.
@@ -200,7 +224,8 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tagged = L.tag_lines(batch).persist()
-        visits = batch_visits(tagged, known_visits(spark, state_dir, batch_id)).persist()
+        seen = L.first_visits(tagged).persist()
+        visits = batch_visits(seen, known_visits(spark, state_dir, batch_id, seen)).persist()
         try:
             (visits.where("fresh").select("mid", "first_visit").write.mode("overwrite")
              .parquet(f"{state_dir}/visits/batch={batch_id}"))
@@ -211,9 +236,10 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
             _mark_done(spark, state_dir, batch_id, written.get)
         finally:
             visits.unpersist()
+            seen.unpersist()
             tagged.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_visits(spark, state_dir, batch_id)
+            compact_visits(spark, state_dir, batch_id, bucket_devices)
             if keep_batches is not None:
                 retire_visits(spark, state_dir, batch_id, keep_batches)
     return write
@@ -230,14 +256,23 @@ def retire_visits(spark: SparkSession, state_dir: str, batch_id: int, keep_batch
     return base
 
 
-def compact_visits(spark: SparkSession, state_dir: str, through: int) -> None:
-    """Write the state set by batches up to ``through`` as one snapshot; one
-    that is complete (a batch running again) is never written over."""
-    if _snapshot_upto(spark, f"{state_dir}/visit_snapshot_done") >= through:
+def compact_visits(spark: SparkSession, state_dir: str, through: int, bucket_devices: int = BUCKET_DEVICES) -> None:
+    """Write the state set by batches up to ``through`` as one snapshot, a
+    folder a bucket; one that is complete (a batch running again) is never
+    written over. The number of buckets is the power of two, ``MAX_BUCKETS`` at
+    most, that gives a bucket about ``bucket_devices``; the mark holds it."""
+    marks = f"{state_dir}/visit_snapshot_done"
+    if _snapshot_upto(spark, marks) >= through:
         return
-    known_visits(spark, state_dir, through + 1).write.mode("overwrite").parquet(
-        f"{state_dir}/visit_snapshot/upto={through}")
-    _mark_snapshot(spark, f"{state_dir}/visit_snapshot_done", through)
+    known, buckets = known_visits(spark, state_dir, through + 1), 1
+    devices = known.count()             # from the files' footers
+    while buckets < MAX_BUCKETS and buckets * bucket_devices < devices:
+        buckets *= 2
+    # one row a device, so buckets are even; sorted, so row groups are narrow
+    bucketed = known.withColumn("bucket", visit_bucket(buckets))
+    (bucketed.repartition("bucket").sortWithinPartitions("bucket", "mid").write.mode("overwrite").partitionBy("bucket")
+     .parquet(f"{state_dir}/visit_snapshot/upto={through}"))
+    _mark_snapshot(spark, marks, through, buckets)
 
 
 def topic_sink(path: str, fmt: str = "parquet", options: dict | None = None):

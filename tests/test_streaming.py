@@ -67,7 +67,7 @@ def test_log_batches_replay_with_the_same_state(spark):
 
 def test_log_batch_plan_is_native(spark):
     tagged = L.tag_lines(FX.log_lines(spark, SF)).persist()
-    visits = J.batch_visits(tagged, spark.createDataFrame([], J.VISIT_SCHEMA)).persist()
+    visits = J.batch_visits(L.first_visits(tagged), spark.createDataFrame([], J.VISIT_SCHEMA)).persist()
     routed = L.route(L.repair_flags(tagged, visits=visits.drop("fresh")))
     plan = routed._jdf.queryExecution().executedPlan().toString()
     above = [p for p in plan.splitlines() if "InMemoryTableScan" in p or "Python" in p or "Pandas" in p]
