@@ -11,6 +11,7 @@ table has, and splits a hot table over its buckets.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import DataType, StructType
 
 from rivulet.functions.jsonmap import parse_one, seal
 
@@ -24,8 +25,32 @@ DEFAULT_MAX_BROADCAST_BYTES = 32 << 20
 DEFAULT_MAX_LOOKUP_VERSIONS = 64
 # Seqs per bucket of the merge; a seq names one record, so this bounds a bucket.
 BUCKET_BITS = 20
+# Microseconds (as bits) per bucket where records are ordered by their time.
+BUCKET_TIME_BITS = 24
 
 PRELOAD_SEQ = -(2 ** 62)
+#: Microseconds at the first day that a timestamp can hold.
+FIRST_MICROS = -62135596800000000
+
+
+def _before_all(kind: DataType) -> F.Column:
+    """An order key before those of all records: of a number, or of a record's
+    (time, partition, offset)."""
+    return _opening(F.lit(FIRST_MICROS)) if isinstance(kind, StructType) else F.lit(PRELOAD_SEQ).cast("long")
+
+
+def _opening(micros: F.Column) -> F.Column:
+    """The order key before those of all records from ``micros`` on."""
+    return F.struct(F.timestamp_micros(micros).alias("time"), F.lit(-1).cast("int").alias("partition"),
+                    F.lit(-1).cast("long").alias("offset"))
+
+
+def _buckets(kind: DataType) -> tuple[F.Column, F.Column]:
+    """The merge bucket of the order key ``_s``, and the key that opens bucket ``_b``."""
+    if isinstance(kind, StructType):
+        return (F.shiftright(F.unix_micros("_s.time"), BUCKET_TIME_BITS),
+                _opening(F.shiftleft("_b", BUCKET_TIME_BITS)))
+    return F.shiftright(F.col("_s"), BUCKET_BITS), F.shiftleft("_b", BUCKET_BITS)
 
 
 def is_delete(op: str = "op") -> F.Column:
@@ -71,14 +96,15 @@ def with_preload(history: DataFrame, preload: DataFrame | None) -> DataFrame:
     h = history.select("cseq", "op", *CONFIG_FIELDS)
     if preload is None:
         return h
-    return preload.select(F.lit(PRELOAD_SEQ).cast("long").alias("cseq"), F.lit("r").alias("op"),
+    return preload.select(_before_all(h.schema["cseq"].dataType).alias("cseq"), F.lit("r").alias("op"),
                           *CONFIG_FIELDS).unionByName(h)
 
 
 def config_versions(history: DataFrame, preload: DataFrame | None = None) -> DataFrame:
     """Validity intervals: (source_table, from_seq, to_seq, cseq, op, fields).
 
-    A version is in force for change seqs in ``[from_seq, to_seq)``; config
+    ``cseq`` is a number or a record's (time, partition, offset), as the seq of
+    the changes. A version is in force for change seqs in ``[from_seq, to_seq)``; config
     comes before data on equal seq. ``preload`` rows (a snapshot read before
     the stream starts) are versions from the start of time; the stream's own
     ops override them in order, a ``d`` included.
@@ -122,7 +148,7 @@ def _merge_asof(changes: DataFrame, versions: DataFrame, table: str, seq: str, k
     with the version carried into it from the buckets before; that table holds
     one row per (table, bucket) with changes. ``changes`` is read twice, with
     ``keep_unrouted`` three times."""
-    bucket = F.shiftright(F.col("_s"), BUCKET_BITS)
+    bucket, opening = _buckets(changes.schema[seq].dataType)
     v = (versions.where(F.col("to_seq").isNull() | (F.col("to_seq") > F.col("from_seq")))
          .select(F.col("source_table").alias("_t"), F.col("from_seq").alias("_s"),
                  F.struct("cseq", "op", *CONFIG_FIELDS[1:]).alias("_v"))
@@ -136,7 +162,7 @@ def _merge_asof(changes: DataFrame, versions: DataFrame, table: str, seq: str, k
                .select("_t", "_b", F.last("_v", ignorenulls=True).over(before).alias("_v"),
                        F.col("_v").isNull().alias("_wanted"))
                .where(F.col("_wanted") & F.col("_v").isNotNull())
-               .select("_t", "_b", F.shiftleft("_b", BUCKET_BITS).alias("_s"), "_v"))
+               .select("_t", "_b", opening.alias("_s"), "_v"))
     merged = (rows.withColumn("_k", F.lit(2))
               .unionByName(v.withColumn("_k", F.lit(1)), allowMissingColumns=True)
               .unionByName(carried.withColumn("_k", F.lit(0)), allowMissingColumns=True))

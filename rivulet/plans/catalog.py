@@ -17,6 +17,7 @@ from rivulet.plans import fixtures as FX
 from rivulet.plans.extract import array_len, extract_routed, obj_pos
 from rivulet.session import scratch_path
 from rivulet.sources import tables as SRC
+from rivulet.sources.topics import read_topic
 
 
 # -- log job ------------------------------------------------------------------
@@ -237,6 +238,42 @@ def dim_current_after_config(spark: SparkSession, d: str) -> DataFrame:
     return D.table_summary(_current(spark, d), D.sink_tables(_history(spark, d)))
 
 
+# -- topics with partitions, ordered by record time ------------------------------
+
+def _by_time(spark, d, name, lines):
+    return read_topic(spark, path=FX.records(spark, d, name, lines), stream=False, order="time")
+
+
+def visitor_fix_partitions(spark: SparkSession, d: str, hot_rows: int = L.DEFAULT_HOT_ROWS) -> DataFrame:
+    """``visitor_fix`` where a device's lines come from several partitions."""
+    f = L.repair_flags(L.tag_lines(_by_time(spark, d, "log_records", FX.log_lines)), hot_rows=hot_rows)
+    return f.where(F.col("dirty_reason").isNull()).select(
+        "seq.partition", "seq.offset", "mid", F.col("is_new").alias("is_new_in"),
+        day_text(F.col("visit_day")).alias("visit_date"), day_text(F.col("first_visit")).alias("first_visit"),
+        F.col("is_new_fixed").alias("is_new"))
+
+
+def _history_by_time(spark, d):
+    return CF.config_images(_by_time(spark, d, "config_records", FX.config_lines))
+
+
+def _routed_by_time(spark, d, **options):
+    changes = CH.filter_changes(CH.parse_changes(_by_time(spark, d, "change_records", FX.change_lines)))
+    return CF.route_asof(changes, CF.config_versions(_history_by_time(spark, d)), **options)
+
+
+def config_asof_partitions(spark: SparkSession, d: str, **options) -> DataFrame:
+    """The config version in force at each change, by record time."""
+    return _routed_by_time(spark, d, **options).select(
+        "seq.partition", "seq.offset", F.col("table").alias("tbl"), "type", "sink_table", "sink_columns")
+
+
+def dim_current_partitions(spark: SparkSession, d: str, **options) -> DataFrame:
+    """Current cells where changes and config are ordered by record time."""
+    log = D.change_log(_routed_by_time(spark, d, **options))
+    return D.fold_rows(D.row_log(log), D.table_drops(_history_by_time(spark, d)))
+
+
 BATCH_QUERIES = {
     "log_parsed": log_parsed, "log_dirty": log_dirty,
     "visitor_first_visit": visitor_first_visit, "visitor_fix": visitor_fix,
@@ -252,4 +289,6 @@ BATCH_QUERIES = {
     "config_asof_join": config_asof_join, "dim_cells": dim_cells,
     "dim_deletes": dim_deletes, "sink_tables": sink_tables, "sink_families": sink_families,
     "dim_current": dim_current, "dim_current_after_config": dim_current_after_config,
+    "visitor_fix_partitions": visitor_fix_partitions, "config_asof_partitions": config_asof_partitions,
+    "dim_current_partitions": dim_current_partitions,
 }

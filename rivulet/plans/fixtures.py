@@ -194,6 +194,33 @@ def config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "config_lines", render_config_lines)
 
 
+# Records of topics with partitions whose clocks differ: by time they come in
+# another order than by seq, and several share a time.
+RECORD_PARTITIONS, RECORD_STEP, RECORD_LAG_S, RECORD_EPOCH_S = 3, 20, 5, 1_700_000_000
+
+
+def as_records(lines: DataFrame) -> DataFrame:
+    """(seq, value) lines as records (time, partition, offset, value)."""
+    part = F.col("seq") % RECORD_PARTITIONS
+    at = F.floor(F.col("seq") / RECORD_STEP) + part * RECORD_LAG_S + RECORD_EPOCH_S
+    return lines.select(F.timestamp_seconds(at).alias("time"), part.cast("int").alias("partition"),
+                        F.floor(F.col("seq") / RECORD_PARTITIONS).alias("offset"), "value")
+
+
+def records(spark: SparkSession, sf_dir: str, name: str, lines) -> str:
+    """Folder with the records of ``lines(spark, sf_dir)``."""
+    landed(spark, sf_dir, name, lambda s, d: as_records(lines(s, d)))
+    from rivulet.session import app_id
+    return _LANDED[(app_id(spark), sf_dir, name)]
+
+
+def duck_record_order(seq: str) -> str:
+    """One number that orders as (time, partition, offset) of the record."""
+    part = f"({seq} % {RECORD_PARTITIONS})"
+    return (f"((cast({seq} as hugeint) // {RECORD_STEP} + {part} * {RECORD_LAG_S}) * {RECORD_PARTITIONS} + {part})"
+            f" * 1000000000000 + {seq} // {RECORD_PARTITIONS}")
+
+
 def render_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered log topic: (seq, value) JSON lines, some deliberately broken."""
     t = log_typed(spark, sf_dir)

@@ -67,6 +67,14 @@ cur as (select sink_table, row_key, col, value from live where rn = 1)
 """
 
 
+# The same rules where "earlier" is by record time: every seq is replaced by a
+# number that orders as (time, partition, offset).
+_K = FX.duck_record_order
+LOG_CTES_BY_TIME = LOG_CTES.replace(f"lt as ({LT})", f"lt as (select * replace ({_K('seq')} as seq), seq as line from ({LT}))")
+DIM_CTES_BY_TIME = DIM_CTES.replace(f"ct as ({CT})", f"ct as (select * replace ({_K('seq')} as seq) from ({CT}))").replace(
+    f"cc as ({CC})", f"cc as (select * replace ({_K('cseq')} as cseq) from ({CC}))")
+
+
 def _w(ctes: str, body: str) -> str:
     return f"with {ctes.strip()}\n{body}"
 
@@ -137,6 +145,13 @@ select seq, ts_ms,
 from e"""),
     "partition_by_day": _w(LOG_CTES, f"""
 select strftime({_local('ts_ms')}, '%Y%m%d') as dt, count(*) as n from g group by 1"""),
+    "visitor_fix_partitions": _w(LOG_CTES_BY_TIME, f"""
+select cast(line % {FX.RECORD_PARTITIONS} as integer) as partition, line // {FX.RECORD_PARTITIONS} as "offset", mid, is_new as is_new_in,
+       d as visit_date, first_visit, is_new_fixed as is_new from f"""),
+    "config_asof_partitions": _w(DIM_CTES_BY_TIME, f"""
+select cast(seq // 1000000000000 % {FX.RECORD_PARTITIONS} as integer) as partition, cast(seq % 1000000000000 as bigint) as "offset",
+       tbl, type, sink_table, sink_columns from rt"""),
+    "dim_current_partitions": _w(DIM_CTES_BY_TIME, "select * from cur"),
     "change_filter": _w(DIM_CTES, "select seq, tbl, type, data_kind from cf"),
     "config_images": _w(DIM_CTES, """
 select cseq, op, source_table, sink_table, sink_columns, sink_family, sink_row_key from cc"""),

@@ -2,9 +2,13 @@
 
 Production reads and writes Kafka (``format='kafka'``); offline and in tests
 the same records live in files of ``(seq, value)``. Every reader returns
-``(seq BIGINT, value STRING)``: ``seq`` is the arrival order used to break
-ties and to order a device's lines (for Kafka: ``topic_seq``, which orders
-records within a partition, the only order Kafka defines).
+``(seq, value STRING)``: ``seq`` is the arrival order used to break ties and to
+order a device's lines. By default it is a BIGINT (for Kafka: ``topic_seq``,
+which orders records within a partition, the only order Kafka defines, and puts
+whole partitions one after the other). With ``order='time'`` it is
+``record_order``, a struct of (record time, partition, offset), by which
+partitions interleave; everything that orders by ``seq`` (first visits, the
+as-of join, the fold of cells) takes either.
 """
 
 from __future__ import annotations
@@ -16,6 +20,9 @@ DEFAULT_OFFSETS_PER_TRIGGER = 10_000_000
 DEFAULT_FILES_PER_TRIGGER = 1_000
 
 LINE_SCHEMA = "seq long, value string"
+#: Files of records that say where in their topic they stood.
+RECORD_SCHEMA = "time timestamp, partition int, offset long, value string"
+ORDERS = ("seq", "time")
 
 
 def topic_seq(partition: Column, offset: Column) -> Column:
@@ -23,11 +30,22 @@ def topic_seq(partition: Column, offset: Column) -> Column:
     return F.shiftleft(partition.cast("long"), 48).bitwiseOR(offset.cast("long"))
 
 
+def record_order(time: Column, partition: Column, offset: Column) -> Column:
+    """Order key of a topic record across partitions: its time, then partition
+    and offset, which no two records share. Times are the topic's (set by the
+    broker or by the sender, as the topic is configured)."""
+    return F.struct(time.cast("timestamp").alias("time"), partition.cast("int").alias("partition"),
+                    offset.cast("long").alias("offset"))
+
+
 def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "parquet",
-               path: str | None = None, stream: bool = True,
-               options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A topic as (seq, value). Kafka starts at the query's committed offsets
-    (its checkpoint), else at ``latest``, and is never-ending."""
+               path: str | None = None, stream: bool = True, options: dict | None = None,
+               max_files_per_trigger: int | None = None, order: str = "seq") -> DataFrame:
+    """A topic as (seq, value), ``seq`` by ``order`` (files hold it, or for
+    'time' the columns of ``RECORD_SCHEMA``). Kafka starts at the query's
+    committed offsets (its checkpoint), else at ``latest``, and is never-ending."""
+    if order not in ORDERS:
+        raise ValueError(f"order: {order}")
     opts = dict(options or {})
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
@@ -36,12 +54,18 @@ def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "parque
             opts.setdefault("startingOffsets", "latest")
             opts.setdefault("maxOffsetsPerTrigger", str(DEFAULT_OFFSETS_PER_TRIGGER))
         df = reader.format("kafka").options(**opts).load()
+        if order == "time":
+            return df.select(record_order(F.col("timestamp"), F.col("partition"), F.col("offset")).alias("seq"),
+                             F.col("value").cast("string").alias("value"))
         # no two records share a seq: 48 bits of offset below the partition
         wide = F.assert_true((F.col("offset") < 1 << 48) & (F.col("partition") < 1 << 15), "topic too wide for seq")
         return df.where(wide.isNull()).select(topic_seq(F.col("partition"), F.col("offset")).alias("seq"),
                          F.col("value").cast("string").alias("value"))
     if stream:
         opts.setdefault("maxFilesPerTrigger", str(max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER))
+    if order == "time":
+        df = reader.schema(RECORD_SCHEMA).format(fmt).options(**opts).load(path)
+        return df.select(record_order(F.col("time"), F.col("partition"), F.col("offset")).alias("seq"), "value")
     df = reader.schema(LINE_SCHEMA).format(fmt).options(**opts).load(path)
     return df.select("seq", "value")
 
@@ -80,7 +104,7 @@ def write_topics_batch(routed: DataFrame, path: str, batch_id: int | None = None
     routed.write.mode("overwrite").partitionBy("topic").format(fmt).save(target)
 
 
-def read_topics(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_topics(spark: SparkSession, path: str, fmt: str = "parquet", seq_type: str = "long") -> DataFrame:
     """Read back a file topic sink: (batch, topic, seq, pos, value)."""
-    return (spark.read.schema("seq long, pos int, value string, batch long, topic string")
+    return (spark.read.schema(f"seq {seq_type}, pos int, value string, batch long, topic string")
             .format(fmt).load(path))
