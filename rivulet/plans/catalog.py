@@ -14,7 +14,7 @@ from rivulet.functions.times import (day_text, date_to_ts, datetime_to_ts, ms_of
                                      ts_to_date, ts_to_datetime, ts_to_partition_day)
 from rivulet.operators import changes as CH, configs as CF, dims as D, logs as L
 from rivulet.plans import fixtures as FX
-from rivulet.plans.extract import array_len, extract_routed, obj_pos
+from rivulet.plans.extract import array_len, canonical, extract_routed, obj_pos
 from rivulet.session import scratch_path
 from rivulet.sources import tables as SRC
 from rivulet.sources.topics import read_topic
@@ -105,6 +105,13 @@ def route_counts(spark: SparkSession, d: str) -> DataFrame:
     return r.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+def route_records(spark: SparkSession, d: str) -> DataFrame:
+    """Whole records of every topic, members that the job does not know among
+    them; NULL for the raw dirty lines."""
+    r = L.run_log_job(FX.full_lines(spark, d))
+    return r.select("topic", "seq", "pos", F.when(F.col("topic") != K.TOPIC_DIRTY, canonical("value")).alias("record"))
+
+
 # -- time helpers as columns ----------------------------------------------------
 
 def date_columns(spark: SparkSession, d: str) -> DataFrame:
@@ -279,7 +286,7 @@ BATCH_QUERIES = {
     "visitor_first_visit": visitor_first_visit, "visitor_fix": visitor_fix,
     "route_err": route_err, "route_start": route_start, "route_page": route_page,
     "route_display": route_display, "route_action": route_action,
-    "route_all": route_all, "route_counts": route_counts,
+    "route_all": route_all, "route_counts": route_counts, "route_records": route_records,
     "date_columns": date_columns, "partition_by_day": partition_by_day,
     "change_filter": change_filter, "config_images": config_images,
     "change_quarantine": change_quarantine, "config_quarantine": config_quarantine,

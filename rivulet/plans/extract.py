@@ -1,7 +1,7 @@
 """Consumer-side extraction of emitted JSON records into typed columns.
 
-Outputs are compared on these columns, never on JSON text (key order and
-number formatting carry no meaning)."""
+Outputs are compared on these columns, or as ``canonical`` text of the whole
+record, never on JSON text as emitted (key order carries no meaning)."""
 
 from __future__ import annotations
 
@@ -36,6 +36,11 @@ def extract_routed(routed: DataFrame) -> DataFrame:
         F.col("r.action").alias("action"))
 
 
+def canonical(text_col: str):
+    """A record's whole text with the members of every object in order of name."""
+    return F.to_json(F.parse_json(text_col))
+
+
 def array_len(text_col: str):
     return F.json_array_length(F.col(text_col)).cast("long")
 

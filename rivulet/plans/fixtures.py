@@ -245,6 +245,22 @@ def render_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("seq", F.when(F.col("bad") == "not_json", broken).otherwise(F.col("line")).alias("value"))
 
 
+def render_full_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log topic with members that the job does not know, nested ones, and
+    a ``displays`` beside ``display``."""
+    old = F.when(F.col("seq") % 2 == 0, F.lit('"displays":[{"old":1}],')).otherwise(F.lit(""))
+    more = F.concat(F.lit('{"zz":{"deep":[1,{"k":"a\\"b"},[]],"big":12345678901234567890},"arr":['), F.col("seq"),
+                    F.lit(',2.5,true],'), old)
+    value = F.replace("value", F.lit('"common":{'), F.lit('"common":{"os":{"v":["x",{}]},'))
+    return log_lines(spark, sf_dir).select("seq", F.when(
+        F.startswith("value", F.lit('{"')), F.concat(more, F.substr(value, F.lit(2)))).otherwise(F.col("value")).alias("value"))
+
+
+def full_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log topic with unknown and nested members: (seq, value) JSON lines."""
+    return landed(spark, sf_dir, "full_lines", render_full_lines)
+
+
 def render_change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered change topic: (seq, value) change envelopes."""
     t = change_typed(spark, sf_dir)

@@ -94,6 +94,38 @@ rr as (
 """
 
 
+def _record_rows() -> str:
+    """Whole records as text, the members of every object in order of name."""
+    positions = lambda n: f"""'[' || array_to_string(list_transform(range({n}), lambda x: '{{"pos":' || x || '}}'), ',') || ']'"""
+    record = lambda *members: "'{' || concat_ws(',', " + ", ".join(members) + ") || '}'"
+    common, page, ts = """'"common":' || common""", """'"page":' || page""", """'"ts":' || ts_ms"""
+    arr, actions = """'"arr":[' || seq || ',2.5,true]'""", """'"actions":' || actions"""
+    rest = ("""case when has_start then '"start":{"entry":"icon"}' end""", ts,
+            r"""'"zz":{"big":12345678901234567890,"deep":[1,{"k":"a\"b"},[]]}'""")
+    display = """case when display_key = 'display' then '"display":' || displays end"""
+    displays = """'"displays":' || case when display_key = 'displays' then displays else '[{"old":1}]' end"""
+    err = """case when has_err then '"err":{"error_code":' || (seq % 10) || '}' end"""
+    shown, acted = """'"display":{"pos":' || pos || '}'""", """'"action":{"pos":' || pos || '}'"""
+    return f"""
+r as (select *, '{{"is_new":"' || is_new_fixed || '","mid":"' || mid || '","os":{{"v":["x",{{}}]}}}}' as common,
+        '{{"page_id":"' || page_id || '"}}' as page,
+        case when display_n > 0 or seq % 2 = 0 then {positions('display_n')} end as displays,
+        case when action_n > 0 or seq % 2 = 0 then {positions('action_n')} end as actions,
+        not has_start and display_key = 'display' and display_n > 0 as shown, not has_start and action_n > 0 as acted
+      from f),
+w as (select *, {record(f"case when not acted then {actions} end", arr, common, display,
+                        f"case when not shown then {displays} end", page, *rest)} as cut,
+        {record(actions, arr, common, display, displays, err, page, *rest)} as whole from r)
+select 'dwd_traffic_err' as topic, seq, cast(null as integer) as pos, whole as record from w where has_err
+union all select 'dwd_traffic_start', seq, null, cut from w where has_start
+union all select 'dwd_traffic_page', seq, null, cut from w
+union all select 'dwd_traffic_display', seq, pos, {record(common, shown, page, ts)}
+  from (select *, cast(unnest(range(display_n)) as integer) as pos from w where shown)
+union all select 'dwd_traffic_action', seq, pos, {record(acted, common, page)}
+  from (select *, cast(unnest(range(action_n)) as integer) as pos from w where acted)
+union all select 'dirty_data', seq, null, null from lt where bad is not null"""
+
+
 def _ms_cte() -> str:
     return "e as (select event_id as seq, epoch_us(ts) // 1000 as ts_ms from events)"
 
@@ -134,6 +166,7 @@ select seq, pos, mid, is_new, ts, page_id, pos as display_pos from rr where topi
 select seq, pos, mid, is_new, page_id, pos as action_pos, false as has_ts from rr where topic = 'dwd_traffic_action'"""),
     "route_all": _w(LOG_CTES + "," + _route_rows(), "select topic, seq, pos, mid, is_new, ts, page_id from rr"),
     "route_counts": _w(LOG_CTES + "," + _route_rows(), "select topic, count(*) as n from rr group by topic"),
+    "route_records": _w(LOG_CTES + ",", _record_rows()),
     "date_columns": _w(_ms_cte(), f"""
 select seq, ts_ms,
        strftime({_local('ts_ms')}, '%Y-%m-%d') as day,
