@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rivulet.operators.changes import non_empty_cells, retain_columns
 
-DEFAULT_MAX_BROADCAST_TABLES = 100_000
+# Table drops are broadcast up to this many bytes.
+DEFAULT_MAX_BROADCAST_BYTES = 16 << 20
 
 
 def change_log(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -120,7 +121,7 @@ def table_drops(history: DataFrame, recreate_on_update: bool = True) -> DataFram
 
 
 def fold_rows(rows: DataFrame, drops: DataFrame,
-              max_broadcast_tables: int = DEFAULT_MAX_BROADCAST_TABLES,
+              max_broadcast: int = DEFAULT_MAX_BROADCAST_BYTES,
               keep_seq: bool = False, keep_deletes: bool = False) -> DataFrame:
     """A row log -> current cells: (sink_table, row_key, col, value [, seq]).
 
@@ -137,7 +138,8 @@ def fold_rows(rows: DataFrame, drops: DataFrame,
             .agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq")))
     row = Window.partitionBy("sink_table", "row_key")
     last = last.withColumn("del_seq", F.max(F.when(F.col("col").isNull(), F.col("seq"))).over(row))
-    if drops.limit(max_broadcast_tables + 1).count() <= max_broadcast_tables:
+    size = drops.agg(F.sum(F.octet_length("sink_table") + F.lit(64))).first()[0] or 0
+    if size <= max_broadcast:
         drops = F.broadcast(drops)
     j = last.join(drops, "sink_table", "left")
     live = F.col("del_seq").isNull() | (F.col("seq") > F.col("del_seq"))

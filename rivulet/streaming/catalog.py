@@ -93,12 +93,13 @@ def config_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def visitor_fix_stream(spark: SparkSession, d: str) -> DataFrame:
     src = _landed_log(spark, d)
-    out, ck = scratch_path(spark, "visitor_out"), scratch_path(spark, "ck")
-    from rivulet.streaming.visitor import OUT_SCHEMA, repair_flags_stream
-    fixed = repair_flags_stream(L.tag_lines(_stream_lines(spark, src)))
-    _drain(J.run_stream(fixed.drop("value"), ck, fmt="parquet", path=out, available_now=True,
+    out, state, ck = (scratch_path(spark, n) for n in ("visitor_out", "visits", "ck"))
+    _drain(J.run_stream(_stream_lines(spark, src), ck, available_now=True,
+                        foreach_batch=J.fixed_batch_writer(out, state, compact_every=2, bucket_devices=100),
                         state_partitions=_files_per_piece(spark)))
-    r = spark.read.schema(OUT_SCHEMA.replace(", value string", "")).parquet(out)
+    r = (spark.read.schema("seq long, mid string, is_new string, visit_day date, first_visit date, is_new_fixed string, "
+                           "dirty_reason string, batch long").parquet(out)
+         .where((F.col("batch") <= J.committed(spark, state)) & F.col("dirty_reason").isNull()))
     return r.select("seq", "mid", F.col("is_new").alias("is_new_in"),
                     day_text(F.col("visit_day")).alias("visit_date"),
                     day_text(F.col("first_visit")).alias("first_visit"),

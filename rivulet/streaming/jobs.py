@@ -8,6 +8,7 @@ there, so a restart resumes exactly where the last committed batch ended).
 from __future__ import annotations
 
 import threading
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.errors import AnalysisException
@@ -221,27 +222,66 @@ def log_batch_writer(sink_path: str | None, state_dir: str, fmt: str = "parquet"
     With ``keep_batches`` each snapshot is followed by deleting the state that
     the last so many batches do not need; without, all of it stays.
     """
+    keep_state = _state_keeper(state_dir, compact_every, keep_batches, bucket_devices)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tagged = L.tag_lines(batch).persist()
-        seen = L.first_visits(tagged).persist()
-        visits = batch_visits(seen, known_visits(spark, state_dir, batch_id, seen)).persist()
-        try:
-            (visits.where("fresh").select("mid", "first_visit").write.mode("overwrite")
-             .parquet(f"{state_dir}/visits/batch={batch_id}"))
-            routed = L.route(L.repair_flags(tagged, visits=visits.drop("fresh")), **route_opts)
+        with _repaired(batch, batch_id, state_dir) as repaired:
             written = Observation()
-            write_topics_batch(routed.observe(written, *[F.count_if(F.col("topic") == t).alias(t) for t in TOPICS]),
-                               sink_path, batch_id, fmt, options)
+            write_topics_batch(L.route(repaired, **route_opts).observe(
+                written, *[F.count_if(F.col("topic") == t).alias(t) for t in TOPICS]), sink_path, batch_id, fmt, options)
             _mark_done(spark, state_dir, batch_id, written.get)
-        finally:
-            visits.unpersist()
-            seen.unpersist()
-            tagged.unpersist()
+        keep_state(spark, batch_id)
+    return write
+
+
+@contextmanager
+def _repaired(batch: DataFrame, batch_id: int, state_dir: str):
+    """The batch's tagged lines with repaired flags. On entry the batch is
+    parsed and kept, and its new devices are written to ``visits/batch=<id>``."""
+    tagged = L.tag_lines(batch).persist()
+    seen = L.first_visits(tagged).persist()
+    visits = batch_visits(seen, known_visits(batch.sparkSession, state_dir, batch_id, seen)).persist()
+    try:
+        (visits.where("fresh").select("mid", "first_visit").write.mode("overwrite")
+         .parquet(f"{state_dir}/visits/batch={batch_id}"))
+        yield L.repair_flags(tagged, visits=visits.drop("fresh"))
+    finally:
+        visits.unpersist()
+        seen.unpersist()
+        tagged.unpersist()
+
+
+def _state_keeper(state_dir: str, compact_every: int | None, keep_batches: int | None, bucket_devices: int):
+    """What follows a batch's mark: every so many batches the state is compacted,
+    and what is not needed then goes."""
+    def keep_state(spark: SparkSession, batch_id: int) -> None:
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact_visits(spark, state_dir, batch_id, bucket_devices)
             if keep_batches is not None:
                 retire_visits(spark, state_dir, batch_id, keep_batches)
+    return keep_state
+
+
+FIXED_COLUMNS = ("seq", "mid", "is_new", "visit_day", "first_visit", "is_new_fixed", "dirty_reason")
+
+
+def fixed_batch_writer(path: str, state_dir: str, compact_every: int | None = 50, keep_batches: int | None = None,
+                       bucket_devices: int = BUCKET_DEVICES, columns: tuple[str, ...] = FIXED_COLUMNS):
+    """foreachBatch body of flag repair alone: (seq, value) lines -> ``columns``
+    of the repaired lines (``m``, the parsed line, may be one) in folders by
+    batch id. State and marks are the log job's; hot devices are salted, and no
+    Python runs on the lines."""
+    keep_state = _state_keeper(state_dir, compact_every, keep_batches, bucket_devices)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with _repaired(batch, batch_id, state_dir) as repaired:
+            written = Observation()
+            (repaired.select(*columns).observe(written, F.count(F.lit(1)).alias("lines"))
+             .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+            _mark_done(spark, state_dir, batch_id, written.get)
+        keep_state(spark, batch_id)
     return write
 
 

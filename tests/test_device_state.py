@@ -58,3 +58,18 @@ def test_bucket_count_follows_the_devices(spark):
     spark.read.parquet(f"{state}/visits/batch=0").write.parquet(f"{old}/visit_snapshot/upto=0")
     spark.range(1).select(F.lit(1).alias("done")).write.parquet(f"{old}/visit_snapshot_done/upto=0")
     assert J.known_visits(spark, old, 1, spark.createDataFrame([("d7",)], "mid string")).count() == 1000
+
+
+def test_flag_repair_alone(spark):
+    """Repaired lines by batch: batches that run again give what they gave,
+    dirty lines stay, only marked batches count."""
+    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+    lines = FX.log_lines(spark, SF)
+    cuts = [lines.where(F.col("seq") <= 500), lines.where(F.col("seq") > 500)]
+    write = J.fixed_batch_writer(out, state, compact_every=1, keep_batches=1, bucket_devices=2)
+    for i in (0, 1, 1):
+        write(cuts[i], i)
+    want = L.repair_flags(L.tag_lines(lines)).select(*J.FIXED_COLUMNS)
+    got = spark.read.parquet(out).select(*J.FIXED_COLUMNS)
+    assert _rows(got) == _rows(want) and J.committed(spark, state) == 1
+    assert sum(r["lines"] for r in J.read_counts(spark, state, ("lines",)).collect()) == lines.count()

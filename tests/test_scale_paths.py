@@ -67,7 +67,7 @@ def test_fallback_paths_without_broadcast_agree(spark):
     assert "Join" not in plan                                # a merge, no versions x changes
     log = D.change_log(small)
     a = D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(hist))
-    b = D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(hist), max_broadcast_tables=0)
+    b = D.fold_current(D.cells(log), D.row_deletes(log), D.table_drops(hist), max_broadcast=0)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
     snap = FX.config_snapshot(spark, SF)
     s1 = CF.route_static(ch, snap).select("seq", "sink_table")
