@@ -21,7 +21,7 @@ from rivulet import constants as K
 from rivulet.session import checkpoint_root, parallelism
 from rivulet.sources.hybrid import FORMAT as HYBRID, read_snapshot_then_changes
 from rivulet.sources.tables import read_config_table
-from rivulet.sources.topics import read_topic
+from rivulet.sources.topics import ORDERS, read_topic
 from rivulet.streaming import jobs as J
 
 
@@ -35,14 +35,17 @@ def start_log_app(spark: SparkSession, *, source_format: str = "kafka", source_p
                   checkpoint: str | None = None, trigger: str = J.DEFAULT_TRIGGER,
                   parallelism_: int | None = None, available_now: bool = False,
                   state_dir: str | None = None, keep_batches: int | None = None,
+                  bucket_devices: int = J.BUCKET_DEVICES, record_order: str = "seq",
                   name: str = "dwd_base_log") -> StreamingQuery:
     """Log topic -> dirty split, flag repair, fan-out -> one topic sink.
-    Devices' first visits are kept in ``state_dir`` (beside the checkpoint)."""
+    Devices' first visits are kept in ``state_dir`` (beside the checkpoint).
+    With ``record_order='time'`` a batch's lines are ordered by record time
+    across partitions, and file sinks carry that order as ``seq``."""
     lines = read_topic(spark, K.TOPIC_LOG, fmt=source_format, path=source_path,
-                       options=source_options)
+                       options=source_options, order=record_order)
     ck = _ck(spark, name, checkpoint)
     write = J.log_batch_writer(sink_path, state_dir or f"{ck}-state", sink_format, sink_options,
-                               keep_batches=keep_batches)
+                               keep_batches=keep_batches, bucket_devices=bucket_devices)
     return J.run_stream(lines, ck, foreach_batch=write, available_now=available_now,
                         processing_time=trigger, name=name,
                         state_partitions=parallelism_ or parallelism(spark))
@@ -107,6 +110,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--database", default=K.DEFAULT_DATABASE)
     ap.add_argument("--compact-every", type=int, default=100)
     ap.add_argument("--keep-batches", type=int, help="after a snapshot, delete state that the last so many batches do not need")
+    ap.add_argument("--bucket-devices", type=int, default=J.BUCKET_DEVICES, help="log job: devices in a bucket of the state")
+    ap.add_argument("--record-order", choices=ORDERS, default="seq", help="log job: order of a topic's records")
     ap.add_argument("--namespace", help="keep the sink tables in this database of the catalog")
     ap.add_argument("--sink-format", default="parquet")
     ap.add_argument("--sink-path")
@@ -123,7 +128,8 @@ def main(argv: list[str] | None = None) -> None:
                           source_options=_opts(a.option), sink_format=a.sink_format,
                           sink_path=a.sink_path, sink_options=_opts(a.sink_option),
                           checkpoint=a.checkpoint, state_dir=a.state_dir, trigger=a.trigger,
-                          parallelism_=a.parallelism, available_now=a.available_now, keep_batches=a.keep_batches)
+                          parallelism_=a.parallelism, available_now=a.available_now, keep_batches=a.keep_batches,
+                          bucket_devices=a.bucket_devices, record_order=a.record_order)
     else:
         preload = None
         if a.preload_format or a.preload_path:

@@ -8,6 +8,7 @@ from rivulet.plans import catalog as C, fixtures as FX
 from rivulet.session import scratch_path
 from rivulet.sources.topics import read_topic, read_topics
 from rivulet.streaming import jobs as J
+from rivulet.streaming.apps import main
 from test_apps import _rows
 
 SF = "/root/testdata/sf0.001"
@@ -51,3 +52,15 @@ def test_log_batches_by_time(spark):
     assert got.where(F.col("seq.partition").isNull()).count() == 0
     with pytest.raises(ValueError):
         read_topic(spark, path=path, order="offset")
+
+
+def test_log_app_by_time(spark):
+    """From the command line, over files; one batch, so the batch job's rows."""
+    path = FX.records(spark, SF, "log_records", FX.log_lines)
+    out, state, ck = (scratch_path(spark, n) for n in ("out", "state", "ck"))
+    main(["log", "--source-format", "parquet", "--source-path", path, "--sink-path", out, "--state-dir", state,
+          "--checkpoint", ck, "--record-order", "time", "--bucket-devices", "100", "--available-now"])
+    kind = "struct<time:timestamp,partition:int,offset:bigint>"
+    lines = read_topic(spark, path=path, stream=False, order="time")
+    got = read_topics(spark, out, seq_type=kind).select("topic", "seq", "pos", "value")
+    assert _rows(got) == _rows(L.run_log_job(lines).select("topic", "seq", "pos", "value"))
