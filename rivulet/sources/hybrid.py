@@ -6,7 +6,9 @@ envelope ``{"op": "r", "after": <row>}`` with a seq before any change. In phase
 ``changes`` it is the seq of the last change read; the changes go on after
 ``changesFrom``, the seq up to which the snapshot was taken. The batch that
 reads the last of the snapshot ends at (changes, changesFrom): from there on
-only changes are read, so the handover happens once, whatever restarts.
+only changes are read, so the handover happens once, whatever restarts. Of the
+changes a batch reads the row groups that hold some of its seqs (by the footers):
+files in order of seq are read about once in all.
 
 Spark asks for the latest offset without saying where the stream stands; the
 reader notes the range of every planned batch in ``progressPath``. A batch is
@@ -35,10 +37,10 @@ SNAPSHOT, CHANGES = "snapshot", "changes"
 
 
 class Unit(InputPartition):
-    """A row group of the snapshot, or the changes of a file in (low, high]."""
+    """A row group of the snapshot, or the changes of a file's row groups in (low, high]."""
 
-    def __init__(self, path: str, group: int = -1, first: int = 0, low: int = 0, high: int = 0):
-        self.path, self.group, self.first, self.low, self.high = path, group, first, low, high
+    def __init__(self, path: str, group: int = -1, first: int = 0, low: int = 0, high: int = 0, groups: tuple[int, ...] = ()):
+        self.path, self.group, self.first, self.low, self.high, self.groups = path, group, first, low, high, groups
 
 
 def _open(path: str):
@@ -121,8 +123,8 @@ class SnapshotThenChangesReader(DataSourceStreamReader):
             units += groups[start["position"]:end["position"] if end["phase"] == SNAPSHOT else len(groups)]
         if end["phase"] == CHANGES:
             low, high = start["position"] if start["phase"] == CHANGES else self.after, end["position"]
-            units += [Unit(f, low=low, high=high) for f in _files(self.changes)
-                      if (b := self._range(f)) and b[1] > low and b[0] <= high]
+            units += [Unit(f, low=low, high=high, groups=held) for f in _files(self.changes)
+                      if (held := tuple(g for g, b in enumerate(self._ranges(f)) if b and b[1] > low and b[0] <= high))]
         return units
 
     def _groups(self) -> list[Unit]:
@@ -135,18 +137,25 @@ class SnapshotThenChangesReader(DataSourceStreamReader):
                 first += footer.row_group(g).num_rows
         return out
 
-    def _range(self, path: str) -> tuple[int, int] | None:
-        """Least and greatest seq of a file, from its footer."""
+    def _ranges(self, path: str) -> list[tuple[int, int] | None]:
+        """Least and greatest seq of every row group of a file, from its footer;
+        None for one without a seq."""
         if path not in self.footers:
             footer = _footer(path)
             column = footer.schema.to_arrow_schema().names.index("seq")
             stats = [footer.row_group(g).column(column).statistics for g in range(footer.num_row_groups)]
-            self.footers[path] = (min(s.min for s in stats), max(s.max for s in stats)) if stats and footer.num_rows else ()
-        return self.footers[path] or None
+            self.footers[path] = [(s.min, s.max) if s.has_min_max else None for s in stats]
+        return self.footers[path]
+
+    def _range(self, path: str) -> tuple[int, int] | None:
+        """Least and greatest seq of a file."""
+        held = [b for b in self._ranges(path) if b]
+        return (min(a for a, _ in held), max(b for _, b in held)) if held else None
 
     # -- rows, in a task
 
     def read(self, unit: Unit) -> Iterator[tuple]:
+        import pyarrow.compute as pc
         import pyarrow.parquet as pq
 
         system, name = _open(unit.path)
@@ -156,10 +165,10 @@ class SnapshotThenChangesReader(DataSourceStreamReader):
                 yield PRELOAD_SEQ + i, json.dumps({"op": "r", "before": None, "after": row}, ensure_ascii=False, default=str)
             return
         held = pq.ParquetFile(name, filesystem=system)
-        for batch in held.iter_batches(columns=["seq", "value"]):
-            for seq, value in zip(batch.column("seq").to_pylist(), batch.column("value").to_pylist()):
-                if seq is not None and unit.low < seq <= unit.high:
-                    yield seq, value
+        for batch in held.iter_batches(row_groups=list(unit.groups), columns=["seq", "value"]):
+            seq = batch.column("seq")
+            batch = batch.filter(pc.and_(pc.greater(seq, unit.low), pc.less_equal(seq, unit.high)))
+            yield from zip(batch.column("seq").to_pylist(), batch.column("value").to_pylist())
 
 
 class SnapshotThenChanges(DataSource):

@@ -24,6 +24,9 @@ from rivulet.streaming.apps import main
 from rivulet.streaming.sinktables import list_tables, read_table
 
 PIECES = 3
+#: Batches of a config stream's changes, about, where the table is large; and
+#: the seqs that a batch takes at least.
+CHANGE_BATCHES, LEAST_SEQS = 24, 4000
 
 
 def _drain(q) -> None:
@@ -162,6 +165,13 @@ def dim_stream_counts(spark: SparkSession, d: str) -> DataFrame:
     return _outcomes(J.read_counts(spark, _dim_state(spark, d), names), names)
 
 
+def _seqs_a_batch(changes: DataFrame) -> int:
+    """A batch's share of all seqs: with a fixed size the number of batches,
+    each of which costs the same at least, would grow with the table."""
+    low, high = changes.agg(F.min("seq"), F.max("seq")).first()
+    return max(LEAST_SEQS, (high - low) // CHANGE_BATCHES + 1) if low is not None else LEAST_SEQS
+
+
 def config_hybrid_stream(spark: SparkSession, d: str) -> DataFrame:
     """Config snapshot, then config changes, as one stream that is stopped in
     mid-snapshot and started again."""
@@ -169,8 +179,11 @@ def config_hybrid_stream(spark: SparkSession, d: str) -> DataFrame:
     FX.config_snapshot(spark, d).repartition(6).write.parquet(snap)
     parsed = CF.parse_configs(FX.config_lines(spark, d))
     later = parsed.where(F.col("bad").isNull() & ~F.col("op").eqNullSafe(F.lit("r"))).select(F.col("cseq").alias("seq"))
-    FX.config_lines(spark, d).join(later, "seq", "left_semi").write.parquet(chg)
-    options = {"snapshotPath": snap, "changesPath": chg, "progressPath": f"{ck}-progress", "unitsPerTrigger": "2", "seqsPerTrigger": "4000"}
+    changes = FX.config_lines(spark, d).join(later, "seq", "left_semi")
+    # in order of seq, so that a batch reads the files of its own seqs
+    changes.repartitionByRange(CHANGE_BATCHES, "seq").sortWithinPartitions("seq").write.parquet(chg)
+    options = {"snapshotPath": snap, "changesPath": chg, "progressPath": f"{ck}-progress", "unitsPerTrigger": "2",
+               "seqsPerTrigger": str(_seqs_a_batch(spark.read.schema("seq long").parquet(chg)))}
 
     def start():
         images = CF.config_images(read_snapshot_then_changes(spark, options))

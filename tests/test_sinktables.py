@@ -67,6 +67,36 @@ def test_hybrid_offsets(spark):
         reader.partitions(at, {"phase": "snapshot", "position": 2})
 
 
+def test_a_batch_reads_the_row_groups_of_its_seqs(spark):
+    """Changes in order of seq are read about once in all, whatever the number of batches."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    paths, options = _hybrid(spark, seqsPerTrigger="10")
+    options = {k: local_path(v) for k, v in options.items()}
+    _changes(spark, paths["changesPath"], [])
+    seqs = [*range(50), *[None] * 10]
+    pq.write_table(pa.table({"value": [f"c{s}" for s in seqs], "seq": pa.array(seqs, pa.int64())}),
+                   options["changesPath"] + "/part-00.parquet", row_group_size=10)
+    reader, at, seen, groups = SnapshotThenChangesReader(options), {"phase": "changes", "position": -1}, [], []
+    reader.at = at
+    while (end := reader.latestOffset()) != at:
+        for u in reader.partitions(at, end):
+            groups += u.groups
+            seen += reader.read(u)
+        at = end
+    assert seen == [(s, f"c{s}") for s in range(50)]
+    assert groups == [0, 1, 2, 3, 4]
+
+
+def test_batches_of_config_changes_do_not_grow_with_the_table(spark):
+    from rivulet.streaming import catalog as C
+
+    batches = lambda top: -(-top // C._seqs_a_batch(spark.createDataFrame([(1,), (top,)], "seq long")))
+    assert [batches(top) for top in (4_000, 12_000, 100_000, 36_000_000)] == [1, 3, 24, 24]
+    assert C._seqs_a_batch(spark.createDataFrame([], "seq long")) == C.LEAST_SEQS
+
+
 def _batches(spark, state, batches, namespace, **options):
     write = J.dim_batch_writer(state, order="arrival", namespace=namespace, **options)
     for i, rows in batches:
