@@ -151,19 +151,14 @@ class WordTokens:
             if len(known) > CACHE_ENTRIES:
                 known.clear()
                 self.marks[""] = b""
-        young, here = self.young, coded.dictionary.to_pylist()
+        young, here = self.young, coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         self._learn([w for w in here if w not in young])
-        ids = [young[w] for w in here]
-        known, size = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        first, word = np.cumsum(size) - size, coded.indices.to_numpy()
-        flat = []
-        for i in range(0, len(word), 1 << 19):
-            part = word[i:i + (1 << 19)]
-            count = size[part]
-            until = np.cumsum(count)
-            flat.append(known[np.repeat(first[part] - until + count, count) + np.arange(until[-1])])
-        ends = np.concatenate([[0], np.cumsum(size[word])])
-        return (np.concatenate(flat) if flat else known[:0]), ends[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
+        # every word's ids, one word after the other, copied as bytes
+        flat = pa.array([young[w] for w in here], pa.large_binary()).take(coded.indices)
+        _, offsets, data = flat.buffers()
+        until = np.frombuffer(offsets, np.int64, len(flat) + 1) // 4 if len(flat) else np.zeros(1, np.int64)
+        ids = np.frombuffer(data, "<u4", until[-1]) if until[-1] else np.empty(0, "<u4")
+        return ids, until[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
 
 
 def id_width(tokenizer_json: str, end_id: int = END_ID) -> str:
