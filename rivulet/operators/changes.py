@@ -55,11 +55,16 @@ def filter_changes(changes: DataFrame, database: str = K.DEFAULT_DATABASE,
 
 
 def retain_columns(data: F.Column, sink_columns: F.Column) -> F.Column:
-    """Keep keys listed in the comma list (exact, case-sensitive, untrimmed).
+    """Keep keys listed in the comma list (exact, case-sensitive, untrimmed)."""
+    return retain_listed(data, F.split(sink_columns, ","))
+
+
+def retain_listed(data: F.Column, columns: F.Column) -> F.Column:
+    """Keep keys among ``columns``, which should be a column rather than an
+    expression, as it is read for every key.
     The change type is attached after retention and removed before the write,
     so a real data column named ``type`` never survives."""
-    wanted = F.split(sink_columns, ",")
-    return F.map_filter(data, lambda k, v: F.array_contains(wanted, k) & (k != F.lit("type")))
+    return F.map_filter(data, lambda k, v: F.array_contains(columns, k) & (k != F.lit("type")))
 
 
 def non_empty_cells(cells: F.Column) -> F.Column:

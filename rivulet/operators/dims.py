@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rivulet.operators.changes import non_empty_cells, retain_columns
+from rivulet.functions.jsonmap import seal
+from rivulet.operators.changes import non_empty_cells, retain_listed
 
 # Table drops are broadcast up to this many bytes.
 DEFAULT_MAX_BROADCAST_BYTES = 16 << 20
@@ -33,16 +34,19 @@ def change_log(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     key column is absent after retention), ``multi_family`` (the put would
     target a family named by the whole comma list).
     """
-    kept = retain_columns(F.col("data"), F.col("sink_columns"))
-    row_key = F.try_element_at(kept, F.col("sink_row_key"))
+    # the list is split and the columns are retained once a change, not in every use
+    own = seal(routed.select("seq", "sink_table", "sink_family", "sink_row_key", "type", "data",
+                             F.split("sink_columns", ",").alias("columns"), *keep))
+    own = seal(own.select("*", retain_listed(F.col("data"), F.col("columns")).alias("kept")))
+    row_key = F.try_element_at(F.col("kept"), F.col("sink_row_key"))
     quarantine = (F.when(F.col("data").isNull(), F.lit("no_data"))
                    .when(row_key.isNull(), F.lit("no_row_key"))
                    .when((F.col("type") != "delete") & F.col("sink_family").contains(","),
                          F.lit("multi_family")))
-    return routed.select(
+    return own.select(
         "seq", "sink_table", "sink_family", "type",
         row_key.alias("row_key"),
-        non_empty_cells(kept).alias("cells"),
+        non_empty_cells(F.col("kept")).alias("cells"),
         quarantine.alias("quarantine"), *keep)
 
 

@@ -168,17 +168,22 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Land a rendered topic once per application as a multi-file table under
     the shared checkpoint folder, then read it like a topic with partitions.
     (The driver tables are single small files; read directly they would put
-    the whole parse into one task.)"""
-    from rivulet.session import app_id, parallelism, scratch_path
+    the whole rendering and parse into one task, so builders spread the typed
+    rows, which are smaller than the lines.)"""
+    from rivulet.session import app_id, scratch_path
     key = (app_id(spark), sf_dir, name)
     if key not in _LANDED:
         path = scratch_path(spark, f"landed-{name}")
-        parts = parallelism(spark)
-        build(spark, sf_dir).repartition(parts).write.parquet(path)
+        build(spark, sf_dir).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    from rivulet.session import parallelism
+    return df.repartition(parallelism(df.sparkSession))
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log topic: (seq, value) JSON lines, some deliberately broken."""
     return landed(spark, sf_dir, "log_lines", render_log_lines)
@@ -223,7 +228,7 @@ def duck_record_order(seq: str) -> str:
 
 def render_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered log topic: (seq, value) JSON lines, some deliberately broken."""
-    t = log_typed(spark, sf_dir)
+    t = _spread(log_typed(spark, sf_dir))
     even = (F.col("seq") % 2) == 0
     disp = _positions(F.col("display_n"), even)
     rec = F.struct(
@@ -263,7 +268,7 @@ def full_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def render_change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered change topic: (seq, value) change envelopes."""
-    t = change_typed(spark, sf_dir)
+    t = _spread(change_typed(spark, sf_dir))
     data = (F.when(F.col("data_kind") == "row",
                    F.to_json(F.struct("id", "name", "extra")))
              .when(F.col("data_kind") == "empty", F.lit("{}")))
@@ -275,7 +280,7 @@ def render_change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def render_config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered config change stream: (seq, value) ``{op, before, after}``
     envelopes with snake_case images; ``d`` carries only ``before``, ``u`` both."""
-    t = config_changes(spark, sf_dir)
+    t = _spread(config_changes(spark, sf_dir))
     image = F.struct("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
     stale = F.struct("source_table", F.lit("stale_sink").alias("sink_table"),
                      F.lit("id").alias("sink_columns"), "sink_family", "sink_row_key")

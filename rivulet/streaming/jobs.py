@@ -411,19 +411,23 @@ def dim_batch_writer(state_dir: str, database: str = "gmall", compact_every: int
             at = _write_config(config_latest(config) if arrival else config, state_dir, batch_id)
             config = spark.read.schema(HISTORY_SCHEMA).parquet(f"{state_dir}/config_state/batch={batch_id}")
 
-        parsed = CH.parse_changes(batch.where(F.col("kind") == "change"))
-        wanted = CH.wanted(database)
-        parsed = parsed.withColumns({"wanted": wanted, "table": F.when(wanted, F.col("table"))})
-        if arrival:
-            routed = CF.route_static(parsed, CF.config_current(CF.with_preload(config, preload)), keep_unrouted=True)
-        else:
-            routed = CF.route_asof(parsed, CF.config_versions(config, preload), keep_unrouted=True)
-        seen = Observation()
-        log = D.change_log(routed, ("bad", "malformed", "wanted", "routed")).observe(seen, *_change_counts())
-        (log.where("routed or malformed")
-         .withColumns({"quarantine": F.when(F.col("malformed"), F.lit("malformed")).otherwise(F.col("quarantine")),
-                       "epoch": epoch, "phase": F.lit(int(arrival))})
-         .drop("malformed", "wanted", "routed").write.mode("overwrite").parquet(f"{state_dir}/change_log/batch={batch_id}"))
+        # what the log needs of the lines, parsed once: the as-of join may read them three times
+        parsed = CH.parse_changes(batch.where(F.col("kind") == "change")).withColumn("wanted", CH.wanted(database))
+        parsed = parsed.select("seq", "type", "malformed", "bad", "wanted",
+                               *[F.when(F.col("wanted"), F.col(c)).alias(c) for c in ("table", "data")]).persist()
+        try:
+            if arrival:
+                routed = CF.route_static(parsed, CF.config_current(CF.with_preload(config, preload)), keep_unrouted=True)
+            else:
+                routed = CF.route_asof(parsed, CF.config_versions(config, preload), keep_unrouted=True)
+            seen = Observation()
+            log = D.change_log(routed, ("bad", "malformed", "wanted", "routed")).observe(seen, *_change_counts())
+            (log.where("routed or malformed")
+             .withColumns({"quarantine": F.when(F.col("malformed"), F.lit("malformed")).otherwise(F.col("quarantine")),
+                           "epoch": epoch, "phase": F.lit(int(arrival))})
+             .drop("malformed", "wanted", "routed").write.mode("overwrite").parquet(f"{state_dir}/change_log/batch={batch_id}"))
+        finally:
+            parsed.unpersist()
         counts.update(seen.get)
         refuse(counts, "malformed", batch_id)
         if namespace:

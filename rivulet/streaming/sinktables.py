@@ -8,7 +8,9 @@ location: nothing is emptied in place, and doing it twice does nothing more.
 A table holds one row per row key: ``row_key``, a column for every column that
 config rows have named since the table was created, and ``bucket``, a hash of
 the key. A batch rewrites the buckets it touches, by dynamic partition
-overwrite, from the folded log; other buckets' files stay. Every bucket
+overwrite, from the folded log; other buckets' files stay. The cells to write
+are kept in order of table, so that each table's write reads its own and not
+all; a bucket of many cells is written by several tasks. Every bucket
 written holds one row without a key, so that a bucket whose rows are all
 deleted is overwritten, too; ``read_table`` leaves it out.
 """
@@ -27,6 +29,8 @@ from rivulet.operators import configs as CF, dims as D
 BUCKETS = 16
 #: Tables written at once.
 WRITERS = 8
+#: Cells of a bucket that one task writes, about.
+TASK_CELLS = 2_000_000
 ROW_KEY, BUCKET = "row_key", "bucket"
 
 
@@ -76,11 +80,12 @@ def apply_tables(spark: SparkSession, namespace: str, root: str, wanted: DataFra
     touched = {r[0] for r in only.select("sink_table").distinct().collect()} if only is not None else None
     exist = {t.name.lower() for t in spark.catalog.listTables(namespace)}
     out = {}
-    for name in sorted(want.keys() | (touched or set()) | (exist if touched is None else set())):
+
+    def apply(name: str) -> None:
         row, table = want.get(name), _quoted(namespace, table_name(name))
         if row is None:
             spark.sql(f"drop table if exists {table}")
-            continue
+            return
         born = "-".join(str(x) for x in (row["born"] if isinstance(row["born"], tuple) else (row["born"],)))
         location = f"{root}/{name}/{born}"
         out[name] = {"location": location, "columns": row["columns"], "born": row["born"]}
@@ -98,6 +103,10 @@ def apply_tables(spark: SparkSession, namespace: str, root: str, wanted: DataFra
             more = [c for c in row["columns"] if c not in _columns(spark, table)]
             if more:
                 spark.sql(f"alter table {table} add columns ({', '.join(f'{_quoted(c)} string' for c in more)})")
+
+    names = sorted(want.keys() | (touched or set()) | (exist if touched is None else set()))
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(apply, names))
     return out
 
 
@@ -107,7 +116,7 @@ def bucket_of(key: str = ROW_KEY, buckets: int = BUCKETS) -> F.Column:
 
 def wide_rows(cells: DataFrame, columns: list[str]) -> DataFrame:
     """Cells of one table -> one row per key."""
-    return cells.groupBy(ROW_KEY, BUCKET).agg(*[F.max(F.when(F.col("col") == c, F.col("value"))).alias(c) for c in columns]) \
+    return cells.groupBy("sink_table", ROW_KEY, BUCKET).agg(*[F.max(F.when(F.col("col") == c, F.col("value"))).alias(c) for c in columns]) \
         .select(ROW_KEY, *columns, BUCKET)
 
 
@@ -116,23 +125,28 @@ def write_rows(spark: SparkSession, namespace: str, tables: dict[str, dict], cur
     """Rewrites the buckets of ``touched`` (sink_table, row_key) from the cells
     ``current`` (sink_table, row_key, col, value)."""
     touched = touched.select("sink_table", bucket_of(buckets=buckets).alias(BUCKET)).distinct().persist()
-    cells = current.withColumn(BUCKET, bucket_of(buckets=buckets)).join(touched, ["sink_table", BUCKET], "left_semi").persist()
+    cells = (current.withColumn(BUCKET, bucket_of(buckets=buckets)).join(F.broadcast(touched), ["sink_table", BUCKET], "left_semi")
+             .sortWithinPartitions("sink_table", ROW_KEY, BUCKET).persist())
     try:
-        names = sorted(r[0] for r in touched.select("sink_table").distinct().collect() if r[0] in tables)
+        names = [r[0] for r in touched.select("sink_table").distinct().collect() if r[0] in tables]
+        most = dict(cells.groupBy("sink_table", BUCKET).count().groupBy("sink_table").agg(F.max("count")).collect())
 
         def write(name: str) -> None:
             own = tables[name]
             rows = wide_rows(cells.where(F.col("sink_table") == name), own["columns"])
             blank = touched.where(F.col("sink_table") == name).select(
                 F.lit(None).cast("string").alias(ROW_KEY), *[F.lit(None).cast("string").alias(c) for c in own["columns"]], BUCKET)
-            (rows.unionByName(blank).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(own["location"]))
+            tasks = max(1, -(-most.get(name, 0) // TASK_CELLS))
+            share = [F.pmod(F.hash(ROW_KEY), F.lit(tasks))] if tasks > 1 else []
+            (rows.unionByName(blank).repartition(buckets * tasks, BUCKET, *share)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(own["location"]))
             table = _quoted(namespace, table_name(name))
             spark.sql(f"alter table {table} recover partitions")
             spark.catalog.refreshTable(table)
 
+        # large tables first, so that none is left over at the end
         with ThreadPoolExecutor(WRITERS) as pool:
-            list(pool.map(write, names))
+            list(pool.map(write, sorted(names, key=lambda n: (-most.get(n, 0), n))))
     finally:
         cells.unpersist()
         touched.unpersist()

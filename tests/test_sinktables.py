@@ -128,6 +128,20 @@ def test_a_batch_rewrites_its_buckets_only(spark):
     assert T.read_table(spark, ns, "dim_t").count() == 0
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, monkeypatch):
+    """And is whole: each row once, in a table beside small ones."""
+    monkeypatch.setattr(T, "TASK_CELLS", 20)
+    state = scratch_path(spark, "state")
+    ns = "b" + state.rsplit("-", 1)[-1]
+    rows = [(0, _config("r"), "config")] + [(i, _change(id=i, name=f"n{i}"), "change") for i in range(1, 60)]
+    _batches(spark, state, [(0, rows)], ns, buckets=1)
+    assert len(_files(spark, ns, "dim_t")[0]) > 1
+    held = lambda: sorted((int(r["row_key"]), r["name"]) for r in T.read_table(spark, ns, "dim_t").collect())
+    assert held() == [(i, f"n{i}") for i in range(1, 60)]
+    _batches(spark, state, [(1, [(100 + i, _change("delete", id=i), "change") for i in range(1, 58)])], ns, buckets=1)
+    assert held() == [(58, "n58"), (59, "n59")]
+
+
 def test_tables_follow_the_config(spark):
     """Created, given a column, dropped and created anew; a session without
     the catalog's entries finds the written rows."""
